@@ -5,29 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The separator patterns of the two splitters.
-NON_LETTERS = r"[^\p{L}]+"
+# The patterns of the two splitters.
+LETTERS = r"\p{L}+"
 BLANKS = r"\s+"
-LINE_BREAK = r"\r\n|\r|\n"
+LEADING_SEPARATOR = r"\A[^\p{L}]+\p{L}"
+# A line break before a line that is empty, or that starts with separators and has a letter later on.
+BREAK_BEFORE_EMPTY_TOKEN = r"(?>\r\n|[\r\n])(?=[\r\n]|[^\p{L}\r\n]++\p{L})"
 
 
-def lines(text: Column) -> Column:
-    """Lines of a text; a final line break does not open another line."""
-    body = F.regexp_replace(text, r"(\r\n|\r|\n)\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+def line_tokens(line: Column) -> Column:
+    """Tokens of one line between runs of non-letters.
 
+    A leading empty token is kept, trailing ones are dropped, and an empty line is one empty token.
+    """
+    opens_empty = (line == "") | line.rlike(LEADING_SEPARATOR)
+    lead = F.when(opens_empty, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(lead, F.regexp_extract_all(line, F.lit(LETTERS), F.lit(0)))
 
-def letter_tokens(line: Column) -> Column:
-    """Tokens between runs of non-letters.
 
-    A leading empty token is kept, trailing ones are dropped, and an empty line is one empty token.
+def text_tokens(body: Column) -> Column:
+    """Tokens of all lines of a text, the empty ones first; a final line break does not open another line.
+
+    The text is not cut into lines: a break is no letter, so words never cross it, and the empty tokens are
+    counted.
     """
-    trimmed = F.regexp_replace(line, NON_LETTERS + "$", "")
-    return (
-        F.when(line == "", F.array(F.lit("")))
-        .when(trimmed == "", F.array().cast("array<string>"))
-        .otherwise(F.split(trimmed, NON_LETTERS))
-    )
+    empty = F.regexp_count(F.concat(F.lit("\n"), body), F.lit(BREAK_BEFORE_EMPTY_TOKEN))
+    return F.concat(F.array_repeat(F.lit(""), empty), F.regexp_extract_all(body, F.lit(LETTERS), F.lit(0)))
 
 
 def kv_words(text: Column) -> Column:

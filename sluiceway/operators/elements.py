@@ -39,9 +39,13 @@ def parse_kv_words(df: DataFrame, message: str, *keep: str) -> DataFrame:
 
 
 def tokenize(df: DataFrame, body: str, *keep: str, name: str = "word") -> DataFrame:
-    """One row per letter token of every line."""
-    each = df.select(*keep, F.explode(text.lines(F.col(body))).alias("line"))
-    return each.select(*keep, F.explode(text.letter_tokens(F.col("line"))).alias(name))
+    """One row per letter token of every line of a text."""
+    return df.select(*keep, F.explode(text.text_tokens(F.col(body))).alias(name))
+
+
+def tokenize_lines(df: DataFrame, line: str, *keep: str, name: str = "word") -> DataFrame:
+    """One row per letter token where each row is a line already."""
+    return df.select(*keep, F.explode(text.line_tokens(F.col(line))).alias(name))
 
 
 def restamp(df: DataFrame, ts: str, stamp: Column) -> DataFrame:

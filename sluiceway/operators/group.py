@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from sluiceway.operators.skew import DEFAULT_SKEW, Skew, positions, running
 
 
-def _ordered_list(order: Sequence[str], value: Column) -> Column:
-    """Collect values in the given order."""
-    rows = F.array_sort(F.collect_list(F.struct(*order, value.alias("__value"))))
-    return F.transform(rows, lambda r: r["__value"])
+def _ordered_list(order: Sequence[str], value: str) -> Column:
+    """Collect values, nulls too, in the given order."""
+    rows = F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order, value]))))
+    return F.transform(rows, lambda r: r[value])
 
 
 def group_values(
@@ -40,14 +40,15 @@ def group_values(
     if page_bytes:
         size = F.coalesce(F.octet_length(F.col(value)), F.lit(0)).cast("bigint")
         paged = running(needed, keys, order, {"__end": ("sum", size)}, skew=skew)
-        page = F.floor((F.col("__end") - size) / page_bytes)
+        paged = paged.withColumn("__at", F.col("__end") - size)
+        page = F.expr(f"__at div {int(page_bytes)}")
     else:
         paged = positions(needed, keys, order, "__at", skew)
-        page = F.floor(F.col("__at") / page_rows)
+        page = F.expr(f"__at div {int(page_rows)}")
     return (
-        paged.withColumn("page", page.cast("bigint"))
+        paged.withColumn("page", page)
         .groupBy(*keys, "page")
-        .agg(_ordered_list(order, F.col(value)).alias("values"))
+        .agg(_ordered_list(order, value).alias("values"))
     )
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sluiceway.functions.sharding import spread_key
-from pyspark.sql import functions as F
 
 
 def reshuffle(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -13,6 +13,15 @@ def reshuffle(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions) if partitions else df.hint("rebalance")
 
 
+def reshuffle_if_coarse(table: DataFrame) -> DataFrame:
+    """Spread a stored table before heavy per-row work, but only if it has fewer splits than there are cores.
+
+    A large table has splits for every core and is read in place, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def reshuffle_by(df: DataFrame, *keys: str, partitions: int | None = None, colocate: bool = False) -> DataFrame:
     """Bring rows of a key together.
 

@@ -84,15 +84,11 @@ def with_map(
 ) -> DataFrame:
     """Look ``df[on]`` up in a map; a missing key gives null. Fails if the map has a key twice."""
     name = name or value
-    twice = F.concat(F.lit("duplicate key in side map: "), F.col(on).cast("string"))
-    dtype = side.schema[value].dataType
-    entries = (
-        side.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias(on))
-        .agg(F.count(F.lit(1)).alias("__copies"), F.any_value(value).alias(name))
-        .select(on, F.when(F.col("__copies") > 1, F.raise_error(twice).cast(dtype)).otherwise(F.col(name)).alias(name))
-    )
-    return lookup(df, entries, [on], "left", skew)
+    entries = side.filter(F.col(key).isNotNull()).select(F.col(key).alias(on), F.col(value).alias(name))
+    twice = entries.groupBy(on).count().filter("count > 1").select(F.col(on).cast("string")).limit(1).scalar()
+    failed = F.raise_error(F.concat(F.lit("duplicate key in side map: "), twice)).cast(side.schema[value].dataType)
+    checked = entries.select(on, F.when(twice.isNotNull(), failed).otherwise(F.col(name)).alias(name))
+    return lookup(df, checked, [on], "left", skew)
 
 
 def enrich(

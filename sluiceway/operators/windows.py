@@ -8,6 +8,7 @@ from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.operators.skew import DEFAULT_SKEW, Skew, positions, running
 
@@ -39,17 +40,21 @@ def multi_window(
     up from those small results.
     """
     step = reduce(gcd, minutes)
-    base = (
-        df.groupBy(*keys, F.window(ts, f"{step} minutes")["start"].alias("__base"))
-        .agg(*[a.alias(n) for n, a in partial.items()])
+    base = df.groupBy(*keys, F.window(ts, f"{step} minutes")["start"].alias("__base")).agg(
+        *[a.alias(n) for n, a in partial.items()]
+    )
+    local = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") if local else F.timestamp_seconds(F.lit(0))
+    since_epoch = F.col("__base") - epoch
+    number = F.extract(F.lit("DAY"), since_epoch) * 1440 + F.extract(F.lit("HOUR"), since_epoch) * 60
+    number = number + F.extract(F.lit("MINUTE"), since_epoch)
+    sized = base.withColumn("minutes", F.explode(F.array(*[F.lit(m) for m in minutes])))
+    into = F.pmod(number, F.col("minutes")).cast("int")
+    return (
+        sized.withColumn("window_start", F.col("__base") - F.make_dt_interval(mins=into))
+        .groupBy(*keys, "minutes", "window_start")
+        .agg(*[a.alias(n) for n, a in final.items()])
     )
-    # Every branch reads the same combined rows; Spark runs their exchange once.
-    branches = [
-        base.select("*", F.lit(m).alias("minutes"), F.window("__base", f"{m} minutes")["start"].alias("window_start"))
-        for m in minutes
-    ]
-    rolled = reduce(DataFrame.unionByName, branches)
-    return rolled.groupBy(*keys, "minutes", "window_start").agg(*[a.alias(n) for n, a in final.items()])
 
 
 def panes(
@@ -66,7 +71,7 @@ def panes(
     A discarding pane covers what came since the last one, an accumulating pane everything so far.
     """
     placed = positions(df, keys, order, "__at", skew)
-    fired = placed.groupBy(*keys, F.floor(F.col("__at") / every).alias("pane")).agg(
+    fired = placed.groupBy(*keys, F.expr(f"__at div {int(every)}").alias("pane")).agg(
         F.count(F.lit(1)).alias("count"), F.sum(value).alias("sum")
     )
     if discarding:

@@ -135,7 +135,8 @@ def xml_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
-    return group.count_per_element(elements.tokenize(table(spark, sf, "documents"), "text"), "word")
+    texts = shuffle.reshuffle_if_coarse(table(spark, sf, "documents").select("text"))
+    return group.count_per_element(elements.tokenize(texts, "text"), "word")
 
 
 def parse_kv(spark: SparkSession, sf: str) -> DataFrame:

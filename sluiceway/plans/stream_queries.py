@@ -134,7 +134,7 @@ def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     landing = fresh_dir(spark, "landing")
     lines = table(session, sf, "documents").select(F.regexp_replace("text", "\r\n?", "\n").alias("value"))
     files.write_text(lines, landing)
-    words = elements.tokenize(stream.watch_files(session, landing, "*.txt"), "line")
+    words = elements.tokenize_lines(stream.watch_files(session, landing, "*.txt"), "line")
     counts = group.count_per_element(words, "word")
     panes.stream_snapshot(counts, out, fresh_dir(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(out)
