@@ -33,12 +33,12 @@ def group_values(
     """Values per key in order, as ``(keys, page, values)``.
 
     A page holds at most ``page_rows`` values; with ``page_bytes`` a new page starts once that many bytes
-    are in it instead. A key with fewer values has the single page 0.
+    are in it instead, an empty value counting as one. A key with fewer values has the single page 0.
     """
     order = list(order or [value])
     needed = df.select(*dict.fromkeys([*keys, *order, value]))
     if page_bytes:
-        size = F.coalesce(F.octet_length(F.col(value)), F.lit(0)).cast("bigint")
+        size = F.greatest(F.octet_length(F.col(value)), F.lit(1)).cast("bigint")
         paged = running(needed, keys, order, {"__end": ("sum", size)}, skew=skew)
         paged = paged.withColumn("__at", F.col("__end") - size)
         page = F.expr(f"__at div {int(page_bytes)}")

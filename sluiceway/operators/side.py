@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.group import group_values
-from sluiceway.operators.skew import DEFAULT_SKEW, Skew, lookup, row_hash
+from sluiceway.operators.skew import DEFAULT_SKEW, Skew, lookup, spread
 
 
 class SideTooLarge(ValueError):
@@ -69,8 +69,8 @@ def with_list_pages(
     salts = skew.resolved_parts(df)
     count = F.ceil(side.agg(F.count(F.lit(1))).scalar() / F.lit(page_rows))
     wanted = F.when(count > 0, F.sequence(F.lit(0).cast("bigint"), count - 1)).otherwise(F.array().cast("array<bigint>"))
-    asked = df.withColumn("__salt", F.pmod(row_hash(df), F.lit(salts))).withColumn("page", F.explode(wanted))
-    copies = pages.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    asked = df.withColumn("__salt", spread(df, salts)).withColumn("page", F.explode(wanted))
+    copies = pages.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return asked.join(copies, ["page", "__salt"]).drop("__salt")
 
 

@@ -128,6 +128,8 @@ def running(
     columns together must be unique per key; the first one should be close to unique, it carries the cuts.
     With no keys the whole table is one sequence and is always cut.
     """
+    if df.isStreaming:
+        raise ValueError("a stream has no end to order by; see sluiceway.streaming.stateful")
     keys, order = list(keys), list(order)
     last = Window.currentRow if inclusive else -1
     hot: list[int] = []
@@ -179,10 +181,14 @@ def positions(
     return counted.withColumn(name, F.col(name) - 1)
 
 
-def row_hash(df: DataFrame) -> Column:
-    """A hash of the row's content, the same whenever the row is recomputed."""
+def spread(df: DataFrame, parts: int) -> Column:
+    """A number in ``[0, parts)`` that spreads rows evenly, copies of one row as well.
+
+    It depends on the row's content and on the input partition, both the same when a task is run again.
+    """
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*plain)
+    by_content = F.pmod(F.xxhash64(*plain), F.lit(parts).cast("bigint"))
+    return F.pmod(by_content + F.spark_partition_id(), F.lit(parts).cast("bigint")).cast("int")
 
 
 def lookup(
@@ -196,13 +202,14 @@ def lookup(
 
     Spark picks a broadcast or a shuffle by the side's size. Hot keys of ``df`` are spread over salts and
     only their few side rows are repeated, so no task gets a whole hot key if it comes to a shuffle.
+    A stream is joined as it is: its keys cannot be counted beforehand.
     """
     on = list(on)
-    hot = heavy_keys(df, on, skew)
+    hot = [] if df.isStreaming else heavy_keys(df, on, skew)
     if not hot:
         return df.join(side, on, how)
     salts = skew.resolved_parts(df)
     is_hot = key_hash(on).isin(hot)
-    salted = df.withColumn(_SALT, F.when(is_hot, F.pmod(row_hash(df), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    salted = df.withColumn(_SALT, F.when(is_hot, spread(df, salts)).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     return salted.join(side.withColumn(_SALT, F.explode(copies)), [*on, _SALT], how).drop(_SALT)

@@ -189,6 +189,9 @@ SELECT o_orderpriority, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'O' GROU
     "sha_destinations": f"""
 SELECT CAST(destination AS BIGINT) AS destination, COUNT(*) AS count FROM ({_SHA}) GROUP BY 1""",
     "multi_output": "SELECT t AS tag, o_orderkey AS value FROM orders, (VALUES ('a'), ('b')) AS tags(t)",
+    "union_to_rows": """
+SELECT t AS tag, t || '-' || v AS k, v FROM (VALUES ('w1'), ('w2')) AS tags(t),
+  (SELECT o_orderkey AS v FROM orders UNION ALL SELECT c_custkey FROM customer)""",
     "union_branches": _BRANCHES.format(column="o_orderkey", table="orders"),
     "left_only_union": "SELECT 'Left-' || o_orderkey AS value FROM orders",
     "side_singleton": """

@@ -219,6 +219,14 @@ def multi_output(spark: SparkSession, sf: str) -> DataFrame:
     return elements.multi_output(orders, {"a": F.col("o_orderkey"), "b": F.col("o_orderkey")})
 
 
+def union_to_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sources flattened, both outputs turned into named rows."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("v"))
+    both = branch.union_all(orders, table(spark, sf, "customer").select(F.col("c_custkey").alias("v")))
+    row = {name: F.struct(F.concat(F.lit(f"{name}-"), F.col("v").cast("string")).alias("k"), "v") for name in ("w1", "w2")}
+    return elements.multi_output(both, row, "row").select("tag", "row.k", "row.v")
+
+
 def union_branches(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("value"))
     both = branch.branch_union(orders, inputs.prefixed("Left-"), inputs.prefixed("Right-"))
@@ -474,7 +482,7 @@ BATCH_QUERIES = {
         batches, global_batches, multi_bag_batches, xml_documents,
         word_count, parse_kv, kv_processed, conditional_emit, tagged, restamped, traced, with_setup,
         fan_out, synthetic_messages, sequence_gaps, sql_source, sha_destinations,
-        multi_output, union_branches, left_only_union,
+        multi_output, union_to_rows, union_branches, left_only_union,
         side_singleton, side_list, side_list_pages, side_map, self_list, enrich_strict, enrich_lenient,
         reshuffled, reshuffled_by_key, reshuffled_spread,
         multi_window, window_meta, panes_discarding, panes_accumulating,

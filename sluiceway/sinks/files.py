@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.render import row_json
 from sluiceway.functions.sharding import destination_name
-from sluiceway.operators.skew import row_hash
+from sluiceway.operators.skew import spread
 
 # Codecs that text files can be written with; zstd text needs a native library.
 TEXT_CODECS = ("none", "gzip", "bzip2", "deflate", "snappy", "lz4")
@@ -29,19 +29,24 @@ def write_compressed(df: DataFrame, path: str, codec: str = "zstd", text: bool =
     df.write.option("compression", codec).text(path)
 
 
-def write_dynamic(df: DataFrame, path: str, value: Column, destination: Column, destinations: int, shards: int) -> None:
-    """Write text lines to the folder of each row's destination, at most ``shards`` files per destination.
+def write_dynamic(
+    df: DataFrame, path: str, value: Column, destination: Column, destinations: int, shards: int = 0
+) -> None:
+    """Write text lines to the folder of each row's destination.
 
-    Rows are spread by destination and shard, so a destination with most of the rows is written by
-    ``shards`` tasks.
+    With ``shards`` a destination has at most that many files and is written by as many tasks. With 0,
+    Spark joins small destinations and splits large ones by size. Either way a destination with most of the
+    rows is not one task.
     """
     routed = df.select(
-        destination_name(destination, destinations).alias("destination"),
-        value.cast("string").alias("value"),
-        F.pmod(row_hash(df), F.lit(shards)).alias("__shard"),
+        destination_name(destination, destinations).alias("destination"), value.cast("string").alias("value")
     )
-    spread = routed.repartition("destination", "__shard").drop("__shard")
-    spread.write.partitionBy("destination").text(path)
+    if shards:
+        placed = routed.withColumn("__shard", spread(routed, shards))
+        routed = placed.repartition("destination", "__shard").drop("__shard")
+    else:
+        routed = routed.hint("rebalance", "destination")
+    routed.write.partitionBy("destination").text(path)
 
 
 def export_json_lines(df: DataFrame, path: str) -> None:

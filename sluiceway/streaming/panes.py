@@ -36,10 +36,21 @@ def _triggered(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def stream_append(df: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds") -> StreamingQuery:
-    """Append finished rows to a Parquet table, exactly once."""
-    writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _triggered(writer.option("checkpointLocation", checkpoint), every)
+def stream_append(
+    df: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", method: str = "files"
+) -> StreamingQuery:
+    """Append finished rows to a Parquet table.
+
+    ``files`` commits through the sink's own log, exactly once. ``batches`` writes a folder per micro-batch
+    (column ``batch_id``), which any reader sees as soon as it is there and a retry replaces.
+    """
+    if method == "files":
+        writer = df.writeStream.format("parquet").option("path", path)
+    elif method == "batches":
+        writer = df.writeStream.foreachBatch(batch_writer(path))
+    else:
+        raise ValueError(f"unknown write method {method}")
+    return _triggered(writer.outputMode("append").option("checkpointLocation", checkpoint), every)
 
 
 def stream_snapshot(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

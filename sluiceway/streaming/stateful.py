@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from sluiceway.operators.skew import row_hash
+from sluiceway.operators.skew import spread
 
 LONG_STATE = T.StructType([T.StructField("value", T.LongType())])
 
@@ -46,7 +46,7 @@ def _pages(values: Iterable[Any], size: int) -> Iterator[list[Any]]:
 
 
 def _grouped(df: DataFrame, keys: Sequence[str], shards: int) -> tuple[DataFrame, list[str]]:
-    sharded = df.withColumn("shard", F.pmod(row_hash(df), F.lit(shards)).cast("int"))
+    sharded = df.withColumn("shard", spread(df, shards))
     return sharded, [*keys, "shard"]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions import sharding
 from sluiceway.operators import elements, group, side
+from sluiceway.operators.skew import spread
 from sluiceway.plans.inputs import table
 from sluiceway.session import fresh_dir, stream_session
 from sluiceway.sinks import files, tables
@@ -175,6 +176,30 @@ def test_publish_strings(spark):
     assert sorted(int(r["value"]) for r in spark.read.text(out).collect()) == list(range(10))
 
 
+def test_a_stream_beside_a_static_map(spark, sf):
+    session = stream_session(spark)
+    out, landing = fresh_dir(spark, "out"), fresh_dir(spark, "in")
+    table(session, sf, "orders").select("o_orderkey", "o_custkey").write.parquet(landing)
+    names = table(session, sf, "customer").filter("c_custkey % 2 = 0")
+    orders = stream.table_stream(session, landing, "o_orderkey bigint, o_custkey bigint")
+    rows = side.with_map(orders, names, "o_custkey", "c_custkey", "c_name")
+    panes.stream_append(rows, out, fresh_dir(spark, "cp"), every=None, method="batches").awaitTermination()
+    got = spark.read.parquet(out)
+    want = table(spark, sf, "orders").count()
+    assert got.count() == want
+    assert got.filter("(o_custkey % 2 = 0) != (c_name is not null)").count() == 0
+    with pytest.raises(ValueError):
+        group.group_values(orders, ["o_custkey"], "o_orderkey")
+    with pytest.raises(ValueError):
+        panes.stream_append(rows, out, out, method="other")
+
+
+def test_copies_of_one_row_are_spread(spark):
+    copies = spark.range(0, 4000, 1, 40).select(F.lit("same").alias("v"))
+    counts = [r["count"] for r in copies.withColumn("s", spread(copies, 8)).groupBy("s").count().collect()]
+    assert len(counts) == 8 and max(counts) == 500
+
+
 def test_spread_key_is_stable_and_even(spark):
     keyed = spark.range(1000).select(F.pmod(sharding.spread_key(F.col("id"), seed=3), F.lit(10)).alias("k"))
     counts = [r["count"] for r in keyed.groupBy("k").count().collect()]
