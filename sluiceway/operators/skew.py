@@ -7,14 +7,14 @@ A key is *hot* when it alone outweighs an average shuffle partition. Two things
   ranges (one small row per hot key and range) are added back.
 * ``lookup``: an equi join against a side with few rows per key, hot keys spread over salts.
 
-Which keys are hot, and where the cuts lie, only changes how work is spread, never the answer. Both are
-read by a sketch aggregate of bounded size before the plan is built and enter it as literals, so a
-recomputed task sees the same layout.
+Which keys are hot, and where the cuts lie, only changes how work is spread, never the answer, so both are
+estimated, like the bounds of Spark's own range partitioning: a sketch of bounded size over a sample of the key
+or order column. They enter the plan as literals, so a recomputed task sees the same layout. All rows go
+through the plan itself.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,6 +25,9 @@ from pyspark.sql import types as T
 # Upper bound on (hot key, range) totals, the only thing broadcast by ``running``.
 MAX_PIECES = 65_536
 
+# Sampled rows behind each estimate.
+SAMPLED = 1_000
+
 _PIECE = "__piece"
 _SALT = "__salt"
 
@@ -51,20 +54,23 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT_SKEW) -> list[int]:
-    """Hashes of the hot keys: at most ``parts`` of them, found by one sketch pass over the key columns.
-
-    A hash collision only splits one more key, which is harmless.
-    """
+def _estimate_heavy(df: DataFrame, keys: Sequence[str], skew: Skew) -> tuple[dict[int, float], float]:
+    """About how many rows each hot key has, by key hash, and how many rows there are."""
     parts = skew.resolved_parts(df)
-    tracked = 16 * parts
-    row = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {parts}, {tracked})").alias("top"))
-        .first()
-    )
-    limit = max(row["n"] / parts, skew.hot_rows)
-    return [e["item"] for e in (row["top"] or []) if e["count"] > limit]
+    share = min(1.0, SAMPLED / skew.hot_rows)
+    hashes = df.select(key_hash(keys).alias("h"))
+    seen = hashes.sample(share, seed=7) if share < 1 else hashes
+    row = seen.agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {parts}, {16 * parts})").alias("top")
+    ).first()
+    limit = max(row["n"] / parts, skew.hot_rows * share)
+    hot = {e["item"]: e["count"] / share for e in (row["top"] or []) if e["count"] > limit}
+    return hot, row["n"] / share
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT_SKEW) -> list[int]:
+    """Hashes of the hot keys, at most ``parts`` of them. A hash collision only splits one more key."""
+    return list(_estimate_heavy(df, keys, skew)[0])
 
 
 def _axis(df: DataFrame, name: str) -> Column:
@@ -78,28 +84,30 @@ def _axis(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def _cut_points(df: DataFrame, axis: Column, pieces: int) -> tuple[list[str], T.DataType]:
-    """At most ``pieces - 1`` values of the axis that split its rows evenly, as text."""
+def _cut_points(df: DataFrame, axis: Column, pieces: int, rows: float) -> tuple[list[str], T.DataType]:
+    """At most ``pieces - 1`` values of the axis that split its about ``rows`` rows evenly, as text."""
+    values = df.select(axis.alias("axis"))
+    share = SAMPLED * pieces / max(rows, 1)
+    seen = values.sample(share, seed=7) if share < 1 else values
     shares = [i / pieces for i in range(1, pieces)]
-    points = df.select(axis.alias("axis")).agg(
-        F.percentile_approx("axis", shares, max(10_000, 20 * pieces)).alias("points")
-    )
+    points = seen.agg(F.percentile_approx("axis", shares, max(10_000, 20 * pieces)).alias("points"))
     dtype = points.schema["points"].dataType.elementType
     row = points.select(F.transform("points", lambda p: p.cast("string")).alias("points")).first()
     return list(dict.fromkeys(row["points"] or [])), dtype
 
 
-def _piece(axis: Column, points: list[str], dtype: T.DataType) -> Column:
-    """How many cut points are at or below the value, looked up in two levels."""
-    if not points:
-        return F.lit(0)
-    step = math.isqrt(len(points)) + 1
-    literal = [F.lit(p).cast(dtype) for p in points]
-    coarse = F.array(*literal[::step])
-    block = F.size(F.filter(coarse, lambda c: c <= axis))
-    fine = F.slice(F.array(*literal), (block - 1) * step + 1, F.lit(step))
-    inside = (block - 1) * step + F.size(F.filter(fine, lambda c: c <= axis))
-    return F.when(block > 0, inside).otherwise(F.lit(0))
+def _with_piece(df: DataFrame, value: Column, points: list[str], dtype: T.DataType) -> DataFrame:
+    """Add how many cut points are at or below the value; 0 for null.
+
+    A binary search in generated code: each step is its own column, since it is used twice by the next one.
+    """
+    found = df.withColumn(_PIECE, F.lit(0))
+    cuts = F.array(*[F.lit(p).cast(dtype) for p in points])
+    for bit in reversed(range(len(points).bit_length())):
+        half = 1 << bit
+        reached = F.get(cuts, F.col(_PIECE) + (half - 1)) <= value
+        found = found.withColumn(_PIECE, F.col(_PIECE) + F.when(reached, F.lit(half)).otherwise(F.lit(0)))
+    return found
 
 
 def _aggregate(how: str, value: Column) -> Column:
@@ -132,19 +140,24 @@ def running(
         raise ValueError("a stream has no end to order by; see sluiceway.streaming.stateful")
     keys, order = list(keys), list(order)
     last = Window.currentRow if inclusive else -1
-    hot: list[int] = []
+    hot: dict[int, float] = {}
     if keys:
-        hot = heavy_keys(df, keys, skew)
+        hot, rows = _estimate_heavy(df, keys, skew)
         if not hot:
             frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
             return df.withColumns({n: _aggregate(how, v).over(frame) for n, (how, v) in measures.items()})
-
-    parts = skew.resolved_parts(df)
-    is_hot = key_hash(keys).isin(hot) if keys else F.lit(True)
-    pieces = max(2, min(2 * parts, MAX_PIECES // max(1, len(hot))))
+        hot_rows = sum(hot.values())
+        is_hot = key_hash(keys).isin(*hot)
+    else:
+        hot_rows = rows = float(df.count())
+        is_hot = F.lit(True)
+
+    # Two ranges for every average partition that the hot rows would fill.
+    filled = skew.resolved_parts(df) * hot_rows / max(rows, 1)
+    pieces = max(2, min(int(2 * filled), MAX_PIECES // max(1, len(hot))))
     axis = _axis(df, order[0])
-    points, dtype = _cut_points(df.filter(is_hot), axis, pieces)
-    cut = df.withColumn(_PIECE, F.when(is_hot, _piece(axis, points, dtype)).otherwise(F.lit(0)))
+    points, dtype = _cut_points(df.filter(is_hot), axis, pieces, hot_rows)
+    cut = _with_piece(df, F.when(is_hot, axis), points, dtype)
 
     side_keys = [f"__key{i}" for i in range(len(keys))]
     totals = (

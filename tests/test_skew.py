@@ -6,6 +6,7 @@ from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.operators import group, side, skew, state, windows
 from sluiceway.operators.skew import Skew
@@ -33,12 +34,30 @@ def test_hot_keys_are_found(hot):
 
 def test_no_task_gets_a_whole_hot_key(hot):
     axis = skew._axis(hot, "event_id")
-    points, dtype = skew._cut_points(hot, axis, 16)
-    sizes = hot.groupBy("k", skew._piece(axis, points, dtype)).count().agg(F.max("count")).first()[0]
+    points, dtype = skew._cut_points(hot, axis, 16, hot.count())
+    sizes = skew._with_piece(hot, axis, points, dtype).groupBy("k", "__piece").count().agg(F.max("count")).first()[0]
     assert len(points) == 15
     assert sizes <= hot.count() / 16 + 5
 
 
+@pytest.mark.parametrize("cuts", [0, 1, 2, 3, 7, 8, 100])
+def test_pieces_count_the_cuts_at_or_below(spark, cuts):
+    points = [str(10 * i) for i in range(1, cuts + 1)]
+    rows = spark.range(-5, 1100).union(spark.createDataFrame([(None,)], "id bigint"))
+    got = skew._with_piece(rows, F.col("id"), points, T.LongType()).collect()
+    assert all(r["__piece"] == (0 if r["id"] is None else max(0, min(cuts, r["id"] // 10))) for r in got)
+
+
+def test_sampled_estimates(spark):
+    rows = spark.range(0, 400_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    sampled = Skew(parts=8, hot_rows=40_000)
+    found, total = skew._estimate_heavy(rows, ["k"], sampled)
+    assert len(found) == 1 and abs(total / 400_000 - 1) < 0.1 and abs(sum(found.values()) / 133_334 - 1) < 0.15
+    placed = skew.positions(rows, ["k"], ["id"], skew=sampled)
+    wrong = placed.filter("position != if(k = 0, id div 3, 0)").count()
+    assert wrong == 0 and placed.count() == 400_000
+
+
 @pytest.mark.parametrize("order", ["event_id", "ts", "name"])
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_running_equals_a_plain_scan(hot, order, inclusive):
