@@ -17,7 +17,7 @@ from sluiceway.operators.skew import DEFAULT_SKEW, Skew, positions, running
 
 def _ordered_list(order: Sequence[str], value: str) -> Column:
     """Collect values, nulls too, in the given order."""
-    rows = F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order, value]))))
+    rows = F.sort_array(F.collect_list(F.struct(*dict.fromkeys([*order, value]))))
     return F.transform(rows, lambda r: r[value])
 
 
@@ -167,7 +167,7 @@ def multi_bag_batches(
     numbered = F.transform(
         "values", lambda v, i: F.struct(((i + 1) % bags).alias("bag"), i.alias("at"), v.alias("value"))
     )
-    return batches.withColumn("values", F.transform(F.array_sort(numbered), lambda r: r["value"]))
+    return batches.withColumn("values", F.transform(F.sort_array(numbered), lambda r: r["value"]))
 
 
 def bundle_documents(

@@ -54,7 +54,7 @@ def with_list(
     if rows > max_rows or size > max_bytes:
         raise SideTooLarge(f"side list has {rows} rows and {size} bytes; use with_list_pages or with_map")
     # Nulls are kept: only the wrapping structs are collected.
-    listed = items.agg(F.array_sort(F.collect_list(F.struct("item"))).alias("items"))
+    listed = items.agg(F.sort_array(F.collect_list(F.struct("item"))).alias("items"))
     return df.withColumn(name, listed.select(F.transform("items", lambda i: i["item"])).scalar())
 
 

@@ -46,9 +46,9 @@ def dictionary(spark: SparkSession) -> DataFrame:
 
 
 def lineitem_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """``flag:linenumber status:quantity [bad] p:partkey`` per line item; every third line number has the bad word."""
+    """``flag:linenumber status:quantity [bad] p:partkey`` per line item; returned ones have the bad word."""
     lines = table(spark, sf, "lineitem")
-    bad = F.when(F.col("l_linenumber") % 3 == 0, F.lit("bad ")).otherwise(F.lit(""))
+    bad = F.when(F.col("l_returnflag") == "R", F.lit("bad ")).otherwise(F.lit(""))
     return lines.select(
         F.concat(
             "l_returnflag", F.lit(":"), F.col("l_linenumber").cast("string"), F.lit(" "),
@@ -59,9 +59,9 @@ def lineitem_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """``type:user [oops] v:n`` per event; every fifth event has the malformed word."""
+    """``type:user [oops] v:n`` per event; error events have the malformed word."""
     events = table(spark, sf, "events")
-    oops = F.when(F.col("event_id") % 5 == 0, F.lit("oops ")).otherwise(F.lit(""))
+    oops = F.when(F.col("event_type") == "error", F.lit("oops ")).otherwise(F.lit(""))
     return events.select(
         "ts",
         F.concat(
@@ -72,13 +72,13 @@ def event_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def routed_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders routed by priority; two priorities have no table, every fourth value is null."""
+    """Orders routed by priority; two priorities have no table, pending orders have a null value."""
     priority = F.col("o_orderpriority")
     dest = F.concat(F.lit("table"), F.substring(priority, 1, 1))
     return table(spark, sf, "orders").select(
         dest.alias("dest"),
         F.col("o_orderkey").cast("string").alias("key"),
-        F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey")).alias("value"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("value"),
     )
 
 

@@ -51,11 +51,11 @@ WITH messages AS ({source}), split AS (
 
 _LINEITEM_MESSAGES = """
   SELECT l_returnflag || ':' || l_linenumber || ' ' || l_linestatus || ':' || CAST(l_quantity AS INTEGER) || ' '
-    || CASE WHEN l_linenumber % 3 = 0 THEN 'bad ' ELSE '' END || 'p:' || (l_partkey % 50) || ' ' AS text
+    || CASE WHEN l_returnflag = 'R' THEN 'bad ' ELSE '' END || 'p:' || (l_partkey % 50) || ' ' AS text
   FROM lineitem"""
 
 _EVENT_MESSAGES = """
-  SELECT ts, event_type || ':' || user_id || ' ' || CASE WHEN event_id % 5 = 0 THEN 'oops ' ELSE '' END
+  SELECT ts, event_type || ':' || user_id || ' ' || CASE WHEN event_type = 'error' THEN 'oops ' ELSE '' END
     || 'v:' || (event_id % 7) AS text
   FROM events"""
 
@@ -86,7 +86,7 @@ def _routed(null_as: str) -> str:
     return f"""
 WITH raw AS (
   SELECT 'table' || substr(o_orderpriority, 1, 1) AS dest, CAST(o_orderkey AS VARCHAR) AS key,
-    CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey END AS value FROM orders
+    CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS value FROM orders
 ), filled AS (SELECT dest, key, CASE WHEN value IS NULL THEN {null_as} ELSE value END AS value FROM raw)
 SELECT dest, key, coalesce(CAST(value AS VARCHAR), 'null') AS value, CASE
   WHEN dest NOT IN ('table1', 'table2', 'table3') THEN 'unknown destination'
@@ -206,7 +206,7 @@ SELECT p_brand, page, suppliers FROM (SELECT DISTINCT p_brand FROM part), (
     SELECT s_suppkey, (row_number() OVER (ORDER BY s_suppkey) - 1) // 20 AS page FROM supplier) GROUP BY page)""",
     "side_map": """
 SELECT l_orderkey, l_linenumber, l_partkey, p_name
-FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 3 <> 0) ON l_partkey = p_partkey""",
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_type <> 'ECONOMY') ON l_partkey = p_partkey""",
     "self_list": """
 WITH brands AS (SELECT DISTINCT p_brand FROM part)
 SELECT p_brand, (SELECT string_agg(p_brand, ',' ORDER BY p_brand) FROM brands) AS seen,
@@ -286,7 +286,7 @@ FROM documents""",
     "routed_append_defaults": _routed("CASE dest WHEN 'table2' THEN 2 WHEN 'table3' THEN 3 END"),
     "insert_or_reject": """
 SELECT o_custkey AS k, o_orderkey AS v, CASE
-  WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0) THEN 'key exists'
+  WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') THEN 'key exists'
   WHEN o_orderkey > MIN(o_orderkey) OVER (PARTITION BY o_custkey) THEN 'duplicate in input'
   ELSE 'inserted' END AS status
 FROM orders""",
