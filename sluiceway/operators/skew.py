@@ -134,7 +134,8 @@ def running(
 
     ``how`` is count, sum, min or max. Without ``inclusive`` a row sees only the rows before it. The order
     columns together must be unique per key; the first one should be close to unique, it carries the cuts.
-    With no keys the whole table is one sequence and is always cut.
+    With no keys the whole table is one sequence and is always cut. ``df`` is evaluated more than once;
+    checkpoint it first if it is costly or not deterministic.
     """
     if df.isStreaming:
         raise ValueError("a stream has no end to order by; see sluiceway.streaming.stateful")

@@ -18,6 +18,11 @@ def fixed_window(df: DataFrame, ts: str, size: str, name: str = "window") -> Dat
     return df.withColumn(name, F.window(ts, size))
 
 
+def global_window(df: DataFrame, *windows: str) -> DataFrame:
+    """Put rows back into the one window of everything: the named window columns go."""
+    return df.drop(*(windows or ("window",)))
+
+
 def window_meta(df: DataFrame, window: str = "window") -> DataFrame:
     """Replace the window by its start, its end and its last instant."""
     last = F.col(window)["end"] - F.expr("INTERVAL 1 MICROSECOND")

@@ -299,6 +299,11 @@ FROM orders""",
     "stream_window_append": f"""
 SELECT * FROM ({SUM_PER_KEY})
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM events)""",
+    "stream_rolled_windows": f"""
+SELECT * FROM (
+  SELECT event_id % 10 AS key, {SIX_HOURS} AS window_start, {VALUE} AS sum_value, COUNT(*) AS n
+  FROM events GROUP BY 1, 2)
+WHERE window_start + INTERVAL 6 HOUR <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM events)""",
     "stream_late_dropped": f"""{_THIRDS}
 SELECT event_id % 10 AS key, {HOUR} AS window_start, {VALUE} AS sum_value, COUNT(*) AS n
 FROM arrivals, marks

@@ -17,12 +17,14 @@ from sluiceway.streaming import panes, replay
 
 HOUR = "1 hour"
 LATENESS = "2 hours"
+# Input of one micro-batch where the order of arrival does not matter.
+PER_TRIGGER = 1 << 40
 
 
-def _hourly(events: DataFrame) -> DataFrame:
+def _hours(events: DataFrame) -> DataFrame:
     """Sum and count per hour and key of an event stream."""
     keyed = panes.event_time(events, "ts").withColumn("key", sharding.shard_key(F.col("event_id"), 10))
-    return panes.windowed(
+    return panes.window_agg(
         keyed.withColumn("cents", cents("value")),
         "ts",
         HOUR,
@@ -32,6 +34,10 @@ def _hourly(events: DataFrame) -> DataFrame:
     )
 
 
+def _hourly(events: DataFrame) -> DataFrame:
+    return panes.window_start(_hours(events))
+
+
 def _report(sums: DataFrame) -> DataFrame:
     return sums.select("key", "window_start", dollars("sum_cents").alias("sum_value"), "n")
 
@@ -59,9 +65,9 @@ def _late_chunks(spark: SparkSession, sf: str) -> list[DataFrame]:
 def stream_window_complete(spark: SparkSession, sf: str) -> DataFrame:
     session, out = stream_session(spark), fresh_dir(spark, "out")
     replay.run_table(
-        session, f"{sf}/events.parquet", lambda s, cp: panes.stream_snapshot(_hourly(s), out, cp)
+        session, f"{sf}/events.parquet", lambda s, cp: panes.stream_snapshot(_hourly(s), out, cp), PER_TRIGGER
     )
-    return _report(spark.read.parquet(out))
+    return _report(panes.newest(spark.read.parquet(out)))
 
 
 def stream_window_append(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,6 +78,19 @@ def stream_window_append(spark: SparkSession, sf: str) -> DataFrame:
     return _report(spark.read.parquet(out))
 
 
+def stream_rolled_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours that are finished go on into windows of six hours."""
+    session, out = stream_session(spark), fresh_dir(spark, "out")
+
+    def job(events: DataFrame, checkpoint: str):
+        rolled = panes.rewindow(_hours(events), "6 hours", ["key"], {"sum_cents": F.sum("sum_cents"), "n": F.sum("n")})
+        return panes.stream_append(panes.window_start(rolled), out, checkpoint, every=None)
+
+    arrivals, _ = _thirds(session, sf)
+    replay.replay(session, _chunks(arrivals), job)
+    return _report(spark.read.parquet(out))
+
+
 def stream_late_dropped(spark: SparkSession, sf: str) -> DataFrame:
     session, out = stream_session(spark), fresh_dir(spark, "out")
     replay.replay(
@@ -124,7 +143,7 @@ def stream_static_side(spark: SparkSession, sf: str) -> DataFrame:
         both = branch.branch_union(values, inputs.prefixed("Left-"), inputs.prefixed("Right-"))
         return panes.stream_append(side.with_singleton(both, newest, "side"), out, checkpoint, every=None)
 
-    replay.run_table(session, f"{sf}/events.parquet", job)
+    replay.run_table(session, f"{sf}/events.parquet", job, PER_TRIGGER)
     return spark.read.parquet(out)
 
 
@@ -137,7 +156,7 @@ def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     words = elements.tokenize_lines(stream.watch_files(session, landing, "*.txt"), "line")
     counts = group.count_per_element(words, "word")
     panes.stream_snapshot(counts, out, fresh_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(out)
+    return panes.newest(spark.read.parquet(out))
 
 
 def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,7 +176,7 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     fn.__name__: fn
     for fn in (
-        stream_window_complete, stream_window_append, stream_late_dropped, stream_stateless_late,
+        stream_window_complete, stream_window_append, stream_rolled_windows, stream_late_dropped, stream_stateless_late,
         stream_trigger_update, stream_discarding, stream_static_side, stream_word_count, stream_messages,
     )
 }

@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from sluiceway.sources.batch import MESSAGE_SCHEMA
 
 
-def table_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet table, one file or a folder, read as a stream. The braces make the path a glob, so both fit."""
+def table_stream(
+    spark: SparkSession, path: str, schema, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """A Parquet table, one file or a folder, read as a stream. The braces make the path a glob, so both fit.
+
+    Without a limit, what is there becomes one micro-batch; files are taken by age, so a limit also decides
+    which rows later ones are late against.
+    """
     folder, _, name = path.rstrip("/").rpartition("/")
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(f"{folder}/{{{name}}}")
 
 

@@ -20,15 +20,24 @@ def event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def windowed(
+def window_agg(
     df: DataFrame, ts: str, size: str, lateness: str, keys: Sequence[str], aggs: Mapping[str, Column]
 ) -> DataFrame:
     """Aggregate per window and key; rows later than ``lateness`` behind the newest are dropped."""
     grouped = df.withWatermark(ts, lateness).groupBy(F.window(ts, size), *keys)
-    combined = grouped.agg(*[a.alias(n) for n, a in aggs.items()])
-    return combined.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"), *keys, *aggs
-    )
+    return grouped.agg(*[a.alias(n) for n, a in aggs.items()])
+
+
+def rewindow(windowed: DataFrame, size: str, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+    """Put finished windows into larger ones: each goes by its last instant."""
+    grouped = windowed.groupBy(F.window(F.window_time("window"), size), *keys)
+    return grouped.agg(*[a.alias(n) for n, a in aggs.items()])
+
+
+def window_start(windowed: DataFrame) -> DataFrame:
+    """Replace the window by its start."""
+    rest = [c for c in windowed.columns if c != "window"]
+    return windowed.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), *rest)
 
 
 def _triggered(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
@@ -54,12 +63,8 @@ def stream_append(
 
 
 def stream_snapshot(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep a table equal to the whole current result (complete mode)."""
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    writer = df.writeStream.outputMode("complete").foreachBatch(save)
+    """Write the whole current result after each micro-batch (complete mode); ``newest`` reads the last one."""
+    writer = df.writeStream.outputMode("complete").foreachBatch(batch_writer(path))
     return _triggered(writer.option("checkpointLocation", checkpoint), every)
 
 
@@ -93,6 +98,12 @@ def batch_writer(
     return save
 
 
+def newest(snapshots: DataFrame) -> DataFrame:
+    """The last snapshot; the others are pruned as partitions."""
+    last = snapshots.agg(F.max(BATCH)).scalar()
+    return snapshots.filter(F.col(BATCH) == last).drop(BATCH)
+
+
 def latest(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last version of each group among written changes."""
     rest = [c for c in changes.columns if c not in (*keys, BATCH)]

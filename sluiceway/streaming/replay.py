@@ -29,8 +29,12 @@ def replay(
 
 
 def run_table(
-    session: SparkSession, path: str, start: Callable[[DataFrame, str], StreamingQuery]
+    session: SparkSession,
+    path: str,
+    start: Callable[[DataFrame, str], StreamingQuery],
+    bytes_per_trigger: int | None = None,
 ) -> None:
     """Run the streaming job straight over a stored table, without a copy."""
     schema = session.read.parquet(path).schema
-    start(table_stream(session, path, schema), fresh_dir(session, "checkpoint")).awaitTermination()
+    rows = table_stream(session, path, schema, bytes_per_trigger=bytes_per_trigger)
+    start(rows, fresh_dir(session, "checkpoint")).awaitTermination()

@@ -194,6 +194,18 @@ def test_a_stream_beside_a_static_map(spark, sf):
         panes.stream_append(rows, out, out, method="other")
 
 
+def test_a_byte_limit_makes_several_batches_and_one_snapshot(spark):
+    session = stream_session(spark)
+    out, landing = fresh_dir(spark, "out"), fresh_dir(spark, "in")
+    session.range(0, 1000, 1, 4).withColumn("k", F.col("id") % 3).write.parquet(landing)
+    rows = stream.table_stream(session, landing, "id bigint, k bigint", bytes_per_trigger=1024)
+    query = panes.stream_snapshot(rows.groupBy("k").count(), out, fresh_dir(spark, "cp"))
+    query.awaitTermination()
+    snapshots = spark.read.parquet(out)
+    assert snapshots.select("batch_id").distinct().count() > 1
+    assert panes.newest(snapshots).agg(F.sum("count")).first()[0] == 1000
+
+
 def test_copies_of_one_row_are_spread(spark):
     copies = spark.range(0, 4000, 1, 40).select(F.lit("same").alias("v"))
     counts = [r["count"] for r in copies.withColumn("s", spread(copies, 8)).groupBy("s").count().collect()]
