@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.functions.render import xml_escape
 from sluiceway.operators.skew import DEFAULT_SKEW, Skew, positions, running
 
 
@@ -179,12 +180,8 @@ def bundle_documents(
     skew: Skew = DEFAULT_SKEW,
 ) -> DataFrame:
     """One XML document per bundle: ``(keys, page, xml)``. A bundle of many rows spans several documents."""
-    from sluiceway.functions.render import xml_escape
-
-    lines = df.withColumn(
-        element,
-        F.concat(F.lit("  <element>"), F.coalesce(xml_escape(F.col(element).cast("string")), F.lit("")), F.lit("</element>")),
-    )
+    body = F.coalesce(xml_escape(F.col(element).cast("string")), F.lit(""))
+    lines = df.withColumn(element, F.concat(F.lit("  <element>"), body, F.lit("</element>")))
     pages = group_values(lines, keys, element, order, rows_per_document, skew=skew)
-    body = F.concat(F.lit("<root>\n"), F.array_join("values", "\n"), F.lit("\n</root>\n"))
-    return pages.select(*keys, "page", body.alias("xml"))
+    xml = F.concat(F.lit("<root>\n"), F.array_join("values", "\n"), F.lit("\n</root>\n"))
+    return pages.select(*keys, "page", xml.alias("xml"))

@@ -156,6 +156,8 @@ FROM (
     replace(replace(replace(c_name, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS c_name,
     (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 50 AS page
   FROM customer) GROUP BY 1, 2""",
+    "exploded_props": """
+SELECT part, COUNT(*) AS count FROM (SELECT unnest(string_split(props, '"')) AS part FROM events) GROUP BY part""",
     "word_count": _TOKENS,
     "parse_kv": _kv(_LINEITEM_MESSAGES, "", "SELECT key, value, COUNT(*) AS count FROM kv GROUP BY 1, 2"),
     "kv_processed": _kv(
@@ -220,6 +222,9 @@ SELECT c_custkey, c_mktsegment, target FROM customer LEFT JOIN ({_SEGMENT_ANSWER
     "reshuffled": "SELECT o_orderkey, o_custkey FROM orders",
     "reshuffled_by_key": "SELECT o_orderkey, o_custkey FROM orders",
     "reshuffled_spread": "SELECT o_orderkey, o_custkey FROM orders",
+    "rewindowed_globally": f"""
+SELECT event_type, COUNT(*) AS count, MIN(n) AS min, MAX(n) AS max
+FROM (SELECT event_type, {HOUR} AS h, COUNT(*) AS n FROM events GROUP BY 1, 2) GROUP BY event_type""",
     "multi_window": " UNION ALL ".join(_per_minutes(m) for m in (60, 120, 180, 240)),
     "window_meta": f"""
 SELECT event_id, ts, w AS window_start, w + INTERVAL 15 MINUTE AS window_end,

@@ -134,6 +134,13 @@ def xml_documents(spark: SparkSession, sf: str) -> DataFrame:
 # Text and elements
 
 
+def exploded_props(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts of each event's JSON text between quotes, one row each."""
+    rows = table(spark, sf, "events").select("event_id", "props")
+    parts = elements.explode_with(rows, F.split("props", '"'), "part")
+    return group.count_per_element(parts, "part")
+
+
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
     texts = shuffle.reshuffle_if_coarse(table(spark, sf, "documents").select("text"))
     return group.count_per_element(elements.tokenize(texts, "text"), "word")
@@ -308,6 +315,13 @@ def reshuffled_spread(spark: SparkSession, sf: str) -> DataFrame:
 # Windows and state over tables
 
 
+def rewindowed_globally(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts, brought back into one window: the busiest and the quietest hour per type."""
+    timed = windows.fixed_window(table(spark, sf, "events"), "ts", HOUR)
+    hourly = group.count_per_element(timed, "window", "event_type")
+    return group.key_stats(windows.global_window(hourly), ["event_type"], "count")
+
+
 def multi_window(spark: SparkSession, sf: str) -> DataFrame:
     return windows.multi_window(
         table(spark, sf, "events"),
@@ -480,12 +494,12 @@ BATCH_QUERIES = {
         window_sum_per_key, window_sum_grouped, window_sum_global, global_sum, group_fields_count,
         key_stats, hot_key_stats, key_bytes, group_values, group_values_by_bytes, ungroup_roundtrip,
         batches, global_batches, multi_bag_batches, xml_documents,
-        word_count, parse_kv, kv_processed, conditional_emit, tagged, restamped, traced, with_setup,
+        exploded_props, word_count, parse_kv, kv_processed, conditional_emit, tagged, restamped, traced, with_setup,
         fan_out, synthetic_messages, sequence_gaps, sql_source, sha_destinations,
         multi_output, union_to_rows, union_branches, left_only_union,
         side_singleton, side_list, side_list_pages, side_map, self_list, enrich_strict, enrich_lenient,
         reshuffled, reshuffled_by_key, reshuffled_spread,
-        multi_window, window_meta, panes_discarding, panes_accumulating,
+        rewindowed_globally, multi_window, window_meta, panes_discarding, panes_accumulating,
         running_index, unsaved_counter, backlog, collect_until_window_end, map_state_fold,
         multimap_entries, multimap_at_expiry, growing_output,
         dynamic_write, json_lines, row_json, sharded_text, compressed_text, compressed_table,

@@ -167,7 +167,10 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
     messages = stream.message_stream(session, landing)
     keyed = messages.withColumn("shard", sharding.shard_key(F.col("message_id"), 100))
     rows = shuffle.reshuffle_by(keyed, "shard").select(
-        "message_id", "shard", F.col("attributes")["ts"].alias("sent"), F.octet_length("payload").cast("bigint").alias("size")
+        "message_id",
+        "shard",
+        F.col("attributes")["ts"].alias("sent"),
+        F.octet_length("payload").cast("bigint").alias("size"),
     )
     panes.stream_append(rows, out, fresh_dir(spark, "checkpoint"), every=None).awaitTermination()
     return spark.read.parquet(out)

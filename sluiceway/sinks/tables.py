@@ -127,7 +127,9 @@ def insert_or_reject(
     return split_valid(insert_verdicts(df, target, keys, order, skew))
 
 
-def jdbc_append(df: DataFrame, url: str, table: str, driver: str | None = None, batch_size: int = 1_000, writers: int = 8) -> None:
+def jdbc_append(
+    df: DataFrame, url: str, table: str, driver: str | None = None, batch_size: int = 1_000, writers: int = 8
+) -> None:
     """Insert rows by prepared statements, in batches, over a bounded number of connections."""
     writer = df.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
     writer = writer.option("batchsize", batch_size).option("numPartitions", writers)
@@ -136,6 +138,10 @@ def jdbc_append(df: DataFrame, url: str, table: str, driver: str | None = None,
 
 def to_cells(df: DataFrame, key: str, family: str, columns: Sequence[str]) -> DataFrame:
     """One ``(row_key, family, qualifier, value)`` cell per row and column, all as bytes but the names."""
-    cells = F.array(*[F.struct(F.lit(c).alias("qualifier"), F.col(c).cast("string").cast("binary").alias("value")) for c in columns])
-    rows = df.select(F.col(key).cast("string").cast("binary").alias("row_key"), F.lit(family).alias("family"), F.inline(cells))
+
+    def as_bytes(column: str) -> Column:
+        return F.col(column).cast("string").cast("binary")
+
+    cells = F.array(*[F.struct(F.lit(c).alias("qualifier"), as_bytes(c).alias("value")) for c in columns])
+    rows = df.select(as_bytes(key).alias("row_key"), F.lit(family).alias("family"), F.inline(cells))
     return rows.filter(F.col("value").isNotNull())

@@ -36,7 +36,8 @@ def run_live(session, chunks, job, seconds: float, deadline: float = 45):
     """
     out, landing = fresh_dir(session, "out"), fresh_dir(session, "landing")
     chunks[0].write.parquet(landing)
-    query = panes.stream_append(job(table_stream(session, landing, chunks[0].schema)), out, fresh_dir(session, "cp"), "200 milliseconds")
+    rows = job(table_stream(session, landing, chunks[0].schema))
+    query = panes.stream_append(rows, out, fresh_dir(session, "cp"), "200 milliseconds")
     expected, last = 0, time.time() + deadline
     try:
         for i, chunk in enumerate(chunks):
@@ -68,7 +69,8 @@ def test_collect_equals_batch_for_closed_windows(session, sf):
         ),
     )
     mark = events.agg((F.max("ts") - F.expr("INTERVAL 1 HOUR")).alias("m")).first()["m"]
-    want = state.collect_until_window_end(events, ["user_id"], "ts", "1 day", "event_id").filter(F.col("window_end") <= F.lit(mark))
+    want = state.collect_until_window_end(events, ["user_id"], "ts", "1 day", "event_id")
+    want = want.filter(F.col("window_end") <= F.lit(mark))
     flat = got.select("user_id", "window_start", F.explode("values").alias("v"))
     assert sorted(map(tuple, flat.collect())) == sorted(
         map(tuple, want.select("user_id", "window_start", F.explode("values").alias("v")).collect())
@@ -110,7 +112,7 @@ def test_batches_do_not_cross_windows(session, sf):
     want = (
         events.groupBy("user_id", F.window("ts", "1 day").alias("w")).count()
         .filter(F.col("w.end") <= F.lit(mark))
-        .select("user_id", F.col("w.start").alias("window_start"), F.col("count").alias("n"), (F.col("count") % 3 != 0).cast("bigint").alias("short"))
+        .select("user_id", "w.start", "count", (F.col("count") % 3 != 0).cast("bigint"))
     )
     assert sorted(map(tuple, per_window.collect())) == sorted(map(tuple, want.collect()))
 
