@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from sluiceway.plans.oracles import ORACLES
+from sluiceway.plans.queries import BATCH_QUERIES
+from sluiceway.plans.stream_queries import STREAM_QUERIES
 from tests.compare import mismatch, reference
 
+QUERIES = {**BATCH_QUERIES, **STREAM_QUERIES}
+
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sf, name):
-    got = queries()[name](spark, sf).toPandas()
-    assert mismatch(got, reference(oracle_sql()[name], sf)) is None
+    got = QUERIES[name](spark, sf).toPandas()
+    assert mismatch(got, reference(ORACLES[name], sf)) is None
 
 
 def test_entry(spark):
