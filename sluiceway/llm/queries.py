@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import decontaminate, mixing, quality, simhash, tokens, vectors, warc
+from sluiceway.llm import decontaminate, mixing, quality, repeats, simhash, tokens, vectors, warc
 from sluiceway.llm.arrow import table
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.vocabularies import vocabulary
@@ -14,6 +14,10 @@ from sluiceway.llm.vocabularies import vocabulary
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def op1_run_length_index(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf, "documents"))
+
+
 def op2_rans_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.token_digests(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -43,6 +47,7 @@ def op10_bk_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_run_length_index": op1_run_length_index,
     "op2_rans_tokens": op2_rans_tokens,
     "op4_neighbour_votes": op4_neighbour_votes,
     "op5_va_top_k": op5_va_top_k,
