@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import decontaminate, mixing, quality, repeats, simhash, tokens, vectors, warc
+from sluiceway.llm import decontaminate, mixing, pages, pseudonyms, quality, repeats, simhash, tokens, vectors, warc
 from sluiceway.llm.arrow import table
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.vocabularies import vocabulary
@@ -22,6 +22,10 @@ def op2_rans_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.token_digests(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op3_host_suffix_text(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.main_text(table(spark, sf, "pages"))
+
+
 def op4_neighbour_votes(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -30,6 +34,11 @@ def op5_va_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.top_k(table(spark, sf, "embeddings"))
 
 
+def op6_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    key = spark.conf.get("spark.sluiceway.pseudonymKey", "a key for tests; a corpus brings its own")
+    return pseudonyms.pseudonymise(table(spark, sf, "documents"), key)
+
+
 def op7_source_schedule(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
@@ -49,8 +58,10 @@ def op10_bk_simhash(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_run_length_index": op1_run_length_index,
     "op2_rans_tokens": op2_rans_tokens,
+    "op3_host_suffix_text": op3_host_suffix_text,
     "op4_neighbour_votes": op4_neighbour_votes,
     "op5_va_top_k": op5_va_top_k,
+    "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
     "op7_source_schedule": op7_source_schedule,
     "op8_warc_records": op8_warc_records,
     "op9_winnowed_contamination": op9_winnowed_contamination,
