@@ -153,7 +153,8 @@ class _Window:
                     return None
         except zlib.error:
             return None
-        return b"".join(out), fed - len(unpack.unused_data)
+        whole = b"".join(out)
+        return (whole, fed - len(unpack.unused_data)) if whole.startswith(b"WARC/") else None
 
 
 def records(source, start: int, stop: int, size: int) -> Iterator[tuple[int, bytes]]:
