@@ -26,8 +26,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each SimHash group (three-word shingles, three bits); once, if it repeats.
 
-    Rows without an id can't stand for a group: of those in a group of named ones none stays, of other groups of them
-    one row each distinct text.
+    Rows without an id can't be told apart by ids: if a group of only such rows there is, all of them stay, each
+    distinct text once, else none.
     """
     groups = simhash.near_duplicates(docs)
     first = _kept(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))

@@ -1,8 +1,8 @@
 """Token ids of documents in files coded by a range asymmetric numeral system (rANS).
 
-A folder has one table of symbol frequencies for all files. A file holds blocks, each coded by itself with ``LANES``
-interleaved states. Every ``SECTION`` steps a checkpoint keeps the states and the place in the words, and a checksum
-of the ids up to the next, so sections decode in parallel. The footer lists sections and documents.
+A file has one table of symbol frequencies that its blocks share, each coded by itself with ``LANES`` interleaved
+states. Every ``SECTION`` steps a checkpoint keeps the states and the place in the words, and a checksum of the ids up
+to the next, so sections decode in parallel. The footer has the table, the sections and the documents.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ SCALE = 20
 LANES = 1024
 SECTION = 256
 BLOCK = 4 * SECTION * LANES
+#: Tokens of a file at most (but for one longer document), which its writer holds to count them.
+FILE = 16 << 20
 #: Tokens of a reading task.
 PART = 4 << 20
 #: Words whose ids a worker remembers.
@@ -41,8 +43,10 @@ MAGIC = b"RANSTOK1"
 #: What the fast way of cutting does not expect: white space but blank and newline, NUL, and two of white space together.
 _UNUSUAL = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"] + ["\0", "  ", "\n\n", " \n", "\n "]
 _OPAQUE = re.compile(r"[\0\x1c-\x1f]")  # here Python and the tokenizer disagree on what is white space
-_INNER = re.compile(r"(?s).\s")
 _PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+# Letters, and punctuation after them: two words of the tokenizer's pattern.
+_LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+_PLAIN = re.compile(rf"( ?[{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
 
 
 class Encoder:
@@ -59,25 +63,28 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.code = "H" if self.vocabulary <= 1 << 16 else "I"
-        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.chars = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in " " + _LETTERS}
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _word(self, word: str) -> bytes:
+        if (ids := self.words.get(word)) is None:
+            ids = self.words[word] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(word.translate(self.chars))]).tobytes()
+        return ids
 
     def _learn(self, pieces: list[str]) -> None:
-        """Words go to the library as lines of one text, which costs less than a call each."""
-        lines = [p for p in pieces if p and not p[-1:].isspace() and not _INNER.search(p)]
-        for lo in range(0, len(lines), 4096):
-            some = lines[lo : lo + 4096]
-            ids = np.array(self.tokenizer.encode("\n".join(some), add_special_tokens=False).ids, self.code)
-            parts = np.flatnonzero(ids == self.newline)
-            if len(parts) == len(some) - 1:
-                raw, width = ids.tobytes(), ids.itemsize
-                begin = [0, *((parts + 1) * width).tolist()]
-                self.known.update(zip(some, [raw[x:y] for x, y in zip(begin, [*(parts * width).tolist(), len(raw)])]))
-        rest = [p for p in pieces if p not in self.known]
-        self.known.update(zip(rest, self._ids(rest)))
+        """Letters with punctuation go to the library's model word by word, all else through the whole tokenizer."""
+        if len(self.words) + 2 * len(pieces) > REMEMBERED:
+            self.words.clear()
+        word, rest = self._word, []
+        for piece in pieces:
+            if m := _PLAIN.fullmatch(piece):
+                head, tail = m.groups()
+                self.known[piece] = word(head) + word(tail) if tail else word(head)
+            else:
+                rest.append(piece)
+        coded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        self.known.update(zip(rest, (array(self.code, e.ids).tobytes() for e in coded)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         of, out, waiting, new = self.known.__getitem__, [], [], set()
@@ -119,7 +126,13 @@ def encoded(column: pa.Array, path: str) -> Iterator[tuple[int, list[bytes]]]:
 class Table:
     """Frequencies that add up to 2**SCALE; every id that occurs has at least one part."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray | None = None, freq: np.ndarray | None = None):
+        parts = freq.astype(np.int64) if freq is not None else self._parts(counts)
+        self.freq = parts.astype(np.uint64)
+        self.cum = np.concatenate([[0], np.cumsum(parts)[:-1]]).astype(np.uint64)
+
+    @staticmethod
+    def _parts(counts: np.ndarray) -> np.ndarray:
         there = np.flatnonzero(counts)
         parts = np.zeros(len(counts), np.int64)
         if len(there):
@@ -129,8 +142,7 @@ class Table:
             share = counts[there].astype(np.float64) / counts.sum()
             parts[there] = 1 + np.floor(share * free).astype(np.int64)
             parts[there[np.argmax(parts[there])]] += (1 << SCALE) - parts.sum()
-        self.freq = parts.astype(np.uint64)
-        self.cum = np.concatenate([[0], np.cumsum(parts)[:-1]]).astype(np.uint64)
+        return parts
 
     @property
     def symbols(self) -> np.ndarray:
@@ -175,6 +187,8 @@ def decode_section(words: np.ndarray, states: np.ndarray, n: int, table: Table,
         low = x < _LOW
         k = int(np.count_nonzero(low))
         if k:
+            if at + k > len(words):
+                raise ValueError("a damaged section: its words end before its ids")
             x[low] = (x[low] << _WORD) | words[at : at + k]
             at += k
         states[: len(x)] = x
@@ -188,32 +202,25 @@ def _arrays(**named: np.ndarray) -> bytes:
 
 
 class _File:
-    """Writes one file: blocks as they fill, the footer at the end."""
+    """Holds the ids of one file, and writes it when all are there: the table they make, their blocks, the footer."""
 
-    def __init__(self, folder: str, name: str, table: Table):
-        self.out, self.table = Output(folder, name), table
-        self.name, self.waiting, self.held, self.tokens = name, [], 0, 0
+    def __init__(self, folder: str, name: str, vocabulary: int):
+        self.out, self.name, self.vocabulary = Output(folder, name), name, vocabulary
+        self.waiting: list[np.ndarray] = []
+        self.tokens = 0
         self.docs: list[int] = []
         self.named: list[bool] = []
-        self.lengths: list[int] = []
         self.sections: list[tuple[int, int, int, int]] = []  # of the file: byte of its words, number of words, ids, their crc
         self.states: list[np.ndarray] = []
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.docs.append(doc_id or 0)
         self.named.append(doc_id is not None)
-        self.lengths.append(len(ids))
         self.waiting.append(ids)
-        self.held += len(ids)
-        if self.held >= BLOCK:
-            every = np.concatenate(self.waiting)
-            whole = len(every) // BLOCK * BLOCK
-            for lo in range(0, whole, BLOCK):
-                self.block(every[lo : lo + BLOCK])
-            self.waiting, self.held = [every[whole:]], len(every) - whole
-
-    def block(self, ids: np.ndarray) -> None:
-        words, states, places = encode_block(ids, self.table)
+        self.tokens += len(ids)
+
+    def _block(self, ids: np.ndarray, table: Table) -> None:
+        words, states, places = encode_block(ids, table)
         ends = [*places[1:].tolist(), len(words)]
         begin = self.out.size
         for i, (a, b) in enumerate(zip(places.tolist(), ends)):
@@ -221,13 +228,16 @@ class _File:
             self.sections.append((begin + 4 * a, b - a, len(part), zlib.crc32(part.astype("<u4"))))
         self.states.append(states)
         self.out.write(words.tobytes())
-        self.tokens += len(ids)
 
     def close(self) -> dict:
-        if self.held:
-            self.block(np.concatenate(self.waiting))
+        lengths, ids = np.array([len(x) for x in self.waiting], "<i8"), np.concatenate(self.waiting)
+        self.waiting = []
+        counts = np.bincount(ids, minlength=self.vocabulary)
+        table = Table(counts)
+        for lo in range(0, len(ids), BLOCK):
+            self._block(ids[lo : lo + BLOCK], table)
         footer = _arrays(
-            docs=np.array(self.docs, "<i8"), named=np.array(self.named, bool), lengths=np.array(self.lengths, "<i8"),
+            freq=table.freq.astype("<u4"), docs=np.array(self.docs, "<i8"), named=np.array(self.named, bool), lengths=lengths,
             sections=np.array(self.sections, "<i8").reshape(-1, 4), states=np.concatenate([*self.states, np.zeros((0, LANES), "<u8")]),
         )
         at = self.out.size
@@ -236,43 +246,23 @@ class _File:
         return {"file": self.name, "tokens": self.tokens, "footer_at": at, "bytes": self.out.size}
 
 
-def token_counts(docs: DataFrame, text_col: str, path: str) -> np.ndarray:
-    """How often each id occurs in all documents; summed in tasks first, as many rows as the vocabulary at the end."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(encoder(path).vocabulary, np.int64)
-        for batch in batches:
-            for _, ids in encoded(batch.column(0), path):
-                counts += np.bincount(np.frombuffer(b"".join(ids), encoder(path).code), minlength=len(counts))
-        there = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], names=["id", "n"])
-
-    rows = docs.select(text_col).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(encoder(path).vocabulary, np.int64)
-    out[rows["id"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
-
-
-def write(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", most: int = FILE) -> DataFrame:
     """Writes all documents in ascending id order (null first, equal ids by their text) and returns the manifest.
 
-    A first pass counts ids for the shared table, a second tokenises again in order and codes; keeping the ids of the
-    first would take more disk than the text.
+    A partition is a file, or several of about ``most`` tokens; names are in the order of the documents.
     """
-    counts = token_counts(docs, text_col, path)
-    out = Output(folder, "table")
-    body = counts.astype("<i8").tobytes()
-    out.write(body + zlib.crc32(body).to_bytes(4, "little"))
-    out.close()
-    table = Table(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file = None
+        file, n = None, 0
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             for lo, coded in encoded(batch.column(1), path):
-                file = file or _File(folder, f"part-{TaskContext.get().partitionId():06d}", table)
                 for doc_id, ids in zip(ids_of[lo:], coded):
+                    if file and file.tokens >= most:
+                        yield pa.RecordBatch.from_pylist([file.close()])
+                        file = None
+                    if not file:
+                        file, n = _File(folder, f"part-{TaskContext.get().partitionId():06d}-{n:06d}", encoder(path).vocabulary), n + 1
                     file.add(doc_id, np.frombuffer(ids, encoder(path).code))
         if file:
             yield pa.RecordBatch.from_pylist([file.close()])
@@ -282,19 +272,9 @@ def write(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_
     return saved(ordered.mapInArrow(run, "file string, tokens long, footer_at long, bytes long"), "manifest")
 
 
-def _table(fs, base: str) -> Table:
-    with fs.open_input_file(f"{base}/table") as f:
-        data = f.read()
-    if zlib.crc32(data[:-4]) != int.from_bytes(data[-4:], "little"):
-        raise ValueError("the frequency table is damaged")
-    return Table(np.frombuffer(data[:-4], "<i8"))
-
-
 def documents(folder: str, name: str, footer_at: int, size: int, first: int, stop: int) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """``(doc_id, start in the file, ids)`` of the documents that begin in the ``[first, stop)``-th tokens of a file."""
     fs, base = opened(folder)
-    table = _table(fs, base)
-    symbols = table.symbols
     with fs.open_input_file(f"{base}/{name}") as f:
         f.seek(footer_at)
         tail = f.read(size - footer_at)
@@ -303,6 +283,8 @@ def documents(folder: str, name: str, footer_at: int, size: int, first: int, sto
             raise ValueError(f"{name}: the footer is damaged")
         footer = np.load(io.BytesIO(body))
         lengths, sections, states = footer["lengths"], footer["sections"], footer["states"]
+        table = Table(freq=footer["freq"])
+        symbols = table.symbols
         starts = np.cumsum(lengths) - lengths
         mine = np.flatnonzero((starts >= first) & (starts < stop))
         section_at = np.cumsum(sections[:, 2]) - sections[:, 2]
