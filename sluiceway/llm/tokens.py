@@ -316,7 +316,9 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, part: int = PART
     order = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(order), F.lit(0)).cast("long"))
     at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tokens") - 1, F.lit(part).cast("long")))
-    tasks = files.select("file", "footer_at", "bytes", "base", at.alias("first")).repartition(F.col("file"), F.col("first"))
+    tasks = files.select("file", "footer_at", "bytes", "base", at.alias("first"))
+    # A number given is kept; by the size of these few small rows all of them would become one task.
+    tasks = tasks.repartition(max(1, tasks.count()))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
