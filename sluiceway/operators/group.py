@@ -91,21 +91,30 @@ def combine_grouped(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    zero: Column,
+    create: Column,
     add: Callable[[Column, Column], Column],
-    merge: Callable[[str], Column],
+    merge: Callable[[Column, Column], Column],
     name: str,
+    extract: Callable[[Column], Column] = lambda acc: acc,
     order: Sequence[str] | None = None,
     page_rows: int = 100_000,
     skew: Skew = DEFAULT_SKEW,
 ) -> DataFrame:
-    """Group first, fold each page of the list with ``add``, then ``merge`` the accumulators.
+    """Group first, then fold: every page of the list from ``create`` by ``add``, the pages in order by ``merge``, and
+    ``extract`` of the last accumulator.
 
-    For folds that are no Spark aggregate; ``combine_per_key`` is cheaper where it applies.
+    For folds that are no Spark aggregate; ``combine_per_key`` is cheaper where it applies. A page starts from
+    ``create``, so it must be neutral (``merge`` with it changes nothing), which is checked on itself; then the answer
+    does not depend on ``page_rows``.
     """
+    itself = df.sparkSession.range(1).select(merge(create, create).eqNullSafe(create).alias("same")).first()
+    if not itself["same"]:
+        raise ValueError("create must be neutral: merged with itself it has to stay the same")
     pages = group_values(df, keys, value, order, page_rows, skew=skew)
-    folded = pages.select(*keys, F.aggregate("values", zero, add).alias("__acc"))
-    return folded.groupBy(*keys).agg(merge("__acc").alias(name))
+    folded = pages.select(*keys, "page", F.aggregate("values", create, add).alias("__acc"))
+    listed = folded.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("page", "__acc"))).alias("__pages"))
+    whole = F.aggregate(F.transform("__pages", lambda p: p["__acc"]), create, merge, extract)
+    return listed.select(*keys, whole.alias(name))
 
 
 def count_per_element(df: DataFrame, *columns: str) -> DataFrame:

@@ -13,16 +13,6 @@ def reshuffle(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions) if partitions else df.hint("rebalance")
 
 
-def reshuffle_if_coarse(table: DataFrame) -> DataFrame:
-    """Spread a stored table before heavy per-row work, but only if it has no more splits than there are cores.
-
-    Spark then cut the splits below its usual size, often below a row group, which leaves some of them empty.
-    A large table has many splits per core and is read in place, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() <= cores else table
-
-
 def reshuffle_by(df: DataFrame, *keys: str, partitions: int | None = None, colocate: bool = False) -> DataFrame:
     """Bring rows of a key together.
 

@@ -6,11 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.group import group_values
-from sluiceway.operators.skew import DEFAULT_SKEW, Skew, lookup, spread
-
-
-class SideTooLarge(ValueError):
-    """The side input is over the size that may be copied to every executor."""
+from sluiceway.operators.skew import DEFAULT_SKEW, Skew, lookup
 
 
 def with_singleton(df: DataFrame, side: DataFrame, name: str) -> DataFrame:
@@ -28,59 +24,28 @@ def with_singleton(df: DataFrame, side: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one.scalar())
 
 
-def _size(side: DataFrame) -> tuple[int, int]:
-    row = side.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*side.columns)))), F.lit(0)).alias("bytes"),
-    ).first()
-    return row["rows"], row["bytes"]
-
-
 def with_list(
-    df: DataFrame,
-    side: DataFrame,
-    value: str | Column,
-    name: str,
-    max_rows: int = 100_000,
-    max_bytes: int = 32 << 20,
-) -> DataFrame:
-    """The whole side, sorted, as one array on every row.
-
-    The side is measured first. Over the limits the array would be copied everywhere and this raises;
-    ``with_list_pages`` gives the same pairs of row and list without a copy, ``with_map`` fits lookups.
-    """
-    items = side.select((F.col(value) if isinstance(value, str) else value).alias("item"))
-    rows, size = _size(items)
-    if rows > max_rows or size > max_bytes:
-        raise SideTooLarge(f"side list has {rows} rows and {size} bytes; use with_list_pages or with_map")
-    # Nulls are kept: only the wrapping structs are collected.
-    listed = items.agg(F.sort_array(F.collect_list(F.struct("item"))).alias("items"))
-    return df.withColumn(name, listed.select(F.transform("items", lambda i: i["item"])).scalar())
-
-
-def with_list_pages(
-    df: DataFrame, side: DataFrame, value: str, name: str, page_rows: int = 10_000, skew: Skew = DEFAULT_SKEW
+    df: DataFrame, side: DataFrame, value: str | Column, name: str, page_rows: int = 100_000, skew: Skew = DEFAULT_SKEW
 ) -> DataFrame:
-    """The whole side on every row in pages: one output row per input row and page (column ``page``).
+    """The whole side, sorted, on every row, in pages: one output row per input row and page (column ``page``).
 
-    An equi join on the page number; every page is repeated per salt, so a page is not one task's work.
+    One form for sides of any size: a page is one array of at most ``page_rows`` values, and rows meet pages by an
+    equi join on the page number, of which Spark broadcasts the pages if they are small. An empty side has no page.
     """
-    pages = group_values(side, [], value, page_rows=page_rows, skew=skew).withColumnRenamed("values", name)
-    salts = skew.resolved_parts(df)
+    items = side.select((F.col(value) if isinstance(value, str) else value).alias(name))
+    pages = group_values(items, [], name, page_rows=page_rows, skew=skew).withColumnRenamed("values", name)
     count = F.ceil(side.agg(F.count(F.lit(1))).scalar() / F.lit(page_rows))
     wanted = F.when(count > 0, F.sequence(F.lit(0).cast("bigint"), count - 1)).otherwise(F.array().cast("array<bigint>"))
-    asked = df.withColumn("__salt", spread(df, salts)).withColumn("page", F.explode(wanted))
-    copies = pages.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return asked.join(copies, ["page", "__salt"]).drop("__salt")
+    return df.withColumn("page", F.explode(wanted)).join(pages, "page")
 
 
-def with_self_list(df: DataFrame, value: str, name: str, max_rows: int = 10_000) -> DataFrame:
-    """Every value beside the list of all values of the same input."""
-    return with_list(df, df, value, name, max_rows=max_rows)
+def with_self_list(df: DataFrame, value: str, name: str, page_rows: int = 100_000, skew: Skew = DEFAULT_SKEW) -> DataFrame:
+    """Every row beside the list of all values of the same input, in pages."""
+    return with_list(df, df, value, name, page_rows, skew)
 
 
 def with_map(
-    df: DataFrame, side: DataFrame, on: str, key: str, value: str, name: str | None = None, skew: Skew = DEFAULT_SKEW
+    df: DataFrame, side: DataFrame, on: str, key: str, value: str, name: str | None = None
 ) -> DataFrame:
     """Look ``df[on]`` up in a map; a missing key gives null. Fails if the map has a key twice."""
     name = name or value
@@ -88,7 +53,7 @@ def with_map(
     twice = entries.groupBy(on).count().filter("count > 1").select(F.col(on).cast("string")).limit(1).scalar()
     failed = F.raise_error(F.concat(F.lit("duplicate key in side map: "), twice)).cast(side.schema[value].dataType)
     checked = entries.select(on, F.when(twice.isNotNull(), failed).otherwise(F.col(name)).alias(name))
-    return lookup(df, checked, [on], "left", skew)
+    return lookup(df, checked, [on], "left")
 
 
 def enrich(
@@ -98,7 +63,6 @@ def enrich(
     source: str,
     target: str,
     strict: bool = True,
-    skew: Skew = DEFAULT_SKEW,
 ) -> DataFrame:
     """Translate ``df[on]`` by a dictionary with zero or more answers per source.
 
@@ -109,5 +73,5 @@ def enrich(
         F.min(target).alias(target), F.count(target).alias("__answers")
     )
     if strict:
-        return lookup(df, answers.filter(F.col("__answers") == 1).drop("__answers"), [on], "inner", skew)
-    return lookup(df, answers.drop("__answers"), [on], "left", skew)
+        return lookup(df, answers.filter(F.col("__answers") == 1).drop("__answers"), [on], "inner")
+    return lookup(df, answers.drop("__answers"), [on], "left")

@@ -1,16 +1,13 @@
 """Primitives that stay balanced when one key holds a large share of the rows.
 
-A key is *hot* when it alone outweighs an average shuffle partition. Two things are built on that:
-
-* ``running``: running count, sum, minimum or maximum per key in a given order. Rows of hot keys are cut
-  into ranges of the order column, every range is scanned by its own task, and the totals of the earlier
-  ranges (one small row per hot key and range) are added back.
-* ``lookup``: an equi join against a side with few rows per key, hot keys spread over salts.
-
-Which keys are hot, and where the cuts lie, only changes how work is spread, never the answer, so both are
-estimated, like the bounds of Spark's own range partitioning: a sketch of bounded size over a sample of the key
-or order column. They enter the plan as literals, so a recomputed task sees the same layout. All rows go
-through the plan itself.
+* ``running``: running count, sum, minimum or maximum per key in a given order. A key with more rows than one task
+  should have is cut into ranges of the order column, every range is scanned by its own task, and the totals of the
+  earlier ranges (one small row per key and range) are added back. So is a whole table without a key.
+* ``lookup``: an equi join against a side with few rows per key.
+
+How many rows a task should have is an absolute number, so the layout holds at any table size. Which keys exceed it
+and where their cuts lie is estimated from one sample; that only changes how work is spread, never the answer. The
+cuts are rows of a local table, so a recomputed task sees the same layout. All rows go through the plan itself.
 """
 
 from __future__ import annotations
@@ -22,90 +19,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Upper bound on (hot key, range) totals, the only thing broadcast by ``running``.
-MAX_PIECES = 65_536
-
-# Sampled rows behind each estimate.
-SAMPLED = 1_000
+# Sampled rows for each task's worth of rows.
+SAMPLED = 200
 
 _PIECE = "__piece"
-_SALT = "__salt"
+_HASH = "__hash"
+_CUTS = "__cuts"
 
 
 @dataclass(frozen=True)
 class Skew:
-    """When to split a key: it must outweigh ``1/parts`` of the rows and hold over ``hot_rows`` rows.
-
-    ``parts`` defaults to the session's shuffle partitions.
-    """
+    """A key with more than ``hot_rows`` rows is split into ranges of about half as many."""
 
-    parts: int | None = None
     hot_rows: int = 500_000
 
-    def resolved_parts(self, df: DataFrame) -> int:
-        parts = self.parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return max(2, min(parts, 2_000))
-
 
 DEFAULT_SKEW = Skew()
 
 
 def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+    return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("bigint")
+
 
+def hot_cuts(df: DataFrame, keys: Sequence[str], order: str, skew: Skew = DEFAULT_SKEW) -> DataFrame | None:
+    """``(__hash, __cuts)`` of every hot key: its sorted cut points on the order column. None if no key is hot.
 
-def _estimate_heavy(df: DataFrame, keys: Sequence[str], skew: Skew) -> tuple[dict[int, float], float]:
-    """About how many rows each hot key has, by key hash, and how many rows there are."""
-    parts = skew.resolved_parts(df)
+    One job over a sample. A key's cuts are as many as its rows need, and whole values, however long their common
+    beginning. Without keys the table is one sequence. A hash collision only splits one more key.
+    """
     share = min(1.0, SAMPLED / skew.hot_rows)
-    hashes = df.select(key_hash(keys).alias("h"))
-    seen = hashes.sample(share, seed=7) if share < 1 else hashes
-    row = seen.agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {parts}, {16 * parts})").alias("top")
-    ).first()
-    limit = max(row["n"] / parts, skew.hot_rows * share)
-    hot = {e["item"]: e["count"] / share for e in (row["top"] or []) if e["count"] > limit}
-    return hot, row["n"] / share
-
-
-def heavy_keys(df: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT_SKEW) -> list[int]:
-    """Hashes of the hot keys, at most ``parts`` of them. A hash collision only splits one more key."""
-    return list(_estimate_heavy(df, keys, skew)[0])
-
-
-def _axis(df: DataFrame, name: str) -> Column:
-    """The order column, or a number that never decreases when the order column grows."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        prefix = F.substring(F.col(name).cast("binary"), 1, 7)
-        return F.conv(F.rpad(F.hex(prefix), 14, "0"), 16, 10).cast("bigint")
-    if isinstance(dtype, T.BooleanType):
-        return F.col(name).cast("int")
-    return F.col(name)
-
-
-def _cut_points(df: DataFrame, axis: Column, pieces: int, rows: float) -> tuple[list[str], T.DataType]:
-    """At most ``pieces - 1`` values of the axis that split its about ``rows`` rows evenly, as text."""
-    values = df.select(axis.alias("axis"))
-    share = SAMPLED * pieces / max(rows, 1)
-    seen = values.sample(share, seed=7) if share < 1 else values
-    shares = [i / pieces for i in range(1, pieces)]
-    points = seen.agg(F.percentile_approx("axis", shares, max(10_000, 20 * pieces)).alias("points"))
-    dtype = points.schema["points"].dataType.elementType
-    row = points.select(F.transform("points", lambda p: p.cast("string")).alias("points")).first()
-    return list(dict.fromkeys(row["points"] or [])), dtype
-
-
-def _with_piece(df: DataFrame, value: Column, points: list[str], dtype: T.DataType) -> DataFrame:
-    """Add how many cut points are at or below the value; 0 for null.
+    rows = df.select(key_hash(keys).alias(_HASH), F.col(order).alias("at")).where(F.col("at").isNotNull())
+    seen = rows.sample(share, seed=7) if share < 1 else rows
+    step = max(1, int(skew.hot_rows * share) // 2)
+    counts = seen.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > skew.hot_rows * share)
+    place = F.row_number().over(Window.partitionBy(_HASH).orderBy("at"))
+    picked = seen.join(counts.select(_HASH), _HASH).withColumn("n", place).where(F.col("n") % step == 0)
+    points = picked.groupBy(_HASH).agg(F.array_sort(F.collect_set("at")).alias(_CUTS))
+    found = points.collect()
+    return df.sparkSession.createDataFrame(found, points.schema) if found else None
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], order: str, skew: Skew = DEFAULT_SKEW) -> list[int]:
+    """Hashes of the hot keys."""
+    cuts = hot_cuts(df, keys, order, skew)
+    return [] if cuts is None else [r[_HASH] for r in cuts.select(_HASH).collect()]
+
+
+def with_piece(df: DataFrame, value: Column, cuts: str, most: int) -> DataFrame:
+    """Add how many of the row's cut points (at most ``most``) are at or below the value; 0 without cuts or value.
 
     A binary search in generated code: each step is its own column, since it is used twice by the next one.
     """
     found = df.withColumn(_PIECE, F.lit(0))
-    cuts = F.array(*[F.lit(p).cast(dtype) for p in points])
-    for bit in reversed(range(len(points).bit_length())):
+    for bit in reversed(range(most.bit_length())):
         half = 1 << bit
-        reached = F.get(cuts, F.col(_PIECE) + (half - 1)) <= value
+        reached = F.get(F.col(cuts), F.col(_PIECE) + (half - 1)) <= value
         found = found.withColumn(_PIECE, F.col(_PIECE) + F.when(reached, F.lit(half)).otherwise(F.lit(0)))
     return found
 
@@ -134,35 +102,30 @@ def running(
 
     ``how`` is count, sum, min or max. Without ``inclusive`` a row sees only the rows before it. The order
     columns together must be unique per key; the first one should be close to unique, it carries the cuts.
-    With no keys the whole table is one sequence and is always cut. ``df`` is evaluated more than once;
-    checkpoint it first if it is costly or not deterministic.
+    With no keys the whole table is one sequence. Types are those of the plain window, split or not; sums of
+    doubles are rounded in an order that depends on the cuts, so use exact types where that matters.
+    ``df`` is evaluated once for the sample and twice in the plan; checkpoint it first if it is costly or not
+    deterministic.
     """
     if df.isStreaming:
         raise ValueError("a stream has no end to order by; see sluiceway.streaming.stateful")
     keys, order = list(keys), list(order)
     last = Window.currentRow if inclusive else -1
-    hot: dict[int, float] = {}
+    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    plain = df.withColumns({n: _aggregate(how, v).over(frame) for n, (how, v) in measures.items()})
+    cuts = hot_cuts(df, keys, order[0], skew)
+    if cuts is None:
+        return plain
+
+    most = cuts.agg(F.max(F.size(_CUTS))).first()[0]
     if keys:
-        hot, rows = _estimate_heavy(df, keys, skew)
-        if not hot:
-            frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
-            return df.withColumns({n: _aggregate(how, v).over(frame) for n, (how, v) in measures.items()})
-        hot_rows = sum(hot.values())
-        is_hot = key_hash(keys).isin(*hot)
+        known = df.withColumn(_HASH, key_hash(keys)).join(cuts, _HASH, "left")
     else:
-        hot_rows = rows = float(df.count())
-        is_hot = F.lit(True)
-
-    # Two ranges for every average partition that the hot rows would fill.
-    filled = skew.resolved_parts(df) * hot_rows / max(rows, 1)
-    pieces = max(2, min(int(2 * filled), MAX_PIECES // max(1, len(hot))))
-    axis = _axis(df, order[0])
-    points, dtype = _cut_points(df.filter(is_hot), axis, pieces, hot_rows)
-    cut = _with_piece(df, F.when(is_hot, axis), points, dtype)
-
+        known = df.withColumn(_CUTS, cuts.select(_CUTS).scalar())
+    cut = with_piece(known, F.col(order[0]), _CUTS, most)
     side_keys = [f"__key{i}" for i in range(len(keys))]
     totals = (
-        cut.filter(is_hot)
+        cut.filter(F.col(_CUTS).isNotNull())
         .groupBy(*[F.col(k).alias(s) for k, s in zip(keys, side_keys)], F.col(_PIECE).alias("__side_piece"))
         .agg(*[_aggregate(how, v).alias(f"__total_{n}") for n, (how, v) in measures.items()])
     )
@@ -180,10 +143,11 @@ def running(
     match = F.col(_PIECE) == F.col("__side_piece")
     for key, side in zip(keys, side_keys):
         match = match & F.col(key).eqNullSafe(F.col(side))
-    joined = local.join(F.broadcast(before), match, "left")
+    joined = local.join(before, match, "left")
+    types = {f.name: f.dataType for f in plain.schema.fields}
     return joined.select(
         *df.columns,
-        *[_add_back(how, F.col(n), F.col(f"__before_{n}")).alias(n) for n, (how, _) in measures.items()],
+        *[_add_back(how, F.col(n), F.col(f"__before_{n}")).cast(types[n]).alias(n) for n, (how, _) in measures.items()],
     )
 
 
@@ -205,25 +169,10 @@ def spread(df: DataFrame, parts: int) -> Column:
     return F.pmod(by_content + F.spark_partition_id(), F.lit(parts).cast("bigint")).cast("int")
 
 
-def lookup(
-    df: DataFrame,
-    side: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    skew: Skew = DEFAULT_SKEW,
-) -> DataFrame:
+def lookup(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``df`` to a side that has few rows per key.
 
-    Spark picks a broadcast or a shuffle by the side's size. Hot keys of ``df`` are spread over salts and
-    only their few side rows are repeated, so no task gets a whole hot key if it comes to a shuffle.
-    A stream is joined as it is: its keys cannot be counted beforehand.
+    Spark picks a broadcast or a shuffle by the side's size; where it shuffles, adaptive execution splits the
+    partition of a hot key and repeats its few side rows. Nothing runs while the plan is built.
     """
-    on = list(on)
-    hot = [] if df.isStreaming else heavy_keys(df, on, skew)
-    if not hot:
-        return df.join(side, on, how)
-    salts = skew.resolved_parts(df)
-    is_hot = key_hash(on).isin(hot)
-    salted = df.withColumn(_SALT, F.when(is_hot, spread(df, salts)).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return salted.join(side.withColumn(_SALT, F.explode(copies)), [*on, _SALT], how).drop(_SALT)
+    return df.join(side, list(on), how)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.operators.skew import DEFAULT_SKEW, Skew, positions, running
+from sluiceway.operators.skew import DEFAULT_SKEW, Skew, running
 
 
 def fixed_window(df: DataFrame, ts: str, size: str, name: str = "window") -> DataFrame:
@@ -75,12 +75,11 @@ def panes(
 
     A discarding pane covers what came since the last one, an accumulating pane everything so far.
     """
-    placed = positions(df, keys, order, "__at", skew)
-    fired = placed.groupBy(*keys, F.expr(f"__at div {int(every)}").alias("pane")).agg(
-        F.count(F.lit(1)).alias("count"), F.sum(value).alias("sum")
-    )
+    pane = F.expr(f"(__n - 1) div {int(every)}").alias("pane")
     if discarding:
-        return fired
-    so_far = {"__count": ("sum", F.col("count")), "__sum": ("sum", F.col("sum"))}
-    total = running(fired, keys, ["pane"], so_far, skew=skew)
-    return total.select(*keys, "pane", F.col("__count").alias("count"), F.col("__sum").alias("sum"))
+        placed = running(df, keys, order, {"__n": ("count", F.lit(1))}, skew=skew)
+        return placed.groupBy(*keys, pane).agg(F.count(F.lit(1)).alias("count"), F.sum(value).alias("sum"))
+    so_far = {"__n": ("count", F.lit(1)), "__sum": ("sum", F.col(value))}
+    placed = running(df, keys, order, so_far, skew=skew)
+    # What a pane's last row has seen is what it accumulates.
+    return placed.groupBy(*keys, pane).agg(F.max("__n").alias("count"), F.max_by("__sum", "__n").alias("sum"))

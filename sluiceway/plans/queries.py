@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions import render, sharding
 from sluiceway.operators import branch, elements, group, shuffle, side, state, windows
+from sluiceway.operators.skew import DEFAULT_SKEW, Skew
 from sluiceway.plans import inputs
 from sluiceway.plans.inputs import cents, dollars, joined, table
 from sluiceway.session import fresh_dir
@@ -38,9 +39,9 @@ def window_sum_grouped(spark: SparkSession, sf: str) -> DataFrame:
         _keyed_hours(spark, sf),
         ["key", "window_start"],
         "cents",
-        zero=F.lit(0).cast("bigint"),
+        create=F.lit(0).cast("bigint"),
         add=lambda acc, v: acc + v,
-        merge=F.sum,
+        merge=lambda a, b: a + b,
         name="sum_cents",
         order=["event_id"],
     )
@@ -142,7 +143,7 @@ def exploded_props(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
-    texts = shuffle.reshuffle_if_coarse(table(spark, sf, "documents").select("text"))
+    texts = table(spark, sf, "documents").select("text")
     return group.count_per_element(elements.tokenize(texts, "text"), "word")
 
 
@@ -174,7 +175,7 @@ def restamped(spark: SparkSession, sf: str) -> DataFrame:
 
 def traced(spark: SparkSession, sf: str) -> DataFrame:
     timed = windows.fixed_window(table(spark, sf, "events"), "ts", HOUR)
-    rows = elements.trace(timed, "events", F.col("event_id"), window=F.col("window"))
+    rows = elements.trace(timed, "events", F.col("event_id"), F.col("ts"), F.col("window"))
     return rows.select("event_id", "trace")
 
 
@@ -203,7 +204,7 @@ def synthetic_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def sequence_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers of a sequence as long as the largest part key that no line item uses."""
-    used = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("value"))
+    used = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("value")).distinct()
     last = table(spark, sf, "part").agg(F.max("p_partkey").alias("last")).first()["last"]
     return sources.sequence(spark, 0, last + 10).join(used, "value", "left_anti")
 
@@ -258,30 +259,31 @@ def side_singleton(spark: SparkSession, sf: str) -> DataFrame:
 def side_list(spark: SparkSession, sf: str) -> DataFrame:
     segments = table(spark, sf, "customer").select("c_mktsegment").distinct()
     rows = side.with_list(table(spark, sf, "orders").select("o_orderkey"), segments, "c_mktsegment", "segments")
-    return rows.select("o_orderkey", joined("segments").alias("segments"))
+    return rows.select("o_orderkey", "page", joined("segments").alias("segments"))
 
 
 def side_list_pages(spark: SparkSession, sf: str) -> DataFrame:
     names = table(spark, sf, "supplier").select("s_suppkey")
     brands = table(spark, sf, "part").select("p_brand").distinct()
-    rows = side.with_list_pages(brands, names, "s_suppkey", "suppliers", page_rows=20)
+    rows = side.with_list(brands, names, "s_suppkey", "suppliers", page_rows=20)
     return rows.select("p_brand", "page", joined("suppliers").alias("suppliers"))
 
 
 def side_map(spark: SparkSession, sf: str) -> DataFrame:
-    """Part names beside line items; parts of one type are not in the map, so lookups also miss."""
-    known = table(spark, sf, "part").filter(F.col("p_type") != "ECONOMY")
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return side.with_map(lines, known, "l_partkey", "p_partkey", "p_name")
+    """Labels beside documents; not every document has one, so lookups also miss."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    rows = side.with_map(docs, table(spark, sf, "labels"), "doc_id", "doc_id", "quality")
+    return rows.withColumn("quality", F.col("quality").cast("string"))
 
 
 def self_list(spark: SparkSession, sf: str) -> DataFrame:
     """Every brand beside all brands, then every brand beside all of those pairs."""
     brands = table(spark, sf, "part").select("p_brand").distinct()
     pairs = side.with_self_list(brands, "p_brand", "brands")
-    again = side.with_list(brands, pairs, F.struct("p_brand", "brands"), "pairs")
+    again = side.with_list(brands, pairs, F.struct("p_brand", "page", "brands"), "pairs")
     return again.select(
         "p_brand",
+        "page",
         F.array_join(F.transform("pairs", lambda p: p["p_brand"]), ",").alias("seen"),
         F.aggregate("pairs", F.lit(0).cast("bigint"), lambda acc, p: acc + F.size(p["brands"])).alias("entries"),
     )
@@ -366,8 +368,12 @@ def collect_until_window_end(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def map_state_fold(spark: SparkSession, sf: str) -> DataFrame:
+    return _map_state(spark, sf, DEFAULT_SKEW)
+
+
+def _map_state(spark: SparkSession, sf: str, skew: Skew) -> DataFrame:
     events = table(spark, sf, "events").select("user_id", "event_id", sharding.shard_key(F.col("event_id"), 7).alias("v"))
-    rows = state.map_state_fold(events, ["user_id"], "event_id", "v")
+    rows = state.map_state_fold(events, ["user_id"], "event_id", "v", skew=skew)
     shown = F.transform(F.map_entries("entries"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return rows.select("user_id", "event_id", "v", F.array_join(shown, ",").alias("entries"))
 
@@ -474,10 +480,10 @@ def routed_append_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insert_or_reject(spark: SparkSession, sf: str) -> DataFrame:
-    """Each order brings its customer; the customers of one market segment exist already."""
-    wanted = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
-    existing = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
-    judged = tables.insert_verdicts(wanted, existing.select(F.col("c_custkey").alias("k")), ["k"], "v")
+    """Three orders bring each key; the keys of labelled documents exist already."""
+    wanted = table(spark, sf, "orders").select(F.expr("o_orderkey div 3").alias("k"), F.col("o_orderkey").alias("v"))
+    existing = table(spark, sf, "labels").select(F.col("doc_id").alias("k"))
+    judged = tables.insert_verdicts(wanted, existing, ["k"], "v")
     return judged.select("k", "v", F.coalesce("reject_reason", F.lit("inserted")).alias("status"))
 
 
@@ -488,6 +494,38 @@ def to_cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The same with every key split: so few rows for a task that the keys of small tables are hot.
+SPLIT = Skew(hot_rows=4)
+
+
+def batches_split(spark: SparkSession, sf: str) -> DataFrame:
+    made = group.group_into_batches(table(spark, sf, "orders"), ["o_custkey"], "o_orderkey", 10, skew=SPLIT)
+    return _batch_report(made, "o_custkey")
+
+
+def global_batches_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _batch_report(group.global_batches(table(spark, sf, "orders"), "o_orderkey", 1000, skew=Skew(hot_rows=500)))
+
+
+def group_values_split(spark: SparkSession, sf: str) -> DataFrame:
+    pages = group.group_values(table(spark, sf, "orders"), ["o_custkey"], "o_orderkey", page_rows=16, skew=SPLIT)
+    return pages.select("o_custkey", "page", joined("values").alias("order_keys"))
+
+
+def map_state_fold_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _map_state(spark, sf, SPLIT)
+
+
+def backlog_split(spark: SparkSession, sf: str) -> DataFrame:
+    rows = state.backlog(table(spark, sf, "events"), ["user_id"], "ts", DAY, ["event_id"], skew=Skew(hot_rows=2))
+    return rows.select("user_id", "event_id", "window_start", "backlog")
+
+
+def panes_accumulating_split(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").withColumn("cents", cents("value"))
+    return windows.panes(events, ["user_id"], ["event_id"], 5, "cents", discarding=False, skew=SPLIT)
+
+
 BATCH_QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -504,5 +542,6 @@ BATCH_QUERIES = {
         multimap_entries, multimap_at_expiry, growing_output,
         dynamic_write, json_lines, row_json, sharded_text, compressed_text, compressed_table,
         validated_append, routed_append, routed_append_defaults, insert_or_reject, to_cells,
+        batches_split, global_batches_split, group_values_split, map_state_fold_split, backlog_split, panes_accumulating_split,
     )
 }

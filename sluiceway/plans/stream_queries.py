@@ -17,8 +17,6 @@ from sluiceway.streaming import panes, replay
 
 HOUR = "1 hour"
 LATENESS = "2 hours"
-# Input of one micro-batch where the order of arrival does not matter.
-PER_TRIGGER = 1 << 40
 
 
 def _hours(events: DataFrame) -> DataFrame:
@@ -65,7 +63,7 @@ def _late_chunks(spark: SparkSession, sf: str) -> list[DataFrame]:
 def stream_window_complete(spark: SparkSession, sf: str) -> DataFrame:
     session, out = stream_session(spark), fresh_dir(spark, "out")
     replay.run_table(
-        session, f"{sf}/events.parquet", lambda s, cp: panes.stream_snapshot(_hourly(s), out, cp), PER_TRIGGER
+        session, f"{sf}/events.parquet", lambda s, cp: panes.stream_snapshot(_hourly(s), out, cp)
     )
     return _report(panes.newest(spark.read.parquet(out)))
 
@@ -73,7 +71,7 @@ def stream_window_complete(spark: SparkSession, sf: str) -> DataFrame:
 def stream_window_append(spark: SparkSession, sf: str) -> DataFrame:
     session, out = stream_session(spark), fresh_dir(spark, "out")
     replay.run_table(
-        session, f"{sf}/events.parquet", lambda s, cp: panes.stream_append(_hourly(s), out, cp, every=None)
+        session, f"{sf}/events.parquet", lambda s, cp: panes.stream_append(_hourly(s), out, cp, every=None), drain="ts"
     )
     return _report(spark.read.parquet(out))
 
@@ -87,14 +85,14 @@ def stream_rolled_windows(spark: SparkSession, sf: str) -> DataFrame:
         return panes.stream_append(panes.window_start(rolled), out, checkpoint, every=None)
 
     arrivals, _ = _thirds(session, sf)
-    replay.replay(session, _chunks(arrivals), job)
+    replay.replay(session, _chunks(arrivals), job, drain="ts")
     return _report(spark.read.parquet(out))
 
 
 def stream_late_dropped(spark: SparkSession, sf: str) -> DataFrame:
     session, out = stream_session(spark), fresh_dir(spark, "out")
     replay.replay(
-        session, _late_chunks(session, sf), lambda s, cp: panes.stream_append(_hourly(s), out, cp, every=None)
+        session, _late_chunks(session, sf), lambda s, cp: panes.stream_append(_hourly(s), out, cp, every=None), drain="ts"
     )
     return _report(spark.read.parquet(out))
 
@@ -143,7 +141,7 @@ def stream_static_side(spark: SparkSession, sf: str) -> DataFrame:
         both = branch.branch_union(values, inputs.prefixed("Left-"), inputs.prefixed("Right-"))
         return panes.stream_append(side.with_singleton(both, newest, "side"), out, checkpoint, every=None)
 
-    replay.run_table(session, f"{sf}/events.parquet", job, PER_TRIGGER)
+    replay.run_table(session, f"{sf}/events.parquet", job)
     return spark.read.parquet(out)
 
 

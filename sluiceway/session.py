@@ -43,17 +43,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/sluiceway/{label}-{uuid.uuid4().hex}"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for streaming jobs: UTC event times, state kept off heap in RocksDB.
 
     A sibling keeps these settings away from the caller's own queries. A checkpoint fixes the number of state
-    partitions for good; they follow the shuffle partitions, but no more than two per core.
+    partitions for good, so plan for the cores that will come; it is the session's number of shuffle partitions if
+    none is given.
     """
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
     sibling = spark.newSession()
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
-    sibling.conf.set("spark.sql.shuffle.partitions", str(min(wanted, 2 * cores)))
+    sibling.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.conf.get("spark.sql.shuffle.partitions")))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     sibling.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return sibling

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.operators.skew import DEFAULT_SKEW, Skew, lookup
+from sluiceway.operators.skew import lookup
+from sluiceway.session import fresh_dir
 
 REASON = "reject_reason"
 
@@ -19,12 +20,25 @@ class TargetMissing(ValueError):
     """The table to append to does not exist."""
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a Parquet table."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as failure:
+        if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 def append_existing(df: DataFrame, path: str) -> None:
     """Append to a Parquet table that must exist and have the same columns and types."""
     try:
         target = df.sparkSession.read.parquet(path).schema
-    except AnalysisException as missing:
-        raise TargetMissing(path) from missing
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise TargetMissing(path) from failure
     want = {f.name: f.dataType for f in target.fields}
     have = {f.name: f.dataType for f in df.schema.fields}
     if want != have:
@@ -46,9 +60,20 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, checked.filter(F.col(REASON).isNotNull())
 
 
+def _judged_once(checked: DataFrame) -> DataFrame:
+    """The rows with their verdicts, written once: whatever fails in reading or judging fails before anything is
+    published, and both halves are then copied from here."""
+    staged = fresh_dir(checked.sparkSession, "judged")
+    checked.write.parquet(staged)
+    return checked.sparkSession.read.schema(checked.schema).parquet(staged)
+
+
 def append_validated(df: DataFrame, rules: Mapping[str, Column], path: str, rejects: str) -> None:
     """Append good rows to an existing table and the others, with the reason, to a dead-letter table."""
-    good, rejected = split_valid(validate(df, rules))
+    checked = validate(df, rules)
+    if not exists(df.sparkSession, path):
+        raise TargetMissing(path)
+    good, rejected = split_valid(_judged_once(checked))
     append_existing(good, path)
     rejected.write.mode("append").parquet(rejects)
 
@@ -93,13 +118,13 @@ def route_append(
     df: DataFrame, path: str, rejects: str, dest: str, value: str, routes: Mapping[str, Route], missing: str = "unspecified"
 ) -> None:
     """Append each accepted row under its destination's folder, rejected rows to a dead-letter table."""
-    good, rejected = split_valid(route(df, dest, value, routes, missing))
+    good, rejected = split_valid(_judged_once(route(df, dest, value, routes, missing)))
     good.write.mode("append").partitionBy(dest).parquet(path)
     rejected.write.mode("append").parquet(rejects)
 
 
 def insert_verdicts(
-    df: DataFrame, target: DataFrame, keys: Sequence[str], order: str, skew: Skew = DEFAULT_SKEW
+    df: DataFrame, target: DataFrame, keys: Sequence[str], order: str
 ) -> DataFrame:
     """Insert-only check: add ``reject_reason``, null for rows that may be inserted.
 
@@ -109,7 +134,7 @@ def insert_verdicts(
     existing = target.select(*keys).distinct().withColumn("__exists", F.lit(True))
     first = df.groupBy(*keys).agg(F.min(order).alias("__first")).join(existing, list(keys), "left")
     null_key = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-    judged = lookup(df, first, keys, "left", skew)
+    judged = lookup(df, first, keys, "left")
     return validate(
         judged,
         {
@@ -121,10 +146,10 @@ def insert_verdicts(
 
 
 def insert_or_reject(
-    df: DataFrame, target: DataFrame, keys: Sequence[str], order: str, skew: Skew = DEFAULT_SKEW
+    df: DataFrame, target: DataFrame, keys: Sequence[str], order: str
 ) -> tuple[DataFrame, DataFrame]:
     """Rows to insert, and error rows with the reason. Existing rows are never overwritten."""
-    return split_valid(insert_verdicts(df, target, keys, order, skew))
+    return split_valid(insert_verdicts(df, target, keys, order))
 
 
 def jdbc_append(

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 MESSAGE_SCHEMA = "message_id string, payload binary, attributes map<string,string>, publish_ts timestamp"
 
 
+#: Numbers that one row of the first level of ``fan_out`` stands for.
+FAN_OUT_BLOCK = 4_096
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[Any], schema: str) -> DataFrame:
     """A handful of rows written in the program; an explicit schema also covers the empty case."""
     return spark.createDataFrame(rows, schema)
@@ -26,7 +30,10 @@ def sequence(spark: SparkSession, start: int, end: int, partitions: int | None =
 def fan_out(df: DataFrame, seed: str, per_row: int, payload_bytes: int = 0) -> DataFrame:
     """Each seed i gives the numbers ``[i*per_row, (i+1)*per_row)``, if asked with a payload of fixed size."""
     first = F.col(seed).cast("bigint") * per_row
-    rows = df.select(seed, F.explode(F.sequence(first, first + (per_row - 1))).alias("value"))
+    blocks = df.select(seed, F.explode(F.sequence(first, first + (per_row - 1), F.lit(FAN_OUT_BLOCK).cast("bigint"))).alias("low"))
+    # Two levels with a redistribution between: one seed's numbers are neither one array nor one task's work.
+    high = F.least(F.col("low") + (FAN_OUT_BLOCK - 1), first + (per_row - 1))
+    rows = blocks.hint("rebalance").select(seed, F.explode(F.sequence(F.col("low"), high)).alias("value"))
     return rows.withColumn("payload", F.repeat(F.lit("\0"), payload_bytes).cast("binary")) if payload_bytes else rows
 
 

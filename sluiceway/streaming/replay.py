@@ -5,22 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.session import fresh_dir
 from sluiceway.sources.stream import table_stream
 
 
+# Later than any event: the time at which a bounded stream has ended.
+END_OF_TIME = "9000-01-01 00:00:00"
+
+
+def end_row(session: SparkSession, schema, ts: str) -> DataFrame:
+    """A row that only says that time has come to its end; everything else in it is null."""
+    return session.range(1).select(
+        *[(F.lit(END_OF_TIME) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def replay(
     session: SparkSession,
     chunks: Sequence[DataFrame],
     start: Callable[[DataFrame, str], StreamingQuery],
+    drain: str | None = None,
 ) -> None:
     """Land one chunk after the other in a folder and run the streaming job over each until it has caught up.
 
     ``start`` takes the stream and a checkpoint folder. The job is restarted from its checkpoint for every
-    chunk, so the watermark a chunk meets is settled by all chunks before it.
+    chunk, so the watermark a chunk meets is settled by all chunks before it. With ``drain``, the name of the event
+    time, the end of the input moves the watermark to the end of time, so that the last windows close too. The row
+    that does it lies in a window that never closes: in append mode with windows it does not come out.
     """
+    if drain:
+        chunks = [*chunks, end_row(session, chunks[0].schema, drain)]
     landing = fresh_dir(session, "landing")
     checkpoint = fresh_dir(session, "checkpoint")
     for chunk in chunks:
@@ -33,8 +50,21 @@ def run_table(
     path: str,
     start: Callable[[DataFrame, str], StreamingQuery],
     bytes_per_trigger: int | None = None,
+    drain: str | None = None,
 ) -> None:
-    """Run the streaming job straight over a stored table, without a copy."""
+    """Run the streaming job straight over a stored table, without a copy.
+
+    With ``drain`` the job is started again over the end of the input, see ``replay``.
+    """
     schema = session.read.parquet(path).schema
+    checkpoint = fresh_dir(session, "checkpoint")
     rows = table_stream(session, path, schema, bytes_per_trigger=bytes_per_trigger)
-    start(rows, fresh_dir(session, "checkpoint")).awaitTermination()
+    if not drain:
+        start(rows, checkpoint).awaitTermination()
+        return
+    ends = fresh_dir(session, "end")
+    end_row(session, schema, drain).where("false").write.parquet(ends)
+    both = rows.unionByName(table_stream(session, ends, schema))
+    start(both, checkpoint).awaitTermination()
+    end_row(session, schema, drain).write.mode("append").parquet(ends)
+    start(both, checkpoint).awaitTermination()

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import queries
+from sluiceway.operators.skew import Skew
+from sluiceway.operators import skew
+from sluiceway.plans.queries import BATCH_QUERIES
+from sluiceway.plans.stream_queries import STREAM_QUERIES
+from sluiceway.plans.inputs import table
+
+
+def queries():
+    return {**BATCH_QUERIES, **STREAM_QUERIES}
 
 
 @pytest.fixture
@@ -50,6 +58,25 @@ def test_filters_and_columns_reach_the_scan(plan):
 
 
 def test_window_over_everything_never_lands_in_one_task(plan):
-    text = plan("global_batches")
-    big = text.split("BroadcastExchange")[0]
-    assert "SinglePartition" not in big
+    text = plan("global_batches_split")
+    assert "Window" in text.split("SinglePartition")[0]
+    assert text.count("SinglePartition") <= 1  # of the few totals of ranges
+
+
+@pytest.mark.parametrize("name", ["batches_split", "group_values_split", "map_state_fold_split", "backlog_split", "panes_accumulating_split"])
+def test_split_queries_scan_ranges(plan, name):
+    assert "__piece" in plan(name)
+
+
+def test_jobs_while_a_plan_is_built(spark, sf):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(build) -> int:
+        spark.sparkContext.setJobGroup("built", "built")
+        before = len(tracker.getJobIdsForGroup("built"))
+        build()
+        spark.sparkContext.setJobGroup("other", "other")
+        return len(tracker.getJobIdsForGroup("built")) - before
+
+    events = table(spark, sf, "events")
+    assert jobs(lambda: skew.lookup(events, events.select("user_id").distinct(), ["user_id"])) == 0

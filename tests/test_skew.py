@@ -6,14 +6,13 @@ from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluiceway.operators import group, side, skew, state, windows
 from sluiceway.operators.skew import Skew
 from sluiceway.plans.inputs import table
 from sluiceway.sinks import tables
 
-EAGER = Skew(parts=8, hot_rows=50)
+EAGER = Skew(hot_rows=50)
 
 
 @pytest.fixture(scope="module")
@@ -26,33 +25,48 @@ def hot(spark, sf):
 
 
 def test_hot_keys_are_found(hot):
-    found = skew.heavy_keys(hot, ["k"], EAGER)
+    found = skew.heavy_keys(hot, ["k"], "event_id", EAGER)
     want = {hot.filter(c).select(skew.key_hash(["k"])).first()[0] for c in ("k is null", "k = 1")}
     assert set(found) == want
-    assert skew.heavy_keys(hot, ["k"], Skew(parts=8)) == []
+    assert skew.heavy_keys(hot, ["k"], "event_id") == []
 
 
-def test_no_task_gets_a_whole_hot_key(hot):
-    axis = skew._axis(hot, "event_id")
-    points, dtype = skew._cut_points(hot, axis, 16, hot.count())
-    sizes = skew._with_piece(hot, axis, points, dtype).groupBy("k", "__piece").count().agg(F.max("count")).first()[0]
-    assert len(points) == 15
-    assert sizes <= hot.count() / 16 + 5
+@pytest.mark.parametrize("order", ["event_id", "ts", "name", "long_name"])
+def test_no_task_gets_a_whole_hot_key(hot, order):
+    """Names with a long common beginning are cut as well as numbers."""
+    named = hot.withColumn("long_name", F.format_string("Customer#000000000%07d", F.col("event_id")))
+    cuts = skew.hot_cuts(named, ["k"], order, EAGER)
+    known = named.withColumn("__hash", skew.key_hash(["k"])).join(cuts, "__hash")
+    sizes = skew.with_piece(known, F.col(order), "__cuts", 64).groupBy("k", "__piece").count().agg(F.max("count")).first()[0]
+    assert sizes <= EAGER.hot_rows
+
+
+def test_a_key_has_as_many_cuts_as_its_rows_need(spark):
+    rows = spark.range(0, 200_000, 1, 8).select("id", F.lit(1).alias("k"))
+    cuts = skew.hot_cuts(rows, ["k"], "id", Skew(hot_rows=40)).first()
+    assert len(cuts["__cuts"]) == 10_000
+
+
+def test_sums_have_one_type(hot):
+    amount = F.col("v").cast("decimal(12,2)")
+    kinds = [skew.running(hot, ["k"], ["event_id"], {"s": ("sum", amount)}, skew=s).schema["s"].dataType for s in (EAGER, skew.DEFAULT_SKEW)]
+    assert kinds[0] == kinds[1]
 
 
 @pytest.mark.parametrize("cuts", [0, 1, 2, 3, 7, 8, 100])
 def test_pieces_count_the_cuts_at_or_below(spark, cuts):
-    points = [str(10 * i) for i in range(1, cuts + 1)]
+    points = [10 * i for i in range(1, cuts + 1)]
     rows = spark.range(-5, 1100).union(spark.createDataFrame([(None,)], "id bigint"))
-    got = skew._with_piece(rows, F.col("id"), points, T.LongType()).collect()
+    rows = rows.withColumn("cuts", F.lit(points).cast("array<bigint>"))
+    got = skew.with_piece(rows, F.col("id"), "cuts", cuts).collect()
     assert all(r["__piece"] == (0 if r["id"] is None else max(0, min(cuts, r["id"] // 10))) for r in got)
 
 
 def test_sampled_estimates(spark):
     rows = spark.range(0, 400_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    sampled = Skew(parts=8, hot_rows=40_000)
-    found, total = skew._estimate_heavy(rows, ["k"], sampled)
-    assert len(found) == 1 and abs(total / 400_000 - 1) < 0.1 and abs(sum(found.values()) / 133_334 - 1) < 0.15
+    sampled = Skew(hot_rows=40_000)
+    cuts = skew.hot_cuts(rows, ["k"], "id", sampled).collect()
+    assert len(cuts) == 1 and 5 <= len(cuts[0]["__cuts"]) <= 8
     placed = skew.positions(rows, ["k"], ["id"], skew=sampled)
     wrong = placed.filter("position != if(k = 0, id div 3, 0)").count()
     assert wrong == 0 and placed.count() == 400_000
@@ -141,7 +155,7 @@ def test_untracked_put_is_an_error(hot):
 
 def test_salted_lookup_equals_plain_join(spark, hot):
     names = spark.range(0, 2000).select(F.col("id").alias("key"), F.concat(F.lit("v"), "id").alias("name2")).filter("key % 2 = 1")
-    got = side.with_map(hot, names, "k", "key", "name2", skew=EAGER)
+    got = side.with_map(hot, names, "k", "key", "name2")
     want = hot.join(names.withColumnRenamed("key", "k"), "k", "left")
     cols = ["event_id", "k", "name2"]
     assert sorted(map(repr, got.select(cols).collect())) == sorted(map(repr, want.select(cols).collect()))
@@ -149,7 +163,7 @@ def test_salted_lookup_equals_plain_join(spark, hot):
 
 def test_insert_verdicts_with_a_hot_key(spark, hot):
     target = spark.createDataFrame([(1,), (12,)], "k bigint")
-    good, bad = tables.insert_or_reject(hot, target, ["k"], "event_id", EAGER)
+    good, bad = tables.insert_or_reject(hot, target, ["k"], "event_id")
     keys = {r["k"] for r in hot.select("k").distinct().collect()} - {None, 1, 12}
     assert sorted(r["k"] for r in good.collect()) == sorted(keys)
     assert good.count() + bad.count() == hot.count()
@@ -160,8 +174,21 @@ def test_insert_verdicts_with_a_hot_key(spark, hot):
 def test_combines_agree(hot):
     lifted = group.combine_per_key(hot, ["k"], {"s": F.sum("v")})
     folded = group.combine_grouped(
-        hot, ["k"], "v", F.lit(0).cast("bigint"), lambda a, v: a + v, F.sum, "s", ["event_id"], page_rows=10, skew=EAGER
+        hot, ["k"], "v", F.lit(0).cast("bigint"), lambda a, v: a + v, lambda a, b: a + b, "s", order=["event_id"], page_rows=10, skew=EAGER
     )
     salted = group.salted_agg(hot, ["k"], {"p": F.sum("v")}, {"s": F.sum("p")}, ["event_id"], 4)
     rows = [sorted(map(repr, d.collect())) for d in (lifted, folded, salted)]
     assert rows[0] == rows[1] == rows[2]
+
+
+@pytest.mark.parametrize("page_rows", [7, 100, 100_000])
+def test_a_fold_does_not_depend_on_its_pages(spark, page_rows):
+    """The mean by sum and count, and an accumulator that is not neutral."""
+    rows = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    zero = F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("n"))
+    add = lambda a, v: F.struct((a["s"] + v).alias("s"), (a["n"] + 1).alias("n"))
+    merge = lambda a, b: F.struct((a["s"] + b["s"]).alias("s"), (a["n"] + b["n"]).alias("n"))
+    mean = group.combine_grouped(rows, ["k"], "v", zero, add, merge, "m", lambda a: a["s"] / a["n"], page_rows=page_rows)
+    assert mean.collect() == [(1, 499.5)]
+    with pytest.raises(ValueError, match="neutral"):
+        group.combine_grouped(rows, ["k"], "v", F.lit(5).cast("bigint"), lambda a, v: a + v, lambda a, b: a + b, "s", page_rows=page_rows)
