@@ -21,8 +21,9 @@ LENGTH = 400
 GRAM = 16
 #: Bytes of one index; a shard takes whole groups of contexts up to it.
 SHARD_BYTES = 1 << 20
-#: Contexts of one anchor that share an index; with more, their windows are counted one by one.
-GROUP_LIMIT = 2_048
+#: Contexts of one anchor that share an index; more are cut into blocks of windows.
+GROUP_LIMIT = 1_024
+BLOCK = 16
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 _MARK = "array<struct<anchor:long,ctx:long,spans:array<int>>>"
 
@@ -39,14 +40,14 @@ def _grams(data: np.ndarray) -> np.ndarray:
 def windows(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """All windows of ``length`` bytes, in runs that share their anchor: the first least 16-byte hash in the window.
 
-    Text, first and last start of each run, and the anchor's hash. Equal windows have equal anchors.
+    Text, first and last start of each run, the anchor's hash and its place. Equal windows have equal anchors.
     """
     span = length - GRAM + 1
     grams = _grams(data)
     n = len(grams) - span + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none
     bits = np.uint64(int(len(grams)).bit_length())
     low = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
     width = 1
@@ -62,20 +63,20 @@ def windows(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tupl
     np.add.at(whole, stop, -1)
     starts = np.flatnonzero(np.cumsum(whole[:-1]) > 0)
     if not len(starts):
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none
     at = anchor[starts]
     new = np.ones(len(starts), bool)
     new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
     heads = np.flatnonzero(new)
     first, last = starts[heads], starts[np.append(heads[1:], len(starts)) - 1]
-    return np.searchsorted(offsets, first, "right") - 1, first, last, grams[at[heads]]
+    return np.searchsorted(offsets, first, "right") - 1, first, last, grams[at[heads]], at[heads]
 
 
 def _runs(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, list[tuple[int, int, int, int]]]]:
     """Per text: its bytes, and its runs as (anchor, context hash, first start, number of starts)."""
     for lo, hi in slices(column):
         data, offsets = utf8(column.slice(lo, hi - lo))
-        text, first, last, anchors = windows(data, offsets, length)
+        text, first, last, anchors, _ = windows(data, offsets, length)
         view, digest = memoryview(np.ascontiguousarray(data)), xxhash.xxh3_64_intdigest
         hashes = np.fromiter((digest(view[a : b + length]) for a, b in zip(first.tolist(), last.tolist())), np.uint64, len(first)).view(np.int64).tolist()
         anchors = anchors.view(np.int64).tolist()
@@ -133,7 +134,7 @@ def _spans(marked: np.ndarray) -> list[int]:
 
 def shard_marks(contexts: list[bytes], weights: list[int], length: int) -> list[list[int]]:
     """Per context the spans of window starts whose window occurs again, in the shard or by the context's own weight."""
-    index, begin = rindex.build(contexts)
+    index, begin = rindex.build(contexts, length)
     reach = index.matching_statistics()
     out = []
     for at, data, weight in zip(begin.tolist(), contexts, weights):
@@ -165,20 +166,73 @@ def _index(length: int, shard_bytes: int):
     return run
 
 
-def _each_window(length: int):
-    schema = pa.schema([(n, pa.int64()) for n in ("anchor", "ctx", "at", "high", "low", "weight")])
+def _blocks(length: int):
+    """Contexts to blocks of up to ``BLOCK`` window starts, cut at fixed distances from the anchor. All windows of a
+    block contain its probe, so equal windows have equal probes."""
+    schema = pa.schema([(n, pa.int64()) for n in ("anchor", "ctx", "at", "n", "probe", "block", "weight")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = []
             for anchor, ctx, weight, data in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(data) - length + 1
-                keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[i : i + length]) for i in range(n)), "<i8").reshape(-1, 2)
-                same = [np.full(n, x, np.int64) for x in (anchor, ctx)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*same, np.arange(n), keys[:, 0].copy(), keys[:, 1].copy(), np.full(n, weight, np.int64))], schema=schema)
+                flat = np.frombuffer(data, np.uint8)
+                place = int(windows(flat, np.array([0, len(flat)]), length)[4][0])
+                starts = len(data) - length + 1
+                at = 0
+                while at < starts:
+                    n = min(starts - at, BLOCK - (at - place) % BLOCK)
+                    # The probe of a whole block: one that is cut off at an end of the context has the same.
+                    last = at + BLOCK - 1 - (at - place) % BLOCK
+                    probe = data[last : last - BLOCK + 1 + length]
+                    out.append((anchor, ctx, at, n, _hash64(probe), _hash64(data[at : at + n - 1 + length]), weight))
+                    at += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 7, schema=schema)
 
     return run
 
 
+def _hash64(data: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(data) - (1 << 63)
+
+
+def _windows_of_blocks(length: int):
+    schema = pa.schema([(n, pa.int64()) for n in ("probe", "block", "off", "said", "weight")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for data, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+                for w in wanted:
+                    out += [(w["probe"], w["block"], i, _hash64(data[w["at"] + i : w["at"] + i + length]), w["weight"]) for i in range(w["n"])]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 5, schema=schema)
+
+    return run
+
+
+def crowded_marks(contexts: DataFrame, length: int) -> DataFrame:
+    """``(anchor, ctx, spans)`` for anchors with too many contexts for one index: ``contexts`` has their bytes.
+
+    The same idea once more, on blocks: a probe that one block has alone has no partner, equal blocks are repeats as
+    they are, and only of different blocks with one probe each window is counted by its hash.
+    """
+    blocks = saved(contexts.mapInArrow(_blocks(length), "anchor long, ctx long, at long, n long, probe long, block long, weight long"), "blocks")
+    rep = F.min(F.struct("anchor", "ctx", "at", "n")).alias("rep")
+    kinds = saved(blocks.groupBy("probe", "block").agg(F.sum("weight").alias("weight"), rep), "kinds")
+    sizes = saved(kinds.groupBy("probe").agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds"), "probes")
+    asked = kinds.join(sizes, "probe").select("probe", "block", "weight", "rep.*")
+    asked = asked.groupBy("anchor", "ctx").agg(F.collect_list(F.struct("probe", "block", "weight", "at", "n")).alias("wanted"))
+    each = contexts.join(asked, ["anchor", "ctx"]).select("bytes", "wanted")
+    each = saved(each.mapInArrow(_windows_of_blocks(length), "probe long, block long, off long, said long, weight long"), "windows")
+    again = saved(each.groupBy("said").agg(F.sum("weight").alias("w")).where("w > 1").drop("w"), "again")
+    found = each.join(again, "said").groupBy("probe", "block").agg(F.collect_set("off").alias("off"))
+    whole = kinds.where("weight > 1").select("probe", "block", F.lit(True).alias("whole"))
+    marks = saved(whole.join(found, ["probe", "block"], "full"), "block marks")
+    starts = F.when(F.col("whole"), F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).otherwise(F.col("off"))
+    rows = blocks.join(marks, ["probe", "block"]).select("anchor", "ctx", F.transform(starts, lambda s: (s + F.col("at")).cast("int")).alias("starts"))
+    pairs = F.flatten(F.transform(F.array_sort(F.flatten(F.collect_list("starts"))), lambda s: F.array(s, s)))
+    return rows.groupBy("anchor", "ctx").agg(pairs.alias("spans"))
+
+
 def _removed(length: int):
     def each(texts: pa.Array, marks: pa.Array) -> pa.Array:
         out = [None] * len(texts)
@@ -222,7 +276,7 @@ def remove_repeats(
     Method: windows with one anchor form a run, whose bytes are its context. Contexts whose anchor is unique have no
     partner; equal contexts are counted before they are shuffled. Where an anchor has several contexts, each distinct
     one goes once, with its count, to a shard with a run-length index, whose matching statistics mark the windows.
-    An anchor with over ``group_limit`` contexts does not fit a shard: of those every window is counted by its hash.
+    An anchor with over ``group_limit`` contexts does not fit a shard: see ``crowded_marks``.
     Null and short texts lose nothing; repeated rows are each other's repeats; null ids are kept; other columns are
     not read; an empty table gives no rows.
     """
@@ -235,18 +289,13 @@ def remove_repeats(
     seen = saved(signatures.join(shared, "anchor"), "candidates")
     kinds = seen.where("not one").groupBy("anchor", "ctx").agg(F.sum("n").alias("weight"), F.min("row").alias("row"))
     kinds = saved(kinds, "contexts")
-    sizes = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    sizes = saved(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "sizes")
     asked = kinds.join(sizes, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "ctx", "weight", "kinds")).alias("wanted"))
     contexts = rows.join(asked, "row").select("text", "wanted").mapInArrow(_contexts(length), "anchor long, ctx long, weight long, kinds long, bytes binary")
     contexts = saved(contexts, "bytes")
     fits = contexts.where(F.col("kinds") <= group_limit).select("anchor", "ctx", "weight", "bytes")
     indexed = fits.repartition("anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(_index(length, shard_bytes), "anchor long, ctx long, spans array<int>")
-    each = contexts.where(F.col("kinds") > group_limit).select("anchor", "ctx", "weight", "bytes")
-    each = each.mapInArrow(_each_window(length), "anchor long, ctx long, at long, high long, low long, weight long")
-    again = each.groupBy("high", "low").agg(F.sum("weight").alias("w")).where("w > 1").drop("w")
-    counted = each.join(again, ["high", "low"]).groupBy("anchor", "ctx").agg(
-        F.flatten(F.array_sort(F.collect_set(F.array(F.col("at").cast("int"), F.col("at").cast("int"))))).alias("spans")
-    )
+    counted = crowded_marks(contexts.where(F.col("kinds") > group_limit).select("anchor", "ctx", "weight", "bytes"), length)
     marks = saved(indexed.unionByName(counted), "marks")
     whole = seen.where("one").select("row", "anchor", "ctx", F.array().cast("array<int>").alias("spans"))
     partly = seen.where("not one").join(marks, ["anchor", "ctx"]).select("row", "anchor", "ctx", "spans")

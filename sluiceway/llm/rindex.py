@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-_CHARS = 7  # of nine bits in a first sort key
+_BYTES = 8  # of a first sort key, and of the zeros after each string
 
 
 @dataclass
@@ -37,82 +37,72 @@ class RunIndex:
         return out
 
 
-def build(strings: list[bytes]) -> tuple[RunIndex, np.ndarray]:
-    """The index, and where each string begins. Strings end in a mark that equals nothing, so no match crosses them."""
-    lengths = np.array([len(s) for s in strings], np.int64)
-    begin = np.cumsum(lengths + 1) - lengths - 1
-    size = int(lengths.sum() + len(strings))
-    text = np.zeros(size + _CHARS, np.int64)
-    text[:size] = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-    text[:size] += 1
-    text[begin + lengths] = 0
-    left = np.repeat(begin + lengths, lengths + 1) - np.arange(size)  # bytes up to the end of the string
+def build(strings: list[bytes], least: int = 0) -> tuple[RunIndex, np.ndarray]:
+    """The index, and where each string begins. No match goes beyond a string's end.
 
-    key = np.zeros(size, np.int64)
-    open_ = np.ones(size, bool)  # no end mark so far
-    for j in range(_CHARS):
-        c = text[j : j + size] * open_
-        key = (key << 9) | c
-        open_ &= c > 0
-    order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    rank = _ranks(order, ranked[1:] != ranked[:-1])
-    levels, step, longest = [(_CHARS, rank)], _CHARS, int(lengths.max(initial=0))
+    Samples that match less than ``least`` bytes may be left out, which leaves longer statistics as they are.
+    """
+    lengths = np.array([len(s) for s in strings], np.int64)
+    begin = np.cumsum(lengths + _BYTES) - lengths - _BYTES
+    gap = bytes(_BYTES)
+    raw = gap.join(strings) + gap * 2
+    size = int(lengths.sum() + _BYTES * len(strings))
+    text = np.frombuffer(raw, np.uint8)
+    left = np.maximum(np.repeat(begin + lengths, lengths + _BYTES) - np.arange(size), 0)  # bytes up to the string's end
+    places = np.flatnonzero(left)
+    key = np.ndarray((size,), ">u8", raw, strides=(1,))[places].astype(np.uint64)
+    by_key = np.argsort(key)  # the order of equal suffixes does not matter
+    order, key = places[by_key], key[by_key]
+    new = np.ones(len(order), bool)  # whether a suffix differs from the one before it, as far as it is sorted
+    new[1:] = key[1:] != key[:-1]
+    rank = np.zeros(size, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    levels, step, longest = [(_BYTES, rank)], _BYTES, int(lengths.max(initial=0))
+    parts = 3 if size + 2 < 1 << 21 else 2  # ranks that one sort key holds
     while step < longest:
-        step *= 2
-        half = step // 2
+        known, step = step, step * parts
         # Only suffixes that still share their rank are sorted again.
-        group = rank[order]
-        tied = np.zeros(size, bool)
-        same = group[1:] == group[:-1]
-        tied[1:] |= same
-        tied[:-1] |= same
-        some = order[tied]
-        if not len(some):
-            break
-        ahead = np.where(left[some] >= half, rank[np.minimum(some + half, size - 1)] + 1, 0)
-        second = rank[some] * (size + 2) + ahead
-        inner = np.argsort(second, kind="stable")
-        order[tied] = some[inner]
-        new = np.ones(size - 1, bool) if size > 1 else np.zeros(0, bool)
-        new[same] = False
+        tied = ~new
+        tied[:-1] |= ~new[1:]
         at = np.flatnonzero(tied)
-        moved = second[inner]
-        differ = np.flatnonzero(moved[1:] != moved[:-1])
-        new[at[differ + 1] - 1] = True
-        rank = _ranks(order, new)
+        if not len(at):
+            break
+        some = order[at]
+        room = left[some]
+        second = rank[some].astype(np.int64)
+        for part in range(1, parts):
+            ahead = np.minimum(some + part * known, size - 1)
+            second = second * (size + 2) + np.where(room > part * known, rank[ahead] + 1, 0)
+        inner = np.argsort(second)
+        order[at], second = some[inner], second[inner]
+        new[at[1:]] |= second[1:] != second[:-1]
+        rank = rank.copy()
+        rank[order[at]] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))[at]
         levels.append((step, rank))
 
-    before = text[order - 1]
-    before[order == 0] = 0
-    edge = np.ones(size, bool)
+    before = text[order - 1]  # of the first byte of all, the zeros at the end
+    edge = np.ones(len(order), bool)
     edge[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
     heads = np.flatnonzero(edge)
-    inner = heads[heads > 0]
-
-    def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """How far the suffixes agree, from equal ranks of ever shorter prefixes."""
-        x, y, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
-        for length, of in reversed(levels):
-            while True:  # once for all but the longest
-                same = (of[np.minimum(x, size - 1)] == of[np.minimum(y, size - 1)]) & (x < size) & (y < size) & (out < np.minimum(left[a], left[b]))
-                out += length * same
-                x, y = x + length * same, y + length * same
-                if length != levels[-1][0] or not same.any():
-                    break
-        rest = np.minimum(left[a], left[b])
-        for _ in range(_CHARS):  # bytes below the shortest prefix
-            same = (out < rest) & (text[np.minimum(x, size)] == text[np.minimum(y, size)])
-            out += same
-            x, y = x + same, y + same
-        return np.minimum(out, rest)
-
-    first, last = order[inner], order[inner - 1]
-    match = common(first, last)
+    heads = heads[heads > 0]
+    first, last = order[heads], order[heads - 1]
+    for length, of in levels:
+        if length <= least:
+            same = of[first] == of[last]
+            first, last = first[same], last[same]
+
+    rest = np.minimum(left[first], left[last])
+    x, y, match = first.copy(), last.copy(), np.zeros(len(first), np.int64)
+    for length, of in reversed(levels):  # how far they agree, from equal ranks of ever shorter prefixes
+        while True:
+            same = (match < rest) & (of[np.minimum(x, size - 1)] == of[np.minimum(y, size - 1)])
+            if not same.any():
+                break
+            match += length * same
+            x, y = x + length * same, y + length * same
+    for _ in range(_BYTES):  # bytes below the shortest prefix
+        same = (match < rest) & (text[np.minimum(x, size)] == text[np.minimum(y, size)])
+        match += same
+        x, y = x + same, y + same
+    match = np.minimum(match, rest)
     return RunIndex(size, first, match, last, match), begin
-
-
-def _ranks(order: np.ndarray, new: np.ndarray) -> np.ndarray:
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.concatenate([[0], np.cumsum(new)]) if len(order) else 0
-    return rank
