@@ -27,6 +27,11 @@ CARD = r"(?<![A-Za-z0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])"
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is evaluated once, however often ``then`` uses it: a lambda's variable."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _long(c: Column) -> Column:
     return c.cast("long")
 
@@ -64,7 +69,7 @@ class Keyed:
         size = [_long(F.pow(F.lit(10.0), k.cast("double"))) for k in (half, n - half)]
         left, right = value.substr(F.lit(1), half), value.substr(half + 1, n)
         moved = self.pair(kind, F.when(half > 0, _try(left)).otherwise(F.lit(0)), _try(right), *size)
-        return F.concat(F.when(half > 0, _padded(moved["l"], half)).otherwise(F.lit("")), _padded(moved["r"], n - half))
+        return _let(moved, lambda m: F.concat(F.when(half > 0, _padded(m["l"], half)).otherwise(F.lit("")), _padded(m["r"], n - half)))
 
     def name(self, value: Column) -> Column:
         """Letters and digits to others of their class and place."""
@@ -86,8 +91,7 @@ class Keyed:
             return F.when(i % 2 == 0, left).otherwise(right)
 
         start = F.struct(value.substr(F.lit(1), half).alias("l"), value.substr(half + 1, F.length(value)).alias("r"))
-        both = F.aggregate(self._turns(), start, turn)
-        return F.concat(both["l"], both["r"])
+        return _let(F.aggregate(self._turns(), start, turn), lambda both: F.concat(both["l"], both["r"]))
 
 
 def _try(c: Column) -> Column:
@@ -105,36 +109,46 @@ def _only_digits(c: Column) -> Column:
 def _refilled(form: Column, digits: Column) -> Column:
     """The form with its digits replaced in order."""
 
-    def one(i: Column) -> Column:
-        c = form.substr(i, F.lit(1))
-        return F.when(c.between("0", "9"), digits.substr(F.length(_only_digits(form.substr(F.lit(1), i))), F.lit(1))).otherwise(c)
+    def filled(new: Column) -> Column:
+        def one(i: Column) -> Column:
+            c = form.substr(i, F.lit(1))
+            return F.when(c.between("0", "9"), new.substr(F.length(_only_digits(form.substr(F.lit(1), i))), F.lit(1))).otherwise(c)
+
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(form)), one), "")
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(form)), one), "")
+    return _let(digits, filled)
 
 
-def luhn(digits: Column) -> Column:
+def luhn(number: Column) -> Column:
     """The sum that a card number makes a multiple of ten."""
 
-    def one(i: Column) -> Column:
-        d = F.coalesce(digits.substr(F.length(digits) - i + 1, F.lit(1)).try_cast("int"), F.lit(0))
-        return F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
+    def summed(digits: Column) -> Column:
+        def one(i: Column) -> Column:
+            d = F.coalesce(digits.substr(F.length(digits) - i + 1, F.lit(1)).try_cast("int"), F.lit(0))
+            return F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
 
-    return F.aggregate(F.transform(F.sequence(F.lit(1), F.length(digits)), one), F.lit(0), lambda s, x: s + x)
+        return F.aggregate(F.transform(F.sequence(F.lit(1), F.length(digits)), one), F.lit(0), lambda s, x: s + x)
+
+    return _let(number, summed)
 
 
 def _card(v: Column, k: Keyed) -> Column:
-    d = _only_digits(v)
-    n = F.length(d)
-    head = F.concat(d.substr(F.lit(1), F.lit(1)), k.digits("card", d.substr(F.lit(2), n - 2)))
-    rest = F.pmod(F.lit(0) - luhn(F.concat(head, F.lit("0"))), F.lit(10))
-    return F.when(luhn(d) % 10 == 0, _refilled(v, F.concat(head, rest.cast("string"))))
+    def checked(head: Column) -> Column:
+        rest = F.pmod(F.lit(0) - luhn(F.concat(head, F.lit("0"))), F.lit(10))
+        return _refilled(v, F.concat(head, rest.cast("string")))
+
+    def new(d: Column) -> Column:
+        head = F.concat(d.substr(F.lit(1), F.lit(1)), k.digits("card", d.substr(F.lit(2), F.length(d) - 2)))
+        return F.when(luhn(d) % 10 == 0, _let(head, checked))
+
+    return _let(_only_digits(v), new)
 
 
 def _phone(v: Column, k: Keyed) -> Column:
     d = F.right(_only_digits(v), F.lit(10))
     left = (_try(d.substr(1, 3)) - 200) * 800 + _try(d.substr(4, 3)) - 200
     m = k.pair("phone", left, _try(d.substr(7, 4)), F.lit(640_000), F.lit(10_000))
-    new = F.concat((F.floor(m["l"] / 800) + 200).cast("string"), (m["l"] % 800 + 200).cast("string"), _padded(m["r"], F.lit(4)))
+    new = _let(m, lambda m: F.concat((F.floor(m["l"] / 800) + 200).cast("string"), (m["l"] % 800 + 200).cast("string"), _padded(m["r"], F.lit(4))))
     before = F.when(v.startswith("+1"), F.lit("1")).otherwise(F.lit(""))
     return _refilled(v, F.concat(before, new))
 
@@ -150,8 +164,11 @@ def _address(v: Column, k: Keyed) -> Column:
     o = [F.coalesce(_try(F.split_part(v, F.lit("."), F.lit(i))), F.lit(999)) for i in range(1, 5)]
     valid = (o[0] < 256) & (o[1] < 256) & (o[2] < 256) & (o[3] < 256)
     m = k.pair("address", o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65_536), F.lit(65_536))
-    new = [F.floor(m[h] / 256) if i == 0 else m[h] % 256 for h in ("l", "r") for i in (0, 1)]
-    return F.when(valid, F.concat_ws(".", *(x.cast("string") for x in new)))
+
+    def dotted(m: Column) -> Column:
+        return F.concat_ws(".", *((F.floor(m[h] / 256) if i == 0 else m[h] % 256).cast("string") for h in ("l", "r") for i in (0, 1)))
+
+    return F.when(valid, _let(m, dotted))
 
 
 def _social(v: Column, k: Keyed) -> Column:
@@ -159,9 +176,12 @@ def _social(v: Column, k: Keyed) -> Column:
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     index = area - 1 - (area > 666).cast("int")
     m = k.pair("social", index * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999))
-    new = F.floor(m["l"] / 99) + 1
-    new = new + (new >= 666).cast("int")
-    return F.when(valid, F.concat_ws("-", _padded(new, F.lit(3)), _padded(m["l"] % 99 + 1, F.lit(2)), _padded(m["r"] + 1, F.lit(4))))
+
+    def written(m: Column) -> Column:
+        new = F.floor(m["l"] / 99) + 1
+        return F.concat_ws("-", _padded(new + (new >= 666).cast("int"), F.lit(3)), _padded(m["l"] % 99 + 1, F.lit(2)), _padded(m["r"] + 1, F.lit(4)))
+
+    return F.when(valid, _let(m, written))
 
 
 def _dated(places: tuple[int, int, int]) -> Callable[[Column, Keyed], Column]:
@@ -173,7 +193,7 @@ def _dated(places: tuple[int, int, int]) -> Callable[[Column, Keyed], Column]:
         n = F.datediff(date, F.lit(FIRST_DAY).cast("date"))
         valid = date.isNotNull() & n.between(0, DAYS[0] * DAYS[1] - 1)
         m = k.pair("date", F.floor(n / DAYS[1]), n % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]))
-        moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (m["l"] * DAYS[1] + m["r"]).cast("int"))
+        moved = _let(m, lambda m: F.date_add(F.lit(FIRST_DAY).cast("date"), (m["l"] * DAYS[1] + m["r"]).cast("int")))
         form = {1: "yyyyMMdd", 4: "MMddyyyy" if places[1] == 1 else "ddMMyyyy", 7: "MMddyyyy" if places[1] == 1 else "ddMMyyyy"}[places[0]]
         return F.when(valid, _refilled(v, F.date_format(moved, form)))
 
@@ -189,10 +209,12 @@ def _iban(v: Column, k: Keyed) -> Column:
     def remainder(body: Column, check: Column) -> Column:
         return F.concat(body, letter(1), letter(2), check).try_cast("decimal(38,0)") % 97
 
-    new = k.digits("iban", d)
-    check = F.lpad((98 - remainder(new, F.lit("00"))).cast("int").cast("string"), 2, "0")
+    def checked(new: Column) -> Column:
+        check = F.lpad((98 - remainder(new, F.lit("00"))).cast("int").cast("string"), 2, "0")
+        return F.concat(v.substr(1, 2), _refilled(v.substr(F.lit(3), F.length(v)), F.concat(check, new)))
+
     valid = F.length(d).between(10, 30) & (remainder(d, v.substr(3, 2)) == 1)
-    return F.when(valid, F.concat(v.substr(1, 2), _refilled(v.substr(F.lit(3), F.length(v)), F.concat(check, new))))
+    return F.when(valid, _let(k.digits("iban", d), checked))
 
 
 def _mail(v: Column, k: Keyed) -> Column:
@@ -204,13 +226,22 @@ KINDS: list[tuple[str, Callable[[Column, Keyed], Column]]] = [
     (MAIL, _mail), (IBAN, _iban), (PHONE, _phone), (ABROAD, _abroad), (ADDRESS, _address), (SOCIAL, _social),
     (YEAR_FIRST, _dated((1, 6, 9))), (DAY_FIRST, _dated((7, 4, 1))), (MONTH_FIRST, _dated((7, 1, 4))), (CARD, _card),
 ]
-_ANY = "(?:" + "|".join(p.replace(r"([-/])", r"(?<sep>[-/])").replace(r"\1", r"\k<sep>") for p, _ in KINDS) + ")"
 
 
-def pseudonymised(text: Column, key: str, back: bool = False) -> tuple[Column, Column]:
-    """The text with its valid values replaced, and how many there were."""
+def _either(patterns: list[str]) -> str:
+    return "|".join(p.replace("([-/])", "(?<sep>[-/])").replace("\\1", "\\k<sep>") for p in patterns)
+
+
+# What a value can begin with is looked at first, which passes over letters quickly.
+_ANY = f"(?:(?=[0-9+(])(?:{_either([p for p, _ in KINDS if p not in (MAIL, IBAN)])})|(?=[A-Z]{{2}}[0-9]){IBAN}|{MAIL})"
+
+
+def pseudonymised(text: Column, key: str, back: bool = False) -> Column:
+    """A struct of the text with its valid values replaced, ``text``, and how many there were, ``n``."""
     k = Keyed(key, back)
-    safe = F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPE + _KEPT))
+    # Only texts with a digit or an at sign can have a value; for others all that follows is null.
+    able = F.when(text.rlike("[0-9@]"), text)
+    safe = F.replace(able, F.lit(_ESCAPE), F.lit(_ESCAPE + _KEPT))
     pieces = F.split(F.regexp_replace(safe, f"({_ANY})", f"{_ESCAPE}{_OPEN}$1{_ESCAPE}{_OPEN}"), f"{_ESCAPE}{_OPEN}")
 
     def new(v: Column) -> Column:
@@ -221,12 +252,15 @@ def pseudonymised(text: Column, key: str, back: bool = False) -> tuple[Column, C
         return out
 
     def piece(p: Column, i: Column) -> Column:
-        return F.when(i % 2 == 1, F.struct(new(p).alias("new"), p.alias("old"))).otherwise(F.struct(F.lit(None).cast("string").alias("new"), p.alias("old")))
+        return F.struct(F.when(i % 2 == 1, new(p)).alias("new"), p.alias("old"))
+
+    def both(made: Column) -> Column:
+        joined = F.array_join(F.transform(made, lambda m: F.coalesce(m["new"], m["old"])), "")
+        count = F.size(F.filter(made, lambda m: m["new"].isNotNull()))
+        plain = F.replace(joined, F.lit(_ESCAPE + _KEPT), F.lit(_ESCAPE))
+        return F.struct(plain.alias("text"), count.cast("long").alias("n"))
 
-    made = F.transform(pieces, piece)
-    joined = F.array_join(F.transform(made, lambda m: F.coalesce(m["new"], m["old"])), "")
-    count = F.size(F.filter(made, lambda m: m["new"].isNotNull()))
-    return F.replace(joined, F.lit(_ESCAPE + _KEPT), F.lit(_ESCAPE)), count
+    return _let(F.transform(pieces, piece), lambda made: F.when(made.isNotNull(), both(made)))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
@@ -240,7 +274,5 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     rows; other columns are not read; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("given"))
-    # Only texts with a digit or an at sign can have a value.
-    text, count = pseudonymised(F.col("given"), key, back)
-    both = F.when(F.col("given").rlike("[0-9@]"), F.struct(text.alias("text"), count.cast("long").alias("n"))).otherwise(F.struct(F.col("given").alias("text"), F.lit(0).cast("long").alias("n")))
-    return rows.select(F.col("id").alias(id_col), both.alias("r")).select(id_col, F.col("r.text").alias("text"), F.coalesce("r.n", F.lit(0).cast("long")).alias("n_values"))
+    rows = rows.withColumn("r", pseudonymised(F.col("given"), key, back))
+    return rows.select(F.col("id").alias(id_col), F.coalesce("r.text", "given").alias("text"), F.coalesce("r.n", F.lit(0).cast("long")).alias("n_values"))
