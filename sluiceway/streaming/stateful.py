@@ -60,12 +60,24 @@ def _run(df: DataFrame, keys: Sequence[str], processor: _Processor, time_mode: s
     )
 
 
+def _windowed(df: DataFrame, ts: str, size: str) -> DataFrame:
+    """Rows with their window, which takes the place of ``ts`` as event time: a row is late when its window has
+    closed, not when its own time is behind the watermark."""
+    placed = df.withColumn("window", F.window(ts, size))
+    return placed.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")}).drop(ts)
+
+
+def _whole(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
+    """A key's rows of the micro-batch in order, which Arrow batches alone are not; the trigger's limit bounds them."""
+    return pd.concat(list(rows), ignore_index=True).sort_values(order, kind="stable")
+
+
 class CollectUntilWindowEnd(_Processor):
     """Keep values in a list; one event-time timer per window releases them in pages."""
 
-    def __init__(self, schema, value: str, dtype: T.DataType, lateness_ms: int, page_rows: int) -> None:
+    def __init__(self, schema, value: str, dtype: T.DataType, page_rows: int) -> None:
         super().__init__(schema)
-        self.value, self.dtype, self.lateness_ms, self.page_rows = value, dtype, lateness_ms, page_rows
+        self.value, self.dtype, self.page_rows = value, dtype, page_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -77,7 +89,7 @@ class CollectUntilWindowEnd(_Processor):
             self.values.appendList([(v,) for v in batch[self.value].tolist()])
             if not self.armed.exists():
                 # The window's last instant: its end is the second last key column.
-                at = int(pd.Timestamp(key[-2]).timestamp() * 1000) - 1 + self.lateness_ms
+                at = int(pd.Timestamp(key[-2]).timestamp() * 1000) - 1
                 self.handle.registerTimer(at)
                 self.armed.update((at,))
         return iter([])
@@ -95,21 +107,18 @@ def stream_collect(
     ts: str,
     size: str,
     value: str,
-    lateness_ms: int = 0,
     page_rows: int = 100_000,
     shards: int = 1,
 ) -> DataFrame:
     """Values per key and window, released when the watermark passes the window's last instant.
 
-    ``df`` carries a watermark on ``ts``. With ``lateness_ms`` the release waits that much longer.
-    Output: ``(keys, window_start, window_end, shard, page, values)``.
+    ``df`` carries a watermark on ``ts``; its delay is the lateness allowed. Output: ``(keys, window_start, window_end, shard, page, values)``.
     """
-    windowed = df.withColumn("__w", F.window(ts, size))
-    windowed = windowed.withColumns({"window_start": F.col("__w.start"), "window_end": F.col("__w.end")}).drop("__w")
+    windowed = _windowed(df, ts, size)
     sharded, grouping = _grouped(windowed, [*keys, "window_start", "window_end"], shards)
     dtype = df.schema[value].dataType
     schema = _schema(sharded, grouping, ("page", T.IntegerType()), ("values", T.ArrayType(dtype)))
-    processor = CollectUntilWindowEnd(schema, value, dtype, lateness_ms, page_rows)
+    processor = CollectUntilWindowEnd(schema, value, dtype, page_rows)
     return _run(sharded, grouping, processor, "EventTime")
 
 
@@ -191,8 +200,7 @@ def stream_batches(
         raise ValueError("Spark has one time domain per operator: give window or max_wait_ms")
     grouping = list(keys)
     if window:
-        df = df.withColumn("__w", F.window(ts, window))
-        df = df.withColumns({"window_start": F.col("__w.start"), "window_end": F.col("__w.end")}).drop("__w")
+        df = _windowed(df, ts, window)
         grouping += ["window_start", "window_end"]
     sharded, grouping = _grouped(df, grouping, shards)
     dtype = df.schema[value].dataType
@@ -209,9 +217,9 @@ def trigger_any(df: DataFrame, keys: Sequence[str], value: str, count: int, wait
 class IdleTimer(_Processor):
     """One processing-time timer, set anew by every element; when it fires it reports the backlog, which stays."""
 
-    def __init__(self, schema, value: str, after_ms: int) -> None:
+    def __init__(self, schema, after_ms: int) -> None:
         super().__init__(schema)
-        self.value, self.after_ms = value, after_ms
+        self.after_ms = after_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -227,7 +235,7 @@ class IdleTimer(_Processor):
         due = timerValues.getCurrentProcessingTimeInMs() + self.after_ms
         self.handle.registerTimer(due)
         self.armed.update((due,))
-        yield self.frame(key, [("element", held, held + added)])
+        yield self.frame(key, [("element", n, n + 1) for n in range(held, held + added)])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         held = self.count.get()[0] if self.count.exists() else 0
@@ -235,13 +243,13 @@ class IdleTimer(_Processor):
         yield self.frame(key, [("timer", held, held)])
 
 
-def idle_timer(df: DataFrame, keys: Sequence[str], value: str, after_ms: int, shards: int = 1) -> DataFrame:
-    """Report a key's backlog once it has been idle: ``(keys, shard, kind, before, backlog)``."""
+def idle_timer(df: DataFrame, keys: Sequence[str], after_ms: int, shards: int = 1) -> DataFrame:
+    """A row per element, and one when the key has been idle: ``(keys, shard, kind, before, backlog)``."""
     sharded, grouping = _grouped(df, keys, shards)
     schema = _schema(
         sharded, grouping, ("kind", T.StringType()), ("before", T.LongType()), ("backlog", T.LongType())
     )
-    return _run(sharded, grouping, IdleTimer(schema, value, after_ms), "ProcessingTime")
+    return _run(sharded, grouping, IdleTimer(schema, after_ms), "ProcessingTime")
 
 
 class TimerFamily(_Processor):
@@ -309,19 +317,17 @@ class RunningIndex(_Processor):
 
     def handleInputRows(self, key, rows, timerValues):
         at = self.next.get()[0] if self.next.exists() else 0
-        for batch in rows:
-            batch = batch.sort_values(self.order)
-            out = batch[self.rest].copy()
-            for i, name in enumerate(self.schema.names[: len(key)]):
-                out.insert(i, name, key[i])
-            out["index"] = range(at, at + len(batch))
-            at += len(batch)
-            yield out
-        self.next.update((at,))
+        batch = _whole(rows, self.order)
+        out = batch[self.rest].copy()
+        for i, name in enumerate(self.schema.names[: len(key)]):
+            out.insert(i, name, key[i])
+        out["index"] = range(at, at + len(batch))
+        yield out
+        self.next.update((at + len(batch),))
 
 
 def stream_running_index(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Number a key's rows from 0 in arrival order: ``(keys, other columns, index)``."""
+    """Number a key's rows from 0 by arrival, and by ``order`` in a micro-batch: ``(keys, other columns, index)``."""
     rest = [c for c in df.columns if c not in keys]
     schema = T.StructType(
         [df.schema[k] for k in keys] + [df.schema[c] for c in rest] + [T.StructField("index", T.LongType())]
@@ -341,17 +347,23 @@ class MapMachine(_Processor):
         self.cells = handle.getMapState("cells", name, LONG_STATE)
 
     def handleInputRows(self, key, rows, timerValues):
-        for batch in rows:
-            out = []
-            for at, value in batch.sort_values(self.order)[[self.order, self.value]].itertuples(index=False):
-                out.append((at, value, {k[0]: v[0] for k, v in self.cells.iterator()}))
-                if value == 0:
-                    self.cells.clear()
-                elif value < 3:
-                    self.cells.updateValue((f"state-{value}",), (int(value),))
-                elif self.cells.containsKey(("state-1",)):
-                    self.cells.removeKey(("state-1",))
-            yield self.frame(key, out)
+        # The map is read once and only what the rows changed is written back.
+        before = {k[0]: v[0] for k, v in self.cells.iterator()}
+        cells, out = dict(before), []
+        for at, value in _whole(rows, self.order)[[self.order, self.value]].itertuples(index=False):
+            out.append((at, value, dict(cells)))
+            if value == 0:
+                cells.clear()
+            elif value < 3:
+                cells[f"state-{value}"] = int(value)
+            else:
+                cells.pop("state-1", None)
+        for name in before.keys() - cells.keys():
+            self.cells.removeKey((name,))
+        for name, value in cells.items():
+            if before.get(name) != value:
+                self.cells.updateValue((name,), (value,))
+        yield self.frame(key, out)
 
 
 def stream_map_state(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:

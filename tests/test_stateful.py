@@ -130,9 +130,9 @@ def test_trigger_any_fires_on_count_and_on_wait(session):
 
 def test_idle_timer_is_moved_by_later_elements(session):
     rows = session.range(0, 4).select(F.lit("k").alias("key"), F.col("id").alias("v"))
-    got = run_live(session, [rows, rows], lambda s: stateful.idle_timer(s, ["key"], "v", 12_000), seconds=16)
+    got = run_live(session, [rows, rows], lambda s: stateful.idle_timer(s, ["key"], 12_000), seconds=16)
     assert sorted(map(tuple, got.select("kind", "before", "backlog").collect())) == [
-        ("element", 0, 4), ("element", 4, 8), ("timer", 8, 8)
+        *[("element", n, n + 1) for n in range(8)], ("timer", 8, 8)
     ]
 
 
@@ -166,3 +166,22 @@ def test_growing_output(session, sf):
     got = run(session, chunks, lambda s: stateful.stream_growing_output(s, ["user_id"]))
     counts = {tuple(r) for r in got.groupBy("index").agg((F.count("*") / F.countDistinct("user_id")).cast("int")).collect()}
     assert counts == {(0, 1), (1, 2), (2, 3)}
+
+
+def arrivals(session):
+    """A day's window, an hour of lateness: 05:00 comes after 12:30 but its window is open; the day before is closed."""
+    rows = [[("k", "2024-01-02 12:00", 1)], [("k", "2024-01-02 12:30", 2)], [("k", "2024-01-02 05:00", 3)], [("k", "2024-01-01 23:00", 4)], [("k", "2024-01-05 00:00", 5)]]
+    return [session.createDataFrame(r, "key string, t string, v bigint").select("key", F.to_timestamp("t").alias("ts"), "v") for r in rows]
+
+
+def test_a_row_is_late_when_its_window_has_closed(session):
+    collected = run(session, arrivals(session), lambda s: stateful.stream_collect(s.withWatermark("ts", "1 hour"), ["key"], "ts", "1 day", "v"))
+    assert [sorted(r["values"]) for r in collected.collect()] == [[1, 2, 3]]
+    batched = run(session, arrivals(session), lambda s: stateful.stream_batches(s.withWatermark("ts", "1 hour"), ["key"], "v", 10, ts="ts", window="1 day"))
+    assert [sorted(r["values"]) for r in batched.collect()] == [[1, 2, 3]]
+
+
+def test_order_holds_over_a_whole_micro_batch(session):
+    rows = session.range(25_000).select(F.lit("k").alias("key"), F.col("id").alias("o")).orderBy(F.desc("o")).coalesce(1)
+    got = run(session, [rows], lambda s: stateful.stream_running_index(s, ["key"], "o"))
+    assert got.where("index <> o").count() == 0 and got.count() == 25_000
