@@ -281,7 +281,8 @@ def documents(folder: str, name: str, footer_at: int, size: int, first: int, sto
         body, crc, magic = tail[:-12], int.from_bytes(tail[-12:-8], "little"), tail[-8:]
         if magic != MAGIC or zlib.crc32(body) != crc:
             raise ValueError(f"{name}: the footer is damaged")
-        footer = np.load(io.BytesIO(body))
+        with np.load(io.BytesIO(body)) as packed:
+            footer = dict(packed)  # each array is unpacked once
         lengths, sections, states = footer["lengths"], footer["sections"], footer["states"]
         table = Table(freq=footer["freq"])
         symbols = table.symbols
