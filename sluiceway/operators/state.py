@@ -127,6 +127,27 @@ def multimap_at_expiry(df: DataFrame, keys: Sequence[str], ts: str, size: str, v
     ).agg(F.count(F.lit(1)).alias("values"))
 
 
+def idle_fires(
+    df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], after: str, skew: Skew = DEFAULT_SKEW
+) -> DataFrame:
+    """When a timer that every row of its key sets anew goes off: the last row before each pause longer than ``after``,
+    with ``fired_at`` and ``backlog``, the rows of the key so far.
+
+    ``order`` is the unique order of arrival, in which ``ts`` does not fall. A row that comes just when the timer is
+    due moves it. With an element id among the keys this is a family of independent timers. Each row meets the next
+    one of its key by an equi join on its position, so a hot key is no single task.
+    """
+    placed = positions(df, keys, order, "__at", skew)
+    names = [f"__key{i}" for i in range(len(keys))]
+    following = placed.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__at").alias("__next"), F.col(ts).alias("__next_ts"))
+    match = F.col("__at") + 1 == F.col("__next")
+    for key, name in zip(keys, names):
+        match = match & F.col(key).eqNullSafe(F.col(name))
+    due = F.col(ts) + F.expr(f"INTERVAL {after}")
+    alone = placed.join(following, match, "left").where(F.col("__next_ts").isNull() | (F.col("__next_ts") > due))
+    return alone.select(*df.columns, due.alias("fired_at"), (F.col("__at") + 1).alias("backlog"))
+
+
 def growing_output(
     df: DataFrame, keys: Sequence[str], pane: str, name: str = "copy", skew: Skew = DEFAULT_SKEW
 ) -> DataFrame:

@@ -111,6 +111,14 @@ marks AS (
   SELECT MAX(ts) FILTER (WHERE third <= 1) - INTERVAL 2 HOUR AS before_last, MAX(ts) - INTERVAL 2 HOUR AS final
   FROM arrivals)"""
 
+
+def _idle(keys: str, after: str) -> str:
+    return f"""
+SELECT {keys}, event_id, ts, ts + INTERVAL {after} AS fired_at, n AS backlog FROM (
+  SELECT *, row_number() OVER w AS n, lead(ts) OVER w AS following FROM events WINDOW w AS (PARTITION BY {keys} ORDER BY event_id))
+WHERE following IS NULL OR following > ts + INTERVAL {after}"""
+
+
 ORACLES: dict[str, str] = {
     "window_sum_per_key": SUM_PER_KEY,
     "window_sum_grouped": f"SELECT key, window_start, sum_value FROM ({SUM_PER_KEY})",
@@ -315,7 +323,21 @@ GROUP BY 1, 2""",
 SELECT event_id % 10 AS key, COUNT(*) AS n, MIN(event_id) AS first, MAX(event_id) AS last
 FROM thirds GROUP BY key, third""",
     "stream_static_side": _BRANCHES.format(column="event_id", table="events"),
-    "stream_word_count": _TOKENS,
+    "stream_word_count": _TOKENS.replace("SELECT regexp_replace(text", "SELECT doc_id, regexp_replace(text")
+    .replace("SELECT unnest(string_split", "SELECT doc_id, unnest(string_split")
+    .replace("SELECT unnest(CASE", "SELECT doc_id, unnest(CASE")
+    .replace("SELECT word, COUNT(*) AS count FROM tokens GROUP BY word", """
+SELECT TIMESTAMP '1970-01-01' + (doc_id // 10 * 10) * INTERVAL 1 SECOND AS window_start, word, COUNT(*) AS count
+FROM tokens GROUP BY 1, 2"""),
+    "stream_collect_windows": f"""
+SELECT user_id, {DAY} AS window_start, event_id % 4 AS shard, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS event_ids
+FROM events GROUP BY 1, 2, 3""",
+    "window_batches": f"""
+SELECT user_id, window_start, batch, COUNT(*) AS size, MIN(event_id) AS first, MAX(event_id) AS last FROM (
+  SELECT user_id, event_id, {DAY} AS window_start, (row_number() OVER (PARTITION BY user_id, {DAY} ORDER BY event_id) - 1) // 3 AS batch
+  FROM events) GROUP BY 1, 2, 3""",
+    "idle_timer_fires": _idle("user_id", "6 HOUR"),
+    "timer_family_fires": _idle("user_id, event_type", "1 DAY"),
     "stream_messages": """
 SELECT CAST(event_id AS VARCHAR) AS message_id, event_id % 100 AS shard,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS sent, CAST(32 AS BIGINT) AS size

@@ -494,6 +494,22 @@ def to_cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def window_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of three that do not cross a day's window."""
+    placed = windows.window_meta(windows.fixed_window(table(spark, sf, "events"), "ts", DAY))
+    return _batch_report(group.group_into_batches(placed, ["user_id", "window_start"], "event_id", 3), "user_id", "window_start")
+
+
+def idle_timer_fires(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").select("user_id", "event_id", "ts")
+    return state.idle_fires(events, ["user_id"], "ts", ["event_id"], "6 HOURS")
+
+
+def timer_family_fires(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts")
+    return state.idle_fires(events, ["user_id", "event_type"], "ts", ["event_id"], "1 DAY", Skew(hot_rows=20))
+
+
 # The same with every key split: so few rows for a task that the keys of small tables are hot.
 SPLIT = Skew(hot_rows=4)
 
@@ -542,6 +558,7 @@ BATCH_QUERIES = {
         multimap_entries, multimap_at_expiry, growing_output,
         dynamic_write, json_lines, row_json, sharded_text, compressed_text, compressed_table,
         validated_append, routed_append, routed_append_defaults, insert_or_reject, to_cells,
+        window_batches, idle_timer_fires, timer_family_fires,
         batches_split, global_batches_split, group_values_split, map_state_fold_split, backlog_split, panes_accumulating_split,
     )
 }

@@ -146,15 +146,36 @@ def stream_static_side(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents land as text files in a watched folder; words are counted as they come."""
+    """Documents land as text files in a watched folder, every line with the second its document stands for; words are
+    counted per ten seconds as they come, and a window's counts leave the state when it closes."""
     session, out = stream_session(spark), fresh_dir(spark, "out")
-    landing = fresh_dir(spark, "landing")
-    lines = table(session, sf, "documents").select(F.regexp_replace("text", "\r\n?", "\n").alias("value"))
-    files.write_text(lines, landing)
-    words = elements.tokenize_lines(stream.watch_files(session, landing, "*.txt"), "line")
-    counts = group.count_per_element(words, "word")
-    panes.stream_snapshot(counts, out, fresh_dir(spark, "checkpoint")).awaitTermination()
-    return panes.newest(spark.read.parquet(out))
+    landing, checkpoint = fresh_dir(spark, "landing"), fresh_dir(spark, "checkpoint")
+    docs = table(session, sf, "documents").where("text <> ''")
+    body = F.regexp_replace(F.regexp_replace("text", "\r\n?", "\n"), "\n\\z", "")
+    lines = docs.select("doc_id", F.explode(F.split(body, "\n")).alias("line"))
+    files.write_text(lines.select(F.concat(F.col("doc_id").cast("string"), F.lit("\t"), "line").alias("value")), landing)
+    parts = stream.watch_files(session, landing, "*.txt").select(F.split("line", "\t", 2).alias("part"))
+    timed = parts.select(F.timestamp_seconds(F.col("part")[0].cast("bigint")).alias("ts"), F.col("part")[1].alias("line"))
+    words = elements.tokenize_lines(timed, "line", "ts")
+    counts = panes.window_start(panes.window_agg(words, "ts", "10 seconds", "10 seconds", ["word"], {"count": F.count(F.lit(1))}))
+    panes.stream_append(counts, out, checkpoint, every=None).awaitTermination()
+    end = session.range(1).select(F.lit(f"{1 << 36}\tend").alias("value"))
+    files.write_text(end, landing, mode="append")
+    panes.stream_append(counts, out, checkpoint, every=None).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_collect_windows(spark: SparkSession, sf: str) -> DataFrame:
+    session, out = stream_session(spark), fresh_dir(spark, "out")
+
+    def job(events: DataFrame, checkpoint: str):
+        timed = panes.event_time(events, "ts")
+        lists = panes.collect_windows(timed, "ts", "1 day", LATENESS, ["user_id"], "event_id", F.col("event_id") % 4)
+        return panes.stream_append(panes.window_start(lists), out, checkpoint, every=None)
+
+    replay.run_table(session, f"{sf}/events.parquet", job, drain="ts")
+    rows = spark.read.parquet(out)
+    return rows.select("user_id", "window_start", "shard", inputs.joined("values").alias("event_ids"))
 
 
 def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,5 +200,6 @@ STREAM_QUERIES = {
     for fn in (
         stream_window_complete, stream_window_append, stream_rolled_windows, stream_late_dropped, stream_stateless_late,
         stream_trigger_update, stream_discarding, stream_static_side, stream_word_count, stream_messages,
+        stream_collect_windows,
     )
 }

@@ -28,6 +28,16 @@ def window_agg(
     return grouped.agg(*[a.alias(n) for n, a in aggs.items()])
 
 
+def collect_windows(
+    df: DataFrame, ts: str, size: str, lateness: str, keys: Sequence[str], value: str, shard: Column
+) -> DataFrame:
+    """Values per window, key and shard as a sorted list that comes out when the window closes, in append mode.
+
+    The list is an aggregate of Spark's own; shards keep a hot key's window from being one row.
+    """
+    return window_agg(df.withColumn("shard", shard), ts, size, lateness, [*keys, "shard"], {"values": F.sort_array(F.collect_list(value))})
+
+
 def rewindow(windowed: DataFrame, size: str, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Put finished windows into larger ones: each goes by its last instant."""
     grouped = windowed.groupBy(F.window(F.window_time("window"), size), *keys)
