@@ -13,8 +13,8 @@ MOST_REPEATS = 3
 BLOCK_WORDS = 512
 #: Slots are drawn in runs of so many, each numbered by itself, with the counts of earlier runs added.
 RUN = 65_536
-#: Documents of a source are shuffled into so many buckets by hash.
-BUCKETS = 4_096
+#: Documents of a source are shuffled by a hash of 60 bits; so many of them make its buckets.
+BUCKET_BITS = 12
 CELLS = 4_096
 #: Of a slot's number; points are exact up to 2**BITS slots.
 BITS = 40
@@ -56,11 +56,12 @@ def mix(
     Null or blank texts have size 0 and nothing taken; null ids are shuffled by their text; repeated rows are
     documents of their own; other columns are not read. An empty table gives no rows.
     """
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null|"), F.coalesce(F.col(text_col), F.lit(""))))
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col))).alias("order"),
+        F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), name)), 1, 15), 16, 10).cast("long").alias("order"),
     )
-    rows = saved(rows.withColumn("bucket", F.pmod(F.shiftright("order", 48), F.lit(BUCKETS))), "sizes")
+    rows = saved(rows.withColumn("bucket", F.shiftright("order", 60 - BUCKET_BITS)), "sizes")
     table = _sources(rows, weights, most)
     spark = docs.sparkSession
     if not table:

@@ -65,8 +65,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# Blocks are met in order and from the start again, so what a source takes is whole rounds and a beginning of its order.
+_MIX = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), 'null|' || coalesce(text, ''))), 1, 15) AS BIGINT) AS place
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY source
+), r AS (
+  SELECT source, n, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w, (SELECT CAST(sum(n) AS BIGINT) FROM s) AS total FROM s
+), t AS (
+  SELECT *, CAST(coalesce(sum(3 * n) OVER (ORDER BY 3.0 * n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS capped,
+    CAST(sum(w) OVER (ORDER BY 3.0 * n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS weights
+  FROM r
+), water AS (
+  SELECT capped, weights FROM t WHERE (total - capped) * w <= 3 * n * weights ORDER BY 3.0 * n / w, source LIMIT 1
+), goals AS (
+  SELECT source, n, CASE WHEN 3 * n * water.weights < (total - water.capped) * w THEN CAST(3 * n AS DOUBLE)
+    ELSE CAST(total - water.capped AS DOUBLE) * w / water.weights END AS target
+  FROM r, water
+), p AS (
+  SELECT doc_id, size, n, target, CAST(floor(target) AS BIGINT) AS goal,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+  FROM d JOIN goals ON d.source IS NOT DISTINCT FROM goals.source
+)
+SELECT doc_id, size, n AS source_size, target,
+  CAST(CASE WHEN n = 0 THEN 0 ELSE goal // n * size + greatest(0, least(begins + size, goal % n) - begins) END AS BIGINT) AS taken
+FROM p
+"""
+
 ORACLES: dict[str, str] = {
     "op5_va_top_k": _TOP_K,
+    "op7_source_schedule": _MIX,
     "op8_warc_records": _WARC,
     "op9_winnowed_contamination": _CONTAMINATION,
 }

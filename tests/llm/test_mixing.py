@@ -6,6 +6,7 @@ import pytest
 
 from sluiceway.llm import mixing, queries
 from sluiceway.llm.arrow import table
+from tests.compare import mismatch, reference
 
 
 def check(given, got, exact=True):
@@ -42,6 +43,7 @@ def test_query(spark, sf):
     given = [(r.doc_id, r.text, r.source) for r in docs.collect()]
     got = queries.QUERIES["op7_source_schedule"](spark, sf).collect()
     check(given, got)
+    assert mismatch(docs.sparkSession.createDataFrame(got).toPandas(), reference(queries.ORACLES["op7_source_schedule"], sf)) is None
     again = mixing.mix(docs.repartition(5)).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, got))
 
