@@ -34,27 +34,67 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _LOOSE = frozenset("p li dt dd tr td th thead tbody tfoot option rp rt html body head".split()) | _INLINE | _VOID
 _CHROME = frozenset("nav header footer aside form dialog menu head fieldset".split())
 _MAIN = frozenset("article main".split())
-_NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|"
+#: A class, id or role is chrome as a whole word, alone or with words that say where or in what form it stands.
+_FORM = r"(?:site|page|main|post|entry|article|blog|global|top|bottom|left|right|inner|outer|primary|secondary|block|box|bar|area|container|wrap|wrapper|section|list|links?|buttons?|icons?|items?|posts|form|unit|slot|text|message|\d+)"
+_WORD = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|"
     r"sidebar|menu|nav|navbar|navigation|breadcrumbs?|header|masthead|footer|comments?|disqus|replies|share|sharing|social|related|"
-    r"recommended|widget|toolbar|pagination|pager|login|signup|search|complementary|contentinfo|navigation|hidden)(?:$|[\s_-])",
-    re.I,
+    r"recommended|widget|toolbar|pagination|pager|login|signup|search|complementary|contentinfo|hidden)"
 )
+_NAMED = re.compile(rf"(?<!\S)(?:{_FORM}[_-]+)*{_WORD}(?:[_-]+(?:{_FORM}|{_WORD}))*(?!\S)", re.I)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ARTICLE, CHROME, OPEN = 0, 1, 2
 
 
+def _chromes(elements: list[tuple[int, str, bool, bool, bool]]) -> list[bool]:
+    """Of each element, whether what it holds is chrome: by elements, and by names that don't take the article away.
+
+    ``elements``: parent, element, whether it is chrome by itself, by name, and whether it makes the article. A name counts
+    on what holds an article only if another one without chrome around it stays: one beside it, or an ``article`` around it.
+    On an article itself it counts inside another ``article`` only, which is a comment or a teaser there.
+    """
+    n = len(elements)
+    hard, clear, nested, inside = [False] * n, [False] * n, [False] * n, [0] * n
+    mains = [i for i, e in enumerate(elements) if e[4]]
+    if mains and any(e[3] for e in elements):
+        for i, (up, _, tag, named, is_main) in enumerate(elements):
+            hard[i] = tag or (up >= 0 and hard[up])
+            clear[i] = not (hard[i] or named and not is_main) and (up < 0 or clear[up])
+            nested[i] = up >= 0 and (nested[up] or (elements[up][1] == "article" and clear[up]))
+        kept = [i for i in mains if clear[i]]
+        inside = [0] * n
+        for i in mains:
+            at = i
+            while at >= 0:
+                inside[at] += 1
+                at = elements[at][0]
+    out: list[bool] = []
+    for i, (up, _, tag, named, is_main) in enumerate(elements):
+        if named and inside[i]:
+            if is_main:
+                named = nested[i]
+            elif not nested[i]:
+                around, at = set(), up
+                while at >= 0:
+                    around.add(at)
+                    at = elements[at][0]
+                named = any(k not in around for k in kept)
+        out.append(tag or named or (up >= 0 and out[up]))
+    return out
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
     """Text blocks in page order with what the markup says of them; character references decoded, white space single."""
-    out: list[tuple[int, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, whether it makes chrome, whether it makes the article
-    chrome = main = 0
+    found: list[tuple[int, bool, str]] = []  # innermost element, whether in the article, text
+    elements: list[tuple[int, str, bool, bool, bool]] = []
+    stack: list[int] = []
+    main = 0
     parts: list[str] = []
 
     def end_block() -> None:
         if parts:
             if text := " ".join(html.unescape("".join(parts)).split()):
-                out.append((CHROME if chrome else ARTICLE if main else OPEN, text))
+                found.append((stack[-1] if stack else -1, main > 0, text))
             parts.clear()
 
     at = 0
@@ -72,25 +112,26 @@ def blocks(page: str) -> list[tuple[int, str]]:
             else:
                 end_block()
         if closing:
-            if name not in _LOOSE and any(s[0] == name for s in stack):
+            if name not in _LOOSE and any(elements[i][1] == name for i in stack):
                 end_block()
                 while True:
-                    top, was_chrome, was_main = stack.pop()
-                    chrome, main = chrome - was_chrome, main - was_main
-                    if top == name:
+                    top = elements[stack.pop()]
+                    main -= top[4]
+                    if top[1] == name:
                         break
             continue
         if name in _LOOSE or attributes.endswith("/"):
             continue
         named = " ".join(filter(None, (x for a in _ATTRIBUTE.findall(attributes) for x in a))) if attributes else ""
-        is_chrome = name in _CHROME or bool(named and _NAMED.search(named))
         is_main = name in _MAIN or named == "main"
-        stack.append((name, is_chrome, is_main))
-        chrome, main = chrome + is_chrome, main + is_main
+        elements.append((stack[-1] if stack else -1, name, name in _CHROME, bool(named and _NAMED.search(named)), is_main))
+        stack.append(len(elements) - 1)
+        main += is_main
     if at < len(page):
         parts.append(page[at:])
     end_block()
-    return out
+    chrome = _chromes(elements)
+    return [(CHROME if i >= 0 and chrome[i] else ARTICLE if in_main else OPEN, text) for i, in_main, text in found]
 
 
 def host_of(url: str | None) -> str:

@@ -25,6 +25,27 @@ def test_markup(spark):
     assert got[1].text == "" and got[2].text == "" and got[3].text == "just text here" and got[4].n_chars == 4
 
 
+def kinds(page):
+    return [(("main", "chrome", "open")[k], text) for k, text in pages.blocks(page)]
+
+
+def test_names_do_not_take_the_article_away():
+    for page in (
+        '<article class="post category-search hentry"><h1>a</h1><p>b</article>', '<main class="no-sidebar"><p>a<p>b</main>', '<main id="search"><p>a<p>b</main>',
+        '<div id="page" class="site no-sidebar"><article><p>a<p>b</article></div>', '<div class="search"><div class="hidden"><main><p>a<p>b</main></div></div>',
+        '<article class="social"><p>a</article><div class="wide"><article class="share"><p>b</article></div>',
+        '<main><div class="sidebar content"><article><p>a<p>b</article></div></main>',
+    ):
+        assert kinds(page) == [("main", "a"), ("main", "b")], page
+    for page in (
+        '<article>a</article><div class="related"><article>x</article></div>', '<article>a<div class="comments"><article class="comment">x</article></div></article>',
+        '<main>a</main><div class="site-sidebar"><article>x</article></div>', '<article>a<div class="cookie-notice">x</div></article>', '<article>a<div id="ad_slot-3">x</div></article>',
+        '<div class="site sidebar"><article>a</article></div><aside><article>x</article></aside>', '<article>a<div class="share-buttons wide">x</div></article>',
+    ):
+        assert kinds(page) == [("main", "a"), ("chrome", "x")], page
+    assert kinds('<div class="no-sidebar">a</div><div class="sidebar">x</div>') == [("open", "a"), ("chrome", "x")]
+
+
 def test_host_repeats_go_and_unique_runs_stay(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
