@@ -1,7 +1,8 @@
-"""Main text of web pages: the declared article, and for pages without one the host's unrepeated text.
+"""Main text of web pages: the declared article, and for pages without one all text, less what the host repeats.
 
-Which blocks are chrome is read from the markup. What the markup does not say is judged by a suffix array of the
-host's token streams: runs of tokens that other pages of the host have too are boilerplate.
+Which blocks are chrome is read from the markup. What the markup does not say is judged by suffix arrays of the
+host's token streams: runs of tokens that other pages of the host have too are boilerplate. Articles have streams of
+their own, in which it takes more pages.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from sluiceway.llm.arrow import saved
 
 #: Tokens of a repeated substring (a power of two: suffixes are sorted to this depth).
 REPEATED = 8
+#: Distinct articles of a host (by buckets of their hashes, of which there are 64) that make a run boilerplate in articles.
+ARTICLES = 10
+#: Tokens of an article's anchors: single words stand in too many articles.
+GRAM = 4
 SHARD_TOKENS = 1 << 18
 GROUP_LIMIT = 4_096
 
@@ -30,8 +35,13 @@ _MARKUP = re.compile(
 )
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements without end tags in much of the web; they are not kept open.
+#: Elements without end tags in much of the web.
 _LOOSE = frozenset("p li dt dd tr td th thead tbody tfoot option rp rt html body head".split()) | _INLINE | _VOID
+#: Of these, what a start tag ends in the same block; every tag that is not inline ends a paragraph.
+_CELLS, _ROWS = ("td", "th"), ("thead", "tbody", "tfoot")
+_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", *_CELLS), "option": ("option",), "rp": ("rp", "rt"), "rt": ("rp", "rt")}
+_ENDS |= {k: _CELLS for k in _CELLS} | {k: (*_ROWS, "tr", *_CELLS) for k in _ROWS}
+_NEVER_OPEN = _VOID | frozenset("html body head".split())
 _CHROME = frozenset("nav header footer aside form dialog menu head fieldset".split())
 _MAIN = frozenset("article main".split())
 #: A class, id or role is chrome as a whole word, alone or with words that say where or in what form it stands.
@@ -41,7 +51,16 @@ _WORD = (
     r"sidebar|menu|nav|navbar|navigation|breadcrumbs?|header|masthead|footer|comments?|disqus|replies|share|sharing|social|related|"
     r"recommended|widget|toolbar|pagination|pager|login|signup|search|complementary|contentinfo|hidden)"
 )
-_NAMED = re.compile(rf"(?<!\S)(?:{_FORM}[_-]+)*{_WORD}(?:[_-]+(?:{_FORM}|{_WORD}))*(?!\S)", re.I)
+#: Paragraphs, items, cells and inline elements use these for what they say: a table's header, a comment in code.
+_SAID = "alert|comments?|footer|header|masthead|search".split("|")
+
+
+def _names(words: str) -> re.Pattern:
+    return re.compile(rf"(?<!\S)(?:{_FORM}[_-]+)*{words}(?:[_-]+(?:{_FORM}|{words}))*(?!\S)", re.I)
+
+
+_NAMED = _names(_WORD)
+_NAMED_LOOSE = _names("(?:" + "|".join(w for w in _WORD[3:-1].split("|") if w not in _SAID) + ")")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ARTICLE, CHROME, OPEN = 0, 1, 2
 
@@ -97,6 +116,23 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 found.append((stack[-1] if stack else -1, main > 0, text))
             parts.clear()
 
+    def close(names: tuple[str, ...], outermost: bool = True, beyond: bool = False) -> None:
+        """Ends the innermost or outermost open element of these names that is in the innermost block, or beyond it."""
+        nonlocal main
+        depth = 0
+        for n, i in enumerate(reversed(stack), 1):
+            if elements[i][1] in names:
+                depth = n
+                if not outermost:
+                    break
+            if not beyond and elements[i][1] not in _LOOSE:
+                break
+        if depth:
+            if any(elements[i][3] for i in stack[-depth:]):
+                end_block()
+            main -= sum(elements[i][4] for i in stack[-depth:])
+            del stack[-depth:]
+
     at = 0
     for m in _MARKUP.finditer(page):
         if m.start() > at:
@@ -112,19 +148,24 @@ def blocks(page: str) -> list[tuple[int, str]]:
             else:
                 end_block()
         if closing:
-            if name not in _LOOSE and any(elements[i][1] == name for i in stack):
-                end_block()
-                while True:
-                    top = elements[stack.pop()]
-                    main -= top[4]
-                    if top[1] == name:
-                        break
+            if name in _LOOSE:
+                close((name,), outermost=False)
+            elif any(elements[i][1] == name for i in stack):
+                close((name,), outermost=False, beyond=True)
             continue
-        if name in _LOOSE or attributes.endswith("/"):
+        if name in _NEVER_OPEN or attributes.endswith("/"):
+            if name == "hr":
+                close(("p",))
             continue
+        if name not in _INLINE:
+            close(("p", *_ENDS.get(name, ())))
         named = " ".join(filter(None, (x for a in _ATTRIBUTE.findall(attributes) for x in a))) if attributes else ""
-        is_main = name in _MAIN or named == "main"
-        elements.append((stack[-1] if stack else -1, name, name in _CHROME, bool(named and _NAMED.search(named)), is_main))
+        loose = name in _LOOSE
+        is_main = not loose and (name in _MAIN or named == "main")
+        is_named = bool(named and (_NAMED_LOOSE if loose else _NAMED).search(named))
+        if is_named:
+            end_block()
+        elements.append((stack[-1] if stack else -1, name, name in _CHROME, is_named, is_main))
         stack.append(len(elements) - 1)
         main += is_main
     if at < len(page):
@@ -139,64 +180,107 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def _token_hashes(text: str, seed: int) -> list[int]:
+    return [xxhash.xxh64_intdigest(token, seed) - (1 << 63) for token in text.split(" ")]
+
+
 def read_page(url: str | None, page: str | None) -> dict:
     """The article if the page declares one, else its open tokens; and the stream of all tokens outside the article."""
     found = blocks(page or "")
     article = any(kind == ARTICLE for kind, _ in found)
-    host, stream, tokens, places = host_of(url), [], [], []
-    seed = xxhash.xxh64_intdigest(host)
+    stream, tokens, places = [], [], []
+    seed = xxhash.xxh64_intdigest(host_of(url))
     for kind, text in found:
         if kind == ARTICLE:
             continue
-        for token in text.split(" "):
-            if kind == OPEN and not article:
-                places.append(len(stream))
-                tokens.append(token)
-            stream.append(xxhash.xxh64_intdigest(token, seed) - (1 << 63))
+        if kind == OPEN and not article:
+            own = text.split(" ")
+            places.extend(range(len(stream), len(stream) + len(own)))
+            tokens.extend(own)
+        stream.extend(_token_hashes(text, seed))
     text = " ".join(text for kind, text in found if kind == ARTICLE) if article else None
-    return {"text": text, "stream": stream, "tokens": tokens, "places": places}
+    return {"host": seed - (1 << 63), "text": text, "stream": stream, "tokens": tokens, "places": places}
 
 
-_PAGE = "struct<text:string,stream:array<long>,tokens:array<string>,places:array<int>>"
+_PAGE = "struct<host:long,text:string,stream:array<long>,tokens:array<string>,places:array<int>>"
 
 
 def _read(urls: pa.Array, pages: pa.Array) -> pa.Array:
-    kind = pa.struct([("text", pa.string()), ("stream", pa.list_(pa.int64())), ("tokens", pa.list_(pa.string())), ("places", pa.list_(pa.int32()))])
+    kind = pa.struct([("host", pa.int64()), ("text", pa.string()), ("stream", pa.list_(pa.int64())), ("tokens", pa.list_(pa.string())), ("places", pa.list_(pa.int32()))])
     return pa.array([read_page(u.as_py(), p.as_py()) for u, p in zip(urls, pages)], kind)
 
 
+def _article_streams(hosts: pa.Array, texts: pa.Array) -> pa.Array:
+    """Tokens of articles, which hash differently on every host."""
+    rows = [np.array(_token_hashes(t.as_py(), h.as_py() + (1 << 63)), np.int64) for h, t in zip(hosts, texts)]
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+
+
+_article_streams.__annotations__ = {"hosts": pa.Array, "texts": pa.Array, "return": pa.Array}
+
+
 def _hashed(values: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(values.tobytes()) - (1 << 63)
 
 
-def stream_runs(stream: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """Windows of ``length`` tokens in runs that share their anchor, the first least token: anchor, first start, number."""
+def stream_runs(stream: np.ndarray, length: int, gram: int = 1) -> list[tuple[int, int, int]]:
+    """Windows of ``length`` tokens in runs that share their anchor, the first least ``gram`` tokens: anchor, first start, number."""
     n = len(stream) - length + 1
     if n <= 0:
         return []
-    views = np.lib.stride_tricks.sliding_window_view(stream, length)
+    keys = stream
+    for i in range(1, gram):
+        keys = keys[:-1] * np.int64(-7046029254386353131) + stream[i:]
+    views = np.lib.stride_tricks.sliding_window_view(keys, length - gram + 1)
     anchor = np.arange(n) + views.argmin(axis=1)
     heads = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     counts = np.diff(np.append(heads, n))
-    return list(zip(stream[anchor[heads]].tolist(), heads.tolist(), counts.tolist()))
+    return list(zip(keys[anchor[heads]].tolist(), heads.tolist(), counts.tolist()))
+
 
+#: Rows that a task makes at once.
+_MADE = 20_000
 
-def _contexts(length: int):
-    schema = pa.schema([("page", pa.int64()), ("anchor", pa.int64()), ("ctx", pa.int64()), ("first", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+
+def _each_run(fields: list[tuple[str, pa.DataType]], length: int, gram: int, make):
+    """Rows that ``make`` gives of a page, its stream and its runs."""
+    schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+
+        def done() -> pa.RecordBatch:
+            columns = [pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)] if out else [pa.array([], t) for t in schema.types]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
+
         for batch in batches:
-            out = []
             for page, stream in zip(batch.column(0).to_pylist(), batch.column(1)):
                 values = stream.values.to_numpy(zero_copy_only=False)
-                for anchor, first, n in stream_runs(values, length):
-                    part = values[first : first + n - 1 + length]
-                    out.append((page, anchor, _hashed(part), first, part))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)] if out else [pa.array([], t) for t in schema.types], schema=schema)
+                out.extend(make(page, values, stream_runs(values, length, gram)))
+                if len(out) >= _MADE:
+                    yield done()
+        yield done()
 
     return run
 
 
+def _contexts(length: int, gram: int):
+    def make(page: int, values: np.ndarray, runs: list[tuple[int, int, int]]) -> Iterator[tuple]:
+        for anchor, first, n in runs:
+            part = values[first : first + n - 1 + length]
+            yield page, anchor, _hashed(part), first, part
+
+    fields = [("page", pa.int64()), ("anchor", pa.int64()), ("ctx", pa.int64()), ("first", pa.int32()), ("tokens", pa.list_(pa.int64()))]
+    return _each_run(fields, length, gram, make)
+
+
+def _anchors(length: int, gram: int):
+    """Every anchor of a page, without its context."""
+    return _each_run([("page", pa.int64()), ("anchor", pa.int64())], length, gram, lambda page, _, runs: {(page, r[0]) for r in runs})
+
+
 def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     """Ranks of all suffixes by their first ``depth`` tokens (a power of two): the suffix array, equal prefixes tied."""
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
@@ -209,8 +293,8 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def shard_repeats(contexts: list[np.ndarray], pages: list[tuple[int, int]], length: int) -> list[list[int]]:
-    """Per context the window starts whose tokens stand on distinct pages. pages: least and greatest page of a context."""
+def shard_repeats(contexts: list[np.ndarray], pages: list[tuple[int, int, int]], length: int, least: int = 2) -> list[list[int]]:
+    """Per context the window starts whose tokens stand on distinct pages. pages: least and greatest page of a context, buckets."""
     text = np.concatenate(contexts)
     rank = suffix_ranks(text, length)
     sizes = np.array([len(c) for c in contexts])
@@ -222,6 +306,10 @@ def shard_repeats(contexts: list[np.ndarray], pages: list[tuple[int, int]], leng
     np.minimum.at(low, rank[inside], spans[owner, 0])
     np.maximum.at(high, rank[inside], spans[owner, 1])
     again = low[rank[inside]] != high[rank[inside]]
+    if least > 2:
+        bits = np.zeros(len(rank), np.int64)
+        np.bitwise_or.at(bits, rank[inside], spans[owner, 2])
+        again &= np.bitwise_count(bits.view(np.uint64))[rank[inside]] >= least
     cuts = np.cumsum(sizes - length + 1)[:-1]
     return [np.flatnonzero(part).tolist() for part in np.split(again, cuts)]
 
@@ -229,9 +317,9 @@ def shard_repeats(contexts: list[np.ndarray], pages: list[tuple[int, int]], leng
 _MARK = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("starts", pa.list_(pa.int32()))])
 
 
-def _shards(length: int, shard_tokens: int):
+def _shards(length: int, shard_tokens: int, least: int):
     def marks(rows: list[tuple]) -> pa.RecordBatch:
-        found = shard_repeats([np.array(r[4], np.int64) for r in rows], [(r[2], r[3]) for r in rows], length)
+        found = shard_repeats([np.array(r[4], np.int64) for r in rows], [(r[2], r[3], r[5]) for r in rows], length, least)
         kept = [(r[0], r[1], s) for r, s in zip(rows, found) if s]
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*kept), _MARK.types)] if kept else [pa.array([], t) for t in _MARK.types], schema=_MARK)
 
@@ -250,25 +338,35 @@ def _shards(length: int, shard_tokens: int):
     return run
 
 
-def boilerplate(streams: DataFrame, length: int = REPEATED, shard_tokens: int = SHARD_TOKENS, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def boilerplate(streams: DataFrame, length: int = REPEATED, shard_tokens: int = SHARD_TOKENS, group_limit: int = GROUP_LIMIT, least: int = 2, gram: int = 1) -> DataFrame:
     """``(page, starts)``: where in the stream of ``page`` stand ``length`` tokens that another page of its host has.
 
-    ``streams`` has distinct ``page`` and ``stream``; tokens hash differently on every host. Runs of windows with one
-    anchor go to one shard of the host's suffix array, equal runs counted before; an anchor of a host with more than
-    ``group_limit`` different runs does not fit one, of it windows are counted by hash.
+    ``streams`` has ``page`` (a hash of the stream) and ``stream``; tokens hash differently on every host. Runs of windows with
+    one anchor (``gram`` tokens) go to one shard of the host's suffix array, equal runs counted before; an anchor of a host
+    with more than ``group_limit`` different runs does not fit one, of it windows are counted by hash. If ``least`` is over
+    two, the tokens must stand on pages of so many of 64 buckets, so on as many distinct pages or more; anchors that don't
+    are left out first.
     """
-    runs = saved(streams.mapInArrow(_contexts(length), "page long, anchor long, ctx long, first int, tokens array<long>"), "runs")
-    kinds = runs.groupBy("anchor", "ctx").agg(F.min("page").alias("low"), F.max("page").alias("high"), F.any_value("tokens").alias("tokens"))
+    bits = F.expr("bit_or(shiftleft(1L, cast(pmod(page, 64) as int)))")
+    runs = streams.select("page", "stream").mapInArrow(_contexts(length, gram), "page long, anchor long, ctx long, first int, tokens array<long>")
+    if least > 2:
+        anchors = streams.select("page", "stream").mapInArrow(_anchors(length, gram), "page long, anchor long")
+        often = anchors.groupBy("anchor").agg(bits.alias("bits")).where(F.bit_count("bits") >= least)
+        runs = runs.join(saved(often.select("anchor"), "anchors"), "anchor", "left_semi").select("page", "anchor", "ctx", "first", "tokens")
+        runs = runs.dropDuplicates(["page", "anchor", "ctx", "first"])
+    runs = saved(runs, "runs")
+    kinds = runs.groupBy("anchor", "ctx").agg(F.min("page").alias("low"), F.max("page").alias("high"), bits.alias("bits"), F.any_value("tokens").alias("tokens"))
     kinds = saved(kinds, "contexts")
     sizes = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("low").alias("least"), F.max("high").alias("most")).where("least <> most").drop("least", "most")
     sized = kinds.join(sizes, "anchor")
-    fits = sized.where(F.col("kinds") <= group_limit).select("anchor", "ctx", "low", "high", "tokens")
-    shard = fits.repartition("anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(_shards(length, shard_tokens), "anchor long, ctx long, starts array<int>")
+    fits = sized.where(F.col("kinds") <= group_limit).select("anchor", "ctx", "low", "high", "tokens", "bits")
+    shard = fits.repartition("anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(_shards(length, shard_tokens, least), "anchor long, ctx long, starts array<int>")
     at = F.explode(F.sequence(F.lit(0), F.size("tokens") - length))
-    each = sized.where(F.col("kinds") > group_limit).select("anchor", "ctx", "low", "high", "tokens", at.alias("at"))
-    each = each.select("anchor", "ctx", "at", "low", "high", F.xxhash64(F.slice("tokens", F.col("at") + 1, length)).alias("said"))
-    again = each.groupBy("anchor", "said").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a <> b").select("anchor", "said")
-    counted = each.join(again, ["anchor", "said"]).groupBy("anchor", "ctx").agg(F.collect_set("at").alias("starts"))
+    each = sized.where(F.col("kinds") > group_limit).select("anchor", "ctx", "low", "high", "bits", "tokens", at.alias("at"))
+    each = each.select("anchor", "ctx", "at", "low", "high", "bits", F.xxhash64(F.slice("tokens", F.col("at") + 1, length)).alias("said"))
+    again = each.groupBy("anchor", "said").agg(F.min("low").alias("a"), F.max("high").alias("b"), F.bit_or("bits").alias("c")).where("a <> b")
+    again = again.where(F.bit_count("c") >= least) if least > 2 else again
+    counted = each.join(again.select("anchor", "said"), ["anchor", "said"]).groupBy("anchor", "ctx").agg(F.collect_set("at").alias("starts"))
     marks = saved(shard.unionByName(counted), "marks")
     found = runs.select("page", "anchor", "ctx", "first").join(marks, ["anchor", "ctx"])
     moved = F.transform("starts", lambda s: s + F.col("first"))
@@ -287,24 +385,45 @@ def _unique_runs(length: int):
     return F.arrow_udf(each, "string")
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", length: int = REPEATED) -> DataFrame:
+def _cut_article(length: int):
+    def each(text: pa.Array, starts: pa.Array) -> pa.Array:
+        out = []
+        for t, s in zip(text, starts):
+            if s.is_valid:
+                words = t.as_py().split(" ")
+                gone = {x + j for x in s.as_py() for j in range(length)}
+                if 2 * len(gone) <= len(words):  # else it is a near copy of other articles
+                    out.append(" ".join(w for i, w in enumerate(words) if i not in gone))
+                    continue
+            out.append(t.as_py())
+        return pa.array(out, pa.string())
+
+    each.__annotations__ = {"text": pa.Array, "starts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(each, "string")
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", length: int = REPEATED, articles: int = ARTICLES) -> DataFrame:
     """Per row: id, url, ``text``, ``n_chars``.
 
     The text is the page's ``article`` or ``main`` without navigation, headers, footers, asides, forms, adverts,
     notices, comments and scripts, which elements and class, id and role names tell. A page that declares no article
     has its other text, less what the host's suffix array finds on distinct pages of the host; of pages with the same
-    stream one counts, so copies of a page don't erase each other. An article is never cut. Character references are
-    decoded, white space is one blank, blocks are in page order. Null html has no text, a null url no host (such pages
-    are one host); repeated rows stay repeated rows; other columns are not read; an empty table gives no rows.
+    stream one counts, so copies of a page don't erase each other. An article loses what stands in ``articles`` distinct
+    articles of the host, unless that is over half of it: then they are near copies, and it stays whole. Character
+    references are decoded, white space is one blank, blocks are in page order. Null html has no text, a null url no
+    host (such pages are one host); repeated rows stay repeated rows; other columns are not read; an empty table gives
+    no rows.
     """
     read = F.arrow_udf(_annotated(_read), _PAGE).asNondeterministic()
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), read(F.col(url_col), F.col(html_col)).alias("p"))
-    rows = saved(rows.select("id", "url", "p.*", F.xxhash64("p.stream").alias("page")), "pages")
+    rows = saved(rows.select("id", "url", "p.*", F.xxhash64("p.stream").alias("page"), F.xxhash64("p.host", "p.text").alias("body")), "pages")
     streams = rows.where(F.size("stream") >= length).groupBy("page").agg(F.any_value("stream").alias("stream"))
     marks = boilerplate(streams.select("page", "stream"), length)
-    text = F.coalesce("text", _unique_runs(length)("tokens", "places", "starts"))
-    open_ = rows.where("text is null").join(marks, "page", "left").select("id", "url", text.alias("text"))
-    out = rows.where("text is not null").select("id", "url", "text").unionByName(open_)
+    open_ = rows.where("text is null").join(marks, "page", "left").select("id", "url", _unique_runs(length)("tokens", "places", "starts").alias("text"))
+    bodies = rows.where("text is not null").select(F.col("body").alias("page"), F.arrow_udf(_article_streams, "array<long>")("host", "text").alias("stream"))
+    cuts = boilerplate(bodies, length, least=articles, gram=min(GRAM, length)).withColumnRenamed("page", "body")
+    whole = rows.where("text is not null").select("id", "url", "text", "body").join(cuts, "body", "left")
+    out = open_.unionByName(whole.select("id", "url", _cut_article(length)("text", "starts").alias("text")))
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
 
 

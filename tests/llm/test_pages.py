@@ -46,6 +46,31 @@ def test_names_do_not_take_the_article_away():
     assert kinds('<div class="no-sidebar">a</div><div class="sidebar">x</div>') == [("open", "a"), ("chrome", "x")]
 
 
+def test_names_on_loose_elements():
+    for page in (
+        '<article><p>a<p class="advert">x<p>b</article>', '<article><ul><li>a<li class="share"><b>x</b><li>b</ul></article>', '<article><p>a <span class="ad">x</span> b</article>',
+        '<article><table><tr><td>a<td class="sidebar">x<tr><td>b</table></article>', '<article>a <span class="ad"><span>x</span></span> b</article>',
+        '<article>a<div><a class="promo">x</div>b</article>', '<article><p>a <i class="ad">x<p>b</article>', '<article>a<p class="notice">x<div>b</div></article>',
+    ):
+        assert kinds(page) == [("main", "a"), ("chrome", "x"), ("main", "b")], page
+    assert kinds('<article><pre>a <span class="comment">b</span></pre><table><tr><td class="header">c</table></article>') == [("main", "a b"), ("main", "c")]
+
+
+def test_boilerplate_inside_articles(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    bar = " ".join(word() for _ in range(9))
+    bodies = [" ".join(word() for _ in range(30)) for _ in range(20)]
+    rows = [("https://one.example/p", f"<nav>{bar}</nav><article><p>{b}</p><p>{bar}</p></article>") for b in bodies]
+    rows += [("https://two.example/p", f"<article><p>{b}</p><p>{bar}</p></article>") for b in bodies[:5]]  # too few to tell
+    copies = [f"{bodies[0]} {bar} {i}" for i in range(30)]
+    rows += [("https://three.example/p", f"<article>{c}</article>") for c in copies]
+    got = extracted(spark, rows)
+    assert [got[i].text for i in range(20)] == bodies
+    assert [got[i].text for i in range(20, 25)] == [f"{b} {bar}" for b in bodies[:5]]
+    assert [got[i].text for i in range(25, 55)] == copies
+
+
 def test_host_repeats_go_and_unique_runs_stay(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
