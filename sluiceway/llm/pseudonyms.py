@@ -16,13 +16,20 @@ MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,3})?(?![A-Za-z0-9])"
 PHONE = r"(?<![A-Za-z0-9])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}(?![A-Za-z0-9])"
 ABROAD = r"(?<![A-Za-z0-9+])\+[1-9][0-9]{0,2}(?:[ .()-]{1,2}[0-9]{1,9}){1,6}(?![A-Za-z0-9])"
+# Bare digit groups are a number only if no other groups stand beside them, which may be a card's.
+SPACED = r"(?<![A-Za-z0-9.+-])(?<![0-9] )[2-9][0-9]{2} [2-9][0-9]{2} [0-9]{4}(?![A-Za-z0-9]|[ -][0-9])"
+JOINED = r"(?<![A-Za-z0-9+])\+1[2-9][0-9]{2}[2-9][0-9]{6}(?![A-Za-z0-9])"
+JOINED_ABROAD = r"(?<![A-Za-z0-9+])\+[2-9][0-9]{7,14}(?![A-Za-z0-9])"
 ADDRESS = r"(?<![A-Za-z0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[A-Za-z0-9])"
 SOCIAL = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
-YEAR_FIRST = r"(?<![A-Za-z0-9./-])[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}(?![A-Za-z0-9])"
+YEAR_FIRST = r"(?<![A-Za-z0-9./-])[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}(?![A-SU-Za-z0-9]|T(?![0-9]{2}))"
 DAY_FIRST = r"(?<![A-Za-z0-9./-])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![A-Za-z0-9])"
 MONTH_FIRST = r"(?<![A-Za-z0-9./-])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![A-Za-z0-9])"
 CARD = r"(?<![A-Za-z0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])"
 
+#: Country codes of telephone numbers; others have three digits.
+_CODE = r"^\+(7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
 #: 146,097 days, a whole Gregorian cycle, which is 189 times 773.
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)
 
@@ -153,11 +160,16 @@ def _phone(v: Column, k: Keyed) -> Column:
     return _refilled(v, F.concat(before, new))
 
 
-def _abroad(v: Column, k: Keyed) -> Column:
-    code = F.regexp_extract(v, r"^\+([0-9]+)", 1)
-    d = _only_digits(v)
-    n = F.length(d) - F.length(code)
-    return F.when(n.between(6, 14), _refilled(v, F.concat(code, k.digits("abroad", d.substr(F.length(code) + 1, n)))))
+def _after(code_form: str, least: int) -> Callable[[Column, Keyed], Column]:
+    """A telephone number with the country code that the form takes from it, and at least so many other digits."""
+
+    def new(v: Column, k: Keyed) -> Column:
+        code = F.regexp_extract(v, code_form, 1)
+        d = _only_digits(v)
+        n = F.length(d) - F.length(code)
+        return F.when(n.between(least, 14), _refilled(v, F.concat(code, k.digits("abroad", d.substr(F.length(code) + 1, n)))))
+
+    return new
 
 
 def _address(v: Column, k: Keyed) -> Column:
@@ -223,7 +235,8 @@ def _mail(v: Column, k: Keyed) -> Column:
 
 
 KINDS: list[tuple[str, Callable[[Column, Keyed], Column]]] = [
-    (MAIL, _mail), (IBAN, _iban), (PHONE, _phone), (ABROAD, _abroad), (ADDRESS, _address), (SOCIAL, _social),
+    (MAIL, _mail), (IBAN, _iban), (PHONE, _phone), (SPACED, _phone), (JOINED, _phone), (ABROAD, _after(r"^\+([0-9]+)", 6)),
+    (JOINED_ABROAD, _after(_CODE, 5)), (ADDRESS, _address), (SOCIAL, _social),
     (YEAR_FIRST, _dated((1, 6, 9))), (DAY_FIRST, _dated((7, 4, 1))), (MONTH_FIRST, _dated((7, 1, 4))), (CARD, _card),
 ]
 

@@ -47,6 +47,20 @@ def test_values_keep_their_format_and_come_back(spark):
     assert rows[12].text.split(".")[::-1] == rows[10].text.split("-")
 
 
+def test_more_forms_of_numbers_and_timestamps(spark):
+    given = ["+14155552671", "415 555 2671", "at +1 (415) 555-2671.", "+49301234567", "+49 30 1234567", "2021-02-28T10:00", "2021-02-28T10:00:00Z", "on 415 555 2671 now"]
+    stay = ["2021-02-28Tx", "+11155552671", "415 555 2671 12345", "+1234567", "2021-02-30T10:00"]
+    out = pseudonyms.pseudonymise(frame(spark, given + stay), KEY)
+    rows = {r.doc_id: r for r in out.collect()}
+    back = {r.doc_id: r.text for r in pseudonyms.pseudonymise(out, KEY, back=True).collect()}
+    for i, text in enumerate(given + stay):
+        assert (rows[i].n_values, rows[i].text != text) == ((1, True) if i < len(given) else (0, False)), text
+        assert back[i] == text and shape(rows[i].text) == shape(text)
+    new = [re.sub("[^0-9]", "", rows[i].text) for i in range(5)]
+    assert new[0] == new[2] == "1" + new[1] and new[3] == new[4] and new[3].startswith("49")
+    assert rows[5].text.endswith("T10:00") and rows[6].text.endswith("T10:00:00Z") and rows[5].text[:10] == rows[6].text[:10]
+
+
 def test_cards_stay_different(spark):
     cards = []
     for n in range(3000):
