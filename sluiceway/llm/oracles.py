@@ -95,9 +95,59 @@ SELECT doc_id, size, n AS source_size, target,
 FROM p
 """
 
+# crc32 of a decimal number, bit by bit; the trees level by level, every eight neighbours at a time.
+_CRC = """list_reduce(list_prepend(4294967295, list_transform(range(1, length(CAST({0} AS VARCHAR)) + 1), lambda p: CAST(ord(substr(CAST({0} AS VARCHAR), p, 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda a, i: xor(a >> 1, 3988292384 * (a & 1))))"""
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(f) for f in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_LOW_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_LEAF.format('text')} AS leaf,
+    CASE WHEN xor({_CRC.format('doc_id')}, 4294967295) % 3 = 0 THEN {_LEAF.format(_LOW_TEXT)} END AS given
+  FROM documents
+), ranked AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY lang) AS size,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM leaves
+), nodes AS (
+  SELECT 0 AS k, g, i, leaf AS digest, size AS n FROM ranked
+  UNION ALL
+  SELECT k + 1, g, i // 8, sha256(string_agg(digest, '' ORDER BY i)), (max(n) + 7) // 8 FROM nodes WHERE n > 1 GROUP BY k, g, i // 8
+), subroots AS (
+  SELECT g, k AS height, digest FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS k, g AS i, digest, (SELECT count(*) FROM subroots) AS n FROM subroots
+  UNION ALL
+  SELECT k + 1, i // 8, sha256(string_agg(digest, '' ORDER BY i)), (max(n) + 7) // 8 FROM upper WHERE n > 1 GROUP BY k, i // 8
+), steps AS (
+  SELECT r.g, r.i, s.k, coalesce(string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i < r.i // CAST(8 ** s.k AS BIGINT)), '') AS l,
+    coalesce(string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i > r.i // CAST(8 ** s.k AS BIGINT)), '') AS r
+  FROM ranked r JOIN nodes s ON s.g = r.g AND s.n > 1 AND s.i // 8 = r.i // CAST(8 ** (s.k + 1) AS BIGINT) GROUP BY r.g, r.i, s.k
+  UNION ALL
+  SELECT r.g, r.i, t.height + s.k, coalesce(string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i < r.g // CAST(8 ** s.k AS BIGINT)), ''),
+    coalesce(string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i > r.g // CAST(8 ** s.k AS BIGINT)), '')
+  FROM ranked r JOIN subroots t ON t.g = r.g JOIN upper s ON s.n > 1 AND s.i // 8 = r.g // CAST(8 ** (s.k + 1) AS BIGINT) GROUP BY r.g, r.i, t.height, s.k
+), proofs AS (
+  SELECT g, i, sha256(string_agg(l || r, '' ORDER BY k)) AS proof FROM steps GROUP BY g, i
+), folds AS (
+  SELECT g, i, 0 AS k, coalesce(given, leaf) AS digest FROM ranked
+  UNION ALL
+  SELECT f.g, f.i, f.k + 1, sha256(s.l || f.digest || s.r) FROM folds f JOIN steps s ON s.g = f.g AND s.i = f.i AND s.k = f.k
+), folded AS (
+  SELECT g, i, arg_max(digest, k) AS digest FROM folds GROUP BY g, i
+), root AS (
+  SELECT digest FROM upper WHERE n = 1
+)
+SELECT doc_id, leaf, t.digest AS subroot, root.digest AS root, coalesce(proof, sha256('')) AS proof_sha256, f.digest AS folded_root,
+  f.digest = root.digest AS verified
+FROM ranked r JOIN subroots t USING (g) JOIN folded f USING (g, i) LEFT JOIN proofs p USING (g, i), root
+"""
+
 ORACLES: dict[str, str] = {
     "op5_va_top_k": _TOP_K,
     "op7_source_schedule": _MIX,
     "op8_warc_records": _WARC,
     "op9_winnowed_contamination": _CONTAMINATION,
+    "op13_interval_manifest": _MERKLE,
 }

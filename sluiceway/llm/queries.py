@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import decontaminate, mixing, pages, pseudonyms, quality, repeats, simhash, tokens, vectors, warc
+from sluiceway.llm import decontaminate, merkle, mixing, pages, pseudonyms, quality, repeats, simhash, tokens, vectors, warc
 from sluiceway.llm.arrow import table
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.vocabularies import vocabulary
@@ -55,6 +55,10 @@ def op10_bk_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op13_interval_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_run_length_index": op1_run_length_index,
     "op2_rans_tokens": op2_rans_tokens,
@@ -66,4 +70,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_records": op8_warc_records,
     "op9_winnowed_contamination": op9_winnowed_contamination,
     "op10_bk_simhash": op10_bk_simhash,
+    "op13_interval_manifest": op13_interval_manifest,
 }
