@@ -17,6 +17,27 @@ WITH v AS (
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE n <= 10
 """
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.e) = len(c.e)
+), near AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM pairs WHERE same
+), hard AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, c.vec_id AS negative_id, p.score AS positive_score, c.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY c.score DESC, c.vec_id) AS n
+  FROM near p JOIN pairs c ON p.n <= 5 AND c.anchor_id = p.anchor_id AND NOT c.same AND 80 * p.score <= 100 * c.score AND c.score <= p.score
+)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE n <= 5
+"""
+
 # Base32 of 20 bytes: four groups of 40 bits, of which each gives eight letters.
 _WARC = """
 WITH p AS (
@@ -149,5 +170,6 @@ ORACLES: dict[str, str] = {
     "op7_source_schedule": _MIX,
     "op8_warc_records": _WARC,
     "op9_winnowed_contamination": _CONTAMINATION,
+    "op11_l2ap_negatives": _NEGATIVES,
     "op13_interval_manifest": _MERKLE,
 }

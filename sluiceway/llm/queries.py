@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluiceway.llm import decontaminate, merkle, mixing, pages, pseudonyms, quality, repeats, simhash, tokens, vectors, warc
+from sluiceway.llm import decontaminate, merkle, mixing, negatives, pages, pseudonyms, quality, repeats, simhash, tokens, vectors, warc
 from sluiceway.llm.arrow import table
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.vocabularies import vocabulary
@@ -55,6 +56,11 @@ def op10_bk_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op11_l2ap_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf, "embeddings"), relabelled)
+
+
 def op13_interval_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.manifest(table(spark, sf, "documents"))
 
@@ -70,5 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_records": op8_warc_records,
     "op9_winnowed_contamination": op9_winnowed_contamination,
     "op10_bk_simhash": op10_bk_simhash,
+    "op11_l2ap_negatives": op11_l2ap_negatives,
     "op13_interval_manifest": op13_interval_manifest,
 }
