@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontaminate, merkle, mixing, negatives, pages, pseudonyms, quality, repeats, simhash, tokens, vectors, warc
+from sluiceway.llm import decontaminate, language, merkle, mixing, negatives, pages, pseudonyms, quality, repeats, simhash, tokens, vectors, warc
 from sluiceway.llm.arrow import table
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.vocabularies import vocabulary
@@ -61,6 +61,10 @@ def op11_l2ap_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return negatives.mine(table(spark, sf, "embeddings"), relabelled)
 
 
+def op12_attention_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return language.score(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op13_interval_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.manifest(table(spark, sf, "documents"))
 
@@ -77,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_winnowed_contamination": op9_winnowed_contamination,
     "op10_bk_simhash": op10_bk_simhash,
     "op11_l2ap_negatives": op11_l2ap_negatives,
+    "op12_attention_scores": op12_attention_scores,
     "op13_interval_manifest": op13_interval_manifest,
 }
