@@ -2,12 +2,15 @@
 
 * ``running``: running count, sum, minimum or maximum per key in a given order. A key with more rows than one task
   should have is cut into ranges of the order column, every range is scanned by its own task, and the totals of the
-  earlier ranges (one small row per key and range) are added back. So is a whole table without a key.
+  earlier ranges (one small row per key and range) are added back. A whole table without a key is range partitioned
+  by Spark and scanned partition by partition in the same way.
 * ``lookup``: an equi join against a side with few rows per key.
 
 How many rows a task should have is an absolute number, so the layout holds at any table size. Which keys exceed it
-and where their cuts lie is estimated from one sample; that only changes how work is spread, never the answer. The
-cuts are rows of a local table, so a recomputed task sees the same layout. All rows go through the plan itself.
+is estimated from a sample, and where a key's cuts lie from a quantile sketch of bounded size, a random sample of its
+values that the aggregation merges. That only changes how work is spread, never the answer. Cuts and range numbers are
+written once to the shared folder and joined by Spark, so a recomputed task sees the same layout and nothing that grows
+with the rows comes to the driver or stands beside a row. All rows go through the plan itself.
 """
 
 from __future__ import annotations
@@ -19,8 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.session import fresh_dir
+
 # Sampled rows for each task's worth of rows.
 SAMPLED = 200
+# Cuts of one key at most, and values in its sketch.
+MOST_CUTS = 1 << 14
+SKETCH = 1 << 16
 
 _PIECE = "__piece"
 _HASH = "__hash"
@@ -41,26 +49,39 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("bigint")
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder, and read from there."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hot_cuts(df: DataFrame, keys: Sequence[str], order: str, skew: Skew = DEFAULT_SKEW) -> DataFrame | None:
     """``(__hash, __cuts)`` of every hot key: its sorted cut points on the order column. None if no key is hot.
 
-    One job over a sample. A key's cuts are as many as its rows need, and whole values, however long their common
-    beginning. Without keys the table is one sequence. A hash collision only splits one more key.
+    One job reads the rows and writes a sample. A hot key's sketch is a random sample of at most about ``SKETCH`` of
+    its sampled values, however many they are; its cuts are evenly spaced values of it, as many as its rows need and
+    at most ``MOST_CUTS``, and whole values, however long their common beginning. The table of cuts is written, not
+    collected. A hash collision only splits one more key.
     """
     share = min(1.0, SAMPLED / skew.hot_rows)
     rows = df.select(key_hash(keys).alias(_HASH), F.col(order).alias("at")).where(F.col("at").isNotNull())
-    seen = rows.sample(share, seed=7) if share < 1 else rows
-    step = max(1, int(skew.hot_rows * share) // 2)
+    seen = written(rows.sample(share, seed=7) if share < 1 else rows, "sample")
     counts = seen.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > skew.hot_rows * share)
-    place = F.row_number().over(Window.partitionBy(_HASH).orderBy("at"))
-    picked = seen.join(counts.select(_HASH), _HASH).withColumn("n", place).where(F.col("n") % step == 0)
-    points = picked.groupBy(_HASH).agg(F.array_sort(F.collect_set("at")).alias(_CUTS))
-    found = points.collect()
-    return df.sparkSession.createDataFrame(found, points.schema) if found else None
+    if counts.isEmpty():
+        return None
+    step = max(1, int(skew.hot_rows * share) // 2)
+    kept = seen.join(counts, _HASH).where((F.col("n") <= SKETCH) | (F.rand(11) * F.col("n") < SKETCH))
+    sketch = kept.groupBy(_HASH).agg(F.array_sort(F.collect_list("at")).alias("values"), F.max("n").alias("n"))
+    cuts = F.least(F.expr(f"n div {step}"), F.size("values").cast("bigint"), F.lit(MOST_CUTS).cast("bigint"))
+    sketch = sketch.withColumn("__number", cuts)
+    at = lambda i: F.get("values", (F.floor(i * F.size("values") / F.col("__number")) - 1).cast("int"))
+    points = F.array_distinct(F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("__number")), at))
+    return written(sketch.select(_HASH, points.alias(_CUTS)), "cuts")
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], order: str, skew: Skew = DEFAULT_SKEW) -> list[int]:
-    """Hashes of the hot keys."""
+    """Hashes of the hot keys, to look at; no operator needs them."""
     cuts = hot_cuts(df, keys, order, skew)
     return [] if cuts is None else [r[_HASH] for r in cuts.select(_HASH).collect()]
 
@@ -78,6 +99,12 @@ def with_piece(df: DataFrame, value: Column, cuts: str, most: int) -> DataFrame:
     return found
 
 
+def _exceeds(df: DataFrame, skew: Skew) -> bool:
+    """Whether the table has more rows than one task should have, by a sample."""
+    share = min(1.0, SAMPLED / skew.hot_rows)
+    return (df.sample(share, seed=7) if share < 1 else df).count() > skew.hot_rows * share
+
+
 def _aggregate(how: str, value: Column) -> Column:
     return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}[how](value)
 
@@ -102,10 +129,10 @@ def running(
 
     ``how`` is count, sum, min or max. Without ``inclusive`` a row sees only the rows before it. The order
     columns together must be unique per key; the first one should be close to unique, it carries the cuts.
-    With no keys the whole table is one sequence. Types are those of the plain window, split or not; sums of
-    doubles are rounded in an order that depends on the cuts, so use exact types where that matters.
-    ``df`` is evaluated once for the sample and twice in the plan; checkpoint it first if it is costly or not
-    deterministic.
+    With no keys the whole table is one sequence, and if it is split its columns must fit into Parquet. Types are those
+    of the plain window, split or not; sums of doubles are rounded in an order that depends on the cuts, so use exact
+    types where that matters. ``df`` is evaluated once for the sample and, with keys, twice in the plan; checkpoint it
+    first if it is costly or not deterministic.
     """
     if df.isStreaming:
         raise ValueError("a stream has no end to order by; see sluiceway.streaming.stateful")
@@ -113,19 +140,21 @@ def running(
     last = Window.currentRow if inclusive else -1
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     plain = df.withColumns({n: _aggregate(how, v).over(frame) for n, (how, v) in measures.items()})
-    cuts = hot_cuts(df, keys, order[0], skew)
-    if cuts is None:
-        return plain
-
-    most = cuts.agg(F.max(F.size(_CUTS))).first()[0]
     if keys:
-        known = df.withColumn(_HASH, key_hash(keys)).join(cuts, _HASH, "left")
+        cuts = hot_cuts(df, keys, order[0], skew)
+        if cuts is None:
+            return plain
+        most = cuts.agg(F.max(F.size(_CUTS))).first()[0]
+        cut = with_piece(df.withColumn(_HASH, key_hash(keys)).join(cuts, _HASH, "left"), F.col(order[0]), _CUTS, most)
+        split = F.col(_CUTS).isNotNull()
     else:
-        known = df.withColumn(_CUTS, cuts.select(_CUTS).scalar())
-    cut = with_piece(known, F.col(order[0]), _CUTS, most)
+        if not _exceeds(df, skew):
+            return plain
+        ranged = df.repartitionByRange(*order)
+        cut, split = written(ranged.withColumn(_PIECE, F.spark_partition_id()), "ranges"), F.lit(True)
     side_keys = [f"__key{i}" for i in range(len(keys))]
     totals = (
-        cut.filter(F.col(_CUTS).isNotNull())
+        cut.filter(split)
         .groupBy(*[F.col(k).alias(s) for k, s in zip(keys, side_keys)], F.col(_PIECE).alias("__side_piece"))
         .agg(*[_aggregate(how, v).alias(f"__total_{n}") for n, (how, v) in measures.items()])
     )

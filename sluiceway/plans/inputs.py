@@ -33,8 +33,9 @@ def dollars(amount: str) -> Column:
     return F.col(amount).cast("double") / F.lit(100.0)
 
 
-def joined(values: str) -> Column:
-    return F.array_join(F.transform(values, lambda v: v.cast("string")), ",")
+def joined(values: str, ordered: bool = False) -> Column:
+    listed = F.sort_array(values) if ordered else F.col(values)
+    return F.array_join(F.transform(listed, lambda v: v.cast("string")), ",")
 
 
 def prefixed(prefix: str) -> Callable[[DataFrame], DataFrame]:

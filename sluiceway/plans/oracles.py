@@ -349,3 +349,63 @@ ORACLES |= {
     f"{name}_split": ORACLES[name]
     for name in ("batches", "global_batches", "group_values", "map_state_fold", "backlog", "panes_accumulating")
 }
+
+
+def _bounded(key: str, count: int, wait: str, last: str, window: str | None = None) -> str:
+    """Panes one after the other: each row's successor, and what the first row reaches. ``last``: just below the wait."""
+    keys = "key, window_start" if window else "key"
+    end = f"window_start + INTERVAL '{window}'" if window else "NULL"
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT {key} AS key, event_id, ts, {bucket(window) if window else 'NULL'} AS window_start FROM events
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ts, event_id) - 1 AS p, count(*) OVER (PARTITION BY {keys}) AS size,
+    count(*) OVER (PARTITION BY {keys} ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL '{last}' FOLLOWING) AS due
+  FROM e
+), panes AS (
+  SELECT key, window_start, 0 AS pane, 0 AS p FROM placed WHERE p = 0
+  UNION ALL
+  SELECT s.key, s.window_start, s.pane + 1, least(n.p + {count}, n.due)
+  FROM panes s JOIN placed n ON n.key = s.key AND n.window_start IS NOT DISTINCT FROM s.window_start AND n.p = s.p
+  WHERE least(n.p + {count}, n.due) < n.size
+), spans AS (
+  SELECT *, lead(p) OVER (PARTITION BY {keys} ORDER BY pane) AS stop FROM panes
+), made AS (
+  SELECT s.key, s.window_start, s.pane, count(*) AS n, min(e.ts) AS opened, max(e.ts) AS last,
+    string_agg(CAST(e.event_id AS VARCHAR), ',' ORDER BY e.p) AS event_ids
+  FROM spans s JOIN placed e ON e.key = s.key AND e.window_start IS NOT DISTINCT FROM s.window_start AND e.p >= s.p AND (stop IS NULL OR e.p < stop)
+  GROUP BY 1, 2, 3
+)
+SELECT key AS {key}, {'window_start, ' if window else ''}CAST(pane AS BIGINT) AS pane,
+  CASE WHEN n = {count} THEN 'size' WHEN opened + INTERVAL '{wait}' >= {end} THEN 'window' ELSE 'wait' END AS ended_by,
+  CASE WHEN n = {count} THEN last ELSE least(opened + INTERVAL '{wait}', {end}) END AS fired_at, event_ids
+FROM made"""
+
+
+_LATE_PANES = f"""
+WITH arrived AS (
+  SELECT event_id, ts, event_type, least(event_id * 4 // (SELECT max(event_id) + 1 FROM events) + CAST(event_id % 5 = 0 AS INTEGER), 3) AS chunk FROM events
+), marks AS (
+  SELECT chunk + 1 AS chunk, max(max(ts)) OVER (ORDER BY chunk) AS mark FROM arrived GROUP BY chunk
+), judged AS (
+  SELECT a.*, {bucket('12 hours')} AS window_start, mark FROM arrived a LEFT JOIN marks USING (chunk)
+), kept AS (
+  SELECT *, CASE WHEN mark IS NULL OR window_start + INTERVAL '12 hours' > mark THEN -1 ELSE chunk END AS fired FROM judged
+  WHERE mark IS NULL OR window_start + INTERVAL '12 hours' + INTERVAL '6 days' > mark
+), made AS (
+  SELECT event_type, window_start, fired, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS event_ids FROM kept GROUP BY 1, 2, 3
+)
+SELECT event_type, window_start, row_number() OVER w - 1 AS pane, CASE WHEN fired < 0 THEN 'ON_TIME' ELSE 'LATE' END AS timing, event_ids,
+  CAST(sum(n) OVER w AS BIGINT) AS seen
+FROM made WINDOW w AS (PARTITION BY event_type, window_start ORDER BY fired)
+UNION ALL
+SELECT event_type, window_start, count(*), 'EXPIRED', '', CAST(sum(n) AS BIGINT) FROM made GROUP BY 1, 2"""
+
+_TYPE_BATCHES = _bounded("event_type", 20, "3 hours", "2 hours 59 minutes 59.999999 seconds", "1 day")
+ORACLES |= {
+    "trigger_any": _bounded("user_id", 5, "36 hours", "35 hours 59 minutes 59.999999 seconds"),
+    "trigger_any_split": _bounded("user_id", 5, "36 hours", "35 hours 59 minutes 59.999999 seconds"),
+    "bounded_batches": _TYPE_BATCHES,
+    "stream_bounded_batches": f"SELECT event_type, window_start, ended_by, fired_at, event_ids FROM ({_TYPE_BATCHES})",
+    "stream_late_panes": _LATE_PANES,
+}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions import render, sharding
-from sluiceway.operators import branch, elements, group, shuffle, side, state, windows
+from sluiceway.operators import branch, elements, group, shuffle, side, state, triggers, windows
 from sluiceway.operators.skew import DEFAULT_SKEW, Skew
 from sluiceway.plans import inputs
 from sluiceway.plans.inputs import cents, dollars, joined, table
@@ -510,6 +510,26 @@ def timer_family_fires(spark: SparkSession, sf: str) -> DataFrame:
     return state.idle_fires(events, ["user_id", "event_type"], "ts", ["event_id"], "1 DAY", Skew(hot_rows=20))
 
 
+def _triggered(spark: SparkSession, sf: str, skew: Skew) -> DataFrame:
+    events = table(spark, sf, "events").select("user_id", "event_id", "ts")
+    made = triggers.bounded_batches(events, ["user_id"], "ts", ["event_id"], "event_id", 5, "36 HOURS", skew=skew)
+    return made.select("user_id", "pane", "ended_by", "fired_at", joined("values").alias("event_ids"))
+
+
+def trigger_any(spark: SparkSession, sf: str) -> DataFrame:
+    """Panes of five events, or of what comes within 36 hours of the first."""
+    return _triggered(spark, sf, DEFAULT_SKEW)
+
+
+def bounded_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of an event type's day: twenty events, three hours after the first, or the day's end."""
+    placed = windows.window_meta(windows.fixed_window(table(spark, sf, "events"), "ts", DAY))
+    made = triggers.bounded_batches(
+        placed, ["event_type", "window_start", "window_end"], "ts", ["event_id"], "event_id", 20, "3 HOURS", "window_end"
+    )
+    return made.select("event_type", "window_start", "pane", "ended_by", "fired_at", joined("values").alias("event_ids"))
+
+
 # The same with every key split: so few rows for a task that the keys of small tables are hot.
 SPLIT = Skew(hot_rows=4)
 
@@ -542,6 +562,10 @@ def panes_accumulating_split(spark: SparkSession, sf: str) -> DataFrame:
     return windows.panes(events, ["user_id"], ["event_id"], 5, "cents", discarding=False, skew=SPLIT)
 
 
+def trigger_any_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _triggered(spark, sf, Skew(hot_rows=20))
+
+
 BATCH_QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -558,7 +582,8 @@ BATCH_QUERIES = {
         multimap_entries, multimap_at_expiry, growing_output,
         dynamic_write, json_lines, row_json, sharded_text, compressed_text, compressed_table,
         validated_append, routed_append, routed_append_defaults, insert_or_reject, to_cells,
-        window_batches, idle_timer_fires, timer_family_fires,
+        window_batches, idle_timer_fires, timer_family_fires, trigger_any, bounded_batches,
         batches_split, global_batches_split, group_values_split, map_state_fold_split, backlog_split, panes_accumulating_split,
+        trigger_any_split,
     )
 }

@@ -13,7 +13,7 @@ from sluiceway.session import fresh_dir, stream_session
 from sluiceway.sinks import files
 from sluiceway.sources import batch as sources
 from sluiceway.sources import stream
-from sluiceway.streaming import panes, replay
+from sluiceway.streaming import panes, replay, timed
 
 HOUR = "1 hour"
 LATENESS = "2 hours"
@@ -195,11 +195,55 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def _delayed(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Events in the order of their time in four chunks, but every fifth comes a chunk later."""
+    events = table(spark, sf, "events").select("event_id", "ts", "event_type")
+    size = events.agg(F.max("event_id").alias("last")).first()["last"] + 1
+    chunk = F.floor(F.col("event_id") * 4 / size) + (F.col("event_id") % 5 == 0).cast("int")
+    return [events.filter(F.least(chunk, F.lit(3)) == i) for i in range(4)]
+
+
+def stream_late_panes(spark: SparkSession, sf: str) -> DataFrame:
+    """On-time and late panes of each event type's half days, with six days of lateness, and where their state ends."""
+    session, out = stream_session(spark), fresh_dir(spark, "out")
+
+    def job(events: DataFrame, checkpoint: str):
+        found = timed.stream_panes(panes.event_time(events, "ts"), ["event_type"], "ts", "12 hours", "6 days", "event_id")
+        rows = found.select(
+            "event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "pane", "timing",
+            inputs.joined("values", ordered=True).alias("event_ids"), "seen",
+        )
+        return panes.stream_append(rows, out, checkpoint, every=None)
+
+    replay.replay(session, _delayed(session, sf), job, drain="ts")
+    return spark.read.parquet(out)
+
+
+def stream_bounded_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The batches of ``bounded_batches``, on a stream that brings the events in three chunks."""
+    session, out = stream_session(spark), fresh_dir(spark, "out")
+
+    def job(events: DataFrame, checkpoint: str):
+        marked = panes.event_time(events, "ts").withWatermark("ts", "1 hour")
+        made = timed.stream_bounded_batches(marked, ["event_type"], "ts", "event_id", 20, "3 hours", "1 day")
+        rows = made.select(
+            "event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "ended_by",
+            F.col("fired_at").cast("timestamp_ntz").alias("fired_at"), inputs.joined("values").alias("event_ids"),
+        )
+        return panes.stream_append(rows, out, checkpoint, every=None)
+
+    events = table(session, sf, "events").select("event_id", "ts", "event_type")
+    size = events.agg(F.max("event_id").alias("last")).first()["last"] + 1
+    third = F.floor(F.col("event_id") * 3 / size)
+    replay.replay(session, [events.filter(third == i) for i in range(3)], job, drain="ts")
+    return spark.read.parquet(out)
+
+
 STREAM_QUERIES = {
     fn.__name__: fn
     for fn in (
         stream_window_complete, stream_window_append, stream_rolled_windows, stream_late_dropped, stream_stateless_late,
         stream_trigger_update, stream_discarding, stream_static_side, stream_word_count, stream_messages,
-        stream_collect_windows,
+        stream_collect_windows, stream_late_panes, stream_bounded_batches,
     )
 }

@@ -12,8 +12,8 @@ from sluiceway.session import fresh_dir
 from sluiceway.sources.stream import table_stream
 
 
-# Later than any event: the time at which a bounded stream has ended.
-END_OF_TIME = "9000-01-01 00:00:00"
+# Later than any event, and within what pandas can hold: the time at which a bounded stream has ended.
+END_OF_TIME = "2200-01-01 00:00:00"
 
 
 def end_row(session: SparkSession, schema, ts: str) -> DataFrame:

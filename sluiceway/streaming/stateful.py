@@ -16,7 +16,7 @@ from itertools import islice
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -54,10 +54,33 @@ def _schema(df: DataFrame, keys: Sequence[str], *fields: tuple[str, T.DataType])
     return T.StructType([df.schema[k] for k in keys] + [T.StructField(n, t) for n, t in fields])
 
 
+def _not_null(key: str, dtype: T.DataType) -> Column:
+    fill = {"string": F.lit(""), "boolean": F.lit(False), "date": F.lit("1970-01-01"), "timestamp_ntz": F.lit("1970-01-01 00:00:00")}
+    return F.coalesce(F.col(key), fill.get(dtype.typeName(), F.lit(0)).cast(dtype))
+
+
+def _listed(batch: pd.DataFrame, column: str, dtype: T.DataType) -> list:
+    """A column's values, whole numbers beside nulls as whole numbers again."""
+    values = batch[column].tolist()
+    if isinstance(dtype, T.IntegralType) and batch[column].dtype.kind == "f":
+        return [None if v != v else int(v) for v in values]
+    return values
+
+
 def _run(df: DataFrame, keys: Sequence[str], processor: _Processor, time_mode: str) -> DataFrame:
-    return df.groupBy(*keys).transformWithStateInPandas(
+    """Which keys are null is a key of its own, and the keys themselves are never null to Python: pandas would turn a
+    column of whole numbers with a null into floats, which the state client then takes for nulls."""
+    bits = F.lit(0)
+    for i, key in enumerate(keys):
+        bits = bits + F.col(key).isNull().cast("int") * (1 << i)
+    schema = processor.schema
+    processor.schema = T.StructType([T.StructField("null_keys", T.IntegerType()), *schema.fields])
+    marked = df.withColumn("null_keys", bits).withColumns({k: _not_null(k, df.schema[k].dataType) for k in keys if df.schema[k].nullable})
+    found = marked.groupBy("null_keys", *keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.schema, outputMode="Append", timeMode=time_mode
     )
+    real = [F.when(F.col("null_keys").bitwiseAND(1 << i) == 0, F.col(key)).alias(key) for i, key in enumerate(keys)]
+    return found.select(*real, *schema.names[len(keys) :])
 
 
 def _windowed(df: DataFrame, ts: str, size: str) -> DataFrame:
@@ -86,7 +109,7 @@ class CollectUntilWindowEnd(_Processor):
 
     def handleInputRows(self, key, rows, timerValues):
         for batch in rows:
-            self.values.appendList([(v,) for v in batch[self.value].tolist()])
+            self.values.appendList([(v,) for v in _listed(batch, self.value, self.dtype)])
             if not self.armed.exists():
                 # The window's last instant: its end is the second last key column.
                 at = int(pd.Timestamp(key[-2]).timestamp() * 1000) - 1
@@ -149,7 +172,7 @@ class BatchUp(_Processor):
         waiting = self.count.get()[0] if self.count.exists() else 0
         before = waiting
         for batch in rows:
-            values = batch[self.value].tolist()
+            values = _listed(batch, self.value, self.dtype)
             while waiting + len(values) >= self.size:
                 take = self.size - waiting
                 held = [v[0] for v in self.values.get()] if waiting else []

@@ -192,3 +192,37 @@ def test_a_fold_does_not_depend_on_its_pages(spark, page_rows):
     assert mean.collect() == [(1, 499.5)]
     with pytest.raises(ValueError, match="neutral"):
         group.combine_grouped(rows, ["k"], "v", F.lit(5).cast("bigint"), lambda a, v: a + v, lambda a, b: a + b, "s", page_rows=page_rows)
+
+
+def test_the_sketch_and_the_cuts_of_a_key_are_bounded(spark, monkeypatch):
+    """However many rows a key has: few values are kept of it, and the ranges still have about the same size."""
+    monkeypatch.setattr(skew, "SKETCH", 800)
+    monkeypatch.setattr(skew, "MOST_CUTS", 40)
+    rows = spark.range(0, 20_000, 1, 8).select("id", F.lit(1).alias("k"), F.lit("x").alias("name"))
+    cuts = skew.hot_cuts(rows, ["k"], "id", EAGER)
+    points = cuts.first()["__cuts"]
+    assert len(points) == 40 and max(b - a for a, b in zip([0, *points], [*points, 20_000])) < 3 * 500
+    placed = skew.positions(rows, ["k"], ["id"], skew=EAGER)
+    assert placed.where("position <> id").isEmpty() and placed.count() == 20_000
+
+
+def test_cuts_are_read_from_a_written_table(spark, hot, capsys):
+    skew.hot_cuts(hot, ["k"], "event_id", EAGER).explain()
+    text = capsys.readouterr().out
+    assert "FileScan" in text and "Window" not in text and "LocalTableScan" not in text
+    skew.positions(hot, ["k"], ["event_id"], skew=EAGER).explain("extended")
+    text = capsys.readouterr().out
+    assert "LocalRelation" not in text and "Window [row_number" not in text.split("Physical Plan")[0]
+
+
+def test_a_whole_table_is_cut_by_range_partitions(spark, hot, capsys):
+    named = hot.select("event_id", "name", F.when(F.col("event_id") % 4 == 0, F.col("ts")).alias("at"))
+    rows = skew.running(named, [], ["at", "event_id"], {"n": ("count", F.lit(1)), "hi": ("max", F.col("name"))}, skew=EAGER)
+    got = [tuple(r) for r in rows.orderBy("n").select("event_id", "n", "hi").collect()]
+    want, top = [], ""
+    for i, r in enumerate(sorted(named.collect(), key=lambda r: (r["at"] is not None, r["at"] or 0, r["event_id"]))):
+        top = max(top, r["name"])
+        want.append((r["event_id"], i + 1, top))
+    assert got == want
+    rows.explain()
+    assert capsys.readouterr().out.count("SinglePartition") <= 1
