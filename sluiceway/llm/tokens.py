@@ -60,7 +60,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.code = "H" if self.vocabulary <= 1 << 16 else "I"
         self.chars = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in " " + _LETTERS}
@@ -89,7 +89,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         of, out, waiting, new = self.known.__getitem__, [], [], set()
         for text in texts:
-            if text[:1].isspace() or text[-1:].isspace() or any(c in text for c in _UNUSUAL):
+            if any(s in text for s in self.special):  # cut before everything else
+                pieces = [text]
+            elif text[:1].isspace() or text[-1:].isspace() or any(c in text for c in _UNUSUAL):
                 pieces = [text] if _OPAQUE.search(text) else _PIECES.findall(text)
             else:
                 pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if text else []

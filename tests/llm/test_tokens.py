@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from sluiceway.llm import queries, tokens
 from sluiceway.llm.arrow import table
@@ -14,12 +15,12 @@ from sluiceway.session import fresh_dir
 PATH = vocabulary("byte_bpe_50k.json")
 ODD = [
     "", " ", "\n", "a\n\nb", " lead", "trail ", "tab\tx", "a  b   c", "don't I'll", "x\x1cy z", "nul\0z a", "\xa0 b\xa0c", "日本 語　x", "a \n b",
-    "<|endoftext|> x", "\r\n\r\n a", "1234 5.6\n\n", "naïve*** Öl,, ªb µm straße!? it's (so) x_y ×÷ ÀÖØöøÿ", "é́   b",
+    "<|endoftext|> x", "hello <|endoftext|> there", "a  <|endoftext|>\n\nb<|endoftext|>", "\r\n\r\n a", "1234 5.6\n\n", "naïve*** Öl,, ªb µm straße!? it's (so) x_y ×÷ ÀÖØöøÿ", "é́   b",
 ]
 
 
 def want(texts):
-    coder = tokens.encoder(PATH).tokenizer
+    coder = Tokenizer.from_file(PATH)
     out, start = [], 0
     for i, t in texts:
         ids = np.array(coder.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
