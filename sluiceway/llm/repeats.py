@@ -223,8 +223,8 @@ def crowded_marks(contexts: DataFrame, length: int) -> DataFrame:
     asked = asked.groupBy("anchor", "ctx").agg(F.collect_list(F.struct("probe", "block", "weight", "at", "n")).alias("wanted"))
     each = contexts.join(asked, ["anchor", "ctx"]).select("bytes", "wanted")
     each = saved(each.mapInArrow(_windows_of_blocks(length), "probe long, block long, off long, said long, weight long"), "windows")
-    again = saved(each.groupBy("said").agg(F.sum("weight").alias("w")).where("w > 1").drop("w"), "again")
-    found = each.join(again, "said").groupBy("probe", "block").agg(F.collect_set("off").alias("off"))
+    again = saved(each.groupBy("probe", "said").agg(F.sum("weight").alias("w")).where("w > 1").drop("w"), "again")
+    found = each.join(again, ["probe", "said"]).groupBy("probe", "block").agg(F.collect_set("off").alias("off"))
     whole = kinds.where("weight > 1").select("probe", "block", F.lit(True).alias("whole"))
     marks = saved(whole.join(found, ["probe", "block"], "full"), "block marks")
     starts = F.when(F.col("whole"), F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).otherwise(F.col("off"))
