@@ -45,6 +45,7 @@ def shares(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WEIGH
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block_words: int = BLOCK_WORDS, seed: int = 17,
+    row_col: str | None = None,
 ) -> DataFrame:
     """Per row: id, ``size``, ``source_size``, ``target``, ``taken`` (words the mix takes of it, repeats counted:
     ``taken // size`` times all of it, and of one document per source its first ``taken % size`` words once more).
@@ -54,18 +55,22 @@ def mix(
     shuffled words, from the start again after the last, until its target is met (whole words, rounded down).
     No document is taken more than ``most`` times. Order and blocks depend on the rows' contents and ``seed`` only.
     Null or blank texts have size 0 and nothing taken; null ids are shuffled by their text; repeated rows are
-    documents of their own; other columns are not read. An empty table gives no rows.
+    documents of their own; other columns are not read. An empty table gives no rows. ``row_col``, a number of the row,
+    comes back beside its id where it is given.
     """
+    kept = [F.col(row_col).alias("row")] if row_col else []
+    also = ["row"] if row_col else []
     name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null|"), F.coalesce(F.col(text_col), F.lit(""))))
     rows = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        *kept, F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), name)), 1, 15), 16, 10).cast("long").alias("order"),
     )
     rows = saved(rows.withColumn("bucket", F.shiftright("order", 60 - BUCKET_BITS)), "sizes")
     table = _sources(rows, weights, most)
     spark = docs.sparkSession
     if not table:
-        return spark.createDataFrame([], f"{id_col} {rows.schema['id'].dataType.simpleString()}, size long, source_size long, target double, taken long")
+        numbers = f"{row_col} long, " if row_col else ""
+        return spark.createDataFrame([], f"{numbers}{id_col} {rows.schema['id'].dataType.simpleString()}, size long, source_size long, target double, taken long")
     plan = spark.createDataFrame(table, "source string, s int, source_size long, target double")
     takes = _takes(spark, table, block_words)
     rows = rows.join(F.broadcast(plan.select("source", "s", "source_size", "target")), rows["source"].eqNullSafe(plan["source"])).drop("source")
@@ -73,11 +78,11 @@ def mix(
     sums = rows.groupBy("s", "bucket").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("s", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("s", "bucket").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("s", "bucket").orderBy("order", "id", "size", *also).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("begin", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(sums, ["s", "bucket"])
     placed = placed.withColumn("begin", F.col("begin") + F.col("base"))
     pieces = placed.where("size > 0").select(
-        "id", "size", "source_size", "target", "s", "begin",
+        *also, "id", "size", "source_size", "target", "s", "begin",
         F.explode(F.sequence(F.floor(F.col("begin") / block_words), F.floor((F.col("begin") + F.col("size") - 1) / block_words))).alias("block"),
     )
     joined = pieces.join(takes, ["s", "block"], "left")
@@ -86,19 +91,20 @@ def mix(
     cut = F.col("block") * block_words + F.coalesce("part", F.lit(0))
     full = F.coalesce("full", F.lit(0))
     taken = full * (to - from_) + F.greatest(F.lit(0), F.least(to, cut) - from_)
-    summed = joined.groupBy("s", "begin", "id", "size", "source_size", "target").agg(
+    summed = joined.groupBy("s", "begin", *also, "id", "size", "source_size", "target").agg(
         F.sum(taken).alias("taken")
     )
-    empty = placed.where("size = 0").select("id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+    empty = placed.where("size = 0").select(*also, "id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     out = summed.select(empty.columns).unionByName(empty)
-    return out.withColumnRenamed("id", id_col)
+    return out.withColumnsRenamed({"id": id_col, **({"row": row_col} if row_col else {})})
 
 
 def applied(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """The mixed corpus: every document as often as it was taken, and a partly taken one cut after its last taken word.
 
     ``mixed`` is what ``mix`` gave for ``docs``, whose columns it returns. Documents of which nothing is taken are left
-    out. ``length_col`` is counted anew for a cut text. Rows of one id share its takes.
+    out. ``length_col`` is counted anew for a cut text. Rows of one id share its takes; give the ``row_col`` of ``mix`` as
+    ``id_col`` to tell them apart.
     """
     takes = mixed.where("taken > 0").groupBy(F.col(id_col).alias("_id")).agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
     rows = docs.join(takes, docs[id_col].eqNullSafe(F.col("_id")))

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.llm import decontaminate, mixing, quality, simhash, tokens
 from sluiceway.llm.arrow import saved, table
 from sluiceway.llm.vocabularies import vocabulary
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose ``doc_id`` is in ``ids``, a null included."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+_KEY = "_key"
+
+
+def _said(text: str = "text") -> Column:
+    """A text's hash; null is a text of its own."""
+    return F.coalesce(F.sha2(text, 256), F.lit("-"))
+
+
+def _row_key(docs: DataFrame) -> Column:
+    """Id and text of a row as a string that sorts by the id, rows without one last. Equal rows share it."""
+    doc_id = F.col("doc_id")
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        order = F.lpad(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))), 16, "0")
+    else:
+        order = doc_id.cast("string")
+    return F.concat(F.when(doc_id.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), order)), F.lit("|"), _said())
+
+
+def _with(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows whose key is one of ``keys``."""
+    return docs.withColumn(_KEY, key).join(keys.select(_KEY).distinct(), _KEY, "left_semi")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,25 +42,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash group (three-word shingles, three bits); once, if it repeats.
+    """One document of each SimHash group (three-word shingles, three bits): that with the smallest id, rows without an
+    id coming last, and of rows that share it that with the least hash of its text.
 
-    Rows without an id can't be told apart by ids: if a group of only such rows there is, all of them stay, each
-    distinct text once, else none.
+    Rows are told apart by id and text, so one is never left out for its id alone; wholly equal ones stay once.
     """
-    groups = simhash.near_duplicates(docs)
-    first = _kept(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    return first.dropDuplicates(["doc_id"] if docs.where("doc_id is null").isEmpty() else ["doc_id", "text"])
+    groups = simhash.near_duplicates(docs.select(_row_key(docs).alias(_KEY), "text"), _KEY)
+    first = _with(docs, _row_key(docs), groups.where(F.col(_KEY) == F.col("component_id")))
+    return first.dropDuplicates([_KEY]).select(docs.columns)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which under a twentieth of the words is in windows of the benchmark."""
-    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _kept(docs, judged.where("not contaminated"))
+    """Documents of which under a twentieth of the words is in windows of the benchmark; each text is judged by itself."""
+    judged = decontaminate.contamination(docs.select(_said().alias(_KEY), "text"), table(spark, sf_dir, "benchmark"), _KEY)
+    return _with(docs, _said(), judged.where("not contaminated")).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the source schedule takes them."""
-    return mixing.applied(docs, saved(mixing.mix(docs), "mix"))
+    """Documents as often as the source schedule takes them, row by row: the rows are numbered in a written table."""
+    rows = saved(docs.withColumn(_KEY, F.monotonically_increasing_id()), "numbered")
+    return mixing.applied(rows, saved(mixing.mix(rows, row_col=_KEY), "mix"), _KEY).select(docs.columns)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sluiceway.llm import stages
+from sluiceway.llm import mixing, stages
 from sluiceway.llm.arrow import saved, table
 from tests.llm import brute
 
@@ -38,10 +38,50 @@ def test_stages_on_odd_rows(spark, sf):
     rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (2, "one two three four", "en", None, 18), (2, "one two three four", "en", None, 18), (None, "nameless text of words", "en", "b", 22)]
     docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, score string")
     once = stages.one_of_each_group(spark, docs, sf)
-    assert sorted(map(str, (r.doc_id for r in once.collect()))) == ["1", "2", "None", "None"]
+    assert sorted(map(str, (r.doc_id for r in once.collect()))) == ["1", "2", "None"]  # no text is a near copy of an empty one
     for stage in (stages.keep_quality, stages.one_of_each_group, stages.without_benchmarks, stages.mixed):
         assert stage(spark, docs, sf).columns == docs.columns
         assert stage(spark, docs.limit(0), sf).count() == 0
+    assert stages.token_files(spark, docs, sf).count() == 5 and stages.token_files(spark, docs.limit(0), sf).count() == 0
+
+
+def made(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+ONE = "an entirely different text about the weather in the mountains and the sea " * 3
+TWO = "numbers and figures of quite another kind fill these lines from end to end " * 3
+
+
+@pytest.mark.parametrize("nameless", [[], [(None, "a third text that has no id at all but says something of its own here", "x")]])
+def test_no_row_goes_for_its_id(spark, sf, nameless):
+    rows = [(1, ONE, "a"), (1, TWO, "a"), *nameless]
+    got = stages.one_of_each_group(spark, made(spark, rows), sf).collect()
+    assert sorted(r.text for r in got) == sorted(t for _, t, _ in rows)
+
+
+def test_near_copies_without_ids_go(spark, sf):
+    rows = [(None, ONE, "a"), (None, ONE.upper(), "b"), (None, TWO, "a"), (5, TWO, "c"), (3, TWO, "c"), (3, TWO, "d")]
+    got = stages.one_of_each_group(spark, made(spark, rows), sf).collect()
+    assert len(got) == 2 and {(r.doc_id, r.text) for r in got if r.doc_id} == {(3, TWO)}
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_no_contaminated_row_stays_for_a_clean_one_of_its_id(spark, sf, doc_id):
+    passage = table(spark, sf, "benchmark").where("length(text) > 200").first().text
+    got = stages.without_benchmarks(spark, made(spark, [(doc_id, passage, "a"), (doc_id, ONE, "a")]), sf).collect()
+    assert [r.text for r in got] == [ONE]
+
+
+def test_rows_of_one_id_are_mixed_by_themselves(spark, sf):
+    rows = [(1, "a b c", "s"), (1, "d " * 50, "t"), (None, "e " * 20, "s"), (None, "f " * 9, "u"), (1, "a b c", "s")]
+    docs = made(spark, rows)
+    got = stages.mixed(spark, docs, sf).collect()
+    taken: dict = {}
+    for r in mixing.mix(docs).collect():
+        taken[r.doc_id, r.size, r.source_size] = taken.get((r.doc_id, r.size, r.source_size), 0) + r.taken
+    assert sum(len(r.text.split()) for r in got) == sum(taken.values())
+    assert all(any(r.doc_id == i and t.startswith(r.text) for i, t, _ in rows) for r in got)
 
 
 @pytest.mark.parametrize("name, _", corpus_pipeline.STAGES)
