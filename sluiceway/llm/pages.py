@@ -33,6 +33,7 @@ _MARKUP = re.compile(
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-z][a-z0-9:-]*)([^>]*)>|<[!?/][^>]*>",
     re.I | re.S,
 )
+_RAW = re.compile(r"<(script|style|noscript|template|svg|math|iframe|object|select|textarea|button|title)\b", re.I)
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements without end tags in much of the web.
@@ -102,6 +103,24 @@ def _chromes(elements: list[tuple[int, str, bool, bool, bool]]) -> list[bool]:
     return out
 
 
+def _closed(page: str) -> str:
+    """The page with its markup ended: without a ``>`` behind it a ``<`` opens nothing, and the search for one from every
+    ``<`` there would be quadratic. A comment or script that is open at the last ``>`` goes on to the end of the page."""
+    last = page.rfind(">") + 1
+    rest = page[last:]
+    if "<" not in rest:
+        return page
+    open_at = last
+    for m in _MARKUP.finditer(page, 0, last):
+        open_at = m.start() if m.end() == last else last
+    final = page[open_at:last]
+    raw = _RAW.match(final)
+    if final.startswith("<!--") and not final.endswith("-->") or raw and not re.search(rf"</{raw[1]}\s*>\Z", final, re.I):
+        return page[:open_at]
+    comment = rest.find("<!--")
+    return page[:last] + rest[: comment if comment >= 0 else len(rest)].replace("<", "&lt;")
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
     """Text blocks in page order with what the markup says of them; character references decoded, white space single."""
     found: list[tuple[int, bool, str]] = []  # innermost element, whether in the article, text
@@ -133,7 +152,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
             main -= sum(elements[i][4] for i in stack[-depth:])
             del stack[-depth:]
 
-    at = 0
+    at, page = 0, _closed(page)
     for m in _MARKUP.finditer(page):
         if m.start() > at:
             parts.append(page[at : m.start()])

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
+import pytest
 
 from sluiceway.llm import pages, queries
 from sluiceway.llm.arrow import table
@@ -127,3 +129,21 @@ def test_query(spark, sf):
 
 def test_empty_table(spark):
     assert extracted(spark, []) == {}
+
+
+@pytest.mark.parametrize("piece", ["<script ", "<a ", "<!-- ", "<p \"", "<", "</", "<a href='", "<b <i \"x\" "])
+@pytest.mark.parametrize("end", ["", ">", "\">", "-->"])
+def test_a_bad_megabyte_takes_a_moment(piece, end):
+    page = "<article><p>Good words.</p>" + piece * (1_000_000 // len(piece)) + end
+    start = time.perf_counter()
+    found = pages.blocks(page)
+    assert time.perf_counter() - start < 10 and found[0] == (pages.ARTICLE, "Good words.")
+
+
+def test_markup_that_is_never_ended():
+    texts = lambda page: [t for _, t in pages.blocks(page)]
+    assert texts("<p>a</p><script>var b = 1; // <i>c</i> <d") == ["a"]
+    assert texts("<p>a</p><!-- b <i>c</i> <d") == ["a"]
+    assert texts("<p>a</p> 1 < 2 <!-- b") == ["a", "1 < 2"]
+    assert texts("<p>a</p> b <script c") == ["a", "b <script c"]
+    assert texts("<p>a</p><script>b</script>c <d") == ["a", "c <d"]
