@@ -44,16 +44,28 @@ def with_self_list(df: DataFrame, value: str, name: str, page_rows: int = 100_00
     return with_list(df, df, value, name, page_rows, skew)
 
 
+def _estimate(df: DataFrame) -> int:
+    """The optimizer's estimate of a table's bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def with_map(
     df: DataFrame, side: DataFrame, on: str, key: str, value: str, name: str | None = None
 ) -> DataFrame:
-    """Look ``df[on]`` up in a map; a missing key gives null. Fails if the map has a key twice."""
+    """Look ``df[on]`` up in a map; a missing key gives null. Fails if a key that is looked up is in the map twice.
+
+    A map that Spark takes for larger than the rows is first reduced to the keys that they ask for, so only those are
+    grouped and checked; a smaller one is grouped as it is. A streamed ``df`` can't be asked twice, so its map is not reduced.
+    """
     name = name or value
     entries = side.filter(F.col(key).isNotNull()).select(F.col(key).alias(on), F.col(value).alias(name))
-    twice = entries.groupBy(on).count().filter("count > 1").select(F.col(on).cast("string")).limit(1).scalar()
-    failed = F.raise_error(F.concat(F.lit("duplicate key in side map: "), twice)).cast(side.schema[value].dataType)
-    checked = entries.select(on, F.when(twice.isNotNull(), failed).otherwise(F.col(name)).alias(name))
-    return lookup(df, checked, [on], "left")
+    if not df.isStreaming and _estimate(entries) > _estimate(df.select(on)):
+        asked = df.select(on).filter(F.col(on).isNotNull()).distinct()
+        entries = entries.join(asked, on, "left_semi")
+    answers = entries.groupBy(on).agg(F.any_value(name).alias(name), F.count(F.lit(1)).alias("__times"))
+    found = lookup(df, answers, [on], "left")
+    twice = F.raise_error(F.concat(F.lit("duplicate key in side map: "), F.col(on).cast("string"))).cast(side.schema[value].dataType)
+    return found.withColumn(name, F.when(F.col("__times") > 1, twice).otherwise(F.col(name))).drop("__times")
 
 
 def enrich(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.group import group_values
-from sluiceway.operators.skew import DEFAULT_SKEW, Skew, positions, running
+from sluiceway.operators.skew import DEFAULT_SKEW, Skew, positions, running, written
 from sluiceway.operators.windows import fixed_window, window_meta
 
 
@@ -119,6 +119,60 @@ def multimap_entries(
     return counted.withColumn("state_key", F.concat(F.lit("state-"), F.col(value).cast("string")))
 
 
+def multimap_contents(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size: str,
+    order: Sequence[str],
+    value: str,
+    after: str,
+    page_rows: int = 100_000,
+    skew: Skew = DEFAULT_SKEW,
+) -> DataFrame:
+    """The entries of each window's multimap whenever somebody looks: ``(keys, window_start, kind, at, state_key, seen,
+    page, entries)``.
+
+    Every row puts its value under ``state-<value>``. A ``put`` sees what was there before it, a ``timer``, set anew by
+    every put of its state key and due ``after`` later, what is there when it goes off, if the window is still open, and
+    ``expiry`` all of it at the window's end. ``seen`` is how many entries that is. They come in the order of arrival
+    (``ts``, then ``order``, unique per key) as arrays of (state_key, value), in pages of ``page_rows``: whoever looks meets the
+    window's pages by an equi join on the page number and cuts the last, so no array grows with the window. An empty
+    multimap is one empty page. Rows without a time take no part.
+    """
+    keys, order = list(keys), list(order)
+    placed = window_meta(fixed_window(df, ts, size)).drop("window_time")
+    grouped = [*keys, "window_start"]
+    state_key = F.concat(F.lit("state-"), F.col(value).cast("string"))
+    put = positions(placed, grouped, [ts, *order], "__at", skew)
+    put = written(put.select(*grouped, "window_end", ts, *order, F.col(value), state_key.alias("state_key"), "__at"), "puts")
+
+    page = F.floor(F.col("__at") / page_rows)
+    entry = F.struct("__at", "state_key", F.col(value).alias("value"))
+    pages = put.groupBy(*grouped, page.alias("page")).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    pages = pages.withColumn("entries", F.transform("entries", lambda e: F.struct(e["state_key"], e["value"])))
+
+    fires = idle_fires(put.drop("__at"), [*grouped, "state_key"], ts, order, after, skew).where("fired_at < window_end")
+    marks = fires.select(*grouped, "state_key", F.col("fired_at").alias("__time"), F.lit(0).alias("__row"))
+    rows = put.select(*grouped, "state_key", F.col(ts).alias("__time"), F.lit(1).alias("__row"))
+    looks = running(rows.unionByName(marks), grouped, ["__time", "__row", "state_key"], {"seen": ("sum", F.col("__row"))}, skew=skew)
+    timers = looks.where("__row = 0").select(*grouped, F.lit("timer").alias("kind"), F.col("__time").alias("at"), "state_key", "seen")
+    puts = put.select(*grouped, F.lit("put").alias("kind"), F.col(ts).alias("at"), "state_key", F.col("__at").alias("seen"))
+    ends = put.groupBy(*grouped, "window_end").agg(F.count("*").alias("seen"))
+    expiry = ends.select(*grouped, F.lit("expiry").alias("kind"), F.col("window_end").alias("at"), F.lit(None).cast("string").alias("state_key"), "seen")
+    lookers = puts.unionByName(timers).unionByName(expiry)
+
+    last = F.greatest(F.lit(0).cast("bigint"), F.floor((F.col("seen") - 1) / page_rows))
+    wanted = lookers.withColumn("page", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    names = [f"__key{i}" for i in range(len(grouped))]
+    side = pages.select(*[F.col(k).alias(n) for k, n in zip(grouped, names)], F.col("page").alias("__page"), "entries")
+    match = F.col("page") == F.col("__page")
+    for key, name in zip(grouped, names):
+        match = match & F.col(key).eqNullSafe(F.col(name))
+    cut = F.slice("entries", F.lit(1), F.least(F.lit(page_rows).cast("bigint"), F.col("seen") - F.col("page") * page_rows).cast("int"))
+    return wanted.join(side, match).select(*grouped, "kind", "at", "state_key", "seen", "page", cut.alias("entries"))
+
+
 def multimap_at_expiry(df: DataFrame, keys: Sequence[str], ts: str, size: str, value: str) -> DataFrame:
     """What the multimap holds when its window expires: per state key the number of its values."""
     placed = window_meta(fixed_window(df, ts, size)).drop("window_end", "window_time")

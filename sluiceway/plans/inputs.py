@@ -6,9 +6,13 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluiceway.operators.accumulate import Accumulator
 from sluiceway.sources import batch as sources
 
 # A dictionary with no, one and two answers per source.
@@ -89,3 +93,26 @@ def json_decoder() -> json.JSONDecoder:
 
 def decode_props(decoder: json.JSONDecoder, batch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"event_id": batch["event_id"], "k": [decoder.decode(p)["k"] for p in batch["props"]]})
+
+
+def _add_values(state: dict, values: pa.Array) -> dict:
+    whole = values.drop_null()
+    if not len(whole):
+        return state
+    seen = {"n": len(whole), "sum": pc.sum(whole).as_py(), "squares": pc.sum(pc.multiply(whole, whole)).as_py()}
+    return _merge_values(state, seen)
+
+
+def _merge_values(a: dict, b: dict) -> dict:
+    return {name: a[name] + b[name] for name in a}
+
+
+#: n times the sum of squares less the squared sum of whole numbers.
+SPREAD = Accumulator(
+    create=lambda: {"n": 0, "sum": 0, "squares": 0},
+    add=_add_values,
+    merge=_merge_values,
+    extract=lambda s: float(s["n"] * s["squares"] - s["sum"] ** 2),
+    state=T.StructType([T.StructField(n, T.LongType()) for n in ("n", "sum", "squares")]),
+    result=T.DoubleType(),
+)

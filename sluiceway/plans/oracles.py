@@ -409,3 +409,39 @@ ORACLES |= {
     "stream_bounded_batches": f"SELECT event_type, window_start, ended_by, fired_at, event_ids FROM ({_TYPE_BATCHES})",
     "stream_late_panes": _LATE_PANES,
 }
+
+_SPREAD = "CAST(COUNT(v) * CAST(SUM(v * v) AS HUGEINT) - CAST(SUM(v) AS HUGEINT) * CAST(SUM(v) AS HUGEINT) AS DOUBLE) AS spread"
+ORACLES |= {
+    "window_spread_accumulated": f"""
+SELECT key, window_start, {_SPREAD} FROM (SELECT event_id % 10 AS key, {HOUR} AS window_start, {CENTS.format('value')} AS v FROM events)
+GROUP BY 1, 2""",
+    "global_spread_accumulated": f"SELECT {_SPREAD} FROM (SELECT CAST(l_quantity AS BIGINT) AS v FROM lineitem)",
+    "stream_validated_append": ORACLES["validated_append"],
+    "stream_routed_append": ORACLES["routed_append"],
+}
+
+_CONTENTS = f"""
+WITH e AS (
+  SELECT user_id, event_id, ts, 'state-' || (event_id % 7) AS state_key, event_id % 7 AS v, {bucket('6 days')} AS window_start FROM events
+), put AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, window_start ORDER BY ts, event_id) - 1 AS p,
+    lead(ts) OVER (PARTITION BY user_id, window_start, state_key ORDER BY ts, event_id) AS following
+  FROM e
+), fired AS (
+  SELECT user_id, window_start, state_key, ts + INTERVAL 1 DAY AS at FROM put
+  WHERE (following IS NULL OR following > ts + INTERVAL 1 DAY) AND ts + INTERVAL 1 DAY < window_start + INTERVAL 6 DAYS
+), looks AS (
+  SELECT user_id, window_start, 'put' AS kind, ts AS at, state_key, p AS seen FROM put
+  UNION ALL
+  SELECT f.user_id, f.window_start, 'timer', f.at, f.state_key, count(e.ts)
+  FROM fired f JOIN e ON e.user_id = f.user_id AND e.window_start = f.window_start AND e.ts < f.at GROUP BY ALL
+  UNION ALL
+  SELECT user_id, window_start, 'expiry', window_start + INTERVAL 6 DAYS, NULL, count(*) FROM e GROUP BY 1, 2
+), paged AS (
+  SELECT *, unnest(range(0, greatest(0, (seen - 1) // 5) + 1)) AS page FROM looks
+)
+SELECT l.user_id, l.window_start, kind, l.at, l.state_key, l.seen, l.page,
+  coalesce(string_agg(e.state_key || '=' || e.v, ',' ORDER BY e.p) FILTER (e.p < l.seen), '') AS entries
+FROM paged l JOIN put e ON e.user_id = l.user_id AND e.window_start = l.window_start AND e.p // 5 = l.page
+GROUP BY ALL"""
+ORACLES |= {"multimap_contents": _CONTENTS, "multimap_contents_split": _CONTENTS}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions import render, sharding
-from sluiceway.operators import branch, elements, group, shuffle, side, state, triggers, windows
+from sluiceway.operators import accumulate, branch, elements, group, shuffle, side, state, triggers, windows
 from sluiceway.operators.skew import DEFAULT_SKEW, Skew
 from sluiceway.plans import inputs
 from sluiceway.plans.inputs import cents, dollars, joined, table
@@ -58,6 +58,17 @@ def global_sum(spark: SparkSession, sf: str) -> DataFrame:
     return total.select(dollars("sum_cents").alias("total"))
 
 
+def window_spread_accumulated(spark: SparkSession, sf: str) -> DataFrame:
+    """n times the sum of squares less the squared sum, by accumulators of count, sum and squares."""
+    spread = accumulate.combine_accumulated(_keyed_hours(spark, sf), ["key", "window_start"], "cents", inputs.SPREAD, "spread")
+    return spread.select("key", "window_start", "spread")
+
+
+def global_spread_accumulated(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(F.col("l_quantity").cast("bigint").alias("quantity"))
+    return accumulate.combine_accumulated(lines, [], "quantity", inputs.SPREAD, "spread")
+
+
 def group_fields_count(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").withColumn("t", sharding.shard_key(F.col("user_id"), 3))
     timed = windows.window_meta(windows.fixed_window(events, "ts", "6 hours"))
@@ -391,6 +402,23 @@ def multimap_at_expiry(spark: SparkSession, sf: str) -> DataFrame:
     return state.multimap_at_expiry(_small_values(spark, sf), ["user_id"], "ts", DAY, "v")
 
 
+def _contents(spark: SparkSession, sf: str, skew: Skew) -> DataFrame:
+    rows = state.multimap_contents(
+        _small_values(spark, sf).select("user_id", "event_id", "ts", "v"), ["user_id"], "ts", "6 days", ["event_id"], "v", "1 DAY",
+        page_rows=5, skew=skew,
+    )
+    shown = F.transform("entries", lambda e: F.concat(e["state_key"], F.lit("="), e["value"].cast("string")))
+    return rows.withColumn("entries", F.array_join(shown, ","))
+
+
+def multimap_contents(spark: SparkSession, sf: str) -> DataFrame:
+    return _contents(spark, sf, DEFAULT_SKEW)
+
+
+def multimap_contents_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _contents(spark, sf, Skew(hot_rows=6))
+
+
 def growing_output(spark: SparkSession, sf: str) -> DataFrame:
     timed = windows.window_meta(windows.fixed_window(table(spark, sf, "events"), "ts", DAY))
     return state.growing_output(timed, ["user_id"], "window_start")
@@ -570,6 +598,7 @@ BATCH_QUERIES = {
     fn.__name__: fn
     for fn in (
         window_sum_per_key, window_sum_grouped, window_sum_global, global_sum, group_fields_count,
+        window_spread_accumulated, global_spread_accumulated,
         key_stats, hot_key_stats, key_bytes, group_values, group_values_by_bytes, ungroup_roundtrip,
         batches, global_batches, multi_bag_batches, xml_documents,
         exploded_props, word_count, parse_kv, kv_processed, conditional_emit, tagged, restamped, traced, with_setup,
@@ -579,11 +608,11 @@ BATCH_QUERIES = {
         reshuffled, reshuffled_by_key, reshuffled_spread,
         rewindowed_globally, multi_window, window_meta, panes_discarding, panes_accumulating,
         running_index, unsaved_counter, backlog, collect_until_window_end, map_state_fold,
-        multimap_entries, multimap_at_expiry, growing_output,
+        multimap_entries, multimap_at_expiry, multimap_contents, growing_output,
         dynamic_write, json_lines, row_json, sharded_text, compressed_text, compressed_table,
         validated_append, routed_append, routed_append_defaults, insert_or_reject, to_cells,
         window_batches, idle_timer_fires, timer_family_fires, trigger_any, bounded_batches,
         batches_split, global_batches_split, group_values_split, map_state_fold_split, backlog_split, panes_accumulating_split,
-        trigger_any_split,
+        trigger_any_split, multimap_contents_split,
     )
 }

@@ -10,7 +10,7 @@ from sluiceway.operators import branch, elements, group, shuffle, side
 from sluiceway.plans import inputs
 from sluiceway.plans.inputs import cents, dollars, table
 from sluiceway.session import fresh_dir, stream_session
-from sluiceway.sinks import files
+from sluiceway.sinks import files, streams, tables
 from sluiceway.sources import batch as sources
 from sluiceway.sources import stream
 from sluiceway.streaming import panes, replay, timed
@@ -239,11 +239,45 @@ def stream_bounded_batches(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_validated_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents judged by size and by a nested field as they come, both halves of a micro-batch committed at once."""
+    session = stream_session(spark)
+    target, rejects, commits = (fresh_dir(spark, name) for name in ("target", "rejects", "commits"))
+    rules = {
+        "row too large": F.octet_length("text") > 10_000,
+        "bad nested field": F.col("sub.c").isNull() | (F.col("sub.c") < 100),
+    }
+
+    def job(docs: DataFrame, checkpoint: str):
+        rows = docs.select("doc_id", "text", F.struct("lang", F.col("n_chars").alias("c")).alias("sub"))
+        return streams.stream_validated(rows, rules, target, rejects, commits, checkpoint, every=None)
+
+    replay.run_table(session, f"{sf}/documents.parquet", job)
+    good = streams.committed(spark, target, commits).select("doc_id", F.lit("ok").alias("status"))
+    return good.unionByName(streams.committed(spark, rejects, commits).select("doc_id", F.col("reject_reason").alias("status")))
+
+
+def stream_routed_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders routed to their priority's table as they come; two priorities have none, null values break one's rule."""
+    session = stream_session(spark)
+    path, rejects, commits, landing = (fresh_dir(spark, name) for name in ("routed", "rejects", "commits", "landing"))
+    routes = {"table1": tables.Route(required=True), "table2": tables.Route(default=2), "table3": tables.Route(required=True, default=3)}
+    rows = inputs.routed_orders(session, sf)
+    rows.write.parquet(landing)
+    replay.run_table(
+        session, landing, lambda s, cp: streams.stream_routed(s, path, rejects, commits, "dest", "value", routes, cp, every=None)
+    )
+    columns = ["dest", "key", F.coalesce(F.col("value").cast("string"), F.lit("null")).alias("value")]
+    good = streams.committed(spark, path, commits).select(*columns, F.lit("ok").alias("status"))
+    return good.unionByName(streams.committed(spark, rejects, commits).select(*columns, F.col("reject_reason").alias("status")))
+
+
 STREAM_QUERIES = {
     fn.__name__: fn
     for fn in (
         stream_window_complete, stream_window_append, stream_rolled_windows, stream_late_dropped, stream_stateless_late,
         stream_trigger_update, stream_discarding, stream_static_side, stream_word_count, stream_messages,
         stream_collect_windows, stream_late_panes, stream_bounded_batches,
+        stream_validated_append, stream_routed_append,
     )
 }
