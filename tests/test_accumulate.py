@@ -81,12 +81,18 @@ def test_a_large_map_is_reduced_to_the_keys_asked_for(spark, capsys):
     spark.range(200_000).select(F.col("id").alias("key"), F.concat(F.lit("v"), "id").alias("value")).write.parquet(path)
     spark.range(500_000, 500_002).select(F.lit(150_000).cast("long").alias("key"), F.lit("twice").alias("value")).write.mode("append").parquet(path)
     entries = spark.read.parquet(path)
-    probes = spark.createDataFrame([(5,), (5,), (None,), (199_999,), (-1,)], "x bigint")
+
+    def stored(*keys):
+        where = fresh_dir(spark, "probes")
+        spark.createDataFrame([(k,) for k in keys], "x bigint").write.parquet(where)
+        return spark.read.parquet(where)
+
+    probes = stored(5, 5, None, 199_999, -1)
     got = side.with_map(probes, entries, "x", "key", "value")
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(5, "v5"), (5, "v5"), (None, None), (199_999, "v199999"), (-1, None)]))
     got.explain()
     assert "LeftSemi" in capsys.readouterr().out
     with pytest.raises(Exception, match="duplicate key"):
-        side.with_map(spark.createDataFrame([(150_000,)], "x bigint"), entries, "x", "key", "value").collect()
+        side.with_map(stored(150_000), entries, "x", "key", "value").collect()
     side.with_map(entries.withColumnRenamed("key", "x").drop("value"), probes.select(F.col("x").alias("key"), F.lit(1).alias("value")).distinct(), "x", "key", "value").explain()
     assert "LeftSemi" not in capsys.readouterr().out
