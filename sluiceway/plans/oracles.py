@@ -445,3 +445,4 @@ SELECT l.user_id, l.window_start, kind, l.at, l.state_key, l.seen, l.page,
 FROM paged l JOIN put e ON e.user_id = l.user_id AND e.window_start = l.window_start AND e.p // 5 = l.page
 GROUP BY ALL"""
 ORACLES |= {"multimap_contents": _CONTENTS, "multimap_contents_split": _CONTENTS}
+ORACLES["stream_multi_window"] = ORACLES["multi_window"]

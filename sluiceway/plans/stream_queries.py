@@ -76,6 +76,22 @@ def stream_window_append(spark: SparkSession, sf: str) -> DataFrame:
     return _report(spark.read.parquet(out))
 
 
+def stream_multi_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of one to four hours side by side, over events that come in three chunks."""
+    session, out = stream_session(spark), fresh_dir(spark, "out")
+
+    def job(events: DataFrame, checkpoint: str):
+        sizes = {"count": F.count(F.lit(1)), "total_bytes": F.sum(F.octet_length("props").cast("bigint"))}
+        found = panes.multi_window_agg(panes.event_time(events, "ts"), "ts", [60, 120, 180, 240], LATENESS, [], sizes)
+        return panes.stream_append(panes.window_start(found), out, checkpoint, every=None)
+
+    events = table(session, sf, "events").select("event_id", "ts", "props")
+    size = events.agg(F.max("event_id").alias("last")).first()["last"] + 1
+    third = F.floor(F.col("event_id") * 3 / size)
+    replay.replay(session, [events.filter(third == i) for i in range(3)], job, drain="ts")
+    return spark.read.parquet(out)
+
+
 def stream_rolled_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Hours that are finished go on into windows of six hours."""
     session, out = stream_session(spark), fresh_dir(spark, "out")
@@ -278,6 +294,6 @@ STREAM_QUERIES = {
         stream_window_complete, stream_window_append, stream_rolled_windows, stream_late_dropped, stream_stateless_late,
         stream_trigger_update, stream_discarding, stream_static_side, stream_word_count, stream_messages,
         stream_collect_windows, stream_late_panes, stream_bounded_batches,
-        stream_validated_append, stream_routed_append,
+        stream_validated_append, stream_routed_append, stream_multi_window,
     )
 }

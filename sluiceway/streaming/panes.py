@@ -28,6 +28,25 @@ def window_agg(
     return grouped.agg(*[a.alias(n) for n, a in aggs.items()])
 
 
+def multi_window_agg(
+    df: DataFrame, ts: str, minutes: Sequence[int], lateness: str, keys: Sequence[str], aggs: Mapping[str, Column]
+) -> DataFrame:
+    """Windows of several sizes side by side, under one watermark and in one state: ``(keys, minutes, window, aggs)``.
+
+    A row is read once and then put into its window of every size. Exploding loses the mark of the event time, which is
+    what lets windows close, so it is taken over from the watermarked column.
+    """
+    marked = df.withWatermark(ts, lateness)
+    mark = marked.schema[ts].metadata
+    for size in minutes:
+        marked = marked.withColumn(f"__window_{size}", F.window(ts, f"{size} minutes"))
+    sized = F.array(*[F.struct(F.lit(size).alias("minutes"), F.col(f"__window_{size}").alias("window")) for size in minutes])
+    rows = marked.withColumn("__sized", F.explode(sized)).select(
+        *df.columns, F.col("__sized.minutes").alias("minutes"), F.col("__sized.window").alias("window", metadata=mark)
+    )
+    return rows.drop(ts).groupBy(*keys, "minutes", "window").agg(*[a.alias(n) for n, a in aggs.items()])
+
+
 def collect_windows(
     df: DataFrame, ts: str, size: str, lateness: str, keys: Sequence[str], value: str, shard: Column
 ) -> DataFrame:
