@@ -446,3 +446,12 @@ FROM paged l JOIN put e ON e.user_id = l.user_id AND e.window_start = l.window_s
 GROUP BY ALL"""
 ORACLES |= {"multimap_contents": _CONTENTS, "multimap_contents_split": _CONTENTS}
 ORACLES["stream_multi_window"] = ORACLES["multi_window"]
+ORACLES["insert_or_reject_bucketed"] = """
+WITH w AS (SELECT o_orderkey // 3 AS k, o_orderkey AS v, o_orderkey % 2 AS half FROM orders), e AS (
+  SELECT k FROM w WHERE half = 0 AND k NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL))
+SELECT k, v, CASE
+  WHEN k IN (SELECT doc_id FROM labels) THEN 'key exists'
+  WHEN half = 1 AND k IN (SELECT k FROM e) THEN 'key exists'
+  WHEN v > MIN(v) OVER (PARTITION BY k, half) THEN 'duplicate in input'
+  ELSE 'inserted' END AS status
+FROM w"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions import render, sharding
 from sluiceway.operators import accumulate, branch, elements, group, shuffle, side, state, triggers, windows
-from sluiceway.operators.skew import DEFAULT_SKEW, Skew
+from sluiceway.operators.skew import DEFAULT_SKEW, Skew, written
 from sluiceway.plans import inputs
 from sluiceway.plans.inputs import cents, dollars, joined, table
 from sluiceway.session import fresh_dir
@@ -515,6 +515,19 @@ def insert_or_reject(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("k", "v", F.coalesce("reject_reason", F.lit("inserted")).alias("status"))
 
 
+def insert_or_reject_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same against a target that is stored by its key, and once more after the first accepted half is in it."""
+    orders = table(spark, sf, "orders").select(F.expr("o_orderkey div 3").alias("k"), F.col("o_orderkey").alias("v"))
+    path = fresh_dir(spark, "bucketed")
+    name = "target_" + path.rsplit("-", 1)[1]
+    tables.write_bucketed(table(spark, sf, "labels").select(F.col("doc_id").alias("k")), name, path, ["k"], 16)
+    early, late = orders.where("v % 2 = 0"), orders.where("v % 2 = 1")
+    first = written(tables.insert_verdicts(early, spark.table(name), ["k"], "v"), "judged")
+    tables.append_bucketed(first.where("reject_reason is null"), name, ["k"], 16)
+    judged = first.unionByName(tables.insert_verdicts(late, spark.table(name), ["k"], "v"))
+    return judged.select("k", "v", F.coalesce("reject_reason", F.lit("inserted")).alias("status"))
+
+
 def to_cells(spark: SparkSession, sf: str) -> DataFrame:
     cells = tables.to_cells(table(spark, sf, "customer"), "c_custkey", "info", ["c_name", "c_nationkey", "c_mktsegment"])
     return cells.select(
@@ -610,7 +623,7 @@ BATCH_QUERIES = {
         running_index, unsaved_counter, backlog, collect_until_window_end, map_state_fold,
         multimap_entries, multimap_at_expiry, multimap_contents, growing_output,
         dynamic_write, json_lines, row_json, sharded_text, compressed_text, compressed_table,
-        validated_append, routed_append, routed_append_defaults, insert_or_reject, to_cells,
+        validated_append, routed_append, routed_append_defaults, insert_or_reject, insert_or_reject_bucketed, to_cells,
         window_batches, idle_timer_fires, timer_family_fires, trigger_any, bounded_batches,
         batches_split, global_batches_split, group_values_split, map_state_fold_split, backlog_split, panes_accumulating_split,
         trigger_any_split, multimap_contents_split,

@@ -152,6 +152,23 @@ def insert_or_reject(
     return split_valid(insert_verdicts(df, target, keys, order))
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a target for insert-only appends: bucketed and sorted by its keys, as the catalog's table ``name`` at ``path``.
+
+    ``insert_verdicts`` against it shuffles the incoming keys alone, to the target's buckets; the target is read where it is.
+    """
+    spread_rows = df.repartition(buckets, *keys)
+    spread_rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def append_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    """Append accepted rows to such a target; a bucket gets one more file."""
+    columns = df.sparkSession.table(name).columns
+    rows = df.select(*columns).repartition(buckets, *keys)
+    rows.write.bucketBy(buckets, *keys).sortBy(*keys).mode("append").saveAsTable(name)
+
+
 def jdbc_append(
     df: DataFrame, url: str, table: str, driver: str | None = None, batch_size: int = 1_000, writers: int = 8
 ) -> None:

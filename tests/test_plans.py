@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sluiceway.operators.skew import Skew
 from sluiceway.operators import skew
 from sluiceway.plans.queries import BATCH_QUERIES
 from sluiceway.plans.stream_queries import STREAM_QUERIES
 from sluiceway.plans.inputs import table
+from sluiceway.session import fresh_dir
+from sluiceway.sinks import tables
 
 
 def queries():
@@ -80,3 +84,26 @@ def test_jobs_while_a_plan_is_built(spark, sf):
 
     events = table(spark, sf, "events")
     assert jobs(lambda: skew.lookup(events, events.select("user_id").distinct(), ["user_id"])) == 0
+
+
+def test_a_bucketed_target_is_not_shuffled(spark, sf, capsys):
+    path = fresh_dir(spark, "bucketed")
+    target = tables.write_bucketed(table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey"), "plan_target", path, ["k"], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("v"))
+        tables.insert_verdicts(rows, target, ["k"], "v").explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE plan_target")
+    plan = capsys.readouterr().out
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line)
+    above = plan.splitlines()[: scan + 1]
+    depth = [len(line) - len(line.lstrip(" :|+-*")) for line in above]
+    path_up, at = [], depth[-1]
+    for line, d in zip(reversed(above), reversed(depth)):
+        if d < at or line is above[-1]:
+            path_up.append(line)
+            at = d
+    before_join = "\n".join(path_up).split("Join")[0]
+    assert "Exchange" not in before_join

@@ -64,7 +64,7 @@ def in_order(events):
     return [tuple(r) for r in events.orderBy("ts", "event_id").collect()]
 
 
-@pytest.mark.parametrize("count, hours", [(1, 5), (3, 6), (5, 1), (1000, 24), (1000, 100_000)])
+@pytest.mark.parametrize("count, hours", [(1, 5), (3, 6), (1000, 24)])
 @pytest.mark.parametrize("skew", [Skew(), Skew(hot_rows=20)])
 def test_any_of_count_and_wait(events, count, hours, skew):
     got = triggers.bounded_batches(events, ["k"], "ts", ["event_id"], "event_id", count, f"{hours} HOURS", skew=skew)
@@ -74,7 +74,7 @@ def test_any_of_count_and_wait(events, count, hours, skew):
     assert all(r[1] and r[2] for r in numbers)
 
 
-@pytest.mark.parametrize("count, hours", [(3, 6), (1000, 3), (2, 1000)])
+@pytest.mark.parametrize("count, hours", [(3, 6), (1000, 3)])
 def test_window_end_is_the_third_bound(events, count, hours):
     placed = events.withColumn("s", F.window("ts", "1 day")["start"]).withColumn("e", F.window("ts", "1 day")["end"])
     got = triggers.bounded_batches(placed, ["k", "s", "e"], "ts", ["event_id"], "event_id", count, f"{hours} HOURS", "e")
@@ -90,8 +90,7 @@ def test_odd_tables(spark):
     assert triggers.bounded_batches(rows.limit(0), ["k"], "ts", ["v"], "v", 5, "1 HOUR").count() == 0
 
 
-@pytest.mark.parametrize("window", [None, "1 day"])
-@pytest.mark.parametrize("count, hours", [(4, 6), (1000, 30)])
+@pytest.mark.parametrize("count, hours, window", [(4, 6, None), (1000, 5, "1 day")])
 def test_a_stream_gives_the_batches_of_the_table(session, events, count, hours, window):
     """However the rows fall into micro-batches."""
     rows = session.createDataFrame([tuple(r) for r in events.collect()], "k bigint, ts timestamp, event_id bigint")
