@@ -28,12 +28,31 @@ _KIND[97:123], _KIND[65:91], _KIND[48:58], _KIND[128:] = 2, 3, 4, 5
 for _chars, _kind in _KINDS.items():
     _KIND[list(_chars.encode())] = _kind
 _BASE = 12
-#: Besides: words equal to the one before, to one of the two before that, and words of one shape with the one before.
-TERMS = _BASE**3 + 3
+#: Widths of the groups of terms: hashed words, hashed runs of four bytes, hashed pairs of words (all with A-Z lowered),
+#: runs of three kinds of bytes, and three counts of repeated words: equal to the one before, equal to one of the two
+#: before that, and as long as the one before. Whatever the vocabulary, a document has so many terms.
+WORDS, RUNS, PAIRS = 2_048, 2_048, 1_024
+WIDTHS = (WORDS, RUNS, PAIRS, _BASE**3 + 3)
+#: What each group may contribute to a vector's squared length.
+SHARES = (1.0, 1.0, 0.25, 2.0)
+_STARTS = np.concatenate([[0], np.cumsum(WIDTHS)])
+TERMS = int(_STARTS[-1])
 _TEXT = np.ones(256, bool)
 _TEXT[[9, 10, 11, 12, 13, 32]] = False
 
 
+def _tally(out: np.ndarray, group: int, first: np.ndarray, terms: np.ndarray, span: int = 1) -> None:
+    """Counts of a group's terms, for texts whose terms begin at ``first`` and take ``span`` places each."""
+    start, width = int(_STARTS[group]), WIDTHS[group]
+    for i in range(len(out)):
+        a, b = first[i], max(first[i], first[i + 1] - span + 1)
+        out[i, start : start + width] += np.bincount(terms[a:b], minlength=width)
+
+
+def _hashed(values: np.ndarray, width: int) -> np.ndarray:
+    return (wordhash.mixed(values) % np.uint64(width)).astype(np.int64)
+
+
 def term_counts(column: pa.Array) -> np.ndarray:
     """A row of term counts per text, over all of it; null texts have none."""
     out = np.zeros((len(column), TERMS), np.float32)
@@ -41,8 +60,16 @@ def term_counts(column: pa.Array) -> np.ndarray:
         data, offsets = utf8(column.slice(lo, hi - lo))
         if not len(data):
             continue
+        rows = out[lo:hi]
+        lowered = wordhash.LOWERED[data]
+        starts, ends, first = wordhash.words(lowered, offsets)
+        hashes = wordhash.word_hashes(lowered, starts, ends)
+        _tally(rows, 0, first, _hashed(hashes, WORDS))
+        wide = lowered.astype(np.uint64)
+        _tally(rows, 1, offsets, _hashed(wide[:-3] << 24 | wide[1:-2] << 16 | wide[2:-1] << 8 | wide[3:], RUNS), 4)
+        _tally(rows, 2, first, _hashed(wordhash.gram_hashes(hashes, 2), PAIRS), 2)
         kind = _KIND[data]
-        term = kind[:-2] * _BASE * _BASE + kind[1:-1] * _BASE + kind[2:]
+        _tally(rows, 3, offsets, kind[:-2] * _BASE * _BASE + kind[1:-1] * _BASE + kind[2:], 3)
         starts, ends, first = wordhash.words(data, offsets, _TEXT)
         hashes = wordhash.word_hashes(data, starts, ends)
         same = np.zeros((3, len(hashes)), np.int64)
@@ -51,64 +78,102 @@ def term_counts(column: pa.Array) -> np.ndarray:
             same[1, gap:] |= hashes[gap:] == hashes[:-gap]
         same[2, 1:] = (ends - starts)[1:] == (ends - starts)[:-1]
         for i in range(hi - lo):
-            a, b = offsets[i], offsets[i + 1]
-            if b - a > 2:
-                out[lo + i, : _BASE**3] = np.bincount(term[a : b - 2], minlength=_BASE**3)
             x, y = first[i], first[i + 1]
             for row, gap in ((0, 1), (1, 3), (2, 1)):
-                out[lo + i, _BASE**3 + row] = same[row, x + gap : y].sum()
+                rows[i, TERMS - 3 + row] = same[row, x + gap : y].sum()
     return out
 
 
 @dataclass
 class Model:
-    """Term weights, the latent basis, and the labelled documents' unit vectors with their labels."""
+    """Term weights, the latent basis, and the labelled documents' unit vectors with their labels.
+
+    ``usual``: how much of a labelled document's length the latent dimensions explain, in the median.
+    """
 
     weight: np.ndarray
     basis: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    usual: float = 1.0
 
-    def project(self, counts: np.ndarray) -> np.ndarray:
-        vectors = _weighted(counts, self.weight) @ self.basis
-        length = np.linalg.norm(vectors, axis=1, keepdims=True)
-        return (vectors / np.where(length > 0, length, 1)).astype(np.float32)
+    def project(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vectors in the latent dimensions, and what part of each document's length these explain."""
+        whole = _weighted(counts, self.weight)
+        vectors = whole @ self.basis
+        length, all_of_it = np.linalg.norm(vectors, axis=1), np.linalg.norm(whole, axis=1)
+        unit = vectors / np.where(length > 0, length, 1)[:, None]
+        return unit.astype(np.float32), length / np.where(all_of_it > 0, all_of_it, 1)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
-        """Votes of the nearest labelled documents; without any similar one, the labels' mean."""
+        """Votes of the nearest labelled documents; without any similar one, the labels' mean.
+
+        A document of which the latent dimensions explain less than usual, because its terms are not those of the labelled
+        ones, has that much less similarity to them. Its score lies as much nearer ``ACCEPT``, on the side its votes say.
+        """
         out = np.full(len(counts), float(self.labels.mean()) if len(self.labels) else 0.5)
         k = min(NEIGHBOURS, len(self.labels))
         if not k:
             return out
         for lo in range(0, len(counts), _BLOCK):
-            cosine = self.project(counts[lo : lo + _BLOCK]) @ self.vectors.T  # of every document with every label
+            unit, explained = self.project(counts[lo : lo + _BLOCK])
+            cosine = unit @ self.vectors.T  # of every document with every label
             near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
             weight = np.clip(np.take_along_axis(cosine, near, 1), 0, 1).astype(np.float64) ** POWER
-            whole = weight.sum(axis=1)
-            some = whole > 0
-            out[lo : lo + _BLOCK][some] = ((weight * self.labels[near]).sum(axis=1)[some] / whole[some]).clip(0, 1)
+            votes = weight.sum(axis=1)
+            some = votes > 0
+            share = (weight * self.labels[near]).sum(axis=1)[some] / votes[some]
+            known = np.clip(explained[some].astype(np.float64) / self.usual, 0, 1) ** POWER
+            out[lo : lo + _BLOCK][some] = (known * share + (1 - known) * ACCEPT).clip(0, 1)
         return out
 
 
 def _weighted(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    total = counts.sum(axis=1, keepdims=True)
-    return np.sqrt(counts / np.where(total > 0, total, 1)) * weight
-
-
-def latent(counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
-    """Latent-semantic analysis: inverse document frequencies and a truncated singular value decomposition."""
-    seen = (counts > 0).sum(axis=0)
-    weight = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32) + 1
-    weight[seen == 0] = 0
-    matrix = _weighted(counts, weight)
-    rank = min(dimensions, *matrix.shape) if len(counts) else 0
-    draw = np.random.default_rng(7).standard_normal((matrix.shape[1], rank + 10)).astype(np.float32)
+    """Roots of the terms' shares in their group, times their weights; each group is then brought to its length."""
+    out = np.sqrt(counts)
+    out *= weight
+    for lo, hi, share in zip(_STARTS[:-1], _STARTS[1:], SHARES):
+        part = out[:, lo:hi]
+        length = np.linalg.norm(part, axis=1, keepdims=True)
+        part *= np.sqrt(share, dtype=np.float32) / np.where(length > 0, length, 1)
+    return out
+
+
+def latent(sample: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
+    """Latent-semantic analysis of documents given as places and counts of their terms: inverse document frequencies and
+    a truncated singular value decomposition. The matrix is never whole in memory, only blocks of its rows."""
+
+    def blocks():
+        for lo in range(0, len(sample), _BLOCK):
+            counts = np.zeros((min(_BLOCK, len(sample) - lo), TERMS), np.float32)
+            for row, (at, n) in zip(counts, sample[lo : lo + _BLOCK]):
+                row[at] = n
+            yield counts
+
+    seen = np.zeros(TERMS, np.int64)
+    for counts in blocks():
+        seen += (counts > 0).sum(axis=0)
+    weight = (np.log((1 + len(sample)) / (1 + seen)) + 1).astype(np.float32)
+    rank = min(dimensions, len(sample))
+    draw = np.random.default_rng(7).standard_normal((TERMS, rank + 10)).astype(np.float32)
     for _ in range(4):  # subspace iteration
-        draw = np.linalg.qr(matrix.T @ (matrix @ draw))[0]
-    _, _, rows = np.linalg.svd(matrix @ draw, full_matrices=False)
-    basis = (draw @ rows.T)[:, :rank].astype(np.float32)
-    model = Model(weight, basis, np.zeros((0, rank), np.float32), np.zeros(0))
-    return Model(weight, basis, model.project(counts), labels.astype(np.float64))
+        moved = np.zeros_like(draw)
+        for counts in blocks():
+            rows = _weighted(counts, weight)
+            moved += rows.T @ (rows @ draw)
+        draw = np.linalg.qr(moved)[0]
+    inner = np.zeros((draw.shape[1], draw.shape[1]))
+    for counts in blocks():
+        rows = (_weighted(counts, weight) @ draw).astype(np.float64)
+        inner += rows.T @ rows
+    values, turned = np.linalg.eigh(inner)
+    basis = (draw @ turned[:, np.argsort(-values)[:rank]]).astype(np.float32)
+    model = Model(weight, basis, np.zeros((0, rank), np.float32), labels.astype(np.float64))
+    parts = [model.project(counts) for counts in blocks()]
+    if parts:
+        model.vectors = np.concatenate([p[0] for p in parts])
+        model.usual = float(np.median(np.concatenate([p[1] for p in parts]))) or 1.0
+    return model
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -139,10 +204,8 @@ def fit(
     chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id")
     found = chosen.select("_id", "_label", F.arrow_udf(sparse, "struct<at:array<int>,n:array<float>>")("_text").alias("t"))
     rows = found.select("_id", "_label", "t.*").orderBy("_id", F.hash("n")).limit(2 * most).toPandas()
-    counts = np.zeros((len(rows), TERMS), np.float32)
-    for i, (at, n) in enumerate(zip(rows["at"], rows["n"])):
-        counts[i, np.asarray(at, np.int64)] = n
-    return latent(counts, rows["_label"].to_numpy(np.float64))
+    terms = [(np.asarray(at, np.int64), np.asarray(n, np.float32)) for at, n in zip(rows["at"], rows["n"])]
+    return latent(terms, rows["_label"].to_numpy(np.float64))
 
 
 def score_column(docs: DataFrame, text: Column, model: Model) -> Column:
@@ -160,9 +223,10 @@ def score_column(docs: DataFrame, text: Column, model: Model) -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """Per row: id, ``held_out``, ``score`` (0 to 1), ``predicted`` (1 if ``score >= ACCEPT``).
 
-    Terms are runs of three kinds of bytes over the whole text and repetitions of words; inverse document frequencies
-    and a singular value decomposition of the labelled sample make latent vectors; each document's cosine with all
-    labelled vectors is computed in blocks, and its nearest vote by similarity. Only the text makes the score. Null,
+    Terms are hashed words, pairs of words and runs of bytes of the whole text, beside its runs of kinds of bytes and
+    repetitions of words; inverse document frequencies and a singular value decomposition of the labelled sample make
+    latent vectors; each document's cosine with all labelled vectors is computed in blocks, and its nearest vote by
+    similarity, less where its terms are not those of labelled documents. Only the text makes the score. Null,
     empty and very short texts have no terms and get the labels' mean, as all do if no label is left (then 0.5).
     Repeated rows stay repeated rows; other columns are not read; an empty table gives no rows.
     """

@@ -1,7 +1,13 @@
 from __future__ import annotations
 
+import random
+import re
 import zlib
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+
 from sluiceway.llm import quality, queries
 from sluiceway.llm.arrow import table
 
@@ -13,7 +19,7 @@ def test_held_out_accuracy(spark):
     assert got["score"].between(0, 1).all() and (got["predicted"] == (got["score"] >= 0.3)).all()
     judged = got[got["held_out"]].merge(table(spark, sf, "labels").toPandas(), on="doc_id")
     right = judged["predicted"] == judged["quality"]
-    assert right.mean() >= 0.93
+    assert right.mean() >= 0.95
     assert right[judged["quality"] == 1].mean() >= 0.97
 
 
@@ -39,3 +45,74 @@ def test_odd_rows(spark, sf):
     assert len({r.score for r in got if r.doc_id in (9001, 9002)}) == 1
     assert {r.score for r in quality.score_documents(docs, labels.limit(0)).collect()} == {0.5}
     assert quality.score_documents(docs.limit(0), labels).count() == 0
+
+
+def sample_model(sf: str) -> tuple[quality.Model, pd.DataFrame]:
+    rows = pd.read_parquet(f"{sf}/documents.parquet").merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    counts = quality.term_counts(pa.array(rows["text"]))
+    places = [np.flatnonzero(c) for c in counts]
+    return quality.latent([(at, c[at]) for at, c in zip(places, counts)], rows["quality"].to_numpy(float)), rows
+
+
+def test_every_term_of_the_whole_text_is_counted():
+    texts = ["The cat saw the dog. " * 500 + "end", "dog the saw cat THE", "né", "abc", "", None, "a"]
+    counts = quality.term_counts(pa.array(texts))
+    edges = np.concatenate([[0], np.cumsum(quality.WIDTHS)])
+    sums = [[counts[i, lo:hi].sum() for lo, hi in zip(edges[:-1], edges[1:])] for i in range(len(texts))]
+    for text, (words, runs, pairs, kinds) in zip(texts, sums):
+        size = len((text or "").encode())
+        n = len(re.findall(r"\w+", text or ""))
+        assert (words, runs, pairs) == (n, max(0, size - 3), max(0, n - 1))
+        assert kinds >= max(0, size - 2)
+    one = quality.term_counts(pa.array(["the cat saw the dog"]))[0]
+    assert (one[: quality.WORDS] == counts[1, : quality.WORDS]).all() and (one != counts[1]).any()  # other order, same words
+    alone = np.concatenate([quality.term_counts(pa.array([t], pa.string())) for t in texts])
+    assert (alone == counts).all()
+
+
+def test_votes_are_those_of_all_cosines():
+    model, rows = sample_model("/root/testdata/sf0.01")
+    texts = list(rows["text"][:150]) + ["Win big at our casino. " * 20, "x", ""]
+    got = model.score(quality.term_counts(pa.array(texts)))
+    for text, score in zip(texts, got):
+        counts = quality.term_counts(pa.array([text]))[0].astype(float)
+        whole = np.sqrt(counts) * model.weight.astype(float)
+        at = 0
+        for width, share in zip(quality.WIDTHS, quality.SHARES):
+            part = whole[at : at + width]
+            if part.any():
+                part *= np.sqrt(share) / np.sqrt((part * part).sum())
+            at += width
+        if not whole.any():
+            assert score == model.labels.mean()
+            continue
+        inner = whole @ model.basis.astype(float)
+        explained = min(1.0, np.linalg.norm(inner) / np.linalg.norm(whole) / model.usual)
+        cosines = [float(inner @ v.astype(float)) / np.linalg.norm(inner) for v in model.vectors]
+        nearest = sorted(range(len(cosines)), key=lambda j: -cosines[j])[: quality.NEIGHBOURS]
+        weights = [min(1.0, max(0.0, cosines[j])) ** quality.POWER for j in nearest]
+        share = sum(w * model.labels[j] for w, j in zip(weights, nearest)) / sum(weights)
+        known = explained**quality.POWER
+        assert abs(known * share + (1 - known) * quality.ACCEPT - score) < 2e-3
+
+
+def test_words_count():
+    model, rows = sample_model("/root/testdata/sf0.1")
+    good = list(rows["text"][rows["quality"] == 1][:80])
+    draw = random.Random(3)
+
+    def letters(text: str) -> str:
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") if c.islower() else c for c in text)
+
+    def shuffled(text: str) -> str:
+        words = text.split(" ")
+        draw.shuffle(words)
+        return " ".join(words)
+
+    def scores(texts: list[str]) -> float:
+        return model.score(quality.term_counts(pa.array(texts))).mean()
+
+    clean = scores(good)
+    assert scores([letters(t) for t in good]) < clean - 0.12
+    assert scores([shuffled(t) for t in good]) < clean - 0.02
+    assert scores(["Win big at our casino today and buy cheap pills online. Click here now. " * 8]) < clean - 0.3
