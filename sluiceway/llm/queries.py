@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +37,9 @@ def op5_va_top_k(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
-    key = spark.conf.get("spark.sluiceway.pseudonymKey", "a key for tests; a corpus brings its own")
-    return pseudonyms.pseudonymise(table(spark, sf, "documents"), key)
+    if not spark.conf.get("spark.sluiceway.pseudonymKey", None):  # nobody can undo what a forgotten key made
+        spark.conf.set("spark.sluiceway.pseudonymKey", secrets.token_hex(32))
+    return pseudonyms.pseudonymise(table(spark, sf, "documents"), spark.conf.get("spark.sluiceway.pseudonymKey"))
 
 
 def op7_source_schedule(spark: SparkSession, sf: str) -> DataFrame:

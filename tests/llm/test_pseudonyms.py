@@ -87,3 +87,54 @@ def test_whole_table_without_python(spark, sf):
 
 def test_empty_table(spark):
     assert pseudonyms.pseudonymise(frame(spark, []), KEY).count() == 0
+
+
+def mod97(iban: str) -> int:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_cards_beside_other_numbers(spark):
+    card, other = "4111 1111 1111 1111", "5500000000000004"
+    given = [
+        card, f"{card} 12/27", f"{card} 123", f"123 {card}", f"12 34 {card} 5", f"{other} {card}", f"{card}-{other} 99", "4111-1111-1111-1111 12th",
+        f"{card} 2027-05-01", f"{card} 31/12/1999 x", "3782 822463 10005 1234", f"{card} 415-555-2671", f"{card} 10.1.2.3", "4111 1111 1111 1112 123",
+        "1 2 3 4 5 6 7 8 9 " * 20_000, "1234 " * 60_000 + card,
+    ]
+    n = [1, 1, 1, 1, 1, 2, 2, 1, 2, 2, 1, 2, 2, 0, None, None]
+    rows = {r.doc_id: r for r in pseudonyms.pseudonymise(frame(spark, given), KEY).collect()}
+    new = rows[0].text
+    for i, text in enumerate(given):
+        assert n[i] is None or rows[i].n_values == n[i], (text, rows[i])
+        if card in text and i < 14:
+            assert new in rows[i].text and card not in rows[i].text and shape(rows[i].text)[:8] == shape(text)[:8]
+    assert rows[5].text.split()[0] == rows[6].text.replace(" 99", "").rpartition("-")[2] != other
+    assert rows[7].text == new.replace(" ", "-") + " 12th"
+    assert rows[10].text.endswith(" 1234") and luhn_sum(rows[10].text[:-5].replace(" ", "")) % 10 == 0
+    assert rows[13].text == given[13]
+    assert rows[15].text.endswith(new)
+
+
+def test_lettered_ibans(spark):
+    given = ["GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819 IBAN", "NL91 ABNA 0417 1643 00", "FR14 2004 1010 0505 0001 3M02 606", "DE89 3704 0044 0532 0130 00 BANK"]
+    stay = ["GB28 NWBK 6016 1331 9268 19", "GB29 NWBK 6016 1331 9268"]
+    out = pseudonyms.pseudonymise(frame(spark, given + stay), KEY)
+    rows = {r.doc_id: r for r in out.collect()}
+    back = {r.doc_id: r.text for r in pseudonyms.pseudonymise(out, KEY, back=True).collect()}
+    for i, text in enumerate(given + stay):
+        assert (rows[i].n_values, rows[i].text != text) == ((1, True) if i < len(given) else (0, False)), text
+        assert back[i] == text and shape(rows[i].text) == shape(text)
+        if i < len(given):
+            assert rows[i].text[:2] == text[:2] and mod97(re.sub(" (IBAN|BANK)$", "", rows[i].text).replace(" ", "")) == 1
+    assert rows[0].text.replace(" ", "") == rows[1].text.split()[0]
+
+
+def test_written_dates(spark):
+    given = ["31/12/1999", "1/2/1999", "9/30/1999", "30/9/1999", "1.2.1999", "2021-2-8", "2021/12/1", "12/31/1999", "01/2/1999", "29/2/2000"]
+    stay = ["32/13/1999", "29/2/1999", "2/30/1999", "0/1/1999"]
+    out = pseudonyms.pseudonymise(frame(spark, given + stay), KEY)
+    rows = {r.doc_id: r for r in out.collect()}
+    back = {r.doc_id: r.text for r in pseudonyms.pseudonymise(out, KEY, back=True).collect()}
+    for i, text in enumerate(given + stay):
+        assert (rows[i].n_values, rows[i].text != text) == ((1, True) if i < len(given) else (0, False)), text
+        assert back[i] == text and shape(rows[i].text) == shape(text)
+    assert int(rows[0].text[:2]) > 12 and int(rows[3].text[:2]) > 12
