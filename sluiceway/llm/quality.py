@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -139,15 +140,28 @@ def _weighted(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return out
 
 
-def latent(sample: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
-    """Latent-semantic analysis of documents given as places and counts of their terms: inverse document frequencies and
+def pack(counts: np.ndarray) -> bytes:
+    """A document's term counts in about two bytes per term, since the whole sample lies in the driver's memory."""
+    at = np.flatnonzero(counts)
+    return zlib.compress(at.astype("<u2").tobytes() + counts[at].astype("<u4").tobytes(), 1)
+
+
+def unpack(data: bytes, counts: np.ndarray) -> None:
+    """Sets the counts of a document in a row of zeros."""
+    data = zlib.decompress(data)
+    n = len(data) // 6
+    counts[np.frombuffer(data, "<u2", n)] = np.frombuffer(data, "<u4", n, 2 * n)
+
+
+def latent(sample: list[bytes], labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
+    """Latent-semantic analysis of documents given as packed counts of their terms: inverse document frequencies and
     a truncated singular value decomposition. The matrix is never whole in memory, only blocks of its rows."""
 
     def blocks():
         for lo in range(0, len(sample), _BLOCK):
             counts = np.zeros((min(_BLOCK, len(sample) - lo), TERMS), np.float32)
-            for row, (at, n) in zip(counts, sample[lo : lo + _BLOCK]):
-                row[at] = n
+            for row, data in zip(counts, sample[lo : lo + _BLOCK]):
+                unpack(data, row)
             yield counts
 
     seen = np.zeros(TERMS, np.int64)
@@ -192,20 +206,15 @@ def fit(
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.avg(F.col(label_col).cast("double")).alias("_label"))
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(most)
 
-    def sparse(column: pa.Array) -> pa.Array:
-        rows = []
-        for lo in range(0, len(column), _BLOCK):
-            for counts in term_counts(column.slice(lo, _BLOCK)):
-                at = np.flatnonzero(counts)
-                rows.append({"at": at, "n": counts[at]})
-        return pa.array(rows, pa.struct([("at", pa.list_(pa.int32())), ("n", pa.list_(pa.float32()))]))
+    def packed(column: pa.Array) -> pa.Array:
+        rows = [pack(counts) for lo in range(0, len(column), _BLOCK) for counts in term_counts(column.slice(lo, _BLOCK))]
+        return pa.array(rows, pa.binary())
 
-    sparse.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    packed.__annotations__ = {"column": pa.Array, "return": pa.Array}
     chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id")
-    found = chosen.select("_id", "_label", F.arrow_udf(sparse, "struct<at:array<int>,n:array<float>>")("_text").alias("t"))
-    rows = found.select("_id", "_label", "t.*").orderBy("_id", F.hash("n")).limit(2 * most).toPandas()
-    terms = [(np.asarray(at, np.int64), np.asarray(n, np.float32)) for at, n in zip(rows["at"], rows["n"])]
-    return latent(terms, rows["_label"].to_numpy(np.float64))
+    found = chosen.select("_id", "_label", F.arrow_udf(packed, "binary")("_text").alias("t"))
+    rows = found.orderBy("_id", F.hash("t")).limit(2 * most).toPandas()
+    return latent(rows["t"].tolist(), rows["_label"].to_numpy(np.float64))
 
 
 def score_column(docs: DataFrame, text: Column, model: Model) -> Column:

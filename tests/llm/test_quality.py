@@ -50,8 +50,7 @@ def test_odd_rows(spark, sf):
 def sample_model(sf: str) -> tuple[quality.Model, pd.DataFrame]:
     rows = pd.read_parquet(f"{sf}/documents.parquet").merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
     counts = quality.term_counts(pa.array(rows["text"]))
-    places = [np.flatnonzero(c) for c in counts]
-    return quality.latent([(at, c[at]) for at, c in zip(places, counts)], rows["quality"].to_numpy(float)), rows
+    return quality.latent([quality.pack(c) for c in counts], rows["quality"].to_numpy(float)), rows
 
 
 def test_every_term_of_the_whole_text_is_counted():
