@@ -141,7 +141,7 @@ def _weighted(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def pack(counts: np.ndarray) -> bytes:
-    """A document's term counts in about two bytes per term, since the whole sample lies in the driver's memory."""
+    """A document's term counts in under three bytes per term, since the whole sample lies in the driver's memory."""
     at = np.flatnonzero(counts)
     return zlib.compress(at.astype("<u2").tobytes() + counts[at].astype("<u4").tobytes(), 1)
 
