@@ -4,6 +4,9 @@ Where a pane begins depends on where the one before ended, so panes can't be rea
 successor, the row that would open the next pane if this row opened one, and the pane starts are what the first row
 reaches. Successors are followed by pointer doubling: a round joins every pointer with the one it leads to, so a key of
 n panes needs log2(n) rounds of equi joins on key and position, and a hot key is spread over all tasks like any other.
+
+Both sides of these joins grow with the rows. Positions pack so well in the files they are read from that Spark would take
+millions of them for a small table and send them through the driver, hence the hints.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ def _starts(successors: DataFrame, keys: Sequence[str]) -> DataFrame:
     jumps = successors
     while True:
         ahead = jumps.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__at").alias("__from"), F.col("__to").alias("__next"))
+        ahead = ahead.hint("merge")
         match = _same(keys, names)
         more = reached.join(ahead, match & (F.col("__at") == F.col("__from"))).select(*keys, F.col("__next").alias("__at"))
         reached = written(reached.unionByName(more), "starts")
@@ -66,12 +70,12 @@ def any_of(
     sizes = placed.groupBy(*keys).agg(F.count("*").alias("__size"))
     names = [f"__key{i}" for i in range(len(keys))]
     ends = sizes.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__size")
-    inside = following.join(ends, _same(keys, names)).where(F.col("__to") < F.col("__size")).select(*keys, "__at", "__to")
+    inside = following.join(ends.hint("merge"), _same(keys, names)).where(F.col("__to") < F.col("__size")).select(*keys, "__at", "__to")
     first = placed.where("__at = 0").select(*keys, "__at")
     # A key of one pane has no pointer; its first row opens it all the same.
     starts = _starts(inside, keys).unionByName(first).distinct()
     marks = starts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__at").alias("__start"))
-    marked = written(placed.join(marks, _same(keys, names) & (F.col("__at") == F.col("__start")), "left").drop(*names), "marked")
+    marked = written(placed.join(marks.hint("merge"), _same(keys, names) & (F.col("__at") == F.col("__start")), "left").drop(*names), "marked")
     opens = F.col("__start").isNotNull()
     measures = {
         "__panes": ("sum", opens.cast("bigint")), "__first": ("max", F.col("__start")), "opened": ("max", F.when(opens, F.col(ts))),

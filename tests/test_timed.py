@@ -74,6 +74,20 @@ def test_any_of_count_and_wait(events, count, hours, skew):
     assert all(r[1] and r[2] for r in numbers)
 
 
+def test_nothing_that_grows_with_the_rows_is_broadcast(events, monkeypatch):
+    """Packed positions make a small file, however many they are."""
+    plans = []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label)
+
+    written = triggers.written
+    monkeypatch.setattr(triggers, "written", seen)
+    triggers.any_of(events, ["k"], "ts", ["event_id"], 3, "6 HOURS")
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 @pytest.mark.parametrize("count, hours", [(3, 6), (1000, 3)])
 def test_window_end_is_the_third_bound(events, count, hours):
     placed = events.withColumn("s", F.window("ts", "1 day")["start"]).withColumn("e", F.window("ts", "1 day")["end"])
