@@ -6,8 +6,8 @@
   by Spark and scanned partition by partition in the same way.
 * ``lookup``: an equi join against a side with few rows per key.
 
-How many rows a task should have is an absolute number, so the layout holds at any table size. Which keys exceed it
-is estimated from a sample, and where a key's cuts lie from a quantile sketch of bounded size, a random sample of its
+How many rows and bytes of text a task should have are absolute numbers, so the layout holds at any table size and any
+width of rows. Which keys exceed them is estimated from a sample, and where a key's cuts lie from a quantile sketch of bounded size, a random sample of its
 values that the aggregation merges. That only changes how work is spread, never the answer. Cuts and range numbers are
 written once to the shared folder and joined by Spark, so a recomputed task sees the same layout and nothing that grows
 with the rows comes to the driver or stands beside a row. All rows go through the plan itself.
@@ -37,9 +37,11 @@ _CUTS = "__cuts"
 
 @dataclass(frozen=True)
 class Skew:
-    """A key with more than ``hot_rows`` rows is split into ranges of about half as many."""
+    """A key with more than ``hot_rows`` rows, or ``hot_bytes`` in their strings and binaries, is split into ranges of
+    about half as many."""
 
     hot_rows: int = 500_000
+    hot_bytes: int = 64 << 20
 
 
 DEFAULT_SKEW = Skew()
@@ -56,17 +58,34 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _weight(df: DataFrame, skew: Skew) -> Column | None:
+    """As how many rows a row counts: one, or what its bytes make of ``hot_bytes``. None if no column is of any length."""
+    wide = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("double") for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    if not wide:
+        return None
+    size = wide[0]
+    for more in wide[1:]:
+        size = size + more
+    return F.greatest(F.lit(1.0), size * (skew.hot_rows / skew.hot_bytes))
+
+
 def hot_cuts(df: DataFrame, keys: Sequence[str], order: str, skew: Skew = DEFAULT_SKEW) -> DataFrame | None:
     """``(__hash, __cuts)`` of every hot key: its sorted cut points on the order column. None if no key is hot.
 
-    One job reads the rows and writes a sample. A hot key's sketch is a random sample of at most about ``SKETCH`` of
+    One job reads the rows and writes a sample, in which a wide row stands as often as its bytes are worth. A hot key's sketch is a random sample of at most about ``SKETCH`` of
     its sampled values, however many they are; its cuts are evenly spaced values of it, as many as its rows need and
     at most ``MOST_CUTS``, and whole values, however long their common beginning. The table of cuts is written, not
     collected. A hash collision only splits one more key.
     """
     share = min(1.0, SAMPLED / skew.hot_rows)
-    rows = df.select(key_hash(keys).alias(_HASH), F.col(order).alias("at")).where(F.col("at").isNotNull())
-    seen = written(rows.sample(share, seed=7) if share < 1 else rows, "sample")
+    weight = _weight(df, skew)
+    if weight is None:
+        rows = df.select(key_hash(keys).alias(_HASH), F.col(order).alias("at")).where(F.col("at").isNotNull())
+        seen = written(rows.sample(share, seed=7) if share < 1 else rows, "sample")
+    else:
+        rows = df.select(key_hash(keys).alias(_HASH), F.col(order).alias("at"), weight.alias("weight")).where(F.col("at").isNotNull())
+        copies = rows.select(_HASH, "at", F.floor(F.col("weight") * share + F.rand(7)).cast("int").alias("copies")).where("copies > 0")
+        seen = written(copies.select(_HASH, F.explode(F.array_repeat("at", F.col("copies"))).alias("at")), "sample")
     counts = seen.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > skew.hot_rows * share)
     if counts.isEmpty():
         return None
@@ -100,9 +119,12 @@ def with_piece(df: DataFrame, value: Column, cuts: str, most: int) -> DataFrame:
 
 
 def _exceeds(df: DataFrame, skew: Skew) -> bool:
-    """Whether the table has more rows than one task should have, by a sample."""
+    """Whether the table has more rows or bytes than one task should have, by a sample of the rows."""
     share = min(1.0, SAMPLED / skew.hot_rows)
-    return (df.sample(share, seed=7) if share < 1 else df).count() > skew.hot_rows * share
+    weight = _weight(df, skew)
+    rows = df.sample(share, seed=7) if share < 1 else df
+    much = rows.agg(F.sum(F.lit(1.0) if weight is None else weight)).first()[0] or 0
+    return much > skew.hot_rows * share
 
 
 def _aggregate(how: str, value: Column) -> Column:
@@ -172,7 +194,8 @@ def running(
     match = F.col(_PIECE) == F.col("__side_piece")
     for key, side in zip(keys, side_keys):
         match = match & F.col(key).eqNullSafe(F.col(side))
-    joined = local.join(before, match, "left")
+    # One row per range of a hot key: sent to all tasks, so that the rows themselves are not shuffled once more.
+    joined = local.join(F.broadcast(before), match, "left")
     types = {f.name: f.dataType for f in plain.schema.fields}
     return joined.select(
         *df.columns,

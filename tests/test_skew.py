@@ -47,6 +47,19 @@ def test_a_key_has_as_many_cuts_as_its_rows_need(spark):
     assert len(cuts["__cuts"]) == 10_000
 
 
+@pytest.mark.parametrize("skew_", [Skew(hot_bytes=40_000), Skew(hot_rows=1000, hot_bytes=40_000)])
+def test_a_key_of_few_wide_rows_is_split(spark, skew_):
+    """Later rows are wider; no range has more bytes than a task should have, and pages are those of one task."""
+    rows = spark.range(400).select("id", F.lit(1).alias("k"), F.repeat(F.lit("x"), (F.col("id") * 4).cast("int")).alias("text"))
+    cuts = skew.hot_cuts(rows, ["k"], "id", skew_)
+    known = rows.withColumn("__hash", skew.key_hash(["k"])).join(cuts, "__hash")
+    pieces = skew.with_piece(known, F.col("id"), "__cuts", 64).groupBy("__piece").agg(F.sum(F.octet_length("text")).alias("n"))
+    assert pieces.agg(F.max("n")).first()[0] <= 40_000
+    pages = [group.group_values(rows, ["k"], "text", ["id"], page_bytes=5_000, skew=s).orderBy("page").collect() for s in (skew_, Skew())]
+    assert pages[0] == pages[1]
+    assert skew.positions(rows, [], ["id"], skew=skew_).where("position <> id").isEmpty()
+
+
 def test_sums_have_one_type(hot):
     amount = F.col("v").cast("decimal(12,2)")
     kinds = [skew.running(hot, ["k"], ["event_id"], {"s": ("sum", amount)}, skew=s).schema["s"].dataType for s in (EAGER, skew.DEFAULT_SKEW)]
