@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.operators import triggers
 from sluiceway.operators.skew import Skew
+from sluiceway.plans import stream_queries
 from sluiceway.plans.inputs import table
 from sluiceway.session import fresh_dir, stream_session
 from sluiceway.streaming import panes, replay, timed
@@ -151,3 +152,17 @@ def test_a_window_that_only_has_late_rows_and_no_lateness(session):
     assert sorted((r[0], r[1], r[2]) for r in rows) == [(0, "LATE", [2]), (0, "ON_TIME", [1])]
     strict = run(session, chunks, lambda s: timed.stream_panes(s, ["key"], "ts", "1 hour", "0 seconds", "v"), drain="ts")
     assert [r["values"] for r in strict.where("size(values) > 0").collect()] == [[1]]
+
+
+def test_words_are_counted_in_one_run_of_the_stream(spark, sf, monkeypatch):
+    """A second run would load the whole state again, and counting the state's rows takes a lookup before every write."""
+    started = []
+
+    def seen(df, *args, **how):
+        started.append(df.sparkSession.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"))
+        return append(df, *args, **how)
+
+    append = panes.stream_append
+    monkeypatch.setattr(panes, "stream_append", seen)
+    stream_queries.stream_word_count(spark, sf)
+    assert started == ["false"]
