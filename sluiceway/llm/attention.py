@@ -3,7 +3,8 @@
 A position sees itself and what is before it in its window: embeddings, one attention layer, a residual, and a softmax
 over classes of tokens. Within its class a token has the share that it has in the training corpus after a token of the
 context's kind. Frequent tokens are a class each, the others share classes with tokens of similar neighbours; kinds of
-context are finer classes made in the same way. Probabilities of all tokens add up to one.
+context are finer classes made in the same way, and the embeddings are principal directions of what classes stand after a token.
+Probabilities of all tokens add up to one.
 """
 
 from __future__ import annotations
@@ -24,8 +25,13 @@ CONTEXTS, SHARED_CONTEXTS = 256, 56
 PRIOR = 5.0
 #: Windows of one batch.
 BATCH = 64
-#: Steps of the fit, and how often it may meet each window.
-STEPS, ROUNDS = 1_500, 8
+#: Steps below which the fit meets its windows again, and how often at most; it meets each at least once.
+STEPS, AGAIN = 1_500, 8
+#: Tokens whose places beside another describe it.
+BESIDE = CONTEXTS - SHARED_CONTEXTS
+#: So many of the classes after a token go by what is everywhere; components of embeddings, of size 1 in the mean, are cut.
+FEW = 20.0
+_FAR = 12.0
 #: A position's mask over those it sees; scores and logits are cut at ``_MOST``, far above what training reaches.
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 _ONES = np.ones(WINDOW, np.float32)
@@ -113,10 +119,15 @@ def class_log(w: Weights, f: np.ndarray) -> np.ndarray:
 
 
 def gradient(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Of the mean negative log-probability of the wanted classes at the positions that count."""
+    """Of the mean negative log-probability of the wanted classes at the positions that count, by part of the weights."""
     f, (h, q, k, v, a, seen) = features(w, inputs, True)
-    p = np.exp(class_log(w, f))
-    np.put_along_axis(p, wanted[:, :, None], np.take_along_axis(p, wanted[:, :, None], 2) - 1, 2)
+    p = f @ w.out
+    p += w.bias
+    np.minimum(p, _MOST, out=p)
+    np.exp(p, out=p)
+    p /= np.matmul(p, np.ones(p.shape[2], np.float32))[:, :, None]
+    each = np.arange(p.shape[0] * p.shape[1])
+    p.reshape(len(each), -1)[each, wanted.ravel()] -= 1
     p *= (counts / max(1, counts.sum()))[:, :, None].astype(np.float32)
     flat = lambda x: x.reshape(-1, x.shape[-1])
     out, bias = flat(f).T @ flat(p), flat(p).sum(axis=0)
@@ -125,7 +136,9 @@ def gradient(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndar
     dseen = df @ w.back.T
     dv = np.matmul(a.transpose(0, 2, 1), dseen)
     da = np.matmul(dseen, v.transpose(0, 2, 1))
-    da = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(DIM**-0.5)
+    da -= np.einsum("bij,bij->bi", da, a)[:, :, None]
+    da *= a
+    da *= np.float32(DIM**-0.5)
     dmix = np.concatenate([np.matmul(da, k), np.matmul(da.transpose(0, 2, 1), q), dv], axis=2)
     mix = flat(h).T @ flat(dmix)
     dh = df + dmix @ w.mix.T
@@ -134,80 +147,115 @@ def gradient(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndar
     return [embedding, dh.sum(axis=0), mix, back, out, bias]
 
 
-def train(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndarray, steps: int = STEPS, rate: float = 0.01) -> Weights:
-    """Adam over batches of the windows, in a fixed order."""
-    draw = np.random.default_rng(13)
-    mean, square = [np.zeros_like(x) for x in w.parts()], [np.zeros_like(x) for x in w.parts()]
-    order = np.zeros(0, np.int64)
-    steps = min(steps, -(-ROUNDS * len(inputs) // BATCH))
-    for step in range(1, steps + 1):
-        while len(order) < BATCH:
-            order = np.concatenate([order, draw.permutation(len(inputs))])
-        some, order = order[:BATCH], order[BATCH:]
-        speed = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-        for x, g, m, s in zip(w.parts(), gradient(w, inputs[some], wanted[some], counts[some]), mean, square):
-            rows = np.unique(inputs[some]) if x is w.embedding else slice(None)
-            m[rows] = 0.9 * m[rows] + 0.1 * g[rows]
-            s[rows] = 0.99 * s[rows] + 0.01 * g[rows] ** 2
-            x[rows] -= (speed * (m[rows] / (1 - 0.9**step)) / (np.sqrt(s[rows] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-    return w
-
-
-class Softmax:
-    """Adagrad on the softmax alone, which is convex in its weights, so weights of many tasks can be averaged."""
-
-    def __init__(self, w: Weights, rate: float = 0.02):
-        self.w, self.rate, self.seen = w, rate, 0
-        self.out, self.bias = w.out.copy(), w.bias.copy()
-        self.squares = [np.full_like(self.out, 1e-4), np.full_like(self.bias, 1e-4)]
+class Learner:
+    """Adagrad over windows. Learners of many tasks begin with the same weights, and what they came to is averaged: an
+    embedding by how often a task ``met`` its token, all else by how many tokens it has ``seen``."""
+
+    def __init__(self, w: Weights, squares: list[np.ndarray], rate: float = 0.1):
+        self.w = Weights(*[x.copy() for x in w.parts()])
+        self.squares, self.rate, self.seen = [x.copy() for x in squares], rate, 0
+        self.near, self.met = np.full_like(w.embedding, 1e-4), np.zeros(len(w.embedding), np.int64)
 
     def step(self, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndarray) -> None:
         n = int(counts.sum())
         if not n:
             return
-        f = features(self.w, inputs)[counts]
-        z = f @ self.out
-        z += self.bias
-        np.minimum(z, _MOST, out=z)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(n), wanted[counts]] -= 1
-        for x, g, s in ((self.out, f.T @ z / n, self.squares[0]), (self.bias, z.sum(axis=0) / n, self.squares[1])):
+        first, *rest = gradient(self.w, inputs, wanted, counts)
+        for x, g, s in zip(self.w.parts()[1:], rest, self.squares):
             s += g * g
             x -= np.float32(self.rate) * g / np.sqrt(s)
+        rows, times = np.unique(inputs, return_counts=True)
+        g = first[rows]
+        self.near[rows] += g * g
+        self.w.embedding[rows] -= np.float32(self.rate) * g / np.sqrt(self.near[rows])
+        self.met[rows] += times
         self.seen += n
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in [*self.w.parts()[1:], *self.squares]]).astype(np.float64)
+
+
+def no_squares(w: Weights) -> list[np.ndarray]:
+    return [np.full_like(x, 1e-4) for x in w.parts()[1:]]
+
+
+def unflat(w: Weights, flat: np.ndarray) -> tuple[Weights, list[np.ndarray]]:
+    """The weights and squares that ``Learner.flat`` wrote, of the shapes of ``w``."""
+    shapes, parts, at = [x.shape for x in w.parts()[1:]] * 2, [], 0
+    for shape in shapes:
+        size = int(np.prod(shape))
+        parts.append(flat[at : at + size].reshape(shape).astype(np.float32))
+        at += size
+    return Weights(w.embedding, *parts[: len(parts) // 2]), parts[len(parts) // 2 :]
+
+
+def pairs(tokens: np.ndarray, offsets: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every token, and the one before it; before the first of a text stands ``start``."""
+    tokens = tokens.astype(np.int64)
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[offsets[:-1][np.diff(offsets) > 0]] = start
+    return before, tokens
+
 
-def classes(counts: np.ndarray, inputs: np.ndarray, targets: np.ndarray, there: np.ndarray, size: int = CLASSES, shared: int = SHARED) -> np.ndarray:
-    """The class of every token: by its count if it is frequent, else by what stands around it in the windows."""
-    vocabulary = len(counts)
-    single = np.argsort(-counts, kind="stable")[: size - shared]
-    of = np.full(vocabulary, size - 1)  # tokens that no window has
+def frequent(counts: np.ndarray, many: int) -> np.ndarray:
+    """The ``many`` most frequent tokens."""
+    return np.argsort(-counts, kind="stable")[:many]
+
+
+def classes(counts: np.ndarray, beside: np.ndarray, size: int = CLASSES, shared: int = SHARED) -> np.ndarray:
+    """The class of every token: by its count if it is frequent, else by what stands around it.
+
+    ``beside`` counts, per token, which of the ``BESIDE`` most frequent ones stand before it, and then which after it.
+    """
+    single = frequent(counts, size - shared)
+    of = np.full(len(counts), size - 1)  # tokens that stand beside none of them
     of[single] = np.arange(len(single))
-    a, b = inputs[there], targets[there]
-    table = np.zeros((vocabulary, 2 * len(single)), np.float32)
-    mark = np.full(vocabulary, -1)
-    mark[single] = np.arange(len(single))
-    for tokens, others, shift in ((b, a, 0), (a, b, len(single))):
-        ok = (mark[tokens] < 0) & (mark[others] >= 0)
-        np.add.at(table, (tokens[ok], shift + mark[others[ok]]), 1)
-    known = np.flatnonzero((mark < 0) & (table.sum(axis=1) > 0))
+    table = np.concatenate([beside[:, : len(single)], beside[:, BESIDE : BESIDE + len(single)]], axis=1)
+    table[single] = 0
+    known = np.flatnonzero(table.any(axis=1))
     if not len(known):
         return of
-    rows = np.sqrt(table[known] / table[known].sum(axis=1, keepdims=True))
+    rows = table[known]
+    del table
+    rows /= rows.sum(axis=1, keepdims=True)
+    np.sqrt(rows, out=rows)
     weight = counts[known].astype(np.float64) + 1
     k = min(shared - 1, len(known))
     centres = rows[np.argsort(-weight, kind="stable")[:k]]
     for _ in range(8):
         near = np.argmax(rows @ centres.T, axis=1)
         sums = np.zeros(centres.shape)
-        np.add.at(sums, near, rows * weight[:, None])
+        for c in range(k):
+            sums[c] = weight[near == c] @ rows[near == c]
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(length > 0, sums / np.where(length > 0, length, 1), centres).astype(np.float32)
     of[known] = size - shared + np.argmax(rows @ centres.T, axis=1)
     return of
 
 
+def begin(w: Weights, follows: np.ndarray) -> Weights:
+    """Embeddings, softmax and bias that the fit begins with. ``follows`` counts which class stands after each token.
+
+    An embedding has the principal directions of the log-probabilities of the next class, against those everywhere, and
+    the softmax turns them into these again, so the attention layer begins with what the last token alone says.
+    """
+    n = follows.sum(axis=1, dtype=np.float64)
+    share = (follows.sum(axis=0, dtype=np.float64) + 0.5) / (n.sum() + 0.5 * follows.shape[1])
+    log = np.log((follows + FEW * share) / (n + FEW)[:, None]) - np.log(share)
+    weight = n / max(1.0, n.sum())
+    mean = weight @ log
+    log = (log - mean) * (n > 0)[:, None]
+    value, vector = np.linalg.eigh(log.T @ (log * weight[:, None]))
+    value, vector = np.maximum(value[::-1][:DIM], 0), vector[:, ::-1][:, :DIM]
+    vector = vector * np.where(vector[np.argmax(np.abs(vector), axis=0), np.arange(DIM)] < 0, -1, 1)
+    there = value > 1e-9 * max(float(value[0]), 1e-30)
+    scale = np.where(there, 1 / np.sqrt(np.maximum(value, 1e-30)), 0)
+    embedding = np.clip(log @ (vector * scale), -_FAR, _FAR).astype(np.float32)
+    out = (vector * np.where(there, np.sqrt(value), 0)).T.astype(np.float32)
+    return Weights(embedding, w.place * np.float32(0.2), w.mix, w.back * np.float32(0.1), out, (np.log(share) + mean).astype(np.float32))
+
+
 def inside_log(after: np.ndarray, of: np.ndarray) -> np.ndarray:
     """Per kind of context, each token's natural log-probability within its class. ``after``: counts, context by token."""
     everywhere = after.sum(axis=0, dtype=np.float64) + 1

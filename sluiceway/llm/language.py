@@ -16,18 +16,20 @@ from pyspark.sql import types as T
 
 from sluiceway.llm import attention
 from sluiceway.llm.arrow import saved, slices
-from sluiceway.llm.wordhash import mixed
 
 FOLDS, HELD = 7, 2
-#: Windows that the attention layer is fitted on, those with the least hash. All other statistics are of all documents.
-SAMPLE = 32_768
+#: The documents that are learned from come in turns, each in one of them: so many sixteenths up to the end of each turn.
+TURNS = (1, 4, 16)
 #: A word with more than one in so many of all tokens is looked up in the tasks; there can't be more such words.
 FREQUENT = 200_000
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _SLICE = 4 << 20
 #: Tokens that are counted at a time.
-_COUNTED = 4 << 20
+_COUNTED = 1 << 20
+#: What tasks learned is added up in blocks of so many weights, and of the embeddings of so many tokens.
+_BLOCK, _ROWS = 1_024, 256
+_BLOCKS = pa.schema([("block", pa.int64()), ("tokens", pa.binary()), ("sums", pa.binary())])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -157,64 +159,96 @@ def _token_counts(code: str, vocabulary: int):
     return run
 
 
-def _sampled(code: str, start: int, share: float):
-    """Windows of which a hash says so: (hash, inputs, targets, how many of them count)."""
-    limit = np.uint64(min(share, 1.0) * ((1 << 64) - (1 << 12)))
+def _pair_counts(code: str, start: int, keys):
+    """How often each key occurs that ``keys`` makes of the tokens and those before them, counted piece by piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted() -> pa.RecordBatch:
+            there, n = np.unique(np.concatenate(waiting), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(n)], names=["key", "n"])
+
+        waiting, size = [], 0
         for batch in batches:
-            for lo, hi in slices(batch.column(1), _SLICE):
-                tokens, offsets = _texts(batch.column(1).slice(lo, hi - lo), code)
-                row = batch.column(0).slice(lo, hi - lo).to_numpy().astype(np.uint64)
-                before = None
-                for inputs, targets, counts, text in attention.windows(tokens, offsets, start, attention.WINDOW):
-                    first = np.zeros(len(text), bool)
-                    first[0] = before != text[0]
-                    first[1:] = text[1:] != text[:-1]
-                    place = inputs.astype(np.uint64) @ (np.arange(1, attention.WINDOW + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                    hashed = mixed(mixed(row[text]) ^ place)
-                    before = text[-1]
-                    keep = hashed <= limit
-                    if keep.any():
-                        both = [pa.array(list(x[keep].astype(np.int32)), pa.list_(pa.int32())) for x in (inputs, targets)]
-                        yield pa.RecordBatch.from_arrays([pa.array((hashed[keep] >> np.uint64(1)).astype(np.int64)), *both, pa.array(counts[keep].sum(axis=1))], names=["hash", "inputs", "targets", "n"])
+            for lo, hi in slices(batch.column(0), _SLICE):
+                waiting.append(keys(*attention.pairs(*_texts(batch.column(0).slice(lo, hi - lo), code), start)))
+                size += len(waiting[-1])
+                if size > _COUNTED:
+                    yield counted()
+                    waiting, size = [], 0
+        if waiting:
+            yield counted()
 
     return run
 
 
-def _learn(code: str, weights: attention.Weights, of: np.ndarray, kind: np.ndarray, start: int):
-    """Sums over a task's documents: how often each token follows each kind of context (keys from 0 on), and the
-    softmax it came to, weighted by its tokens (keys below 0, the last its weight)."""
-    vocabulary = len(of)
+def _beside(mark: np.ndarray):
+    """A token and the place of a frequent one before it, and a token and the place of a frequent one after it."""
+    width = 2 * attention.BESIDE
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        after = np.zeros(attention.CONTEXTS * vocabulary, np.int32)
-        softmax, waiting, size = attention.Softmax(weights), [], 0
+    def keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        left, right = mark[before], mark[tokens]
+        return np.concatenate([tokens[left >= 0] * width + left[left >= 0], before[right >= 0] * width + attention.BESIDE + right[right >= 0]])
+
+    return keys
+
+
+def _class_after(of: np.ndarray):
+    """A token and the class of the one after it."""
+    return lambda before, tokens: before * attention.CLASSES + of[tokens]
+
+
+def _follows(kind: np.ndarray, vocabulary: int):
+    """A kind of context and the token after it."""
+    return lambda before, tokens: kind[before] * vocabulary + tokens
 
-        def count() -> None:
-            if waiting:
-                np.add(after, np.bincount(np.concatenate(waiting), minlength=len(after)), out=after, casting="unsafe")
-                waiting.clear()
 
+def _summed(learned: DataFrame, run, size: int) -> np.ndarray:
+    """The counts of all tasks, keys from 0 to ``size``."""
+    sums = learned.select("ids").mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").cast("float").alias("n")).toArrow()
+    out = np.zeros(size, np.float32)
+    out[sums["key"].to_numpy()] = sums["n"].to_numpy()
+    return out
+
+
+def _learn(code: str, weights: attention.Weights, squares: list[np.ndarray], of: np.ndarray, start: int, again: int):
+    """What a task's documents make of the weights, all their windows once or ``again``, in blocks that can be added."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = attention.Learner(weights, squares)
         for batch in batches:
             for lo, hi in slices(batch.column(0), _SLICE):
                 tokens, offsets = _texts(batch.column(0).slice(lo, hi - lo), code)
-                for inputs, targets, counts, _ in attention.windows(tokens, offsets, start, attention.WINDOW):
-                    softmax.step(inputs, of[targets], counts)
-                    waiting.append(kind[inputs[counts]] * vocabulary + targets[counts])
-                    size += len(waiting[-1])
-                    if size > _COUNTED:
-                        count()
-                        size = 0
-        count()
-        there = np.flatnonzero(after)
-        flat = np.concatenate([softmax.out.ravel(), softmax.bias, [1.0]]).astype(np.float64) * softmax.seen
-        keys = np.concatenate([there, -1 - np.arange(len(flat))])
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([after[there].astype(np.float64), flat]))], names=["key", "value"])
+                for _ in range(again):
+                    for inputs, targets, counts, _ in attention.windows(tokens, offsets, start, attention.WINDOW):
+                        learner.step(inputs, of[targets], counts)
+        if not learner.seen:
+            return
+        flat = np.append(learner.flat(), 1.0) * learner.seen
+        rows = [(-1 - i, b"", flat[lo : lo + _BLOCK].tobytes()) for i, lo in enumerate(range(0, len(flat), _BLOCK))]
+        met = np.flatnonzero(learner.met)
+        for tokens in np.split(met, np.flatnonzero(np.diff(met // _ROWS)) + 1):
+            times = learner.met[tokens, None].astype(np.float32)
+            sums = np.concatenate([learner.w.embedding[tokens] * times, times], axis=1)
+            rows.append((int(tokens[0]) // _ROWS, tokens.astype(np.int32).tobytes(), sums.tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], schema=_BLOCKS)
 
     return run
 
 
+def _added(blocks: pa.Table) -> pa.Table:
+    """The sum of one block of weights over all tasks, or of the embeddings of one run of tokens that they met."""
+    block = blocks["block"][0].as_py()
+    if block < 0:
+        total = sum(np.frombuffer(x.as_py(), np.float64) for x in blocks["sums"])
+        return pa.table([pa.array([block]), pa.array([b""]), pa.array([total.tobytes()])], schema=_BLOCKS)
+    total = np.zeros((_ROWS, attention.DIM + 1))
+    for tokens, sums in zip(blocks["tokens"], blocks["sums"]):
+        total[np.frombuffer(tokens.as_py(), np.int32) - block * _ROWS] += np.frombuffer(sums.as_py(), np.float32).reshape(-1, attention.DIM + 1)
+    there = np.flatnonzero(total[:, -1])
+    mean = (total[there, :-1] / total[there, -1:]).astype(np.float32)
+    return pa.table([pa.array([block]), pa.array([(there + block * _ROWS).astype(np.int32).tobytes()]), pa.array([mean.tobytes()])], schema=_BLOCKS)
+
+
 def _score(code: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -228,38 +262,48 @@ def _score(code: str, shared):
     return run
 
 
-def fit(prepared: DataFrame, path: str, sample: int = SAMPLE, steps: int = attention.STEPS) -> attention.Model:
-    """Learns from the documents that are not held out: all their tokens make the counts and the softmax, at most
-    ``sample`` of their windows the attention layer before it. What comes to the driver is bounded by the vocabulary
-    and the model's size."""
+def fit(prepared: DataFrame, path: str, steps: int = attention.STEPS) -> attention.Model:
+    """Learns from all tokens of all documents that are not held out: counts, what stands beside what, and the weights.
+
+    The weights are learned in turns of growing size. In a turn every task goes through its documents from the same
+    weights, and the average of what the tasks came to, by their tokens, begins the next. What comes to the driver is
+    bounded by the vocabulary and the model's size.
+    """
     to = subwords(path)
     learned = prepared.where("not held_out")
     counts = np.zeros(to.vocabulary, np.int64)
     for token, n in learned.select("ids").mapInArrow(_token_counts(to.code, to.vocabulary), "token long, n long").groupBy("token").agg(F.sum("n")).collect():
         counts[token] = n
-    share = 4 * sample * attention.WINDOW / max(1, int(counts.sum()))
-    drawn = learned.select("row", "ids").mapInArrow(_sampled(to.code, to.end, share), "hash long, inputs array<int>, targets array<int>, n long")
-    rows = drawn.orderBy("hash", "inputs").limit(sample).toPandas()
-    shape = (len(rows), attention.WINDOW)
-    inputs, targets = (np.concatenate(list(rows[c])).reshape(shape).astype(np.int64) if len(rows) else np.zeros(shape, np.int64) for c in ("inputs", "targets"))
-    there = np.arange(attention.WINDOW)[None, :] < rows["n"].to_numpy(np.int64)[:, None]
-    of = attention.classes(counts, inputs, targets, there)
-    kind = attention.classes(counts, inputs, targets, there, attention.CONTEXTS, attention.SHARED_CONTEXTS)
-    weights = attention.train(attention.fresh(to.vocabulary, attention.CLASSES), inputs, of[targets], there, steps)
-    sums = learned.select("ids").mapInArrow(_learn(to.code, weights, of, kind, to.end), "key long, value double").groupBy("key").agg(F.sum("value").alias("value")).toPandas()
-    key, value = sums["key"].to_numpy(np.int64), sums["value"].to_numpy(np.float64)
-    after = np.zeros(attention.CONTEXTS * to.vocabulary, np.float32)
-    after[key[key >= 0]] = value[key >= 0]
-    flat = np.zeros(weights.out.size + weights.bias.size + 1)
-    flat[-1 - key[key < 0]] = value[key < 0]
-    if flat[-1] > 0:
-        flat /= flat[-1]
-        weights.out, weights.bias = flat[: weights.out.size].reshape(weights.out.shape).astype(np.float32), flat[weights.out.size : -1].astype(np.float32)
+    single = attention.frequent(counts, attention.BESIDE)
+    mark = np.full(to.vocabulary, -1)
+    mark[single] = np.arange(len(single))
+    width = 2 * attention.BESIDE
+    beside = _summed(learned, _pair_counts(to.code, to.end, _beside(mark)), to.vocabulary * width).reshape(-1, width)
+    of, kind = attention.classes(counts, beside), attention.classes(counts, beside, attention.CONTEXTS, attention.SHARED_CONTEXTS)
+    del beside
+    next_class = _summed(learned, _pair_counts(to.code, to.end, _class_after(of)), to.vocabulary * attention.CLASSES)
+    weights = attention.begin(attention.fresh(to.vocabulary, attention.CLASSES), next_class.reshape(to.vocabulary, -1))
+    again = max(1, min(attention.AGAIN, -(-steps * attention.BATCH * attention.WINDOW // max(1, int(counts.sum())))))
+    squares, turn, begin = attention.no_squares(weights), F.pmod(F.xxhash64("row"), F.lit(TURNS[-1])), 0
+    for end in TURNS:
+        some = learned.where((turn >= begin) & (turn < end)).select("ids")
+        run = _learn(to.code, weights, squares, of, to.end, again)
+        kinds = "block long, tokens binary, sums binary"
+        sums = some.mapInArrow(run, kinds).groupBy("block").applyInArrow(_added, kinds).collect()
+        if sums:
+            flat = np.frombuffer(b"".join(bytes(r.sums) for r in sorted(sums, key=lambda r: -r.block) if r.block < 0))
+            weights, squares = attention.unflat(weights, flat[:-1] / flat[-1])
+            weights.embedding = weights.embedding.copy()
+            for r in sums:
+                if r.block >= 0:
+                    weights.embedding[np.frombuffer(r.tokens, np.int32)] = np.frombuffer(r.sums, np.float32).reshape(-1, attention.DIM)
+        begin = end
+    after = _summed(learned, _pair_counts(to.code, to.end, _follows(kind, to.vocabulary)), attention.CONTEXTS * to.vocabulary)
     return attention.Model(weights, of, kind, attention.inside_log(after.reshape(attention.CONTEXTS, -1), of), to.end)
 
 
 def score(
-    docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, steps: int = attention.STEPS, frequent: int = FREQUENT,
+    docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", steps: int = attention.STEPS, frequent: int = FREQUENT,
 ) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
@@ -294,7 +338,7 @@ def score(
     added = rare.groupBy("row").agg(
         F.sum(F.log10(F.col("seen") + 1) - floor).alias("more"), F.count(F.when(F.col("seen") > 0, 1)).alias("also")
     )
-    shared = spark.sparkContext.broadcast(fit(texts, vocabulary_path, sample, steps))
+    shared = spark.sparkContext.broadcast(fit(texts, vocabulary_path, steps))
     out_schema = schema.split(", ids")[0] + ", score double"
     scored = texts.mapInArrow(_score(subwords(vocabulary_path).code, shared), out_schema)
     return scored.join(added, "row", "left").select(

@@ -148,3 +148,46 @@ def test_odd_rows_and_what_is_held_out(spark, frequent):
     assert run([]) == []
     alone = run([(some[0], "w1 w2")])
     assert alone[0][:6] == (some[0], True, 3, 0, 0, 0.0) and alone[0][6] < 0
+
+
+def learned_by(texts, of, code="H"):
+    """What one task hands on for these texts: tokens met in the embeddings' blocks, how often, and tokens seen."""
+    weights = attention.fresh(len(of), attention.CLASSES)
+    run = language._learn(code, weights, attention.no_squares(weights), of, 7, 1)
+    rows = [r for b in run(pa.RecordBatch.from_arrays([pa.array([np.array(t, code).tobytes()])], names=["ids"]) for t in texts) for r in b.to_pylist()]
+    met = Counter()
+    for r in rows:
+        if r["block"] >= 0:
+            n = np.frombuffer(r["sums"], np.float32).reshape(-1, attention.DIM + 1)[:, -1]
+            met.update(dict(zip(np.frombuffer(r["tokens"], np.int32).tolist(), n.astype(int).tolist())))
+    flat = np.frombuffer(b"".join(r["sums"] for r in sorted(rows, key=lambda r: -r["block"]) if r["block"] < 0))
+    return met, flat[-1], rows
+
+
+def test_the_weights_learn_from_every_token():
+    """Attention layer and embeddings are no sample's: a task goes through every token of every text."""
+    rng = np.random.default_rng(12)
+    texts = [rng.integers(0, 600, n).tolist() for n in (1, 48, 49, 500, 5_000)]
+    met, seen, rows = learned_by(texts, rng.integers(0, attention.CLASSES, 600))
+    assert seen == sum(map(len, texts))
+    assert set(met) >= {7, *(t for text in texts for t in text[:-1])}
+    again = pa.Table.from_pylist([r for r in rows if r["block"] == 1] * 2, schema=language._BLOCKS)
+    once = language._added(again.slice(0, 1)).to_pylist()
+    assert np.allclose(*(np.frombuffer(x["sums"], np.float32) for x in (once[0], language._added(again).to_pylist()[0])))
+
+
+def test_counts_of_neighbours_are_of_every_token(spark):
+    """Classes and kinds of context come from the pairs of all texts."""
+    rng = np.random.default_rng(14)
+    texts = [rng.integers(0, 400, n).tolist() for n in (0, 1, 2, 300, 700)]
+    mark = np.full(400, -1)
+    mark[:200] = rng.permutation(200)
+    df = spark.createDataFrame([(bytearray(np.array(t, "H").tobytes()),) for t in texts], "ids binary").repartition(3)
+    width = 2 * attention.BESIDE
+    got = language._summed(df, language._pair_counts("H", 7, language._beside(mark)), 400 * width).reshape(-1, width)
+    want = np.zeros_like(got)
+    for text in texts:
+        for a, b in zip([7, *text], text):
+            want[b, mark[a]] += mark[a] >= 0
+            want[a, attention.BESIDE + mark[b]] += mark[b] >= 0
+    assert np.array_equal(got, want)
