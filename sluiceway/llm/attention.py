@@ -120,6 +120,14 @@ def class_log(w: Weights, f: np.ndarray) -> np.ndarray:
 
 def gradient(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     """Of the mean negative log-probability of the wanted classes at the positions that count, by part of the weights."""
+    dh, rest = _slopes(w, inputs, wanted, counts)
+    embedding = np.zeros_like(w.embedding)
+    np.add.at(embedding, inputs, dh)
+    return [embedding, *rest]
+
+
+def _slopes(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The same gradient, at every position instead of by its embedding."""
     f, (h, q, k, v, a, seen) = features(w, inputs, True)
     p = f @ w.out
     p += w.bias
@@ -142,9 +150,7 @@ def gradient(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndar
     dmix = np.concatenate([np.matmul(da, k), np.matmul(da.transpose(0, 2, 1), q), dv], axis=2)
     mix = flat(h).T @ flat(dmix)
     dh = df + dmix @ w.mix.T
-    embedding = np.zeros_like(w.embedding)
-    np.add.at(embedding, inputs, dh)
-    return [embedding, dh.sum(axis=0), mix, back, out, bias]
+    return dh, [dh.sum(axis=0), mix, back, out, bias]
 
 
 class Learner:
@@ -160,12 +166,13 @@ class Learner:
         n = int(counts.sum())
         if not n:
             return
-        first, *rest = gradient(self.w, inputs, wanted, counts)
+        dh, rest = _slopes(self.w, inputs, wanted, counts)
         for x, g, s in zip(self.w.parts()[1:], rest, self.squares):
             s += g * g
             x -= np.float32(self.rate) * g / np.sqrt(s)
-        rows, times = np.unique(inputs, return_counts=True)
-        g = first[rows]
+        order = np.argsort(inputs, axis=None, kind="stable")
+        rows, begin, times = np.unique(inputs.ravel()[order], return_index=True, return_counts=True)
+        g = np.add.reduceat(dh.reshape(-1, DIM)[order], begin, axis=0)
         self.near[rows] += g * g
         self.w.embedding[rows] -= np.float32(self.rate) * g / np.sqrt(self.near[rows])
         self.met[rows] += times

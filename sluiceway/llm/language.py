@@ -24,7 +24,9 @@ TURNS = (1, 4, 16)
 FREQUENT = 200_000
 #: Words whose ids a worker remembers.
 REMEMBERED = 200_000
-_SLICE = 4 << 20
+_SLICE = 2 << 20
+#: Words that the library is asked for at a time; its answers are much larger than the words.
+_ASKED = 4_096
 #: Tokens that are counted at a time.
 _COUNTED = 1 << 20
 #: What tasks learned is added up in blocks of so many weights, and of the embeddings of so many tokens.
@@ -68,8 +70,10 @@ class Subwords:
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = distinct
-        coded = self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False)
-        self.known.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(new, coded))
+        for lo in range(0, len(new), _ASKED):
+            some = new[lo : lo + _ASKED]
+            coded = self.tokenizer.encode_batch_fast([" " + w for w in some], add_special_tokens=False)
+            self.known.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(some, coded))
         held = [self.known[w] for w in distinct] + [array(self.code, [self.end]).tobytes()]
         flat = np.frombuffer(b"".join(held), self.code)
         length = np.array([len(x) for x in held]) // flat.itemsize
