@@ -11,11 +11,12 @@ import io
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ PART = 4 << 20
 REMEMBERED = 500_000
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
+_PARTS = np.uint64(1 << SCALE)
 _MASK = np.uint64((1 << SCALE) - 1)
 _SHIFT = np.uint64(SCALE)
 MAGIC = b"RANSTOK1"
@@ -46,14 +48,39 @@ _OPAQUE = re.compile(r"[\0\x1c-\x1f]")  # here Python and the tokenizer disagree
 _PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 # Letters, and punctuation after them: two words of the tokenizer's pattern.
 _LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
-_PLAIN = re.compile(rf"( ?[{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_PLAIN = f"\\A ?[{_LETTERS}]+\\z"
+#: Bytes of the texts that are cut at once.
+_SLICE = 4 << 20
+
+
+class _Remembered(dict):
+    """What ``made`` gives of a key; of the keys before the last ``most`` / 2 new ones, those that were not asked for again go."""
+
+    def __init__(self, made: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.made, self.half, self.before = made, most // 2, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if (value := self.before.get(key)) is None:
+            value = self.made(key)
+        if len(self) >= self.half:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def _found(strings: list[str]) -> str:
+    """A pattern of Arrow's for texts that hold one of these, or begin or end with a blank or newline."""
+    return "|".join("".join(f"\\x{{{ord(c):x}}}" for c in s) for s in strings) + r"|\A[ \n]|[ \n]\z"
 
 
 class Encoder:
     """Ids by the tokenizers library, which is asked once for each word of a worker's recent texts.
 
     A byte-level BPE of this pattern never joins white space to what stands before it, so the pieces of a text between
-    white space have the ids that they have in the text.
+    white space have the ids that they have in the text. Arrow cuts the texts and finds the distinct pieces.
     """
 
     def __init__(self, path: str):
@@ -61,52 +88,76 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.unusual = _found([*_UNUSUAL, *self.special])
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.code = "H" if self.vocabulary <= 1 << 16 else "I"
         self.chars = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in " " + _LETTERS}
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words, self.others = _Remembered(self._word, REMEMBERED), _Remembered(self._whole, REMEMBERED // 8)
 
     def _word(self, word: str) -> bytes:
-        if (ids := self.words.get(word)) is None:
-            ids = self.words[word] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(word.translate(self.chars))]).tobytes()
-        return ids
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Letters with punctuation go to the library's model word by word, all else through the whole tokenizer."""
-        if len(self.words) + 2 * len(pieces) > REMEMBERED:
-            self.words.clear()
-        word, rest = self._word, []
-        for piece in pieces:
-            if m := _PLAIN.fullmatch(piece):
-                head, tail = m.groups()
-                self.known[piece] = word(head) + word(tail) if tail else word(head)
-            else:
-                rest.append(piece)
-        coded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        self.known.update(zip(rest, (array(self.code, e.ids).tobytes() for e in coded)))
+        """One word of the tokenizer's pattern, of letters or of marks, by the library's model."""
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word.translate(self.chars))]).tobytes() if word else b""
+
+    def _whole(self, piece: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _rarely(self, text: str) -> list[str]:
+        """The pieces of a text that Arrow can't cut."""
+        if any(s in text for s in self.special):  # cut before everything else
+            return [text]
+        return [text] if _OPAQUE.search(text) else _PIECES.findall(text)
+
+    def _pieces(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All pieces of the texts, and where those of each text begin."""
+        rare = pc.match_substring_regex(column, self.unusual).to_numpy(zero_copy_only=False).astype(bool)
+        cut = pc.replace_substring(pc.replace_substring(column, " ", "\0 "), "\n", "\0\n\0")
+        cut = pc.split_pattern(cut, "\0")
+        if rare.any():
+            at = np.where(rare, len(column) + np.cumsum(rare) - 1, np.arange(len(column)))
+            own = [self._rarely(t) for t in column.filter(pa.array(rare)).to_pylist()]
+            cut = pa.concat_arrays([cut, pa.array(own, cut.type)]).take(pa.array(at))
+        return cut.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, and where each begins: letters with marks word by word, all else as a whole."""
+        heads, tails = pc.utf8_rtrim(pieces, _MARKS), pc.utf8_ltrim(pieces, " " + _LETTERS)
+        plain = pc.match_substring_regex(heads, _PLAIN)
+        heads, tails = pc.if_else(plain, heads, pieces).dictionary_encode(), pc.if_else(plain, tails, "").dictionary_encode()
+        words, others = self.words.__getitem__, self.others.__getitem__
+        of = np.full(len(heads.dictionary), False)
+        of[heads.indices.to_numpy()] = plain.to_numpy(zero_copy_only=False)  # a head of letters is no other piece
+        held = [words(w) if easy else others(w) for w, easy in zip(heads.dictionary.to_pylist(), of.tolist())]
+        parts = np.stack([heads.indices.to_numpy(), len(held) + tails.indices.to_numpy()], axis=1)
+        flat, begin = self._flat([*held, *map(words, tails.dictionary.to_pylist())])
+        flat, ends = _taken(flat, begin, parts.ravel())
+        return flat, ends[::2]
+
+    def _flat(self, held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.frombuffer(b"".join(held), self.code)
+        return flat, np.concatenate([[0], np.cumsum(np.fromiter(map(len, held), np.int64, len(held)))]) // flat.itemsize
+
+    def column(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, ``end`` after each, and where each text begins in them; null texts are empty."""
+        pieces, begin = self._pieces(pc.fill_null(column, "") if column.null_count else column)
+        coded = pieces.dictionary_encode()
+        flat, at = self._ids(coded.dictionary)
+        order = coded.indices.to_numpy()
+        if end is not None:  # one more piece
+            flat, at = np.append(flat, flat.dtype.type(end)), np.append(at, len(flat) + 1)
+            order, begin = np.insert(order, begin[1:], len(coded.dictionary)), begin + np.arange(len(begin))
+        flat, at = _taken(flat, at, order)
+        return flat, at[begin]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        of, out, waiting, new = self.known.__getitem__, [], [], set()
-        for text in texts:
-            if any(s in text for s in self.special):  # cut before everything else
-                pieces = [text]
-            elif text[:1].isspace() or text[-1:].isspace() or any(c in text for c in _UNUSUAL):
-                pieces = [text] if _OPAQUE.search(text) else _PIECES.findall(text)
-            else:
-                pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if text else []
-            try:
-                out.append(b"".join(map(of, pieces)))
-            except KeyError:
-                waiting.append((len(out), pieces))
-                out.append(b"")
-                new.update(pieces)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        self._learn([p for p in new if p not in self.known])
-        for i, pieces in waiting:
-            out[i] = b"".join(map(of, pieces))
-        return out
+        flat, at = self.column(pa.array(texts, pa.string()))
+        return [flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _taken(flat: np.ndarray, begin: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of ``flat`` that ``order`` names, one behind the other, and where each begins; ``begin`` has the last end."""
+    much = np.diff(begin)[order]
+    ends = np.concatenate([[0], np.cumsum(much)])
+    return flat[np.arange(ends[-1]) + np.repeat(begin[order] - ends[:-1], much)], ends
 
 
 @lru_cache(maxsize=4)
@@ -117,12 +168,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(column: pa.Array, path: str) -> Iterator[tuple[int, list[bytes]]]:
-    """First row and ids of successive ranges of rows; the end id comes after every document, null texts are empty."""
-    to = encoder(path)
-    end = array(to.code, [END_ID]).tobytes()
-    for lo, hi in slices(column):
-        yield lo, [x + end for x in to.encode([t or "" for t in column.slice(lo, hi - lo).to_pylist()])]
+def encoded(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, ids, and where each text begins in them, of successive ranges of rows; the end id comes after every
+    document, null texts are empty."""
+    for lo, hi in slices(column, _SLICE):
+        yield lo, *encoder(path).column(column.slice(lo, hi - lo), END_ID)
 
 
 class Table:
@@ -154,24 +204,25 @@ class Table:
 def encode_block(ids: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, and per section the states and the place in the words from which it decodes."""
     states = np.full(LANES, _LOW, np.uint64)
-    limit, freq, cum = table.freq << np.uint64(43), table.freq, table.cum
     out, kept, left = [], [], []
-    total = 0
-    for step in range(-(-len(ids) // LANES) - 1, -1, -1):
-        s = ids[step * LANES : (step + 1) * LANES]
-        x = states[: len(s)]
-        over = x >= limit[s]
-        if over.any():
-            full = x[over]
-            out.append(full.astype(np.uint32))
-            total += len(full)
-            x[over] = full >> _WORD
-        f = freq[s]
-        q = x // f
-        states[: len(s)] = (q << _SHIFT) + (x - q * f) + cum[s]
-        if step % SECTION == 0:
-            kept.append(states.copy())
-            left.append(total)
+    total, size = 0, SECTION * LANES
+    for begin in range((len(ids) - 1) // size * size, -1, -size):
+        of = ids[begin : begin + size]
+        freq, cum = table.freq[of], table.cum[of]
+        limit = freq << np.uint64(43)
+        for at in range((len(of) - 1) // LANES * LANES, -1, -LANES):
+            f = freq[at : at + LANES]
+            x = states[: len(f)]
+            over = np.flatnonzero(x >= limit[at : at + LANES])
+            if len(over):
+                full = x[over]
+                out.append(full.astype(np.uint32))
+                total += len(full)
+                x[over] = full >> _WORD
+            q = x // f
+            x += q * (_PARTS - f) + cum[at : at + LANES]  # (q << SCALE) + x - q * f + cum
+        kept.append(states.copy())
+        left.append(total)
     words = np.concatenate(out[::-1]) if out else np.zeros(0, np.uint32)
     return words.astype("<u4"), np.array(kept[::-1]).reshape(-1, LANES).astype("<u8"), len(words) - np.array(left[::-1], np.int64)
 
@@ -258,14 +309,14 @@ def write(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_
         file, n = None, 0
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
-            for lo, coded in encoded(batch.column(1), path):
-                for doc_id, ids in zip(ids_of[lo:], coded):
+            for lo, coded, at in encoded(batch.column(1), path):
+                for doc_id, a, b in zip(ids_of[lo:], at[:-1].tolist(), at[1:].tolist()):
                     if file and file.tokens >= most:
                         yield pa.RecordBatch.from_pylist([file.close()])
                         file = None
                     if not file:
                         file, n = _File(folder, f"part-{TaskContext.get().partitionId():06d}-{n:06d}", encoder(path).vocabulary), n + 1
-                    file.add(doc_id, np.frombuffer(ids, encoder(path).code))
+                    file.add(doc_id, coded[a:b])
         if file:
             yield pa.RecordBatch.from_pylist([file.close()])
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -79,3 +80,25 @@ def test_reading_in_parts_and_damage(spark, sf):
         f.write(bytes(data))
     with pytest.raises(Exception, match="damaged"):
         tokens.read(spark, folder, manifest).collect()
+
+
+def test_mixed_pieces_against_the_library():
+    rng, coder = np.random.default_rng(5), tokens.Encoder(PATH)
+    parts = ["a", "b ", "'s", "\n", " ", "  ", "é", "ª", "日", "!", "--", "23", "\t", "\0", "\x1c", "　", "Ġ", "<|endoftext|>", "It's", "(x)", "_", "ß", "÷", "\x85"]
+    texts = ["".join(rng.choice(parts, n)) for n in rng.integers(0, 12, 3_000)]
+    flat, at = coder.column(pa.array([None, *texts]), 0)
+    want_ids = [coder.tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in ["", *texts]]
+    assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == want_ids
+
+
+def test_words_in_use_are_not_forgotten(monkeypatch):
+    """The library is asked once for a word that stays in use, however many others come; those are forgotten."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    coder, asked = tokens.Encoder(PATH), []
+    made = coder.words.made
+    coder.words.made = lambda word: asked.append(word) or made(word)
+    letters = "abcdefghij"
+    for i in range(100):
+        text = "frequent " + " ".join(letters[i // 10] + letters[i % 10] + x for x in letters)
+        assert coder.encode([text])[0] == np.array(coder.tokenizer.encode(text, add_special_tokens=False).ids, "H").tobytes()
+    assert asked.count("frequent") == 1 and len(coder.words) + len(coder.words.before) <= 101
