@@ -4,6 +4,8 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from sluiceway.llm import pages, queries
@@ -147,3 +149,54 @@ def test_markup_that_is_never_ended():
     assert texts("<p>a</p> 1 < 2 <!-- b") == ["a", "1 < 2"]
     assert texts("<p>a</p> b <script c") == ["a", "b <script c"]
     assert texts("<p>a</p><script>b</script>c <d") == ["a", "c <d"]
+
+
+@pytest.mark.parametrize("least", [2, 14])
+def test_an_anchor_stays_whole_when_joins_change_while_running(spark, least):
+    """Where a join is only found small while it runs, its sides are no longer dealt by anchor."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(1, 60))) for _ in range(300)]
+    hosts = [i % 3 for i in range(300)]
+    seen = {}
+    for i, (h, t) in enumerate(zip(hosts, texts)):
+        words = t.split(" ")
+        for k in range(len(words) - 7):
+            seen.setdefault((h, *words[k : k + 8]), set()).add(i % 64 if least > 2 else i)
+    want = {i: [k for k in range(len(t.split(" ")) - 7) if len(seen[h, *t.split(" ")[k : k + 8]]) >= least] for i, (h, t) in enumerate(zip(hosts, texts))}
+    df = spark.createDataFrame(list(zip(range(300), hosts, texts)), "page long, host long, text string").repartition(4)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r.page: r.starts for r in pages.boilerplate(df, least=least, gram=2).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {i: at for i, at in want.items() if at} and got
+
+
+def test_no_text_is_shuffled(spark, sf):
+    """What goes with the texts is brought to them: the last step reads the written pages and has no exchange."""
+    out = queries.QUERIES["op3_host_suffix_text"](spark, sf)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_filter_keeps_every_frequent_anchor():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcdefghijklm"), 40)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([7] * 200, pa.int64()), pa.array(texts)], names=["page", "host", "text"])
+    packed = pa.Table.from_batches(pages._packed_anchors(8, 4)([batch]))
+    often = []
+    for group in set(packed["bucket"].to_pylist()):
+        found = pages._frequent(3)(packed.filter(pa.compute.equal(packed["bucket"], group)))
+        often += [(r["bucket"], r["bits"]) for r in found.to_pylist()]
+    values, begin = pages._streams(pa.array(texts), np.full(200, 7, np.uint64))
+    anchors, starts, _ = pages.stream_runs(values, begin, 8, 4)
+    on = {}
+    for a, i in zip(anchors.tolist(), (np.searchsorted(begin, starts, "right") - 1).tolist()):
+        on.setdefault(a, set()).add(i % 64)
+    frequent = np.array([len(on[a]) >= 3 for a in anchors.tolist()])
+    kept = pages.may_be_frequent(pages.anchor_filter(often), anchors)
+    assert frequent.any() and kept[frequent].all() and not kept.all()
+    assert not pages.may_be_frequent(pages.anchor_filter([]), anchors).any()
