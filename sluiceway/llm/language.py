@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 
 from sluiceway.llm import attention
 from sluiceway.llm.arrow import saved, slices
+from sluiceway.llm.tokens import Encoder, taken
 
 FOLDS, HELD = 7, 2
 #: The documents that are learned from come in turns, each in one of them: so many sixteenths up to the end of each turn.
@@ -25,8 +25,6 @@ FREQUENT = 200_000
 #: Words whose ids a worker remembers.
 REMEMBERED = 200_000
 _SLICE = 2 << 20
-#: Words that the library is asked for at a time; its answers are much larger than the words.
-_ASKED = 4_096
 #: Tokens that are counted at a time.
 _COUNTED = 1 << 20
 #: What tasks learned is added up in blocks of so many weights, and of the embeddings of so many tokens.
@@ -50,41 +48,22 @@ def words(column: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     return coded.indices.to_numpy(), coded.dictionary.to_pylist(), sizes
 
 
-class Subwords:
+class Subwords(Encoder):
     """Ids of words, each with a blank before it; the library is asked once for each word of a worker's recent texts."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        super().__init__(path, REMEMBERED)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.vocabulary = self.tokenizer.get_vocab_size()
-        self.code = "H" if self.vocabulary <= 1 << 16 else "I"
         self.end = self.tokenizer.token_to_id("<|endoftext|>")
-        self.known: dict[str, bytes] = {}
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, list[str], np.ndarray]]:
         """All texts' ids, the end after each, where each text begins in them, and its words."""
         at, distinct, sizes = found = words(column)
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = distinct
-        for lo in range(0, len(new), _ASKED):
-            some = new[lo : lo + _ASKED]
-            coded = self.tokenizer.encode_batch_fast([" " + w for w in some], add_special_tokens=False)
-            self.known.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(some, coded))
-        held = [self.known[w] for w in distinct] + [array(self.code, [self.end]).tobytes()]
-        flat = np.frombuffer(b"".join(held), self.code)
-        length = np.array([len(x) for x in held]) // flat.itemsize
-        begin = np.cumsum(length) - length
+        flat, begin = self.ids_of(pa.array([" " + w for w in distinct], pa.string()))
+        flat, begin = np.append(flat, flat.dtype.type(self.end)), np.append(begin, len(flat) + 1)
         ends = np.cumsum(sizes)
-        order = np.insert(at, ends, len(distinct))
-        much = length[order]
-        after = np.cumsum(much)
-        tokens = flat[np.arange(after[-1] if len(after) else 0) + np.repeat(begin[order] - (after - much), much)]
-        offsets = np.concatenate([[0], after[ends + np.arange(len(ends))]]) if len(ends) else np.zeros(1, np.int64)
-        return tokens, offsets, found
+        tokens, after = taken(flat, begin, np.insert(at, ends, len(distinct)))
+        return tokens, after[np.concatenate([[0], ends + np.arange(len(ends)) + 1])], found
 
 
 @lru_cache(maxsize=2)

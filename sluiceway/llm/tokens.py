@@ -83,7 +83,7 @@ class Encoder:
     white space have the ids that they have in the text. Arrow cuts the texts and finds the distinct pieces.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -92,7 +92,8 @@ class Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.code = "H" if self.vocabulary <= 1 << 16 else "I"
         self.chars = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in " " + _LETTERS}
-        self.words, self.others = _Remembered(self._word, REMEMBERED), _Remembered(self._whole, REMEMBERED // 8)
+        most = remembered or REMEMBERED
+        self.words, self.others = _Remembered(self._word, most), _Remembered(self._whole, most // 8)
 
     def _word(self, word: str) -> bytes:
         """One word of the tokenizer's pattern, of letters or of marks, by the library's model."""
@@ -118,7 +119,7 @@ class Encoder:
             cut = pa.concat_arrays([cut, pa.array(own, cut.type)]).take(pa.array(at))
         return cut.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
 
-    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def ids_of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces, and where each begins: letters with marks word by word, all else as a whole."""
         heads, tails = pc.utf8_rtrim(pieces, _MARKS), pc.utf8_ltrim(pieces, " " + _LETTERS)
         plain = pc.match_substring_regex(heads, _PLAIN)
@@ -129,7 +130,7 @@ class Encoder:
         held = [words(w) if easy else others(w) for w, easy in zip(heads.dictionary.to_pylist(), of.tolist())]
         parts = np.stack([heads.indices.to_numpy(), len(held) + tails.indices.to_numpy()], axis=1)
         flat, begin = self._flat([*held, *map(words, tails.dictionary.to_pylist())])
-        flat, ends = _taken(flat, begin, parts.ravel())
+        flat, ends = taken(flat, begin, parts.ravel())
         return flat, ends[::2]
 
     def _flat(self, held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,12 +141,12 @@ class Encoder:
         """Ids of all texts, ``end`` after each, and where each text begins in them; null texts are empty."""
         pieces, begin = self._pieces(pc.fill_null(column, "") if column.null_count else column)
         coded = pieces.dictionary_encode()
-        flat, at = self._ids(coded.dictionary)
+        flat, at = self.ids_of(coded.dictionary)
         order = coded.indices.to_numpy()
         if end is not None:  # one more piece
             flat, at = np.append(flat, flat.dtype.type(end)), np.append(at, len(flat) + 1)
             order, begin = np.insert(order, begin[1:], len(coded.dictionary)), begin + np.arange(len(begin))
-        flat, at = _taken(flat, at, order)
+        flat, at = taken(flat, at, order)
         return flat, at[begin]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -153,7 +154,7 @@ class Encoder:
         return [flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
-def _taken(flat: np.ndarray, begin: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def taken(flat: np.ndarray, begin: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ranges of ``flat`` that ``order`` names, one behind the other, and where each begins; ``begin`` has the last end."""
     much = np.diff(begin)[order]
     ends = np.concatenate([[0], np.cumsum(much)])

@@ -191,3 +191,16 @@ def test_counts_of_neighbours_are_of_every_token(spark):
             want[b, mark[a]] += mark[a] >= 0
             want[a, attention.BESIDE + mark[b]] += mark[b] >= 0
     assert np.array_equal(got, want)
+
+
+def test_subwords_are_the_library_s_and_words_in_use_stay(monkeypatch):
+    monkeypatch.setattr(language, "REMEMBERED", 100)
+    coder, asked = language.Subwords(PATH), []
+    made = coder.words.made
+    coder.words.made = lambda word: asked.append(word) or made(word)
+    for i in range(40):
+        text = f"frequent it's É日!? <|endoftext|>x {i} " + " ".join(chr(97 + i % 26) + chr(97 + i // 26) + x for x in "abcdefghij")
+        tokens, offsets, _ = coder.ids(pa.array([text, None]))
+        want = [x for w in WORD.findall(lowered(text)) for x in coder.tokenizer.encode(" " + w, add_special_tokens=False).ids] + [coder.end]
+        assert tokens.tolist() == [*want, coder.end] and offsets.tolist() == [0, len(want), len(want) + 1]
+    assert asked.count(" frequent") == 1 and len(coder.words) + len(coder.words.before) <= 101
