@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm import wordhash
-from sluiceway.llm.arrow import saved, slices, utf8
+from sluiceway.llm.arrow import released, saved, slices, utf8
 
 WINDOW = 13
 GRAM = 8
@@ -75,7 +75,9 @@ def fingerprints(text: Column, window: int, gram: int, shorter: list[int], marks
     kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("fp", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), ("before", pa.list_(pa.string())), ("same", pa.string()), ("after", pa.list_(pa.string()))])))])
 
     def each(column: pa.Array) -> pa.Array:
-        return pa.array([{"n_words": n, "hits": hits} for n, hits in _found(column, window, gram, shorter, marks, own_size)], kind)
+        found = [{"n_words": n, "hits": hits} for n, hits in _found(column, window, gram, shorter, marks, own_size)]
+        released()
+        return pa.array(found, kind)
 
     each.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(each, f"struct<n_words:long,hits:{_ROW}>").asNondeterministic()(text)

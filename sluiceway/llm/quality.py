@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm import wordhash
-from sluiceway.llm.arrow import slices, utf8
+from sluiceway.llm.arrow import released, slices, utf8
 
 #: Labelled documents that vote: at most so many, those with the least hash of their id. All others are only scored.
 LABELLED = 8_192
@@ -21,6 +21,8 @@ NEIGHBOURS = 25
 POWER = 8
 ACCEPT = 0.3
 _BLOCK = 512
+#: Documents of a block whose neighbours are picked at a time.
+_PICKED = 64
 
 # Kinds of bytes, of which every three in a row are a term.
 _KINDS = {" ": 0, "\n": 1, ".": 6, ",": 7, "!?": 8, "'\"-:;()": 9, "*#$%&@^~+=<>|/\\_[]{}`": 10}
@@ -119,7 +121,7 @@ class Model:
         for lo in range(0, len(counts), _BLOCK):
             unit, explained = self.project(counts[lo : lo + _BLOCK])
             cosine = unit @ self.vectors.T  # of every document with every label
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+            near = np.concatenate([np.argpartition(-cosine[i : i + _PICKED], k - 1, axis=1)[:, :k] for i in range(0, len(cosine), _PICKED)])
             weight = np.clip(np.take_along_axis(cosine, near, 1), 0, 1).astype(np.float64) ** POWER
             votes = weight.sum(axis=1)
             some = votes > 0
@@ -223,6 +225,7 @@ def score_column(docs: DataFrame, text: Column, model: Model) -> Column:
 
     def each(column: pa.Array) -> pa.Array:
         parts = [shared.value.score(term_counts(column.slice(lo, _BLOCK))) for lo in range(0, len(column), _BLOCK)]
+        released()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     each.__annotations__ = {"column": pa.Array, "return": pa.Array}

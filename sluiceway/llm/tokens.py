@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.arrow import saved, slices
+from sluiceway.llm.arrow import released, saved, slices
 from sluiceway.llm.files import Output, opened
 from sluiceway.session import fresh_dir
 
@@ -174,6 +174,7 @@ def encoded(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np.n
     document, null texts are empty."""
     for lo, hi in slices(column, _SLICE):
         yield lo, *encoder(path).column(column.slice(lo, hi - lo), END_ID)
+    released()
 
 
 class Table:
@@ -286,7 +287,9 @@ class _File:
     def close(self) -> dict:
         lengths, ids = np.array([len(x) for x in self.waiting], "<i8"), np.concatenate(self.waiting)
         self.waiting = []
-        counts = np.bincount(ids, minlength=self.vocabulary)
+        counts = np.zeros(self.vocabulary, np.int64)
+        for lo in range(0, len(ids), BLOCK):  # bincount widens what it counts
+            counts += np.bincount(ids[lo : lo + BLOCK], minlength=self.vocabulary)
         table = Table(counts)
         for lo in range(0, len(ids), BLOCK):
             self._block(ids[lo : lo + BLOCK], table)

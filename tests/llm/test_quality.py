@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from sluiceway.llm import quality, queries
+from sluiceway.llm import quality, queries, wordhash
 from sluiceway.llm.arrow import table
 
 
@@ -115,3 +116,14 @@ def test_words_count():
     assert scores([letters(t) for t in good]) < clean - 0.12
     assert scores([shuffled(t) for t in good]) < clean - 0.02
     assert scores(["Win big at our casino today and buy cheap pills online. Click here now. " * 8]) < clean - 0.3
+
+
+def test_work_arrays_stay_small():
+    words = np.random.default_rng(3).integers(0, 50_000, (512, 1_400))
+    column = pa.array([" ".join(f"w{x}" for x in row) for row in words.tolist()])  # 5 MB
+    wordhash._powers.cache_clear()
+    tracemalloc.start()
+    quality.term_counts(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6  # the counts have 14 MB
