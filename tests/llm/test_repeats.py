@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluiceway.llm import queries, repeats, rindex
@@ -48,3 +50,22 @@ def test_small_lengths_and_odd_rows(spark, group_limit):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(docs).count() == 0
+
+
+def test_equal_windows_have_equal_anchors_in_slices_of_all_lengths(monkeypatch):
+    def grams(data):
+        out = np.full(len(data) - 15, 1 << 63, np.uint64)
+        out[[10, 20]] = (1 << 20) + (1 << 12), 1 << 20  # they differ in a bit that a long slice has for places
+        return out
+
+    monkeypatch.setattr(repeats, "_grams", grams)
+    short, long = (repeats.windows(np.zeros(n, np.uint8), np.array([0, 400, n][: 2 + (n > 400)]), 400) for n in (400, 100_000))
+    assert short[4][0] == long[4][0]
+
+
+def test_an_index_stays_in_the_cache(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(repeats, "shard_marks", lambda contexts, weights, length: sizes.append(sum(map(len, contexts))) or [[] for _ in contexts])
+    rows = [{"anchor": i // 2, "ctx": i, "weight": 1, "bytes": b"a" * 10_000} for i in range(200)]
+    list(repeats._index(400, repeats.SHARD_BYTES)(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert sum(sizes) == 2_000_000 and max(sizes) <= 300_000
