@@ -23,8 +23,8 @@ CLASSES, SHARED = 64, 24
 CONTEXTS, SHARED_CONTEXTS = 256, 56
 #: So many counts of a class go by its tokens' frequency everywhere, beside those after a kind of context.
 PRIOR = 5.0
-#: Windows of one batch.
-BATCH = 64
+#: Windows of one batch, and of one that is only scored.
+BATCH, SCORED = 64, 128
 #: Steps below which the fit meets its windows again, and how often at most; it meets each at least once.
 STEPS, AGAIN = 1_500, 8
 #: Tokens whose places beside another describe it.
@@ -32,13 +32,14 @@ BESIDE = CONTEXTS - SHARED_CONTEXTS
 #: So many of the classes after a token go by what is everywhere; components of embeddings, of size 1 in the mean, are cut.
 FEW = 20.0
 _FAR = 12.0
-#: A position's mask over those it sees; scores and logits are cut at ``_MOST``, far above what training reaches.
-_SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
-_ONES = np.ones(WINDOW, np.float32)
+#: Scores and logits are cut at ``_MOST``, far above what training reaches, and scores of positions not seen below all.
 _MOST = np.float32(60)
+_SEEN = np.where(np.tri(WINDOW, dtype=bool), _MOST, np.float32(-np.inf))
+_ONES = np.ones(max(WINDOW, CLASSES), np.float32)
+_SCALE = np.float32(DIM**-0.5)
 
 
-def windows(tokens: np.ndarray, offsets: np.ndarray, start: int, stride: int = STRIDE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def windows(tokens: np.ndarray, offsets: np.ndarray, start: int, stride: int = STRIDE, batch: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Batches of (inputs, targets, which targets count, text of each window); every token of a text counts once.
 
     Text i has the tokens ``offsets[i]`` to ``offsets[i + 1]``. The input before its first token is ``start``; a window
@@ -48,10 +49,13 @@ def windows(tokens: np.ndarray, offsets: np.ndarray, start: int, stride: int = S
     many = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - WINDOW) // stride)), 0)
     text = np.repeat(np.arange(len(sizes)), many)
     rank = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    if stride < WINDOW:  # texts' first windows come first: those after them score fewer positions
+        order = np.argsort(rank > 0, kind="stable")
+        text, rank = text[order], rank[order]
     first = rank * stride
     at = np.arange(WINDOW)
-    for lo in range(0, len(text), BATCH):
-        t, f, r = text[lo : lo + BATCH], first[lo : lo + BATCH], rank[lo : lo + BATCH]
+    for lo in range(0, len(text), batch):
+        t, f, r = text[lo : lo + batch], first[lo : lo + batch], rank[lo : lo + batch]
         place = f[:, None] + at[None, :]
         there = place < sizes[t][:, None]
         source = np.minimum(offsets[t][:, None] + place, max(len(tokens) - 1, 0))
@@ -83,20 +87,35 @@ def fresh(vocabulary: int, classes: int, seed: int = 11) -> Weights:
     return Weights(made(vocabulary, DIM, by=0.3), made(WINDOW, DIM, by=0.1), made(DIM, 3 * DIM, by=width), made(DIM, DIM, by=width), made(DIM, classes, by=width), np.zeros(classes, np.float32))
 
 
-def features(w: Weights, inputs: np.ndarray, keep: bool = False):
-    """What the softmax sees, per window and position; with ``keep`` also what the gradient needs."""
-    h = w.embedding[inputs] + w.place[None, : inputs.shape[1]]
-    q, k, v = np.split(h @ w.mix, 3, axis=2)
-    score = np.matmul(q * np.float32(DIM**-0.5), k.transpose(0, 2, 1))
-    np.minimum(score, _MOST, out=score)
-    np.exp(score, out=score)
-    score *= _SEEN
-    total = np.matmul(score, _ONES)[:, :, None]
-    if not keep:
-        return h + np.matmul(score, v) / total @ w.back
-    score /= total
-    seen = np.matmul(score, v)
-    return h + seen @ w.back, (h, q, k, v, score, seen)
+def _folded(w: Weights) -> np.ndarray:
+    """The products of what an input passes through in a row: queries and keys, and values and ``back``."""
+    both = np.empty((DIM, 2 * DIM), np.float32)
+    np.matmul(w.mix[:, :DIM] * _SCALE, w.mix[:, DIM : 2 * DIM].T, out=both[:, :DIM])
+    np.matmul(w.mix[:, 2 * DIM :], w.back, out=both[:, DIM:])
+    return both
+
+
+def _shares(asked: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How much the last positions of windows see of all, and the sums of that."""
+    width = h.shape[1]
+    e = np.matmul(asked, h.transpose(0, 2, 1))
+    np.minimum(e, _SEEN[width - asked.shape[1] : width, :width], out=e)
+    np.exp(e, out=e)
+    return e, np.matmul(e, _ONES[:width])[:, :, None]
+
+
+def features(w: Weights, inputs: np.ndarray, begin: int = 0) -> np.ndarray:
+    """What the softmax sees, per window and position from ``begin`` on."""
+    both = _folded(w)
+    h = w.embedding.take(inputs, axis=0)
+    h += w.place[: inputs.shape[1]]
+    value = (h.reshape(-1, DIM) @ both[:, DIM:]).reshape(h.shape)
+    f = h[:, begin:].copy()
+    e, total = _shares((f.reshape(-1, DIM) @ both[:, :DIM]).reshape(f.shape), h)
+    seen = np.matmul(e, value)
+    seen /= total
+    f += seen
+    return f
 
 
 def class_log_of(w: Weights, f: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -106,7 +125,7 @@ def class_log_of(w: Weights, f: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     np.minimum(z, _MOST, out=z)
     got = z[np.arange(len(z)), wanted]
     np.exp(z, out=z)
-    return got - np.log(z @ np.ones(z.shape[1], np.float32))
+    return got - np.log(z @ _ONES[: z.shape[1]])
 
 
 def class_log(w: Weights, f: np.ndarray) -> np.ndarray:
@@ -127,30 +146,49 @@ def gradient(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndar
 
 
 def _slopes(w: Weights, inputs: np.ndarray, wanted: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The same gradient, at every position instead of by its embedding."""
-    f, (h, q, k, v, a, seen) = features(w, inputs, True)
+    """The same gradient, at every position instead of by its embedding.
+
+    Scores and what is seen go through the folded products, whose slopes are then dealt to their factors.
+    """
+    both = _folded(w)
+    windowed = lambda x: x.reshape(*inputs.shape, -1)
+    h = w.embedding.take(inputs.ravel(), axis=0)
+    np.add(windowed(h), w.place[: inputs.shape[1]], out=windowed(h))
+    made = windowed(h @ both)
+    asked, value = made[:, :, :DIM], made[:, :, DIM:]
+    e, total = _shares(asked, windowed(h))
+    total = total.reshape(-1, 1)
+    seen = np.matmul(e, value).reshape(-1, DIM)
+    seen /= total
+    f = h + seen
+
     p = f @ w.out
     p += w.bias
     np.minimum(p, _MOST, out=p)
     np.exp(p, out=p)
-    p /= np.matmul(p, np.ones(p.shape[2], np.float32))[:, :, None]
-    each = np.arange(p.shape[0] * p.shape[1])
-    p.reshape(len(each), -1)[each, wanted.ravel()] -= 1
-    p *= (counts / max(1, counts.sum()))[:, :, None].astype(np.float32)
-    flat = lambda x: x.reshape(-1, x.shape[-1])
-    out, bias = flat(f).T @ flat(p), flat(p).sum(axis=0)
+    share = counts.ravel() / np.float32(max(1, counts.sum()))
+    p *= (share / (p @ _ONES[: p.shape[1]]))[:, None]
+    p[np.arange(len(p)), wanted.ravel()] -= share
+    out, bias = f.T @ p, np.ones(len(p), np.float32) @ p
     df = p @ w.out.T
-    back = flat(seen).T @ flat(df)
-    dseen = df @ w.back.T
-    dv = np.matmul(a.transpose(0, 2, 1), dseen)
-    da = np.matmul(dseen, v.transpose(0, 2, 1))
-    da -= np.einsum("bij,bij->bi", da, a)[:, :, None]
-    da *= a
-    da *= np.float32(DIM**-0.5)
-    dmix = np.concatenate([np.matmul(da, k), np.matmul(da.transpose(0, 2, 1), q), dv], axis=2)
-    mix = flat(h).T @ flat(dmix)
-    dh = df + dmix @ w.mix.T
-    return dh, [dh.sum(axis=0), mix, back, out, bias]
+
+    g = df / total
+    da = np.matmul(windowed(g), value.transpose(0, 2, 1))
+    da -= windowed(np.vecdot(g, seen))
+    da *= e
+    dmade = np.empty_like(made)
+    np.matmul(da, windowed(h), out=dmade[:, :, :DIM])
+    np.matmul(e.transpose(0, 2, 1), windowed(g), out=dmade[:, :, DIM:])
+    dkey = np.matmul(da.transpose(0, 2, 1), asked)
+    dmade = dmade.reshape(-1, 2 * DIM)
+    dboth = h.T @ dmade
+    dscore, dinto = dboth[:, :DIM] * _SCALE, dboth[:, DIM:]
+    query, key, into = w.mix[:, :DIM], w.mix[:, DIM : 2 * DIM], w.mix[:, 2 * DIM :]
+    mix = np.concatenate([dscore @ key, dscore.T @ query, dinto @ w.back.T], axis=1)
+    df += dmade @ both.T
+    dh = windowed(df)
+    dh += dkey
+    return dh, [dh.sum(axis=0), mix, into.T @ dinto, out, bias]
 
 
 class Learner:
@@ -171,11 +209,16 @@ class Learner:
             s += g * g
             x -= np.float32(self.rate) * g / np.sqrt(s)
         order = np.argsort(inputs, axis=None, kind="stable")
-        rows, begin, times = np.unique(inputs.ravel()[order], return_index=True, return_counts=True)
-        g = np.add.reduceat(dh.reshape(-1, DIM)[order], begin, axis=0)
-        self.near[rows] += g * g
-        self.w.embedding[rows] -= np.float32(self.rate) * g / np.sqrt(self.near[rows])
-        self.met[rows] += times
+        tokens = inputs.ravel()[order]
+        begin = np.flatnonzero(np.diff(tokens, prepend=tokens[:1] + 1))
+        rows = tokens[begin].astype(np.intp)
+        g = np.add.reduceat(dh.reshape(-1, DIM).take(order, axis=0), begin, axis=0)
+        near = self.near.take(rows, axis=0) + g * g
+        self.near[rows] = near
+        g *= np.float32(self.rate)
+        g /= np.sqrt(near, out=near)
+        self.w.embedding[rows] -= g
+        self.met[rows] += np.diff(begin, append=len(tokens))
         self.seen += n
 
     def flat(self) -> np.ndarray:
@@ -285,9 +328,11 @@ class Model:
     def log10(self, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Log10 probability of each text, its last token included."""
         out = np.zeros(len(offsets) - 1)
-        for inputs, targets, counts, text in windows(tokens, offsets, self.start):
-            wanted = targets[counts]
-            got = class_log_of(self.weights, features(self.weights, inputs)[counts], self.of[wanted])
-            got = got.astype(np.float64) + self.inside[self.kind[inputs[counts]], wanted]
-            out += np.bincount(np.repeat(text, counts.sum(axis=1)), got, minlength=len(out))
+        for inputs, targets, counts, text in windows(tokens, offsets, self.start, batch=SCORED):
+            begin = 0 if counts[:, 0].any() else WINDOW - STRIDE  # no first window of a text is among them
+            seen = counts[:, begin:]
+            wanted = targets[:, begin:][seen]
+            got = class_log_of(self.weights, features(self.weights, inputs, begin)[seen], self.of[wanted])
+            got = got.astype(np.float64) + self.inside[self.kind[inputs[:, begin:][seen]], wanted]
+            out += np.bincount(np.repeat(text, seen.sum(axis=1)), got, minlength=len(out))
         return out / np.log(10)

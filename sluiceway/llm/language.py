@@ -25,8 +25,10 @@ FREQUENT = 200_000
 #: Words whose ids a worker remembers.
 REMEMBERED = 200_000
 _SLICE = 2 << 20
-#: Tokens that are counted at a time.
-_COUNTED = 1 << 20
+#: Bytes of the texts whose words are found at a time.
+_LISTED = 4 << 20
+#: Keys that are counted at a time.
+_COUNTED = 2 << 20
 #: What tasks learned is added up in blocks of so many weights, and of the embeddings of so many tokens.
 _BLOCK, _ROWS = 1_024, 256
 _BLOCKS = pa.schema([("block", pa.int64()), ("tokens", pa.binary()), ("sums", pa.binary())])
@@ -39,13 +41,19 @@ def held_out(doc_id: Column) -> Column:
 
 def words(column: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Distinct words of the texts, which of them stands where, and how many each text has. Null texts have none."""
+    at, distinct, sizes = _cut(column)
+    return at, distinct.to_pylist(), sizes
+
+
+def _cut(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The same, the distinct words left to Arrow."""
     text = pc.ascii_lower(pc.fill_null(column, ""))
     split = pc.ascii_split_whitespace(text)
     flat, owner = split.flatten(), pc.list_parent_indices(split)
     real = pc.greater(pc.binary_length(flat), 0)
     coded = flat.filter(real).dictionary_encode()
     sizes = np.bincount(owner.filter(real).to_numpy(), minlength=len(column))
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist(), sizes
+    return coded.indices.to_numpy(), coded.dictionary.cast(pa.string()), sizes
 
 
 class Subwords(Encoder):
@@ -56,10 +64,10 @@ class Subwords(Encoder):
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.end = self.tokenizer.token_to_id("<|endoftext|>")
 
-    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, list[str], np.ndarray]]:
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, pa.Array, np.ndarray]]:
         """All texts' ids, the end after each, where each text begins in them, and its words."""
-        at, distinct, sizes = found = words(column)
-        flat, begin = self.ids_of(pa.array([" " + w for w in distinct], pa.string()))
+        at, distinct, sizes = found = _cut(column)
+        flat, begin = self.ids_of(pc.binary_join_element_wise("", distinct, " "))
         flat, begin = np.append(flat, flat.dtype.type(self.end)), np.append(begin, len(flat) + 1)
         ends = np.cumsum(sizes)
         tokens, after = taken(flat, begin, np.insert(at, ends, len(distinct)))
@@ -77,48 +85,43 @@ def subwords(path: str) -> Subwords:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, every, seen): occurrences in all texts, and in those that are learned from."""
     for batch in batches:
-        for lo, hi in slices(batch.column(0), _SLICE):
-            at, distinct, sizes = words(batch.column(0).slice(lo, hi - lo))
+        for lo, hi in slices(batch.column(0), _LISTED):
+            at, distinct, sizes = _cut(batch.column(0).slice(lo, hi - lo))
             learned = np.repeat(~batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False), sizes)
             every = np.bincount(at, minlength=len(distinct))
             seen = np.bincount(at, learned, minlength=len(distinct)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.string()), pa.array(every), pa.array(seen)], names=["word", "every", "seen"])
+            yield pa.RecordBatch.from_arrays([distinct, pa.array(every), pa.array(seen)], names=["word", "every", "seen"])
 
 
-def _prepare(path: str, frequent: dict[str, int], whole: int, distinct_words: int, end_seen: int, id_type: pa.DataType):
-    """A row per document with its ids and what its frequent words add to the base, and a row per other word in it."""
-    floor = np.log10(whole + distinct_words + 1)
+def _prepare(path: str, frequent: pa.Array, seen: np.ndarray, whole: int, distinct_words: int, end_seen: int, id_type: pa.DataType):
+    """A row per document: its ids, what its frequent words add to the base, and its other words."""
+    floor, count = np.log10(whole + distinct_words + 1), np.append(seen, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to, row = subwords(path), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for lo, hi in slices(batch.column(1), _SLICE):
+            for lo, hi in slices(batch.column(1), _LISTED):
                 n = hi - lo
                 tokens, offsets, (at, distinct, sizes) = to.ids(batch.column(1).slice(lo, n))
-                count = np.array([frequent.get(w, -1) for w in distinct] or [0])
-                of, doc = count[at] if len(at) else np.zeros(0, np.int64), np.repeat(np.arange(n), sizes)
-                here = of >= 0
+                of = count[pc.fill_null(pc.index_in(distinct, frequent), -1).to_numpy()][at]
+                doc, here = np.repeat(np.arange(n), sizes), of >= 0
                 base = np.bincount(doc[here], np.log10(of[here] + 1) - floor, minlength=n) + np.log10(end_seen + 1) - floor
                 known = np.bincount(doc[here], of[here] > 0, minlength=n).astype(np.int64) + (end_seen > 0)
-                other, word = doc[~here], at[~here]
-                rows = row + np.arange(n)
-                row += n
+                others = np.concatenate([[0], np.cumsum(np.bincount(doc[~here], minlength=n))]).astype(np.int32)
                 raw = memoryview(np.ascontiguousarray(tokens)).cast("B")
                 width = tokens.itemsize
-                ids = pa.array([bytes(raw[offsets[i] * width : offsets[i + 1] * width]) for i in range(n)], pa.binary())
-                m = len(other)
-                none = lambda kind: pa.nulls(m, kind)
                 columns = [
-                    pa.array(np.concatenate([rows, rows[other]])),
-                    pa.concat_arrays([batch.column(0).slice(lo, n).cast(id_type), none(id_type)]),
-                    pa.concat_arrays([batch.column(2).slice(lo, n), none(pa.bool_())]),
-                    pa.concat_arrays([pa.array(sizes + 1), none(pa.int64())]),
-                    pa.concat_arrays([pa.array(known), none(pa.int64())]),
-                    pa.concat_arrays([pa.array(base), none(pa.float64())]),
-                    pa.concat_arrays([ids, none(pa.binary())]),
-                    pa.concat_arrays([pa.nulls(n, pa.string()), pa.array(distinct, pa.string()).take(pa.array(word))]),
+                    pa.array(row + np.arange(n)),
+                    batch.column(0).slice(lo, n).cast(id_type),
+                    batch.column(2).slice(lo, n),
+                    pa.array(sizes + 1),
+                    pa.array(known),
+                    pa.array(base),
+                    pa.array([bytes(raw[offsets[i] * width : offsets[i + 1] * width]) for i in range(n)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(others), distinct.take(pa.array(at[~here]))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "held_out", "n_tokens", "known", "base", "ids", "word"])
+                row += n
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "held_out", "n_tokens", "known", "base", "ids", "words"])
 
     return run
 
@@ -148,12 +151,12 @@ def _pair_counts(code: str, start: int, keys):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted() -> pa.RecordBatch:
             there, n = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(n)], names=["key", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(there), pa.array(n)], names=["key", "n"])
 
         waiting, size = [], 0
         for batch in batches:
             for lo, hi in slices(batch.column(0), _SLICE):
-                waiting.append(keys(*attention.pairs(*_texts(batch.column(0).slice(lo, hi - lo), code), start)))
+                waiting.append(keys(*attention.pairs(*_texts(batch.column(0).slice(lo, hi - lo), code), start)).astype(np.int32))
                 size += len(waiting[-1])
                 if size > _COUNTED:
                     yield counted()
@@ -175,14 +178,14 @@ def _beside(mark: np.ndarray):
     return keys
 
 
-def _class_after(of: np.ndarray):
-    """A token and the class of the one after it."""
-    return lambda before, tokens: before * attention.CLASSES + of[tokens]
+def _after(of: np.ndarray, kind: np.ndarray):
+    """A token and the class of the one after it, and behind these a kind of context and the token after it."""
+    vocabulary = len(of)
 
+    def keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        return np.concatenate([before * attention.CLASSES + of[tokens], (attention.CLASSES + kind[before]) * vocabulary + tokens])
 
-def _follows(kind: np.ndarray, vocabulary: int):
-    """A kind of context and the token after it."""
-    return lambda before, tokens: kind[before] * vocabulary + tokens
+    return keys
 
 
 def _summed(learned: DataFrame, run, size: int) -> np.ndarray:
@@ -264,7 +267,8 @@ def fit(prepared: DataFrame, path: str, steps: int = attention.STEPS) -> attenti
     beside = _summed(learned, _pair_counts(to.code, to.end, _beside(mark)), to.vocabulary * width).reshape(-1, width)
     of, kind = attention.classes(counts, beside), attention.classes(counts, beside, attention.CONTEXTS, attention.SHARED_CONTEXTS)
     del beside
-    next_class = _summed(learned, _pair_counts(to.code, to.end, _class_after(of)), to.vocabulary * attention.CLASSES)
+    follows = _summed(learned, _pair_counts(to.code, to.end, _after(of, kind)), to.vocabulary * (attention.CLASSES + attention.CONTEXTS))
+    next_class, after = np.split(follows, [to.vocabulary * attention.CLASSES])
     weights = attention.begin(attention.fresh(to.vocabulary, attention.CLASSES), next_class.reshape(to.vocabulary, -1))
     again = max(1, min(attention.AGAIN, -(-steps * attention.BATCH * attention.WINDOW // max(1, int(counts.sum())))))
     squares, turn, begin = attention.no_squares(weights), F.pmod(F.xxhash64("row"), F.lit(TURNS[-1])), 0
@@ -281,7 +285,6 @@ def fit(prepared: DataFrame, path: str, steps: int = attention.STEPS) -> attenti
                 if r.block >= 0:
                     weights.embedding[np.frombuffer(r.tokens, np.int32)] = np.frombuffer(r.sums, np.float32).reshape(-1, attention.DIM)
         begin = end
-    after = _summed(learned, _pair_counts(to.code, to.end, _follows(kind, to.vocabulary)), attention.CONTEXTS * to.vocabulary)
     return attention.Model(weights, of, kind, attention.inside_log(after.reshape(attention.CONTEXTS, -1), of), to.end)
 
 
@@ -307,14 +310,15 @@ def score(
     total = counted.agg(F.sum("every"), F.sum("seen"), F.count(F.when(F.col("seen") > 0, 1))).first()
     ends = rows.agg(F.count("*"), F.count(F.when(~F.col("held_out"), 1))).first()
     whole, distinct_words = (total[1] or 0) + ends[1], total[2] + (ends[1] > 0)
-    common = counted.where(F.col("every") * frequent > (total[0] or 0)).select("word", "seen").toPandas()  # fewer than ``frequent``
+    common = counted.where(F.col("every") * frequent > (total[0] or 0)).select("word", "seen").toArrow()  # fewer than ``frequent``
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", id_type)]).simpleString()[len("struct<") : -1].replace(":", " ")
-    schema += ", held_out boolean, n_tokens long, known long, base double, ids binary, word string"
+    schema += ", held_out boolean, n_tokens long, known long, base double, ids binary, words array<string>"
     from pyspark.sql.pandas.types import to_arrow_type
 
-    prepare = _prepare(vocabulary_path, dict(zip(common["word"], common["seen"].tolist())), whole, distinct_words, ends[1], to_arrow_type(id_type))
+    known = common["word"].combine_chunks().cast(pa.string()), common["seen"].to_numpy()
+    prepare = _prepare(vocabulary_path, *known, whole, distinct_words, ends[1], to_arrow_type(id_type))
     both = saved(rows.mapInArrow(prepare, schema), "ids")
-    texts, others = both.where("word is null").drop("word"), both.where("word is not null").select("row", "word")
+    texts, others = both.drop("words"), both.select("row", F.explode("words").alias("word"))
 
     floor = float(np.log10(whole + distinct_words + 1))
     rare = others.join(counted.where(F.col("every") * frequent <= (total[0] or 0)).select("word", "seen"), "word")

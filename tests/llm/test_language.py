@@ -176,6 +176,41 @@ def test_the_weights_learn_from_every_token():
     assert np.allclose(*(np.frombuffer(x["sums"], np.float32) for x in (once[0], language._added(again).to_pylist()[0])))
 
 
+def test_a_document_is_one_row_whatever_words_it_has(spark):
+    """All that reads the ids, turn after turn, goes through the documents and not through their rare words as well."""
+    texts = ["a rare1 rare2 A", "", None, "rare1 a", " rare3 rare3\t"]
+    run = language._prepare(PATH, pa.array(["a"]), np.array([3]), 9, 4, 5, pa.int64())
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").selectExpr("id", "text", "false as held_out").coalesce(1)
+    schema = "row long, id long, held_out boolean, n_tokens long, known long, base double, ids binary, words array<string>"
+    got = sorted(df.mapInArrow(run, schema).collect(), key=lambda r: r.id)
+    assert [r.words for r in got] == [["rare1", "rare2"], [], [], ["rare1"], ["rare3", "rare3"]]
+    assert [(r.n_tokens, r.known) for r in got] == [(5, 3), (1, 1), (1, 1), (3, 2), (3, 1)]
+    floor = math.log10(9 + 4 + 1)
+    assert [r.base for r in got] == pytest.approx([(n + 1) * -floor + n * math.log10(4) + math.log10(6) for n in (2, 0, 0, 1, 0)])
+
+
+def test_classes_and_tokens_after_are_counted_in_one_pass(spark):
+    rng = np.random.default_rng(15)
+    of, kind = rng.integers(0, attention.CLASSES, 400), rng.integers(0, attention.CONTEXTS, 400)
+    texts = [rng.integers(0, 400, n).tolist() for n in (0, 1, 2, 300, 700)]
+    df = spark.createDataFrame([(bytearray(np.array(t, "H").tobytes()),) for t in texts], "ids binary").repartition(3)
+    got = language._summed(df, language._pair_counts("H", 7, language._after(of, kind)), 400 * (attention.CLASSES + attention.CONTEXTS))
+    classes, tokens = np.zeros((400, attention.CLASSES)), np.zeros((attention.CONTEXTS, 400))
+    for text in texts:
+        for a, b in zip([7, *text], text):
+            classes[a, of[b]] += 1
+            tokens[kind[a], b] += 1
+    assert np.array_equal(got, np.concatenate([classes.ravel(), tokens.ravel()]))
+
+
+def test_positions_that_score_nothing_are_not_worked_out():
+    """Windows after a text's first give features of the positions they score, the same as with all of them."""
+    model, inputs = small_model(5), np.random.default_rng(6).integers(0, 300, (3, attention.WINDOW))
+    begin = attention.WINDOW - attention.STRIDE
+    some = attention.features(model.weights, inputs, begin)
+    assert some.shape[1] == attention.STRIDE and np.allclose(some, attention.features(model.weights, inputs)[:, begin:], atol=1e-5)
+
+
 def test_counts_of_neighbours_are_of_every_token(spark):
     """Classes and kinds of context come from the pairs of all texts."""
     rng = np.random.default_rng(14)
