@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from sluiceway.operators import branch, elements, group, shuffle, side
 from sluiceway.plans import inputs
 from sluiceway.plans.inputs import cents, dollars, table
 from sluiceway.session import fresh_dir, stream_session
-from sluiceway.sinks import files, streams, tables
+from sluiceway.sinks import streams, tables
 from sluiceway.sources import batch as sources
 from sluiceway.sources import stream
 from sluiceway.streaming import panes, replay, timed
@@ -164,21 +166,28 @@ def stream_static_side(spark: SparkSession, sf: str) -> DataFrame:
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     """Documents land as text files in a watched folder, every line with the second its document stands for; words are
     counted per ten seconds as they come, and a window's counts leave the state when it closes."""
-    session, out = stream_session(spark), fresh_dir(spark, "out")
-    landing, checkpoint = fresh_dir(spark, "landing"), fresh_dir(spark, "checkpoint")
-    docs = table(session, sf, "documents").where("text <> ''")
+    cores = spark.sparkContext.defaultParallelism
+    # A micro-batch has so much text for each core, however large the table: more state partitions would only be smaller.
+    session = stream_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(12, 2 * cores)))
+    out = fresh_dir(spark, "out")
+    docs = table(session, sf, "documents").where("text <> ''").select("doc_id", "text")
+    # Documents land in the order of their seconds, so that windows close as others come.
+    placed, last = replay.in_order(docs, "doc_id", max(replay.LEAST_BYTES, replay.CORE_BYTES * cores))
     body = F.regexp_replace(F.regexp_replace("text", "\r\n?", "\n"), "\n\\z", "")
-    lines = docs.select("doc_id", F.explode(F.split(body, "\n")).alias("line"))
-    said = lines.select(F.concat(F.col("doc_id").cast("string"), F.lit("\t"), "line").alias("value"))
-    # What has landed is one micro-batch, in which nothing is late against the end of time: no restart, which would load the state.
-    end = session.range(1).select(F.lit(f"{1 << 36}\tend").alias("value"))
-    files.write_text(said.unionByName(end), landing)
-    parts = stream.watch_files(session, landing, "*.txt").select(F.split("line", "\t", 2).alias("part"))
-    timed = parts.select(F.timestamp_seconds(F.col("part")[0].cast("bigint")).alias("ts"), F.col("part")[1].alias("line"))
-    words = elements.tokenize_lines(timed, "line", "ts")
-    counts = panes.window_start(panes.window_agg(words, "ts", "10 seconds", "10 seconds", ["word"], {"count": F.count(F.lit(1))}))
-    panes.stream_append(counts, out, checkpoint, every=None).awaitTermination()
-    return spark.read.parquet(out)
+    lines = placed.select(replay.PART, "doc_id", F.explode(F.split(body, "\n")).alias("line"))
+    said = lines.select(replay.PART, F.concat(F.col("doc_id").cast("string"), F.lit("\t"), "line").alias("value"))
+    # The end of time comes with the last documents: no restart, which would load the state.
+    end = session.range(1).select(F.lit(last).alias(replay.PART), F.lit(f"{1 << 36}\tend").alias("value"))
+
+    def job(landed: DataFrame, checkpoint: str, then: Callable[[], None]):
+        parts = landed.select(F.split("line", "\t", 2).alias("part"))
+        timed = parts.select(F.timestamp_seconds(F.col("part")[0].cast("bigint")).alias("ts"), F.col("part")[1].alias("line"))
+        words = elements.tokenize_lines(timed, "line", "ts")
+        counts = panes.window_start(panes.window_agg(words, "ts", "10 seconds", "10 seconds", ["word"], {"count": F.count(F.lit(1))}))
+        return panes.stream_append(counts, out, checkpoint, every="0 seconds", method="batches", then=then)
+
+    replay.run_in_order(session, said.unionByName(end), job)
+    return spark.read.parquet(out).drop(panes.BATCH)
 
 
 def stream_collect_windows(spark: SparkSession, sf: str) -> DataFrame:

@@ -75,17 +75,20 @@ def _triggered(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
 
 
 def stream_append(
-    df: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", method: str = "files"
+    df: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", method: str = "files",
+    then: Callable[[], None] | None = None,
 ) -> StreamingQuery:
     """Append finished rows to a Parquet table.
 
     ``files`` commits through the sink's own log, exactly once. ``batches`` writes a folder per micro-batch
-    (column ``batch_id``), which any reader sees as soon as it is there and a retry replaces.
+    (column ``batch_id``), which any reader sees as soon as it is there and a retry replaces; ``then`` is called after each.
     """
+    if then and method != "batches":
+        raise ValueError("only the method batches has a call after each micro-batch")
     if method == "files":
         writer = df.writeStream.format("parquet").option("path", path)
     elif method == "batches":
-        writer = df.writeStream.foreachBatch(batch_writer(path))
+        writer = df.writeStream.foreachBatch(batch_writer(path, then=then))
     else:
         raise ValueError(f"unknown write method {method}")
     return _triggered(writer.outputMode("append").option("checkpointLocation", checkpoint), every)
@@ -116,13 +119,15 @@ def stream_discarding(
 
 
 def batch_writer(
-    path: str, aggregate: Callable[[DataFrame], DataFrame] | None = None
+    path: str, aggregate: Callable[[DataFrame], DataFrame] | None = None, then: Callable[[], None] | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Write a micro-batch to its own folder; a retried batch replaces it."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
         rows = aggregate(batch) if aggregate else batch
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if then:
+            then()
 
     return save
 

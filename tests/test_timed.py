@@ -11,7 +11,7 @@ from sluiceway.operators import triggers
 from sluiceway.operators.skew import Skew
 from sluiceway.plans import stream_queries
 from sluiceway.plans.inputs import table
-from sluiceway.session import fresh_dir, stream_session
+from sluiceway.session import fresh_dir, stream_session, subfolders
 from sluiceway.streaming import panes, replay, timed
 
 
@@ -166,3 +166,41 @@ def test_words_are_counted_in_one_run_of_the_stream(spark, sf, monkeypatch):
     monkeypatch.setattr(panes, "stream_append", seen)
     stream_queries.stream_word_count(spark, sf)
     assert started == ["false"]
+
+
+def test_windows_close_while_words_land(spark, sf, monkeypatch):
+    """The state holds the windows of a part of the text and not of the table; what was counted is removed."""
+    whole = {tuple(r) for r in stream_queries.stream_word_count(spark, sf).collect()}
+    runs, folders = [], []
+    append, watch = panes.stream_append, replay.watch_files
+    monkeypatch.setattr(replay, "CORE_BYTES", (64 << 10) // spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr(replay, "LEAST_BYTES", 0)
+    monkeypatch.setattr(panes, "stream_append", lambda *args, **how: runs.append(append(*args, **how)) or runs[-1])
+    monkeypatch.setattr(replay, "watch_files", lambda s, folder, *args: folders.append(folder) or watch(s, folder, *args))
+    assert {tuple(r) for r in stream_queries.stream_word_count(spark, sf).collect()} == whole
+    (query,) = runs
+    added = [s.numRowsUpdated for p in query.recentProgress for s in p.stateOperators]
+    assert len(added) > 5 and max(added) < sum(added) / 3
+    (folder,) = folders
+    assert subfolders(spark, folder.removesuffix("/*")) == []
+
+
+def test_parts_follow_the_order(spark):
+    rows = spark.range(2_000).select(F.pmod(F.xxhash64("id"), F.lit(500)).alias("at"), F.repeat(F.lit("x"), 1_000).alias("text"))
+    parts, last = replay.in_order(rows, "at", 200_000)
+    found = parts.groupBy("part").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("n")).orderBy("part").collect()
+    assert [r["part"] for r in found] == list(range(last + 1)) and last > 4
+    assert sum(r["n"] for r in found) == 2_000
+    assert all(a["last"] < b["first"] for a, b in zip(found, found[1:]))
+
+
+def test_parts_that_come_too_late_are_an_error(session, tmp_path):
+    rows = session.createDataFrame([(0, "1000"), (1, "2000"), (2, "1")], "part int, value string")
+
+    def job(lines, checkpoint, then):
+        timed = lines.select(F.timestamp_seconds(F.col("line").cast("bigint")).alias("ts"))
+        counts = panes.window_agg(timed, "ts", "10 seconds", "10 seconds", [], {"n": F.count(F.lit(1))})
+        return panes.stream_append(panes.window_start(counts), str(tmp_path / "out"), checkpoint, "0 seconds", "batches", then)
+
+    with pytest.raises(ValueError, match="1 rows of part 2 came after"):
+        replay.run_in_order(session, rows, job)
