@@ -33,6 +33,7 @@ SKETCH = 1 << 16
 _PIECE = "__piece"
 _HASH = "__hash"
 _CUTS = "__cuts"
+_KEY = "__key"
 
 
 @dataclass(frozen=True)
@@ -174,28 +175,32 @@ def running(
             return plain
         ranged = df.repartitionByRange(*order)
         cut, split = written(ranged.withColumn(_PIECE, F.spark_partition_id()), "ranges"), F.lit(True)
-    side_keys = [f"__key{i}" for i in range(len(keys))]
+    # As one column, keys with nulls equal each other, and rows that were dealt out by key and range are where the join wants them.
+    by = [_KEY] if keys else []
+    if keys:
+        cut = cut.withColumn(_KEY, F.struct(*keys))
+    side = [f"__side{name}" for name in by]
     totals = (
         cut.filter(split)
-        .groupBy(*[F.col(k).alias(s) for k, s in zip(keys, side_keys)], F.col(_PIECE).alias("__side_piece"))
+        .groupBy(*[F.col(k).alias(s) for k, s in zip(by, side)], F.col(_PIECE).alias("__side_piece"))
         .agg(*[_aggregate(how, v).alias(f"__total_{n}") for n, (how, v) in measures.items()])
     )
-    earlier = Window.partitionBy(*side_keys).orderBy("__side_piece").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*side).orderBy("__side_piece").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
-        *side_keys,
+        *side,
         "__side_piece",
         *[
             _aggregate("sum" if how == "count" else how, F.col(f"__total_{n}")).over(earlier).alias(f"__before_{n}")
             for n, (how, _) in measures.items()
         ],
     )
-    frame = Window.partitionBy(*keys, _PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    frame = Window.partitionBy(*by, _PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     local = cut.withColumns({n: _aggregate(how, v).over(frame) for n, (how, v) in measures.items()})
     match = F.col(_PIECE) == F.col("__side_piece")
-    for key, side in zip(keys, side_keys):
-        match = match & F.col(key).eqNullSafe(F.col(side))
-    # One row per range of a hot key: sent to all tasks, so that the rows themselves are not shuffled once more.
-    joined = local.join(F.broadcast(before), match, "left")
+    for key, name in zip(by, side):
+        match = (F.col(key) == F.col(name)) & match
+    # One row per range of a hot key: Spark broadcasts them if they are few, and else the rows stay where they are.
+    joined = local.join(before, match, "left")
     types = {f.name: f.dataType for f in plain.schema.fields}
     return joined.select(
         *df.columns,

@@ -239,3 +239,21 @@ def test_a_whole_table_is_cut_by_range_partitions(spark, hot, capsys):
     assert got == want
     rows.explain()
     assert capsys.readouterr().out.count("SinglePartition") <= 1
+
+
+def test_totals_of_many_ranges_go_to_the_rows(spark, hot, capsys):
+    """There is a total for each range, as many as the rows ask for: where they are too large to broadcast, they are dealt out
+    like the rows, and the rows are neither sorted nor shuffled for them."""
+    measures = {"n": ("count", F.lit(1)), "hi": ("max", F.col("name"))}
+    rows = skew.running(hot, ["k", "v"], ["event_id"], measures, skew=Skew(hot_rows=6))
+    plain = skew.running(hot, ["k", "v"], ["event_id"], measures)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows.explain()
+        text = capsys.readouterr().out
+        assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in text and "__piece" in text
+    joined = text[text.index("Join [__key") :].splitlines()
+    assert "Window" in joined[1] and "Sort" in joined[2] and "Exchange hashpartitioning(__key" in joined[3]
