@@ -153,7 +153,7 @@ def multimap_contents(
     pages = pages.withColumn("entries", F.transform("entries", lambda e: F.struct(e["state_key"], e["value"])))
 
     fires = idle_fires(put.drop("__at"), [*grouped, "state_key"], ts, order, after, skew).where("fired_at < window_end")
-    marks = fires.select(*grouped, "state_key", F.col("fired_at").alias("__time"), F.lit(0).alias("__row"))
+    marks = written(fires.select(*grouped, "state_key", F.col("fired_at").alias("__time"), F.lit(0).alias("__row")), "fires")
     rows = put.select(*grouped, "state_key", F.col(ts).alias("__time"), F.lit(1).alias("__row"))
     looks = running(rows.unionByName(marks), grouped, ["__time", "__row", "state_key"], {"seen": ("sum", F.col("__row"))}, skew=skew)
     timers = looks.where("__row = 0").select(*grouped, F.lit("timer").alias("kind"), F.col("__time").alias("at"), "state_key", "seen")
